@@ -12,6 +12,7 @@ from tablekeeper.operators.delete import delete_by_keys
 from tablekeeper.operators.select import first_per_key
 from tablekeeper.plans import ranks
 from tablekeeper.plans.ranks import By, order_by
+from tablekeeper.sources.files import literal_rows
 
 
 def keep_where(target: DataFrame, condition: Column | str) -> DataFrame:
@@ -142,8 +143,7 @@ def delete_positions(
         keys = lowest.withColumn("__position", F.row_number().over(one_task) - 1)
     else:
         keys = ranks.with_positions(keys, sorting, "__position")
-    spark = target.sparkSession
-    asked = spark.createDataFrame([(p,) for p in wanted], "__wanted long")
+    asked = literal_rows(target.sparkSession, "__wanted long", [(p,) for p in wanted])
     victims = keys.join(F.broadcast(asked), F.col("__position") == F.col("__wanted")).select(*[col(n) for n in names])
     if victims.count() < len(wanted):
         raise IndexError(f"position {wanted[-1]} lies outside the table")

@@ -17,6 +17,7 @@ from tablekeeper.functions.paths import base_name, days_before
 from tablekeeper.functions.predicates import any_of, col, is_true, quality_rule, text_match
 from tablekeeper.plans import ranks
 from tablekeeper.plans.keys import KEY, Keys, distinct_keys, key_pairs, keys_match, rename_keys, without_clash
+from tablekeeper.plans.sizing import COMPARE_ROWS, broadcast_if_small, compares_all_pairs, within_rows
 
 HIT = "hit"
 
@@ -107,12 +108,16 @@ def _delete_joined(target: DataFrame, side: DataFrame, test: Column, operation:
     )
 
 
-def delete_by_keys(target: DataFrame, criteria: DataFrame, on: Keys) -> DeletePlan:
-    """Delete rows whose key, of one or several columns, is in the criteria. Null keys never match."""
+def delete_by_keys(target: DataFrame, criteria: DataFrame, on: Keys, small: bool = False) -> DeletePlan:
+    """Delete rows whose key, of one or several columns, is in the criteria. Null keys never match.
+
+    `small=True` broadcasts the keys behind a size check; otherwise the optimizer decides.
+    """
     pairs = key_pairs(on, target, criteria)
-    return _delete_joined(
-        target, distinct_keys(criteria, pairs), keys_match(pairs), "delete_by_keys", on=dict(pairs)
-    )
+    keys = distinct_keys(criteria, pairs)
+    if small:
+        keys = broadcast_if_small(keys)
+    return _delete_joined(target, keys, keys_match(pairs), "delete_by_keys", on=dict(pairs))
 
 
 def explain_by_keys(target: DataFrame, criteria: DataFrame, on: Keys, carry: Sequence[str]) -> DataFrame:
@@ -161,6 +166,12 @@ def delete_by_condition(target: DataFrame, criteria: DataFrame, condition: str,
     """
     left, right = target.alias("t"), criteria.alias("c")
     test = F.expr(condition)
+    if within_rows(criteria, COMPARE_ROWS):
+        right = F.broadcast(right)
+    elif compares_all_pairs(left.join(right, test, "left_semi")):
+        raise ValueError(
+            f"more than {COMPARE_ROWS} criteria rows and no equality in the condition; add one"
+        )
 
     def marked() -> DataFrame:
         victims = left.join(right, test, "left_semi").select(*[col(u) for u in unique])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tablekeeper.functions.predicates import all_of, col, is_true
 from tablekeeper.plans.keys import KEY, Keys, distinct_keys, key_pairs, keys_match, rename_keys
+from tablekeeper.plans.sizing import prefilter
 
 Side = Callable[[str], Column]
 Values = Mapping[str, Callable[[Side, Side], Column] | Column | str]
@@ -79,10 +80,11 @@ class Merge:
         `check=False` leaves that test out, for a source known to be unique (an aggregate).
         """
         parts = [self._target_rows()]
+        check = check and bool(self.matched)
         if self.inserts:
-            parts.append(self._inserted_rows())
-        if check and (self.matched or self.target_only):
-            parts.append(self._repeat_guard())
+            parts.append(self._inserted_rows(check))
+        elif check:
+            parts.append(self._no_rows_but_checked())
         merged = parts[0]
         for part in parts[1:]:
             merged = merged.unionAll(part)
@@ -122,18 +124,42 @@ class Merge:
             columns.append(value.alias(name))
         return joined.select(*columns)
 
-    def _matched_keys(self, pairs: list[tuple[str, str]]) -> DataFrame:
-        """Keys both sides hold, once each; only key columns are read from the target."""
-        wanted = distinct_keys(self.source, pairs)
-        held = self.target.select(*[col(name) for name, _ in pairs])
-        found = held.join(wanted, keys_match(pairs), "left_semi").distinct()
-        return found.select(*[col(name).alias(f"__held{i}") for i, (name, _) in enumerate(pairs)])
+    def _matched_keys(self, check: bool) -> DataFrame:
+        """Keys both sides hold, once each; only key columns are read from the target.
 
-    def _inserted_rows(self) -> DataFrame:
+        With `check`, reading a key that the source repeats fails the job. The test names
+        counts of both sides, so no optimizer rule can move it below their join.
+        """
+        pairs = self._pairs()
+        names = [name for name, _ in pairs]
+        asked = (
+            self.source.select(*rename_keys(pairs, self.source))
+            .dropna()
+            .groupBy(*[f"{KEY}{i}" for i in range(len(pairs))])
+            .agg(F.count("*").alias("__asked"))
+        )
+        held = prefilter(self.target.select(*[col(n) for n in names]), distinct_keys(self.source, pairs), keys_match(pairs))
+        held = held.groupBy(*[col(n) for n in names]).agg(F.count("*").alias("__held"))
+        both = held.join(asked, keys_match(pairs))
+        keys = [col(n) for n in names]
+        if check:
+            text = F.concat(
+                F.lit("merge source holds "), F.col("__asked"), F.lit(" rows for key "), F.to_json(F.struct(*keys))
+            )
+            failed = (F.col("__asked") > 1) & (F.col("__held") > 0)
+            kind = self.target.schema[names[0]].dataType
+            keys[0] = F.when(failed, F.raise_error(text).cast(kind)).otherwise(keys[0])
+        return both.select(*[key.alias(f"__held{i}") for i, key in enumerate(keys)])
+
+    def _no_rows_but_checked(self) -> DataFrame:
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.target.schema.fields]
+        return self._matched_keys(True).filter(F.col("__held0").isNull()).select(*nothing)
+
+    def _inserted_rows(self, check: bool) -> DataFrame:
         pairs = self._pairs()
         s, t = _sides()
         same = all_of(F.col(f"{KEY}{i}") == F.col(f"__held{i}") for i in range(len(pairs)))
-        new = self._held_source().join(self._matched_keys(pairs), same, "left_anti")
+        new = self._held_source().join(self._matched_keys(check), same, "left_anti")
         action = F.lit(None).cast("int")
         for i, clause in reversed(list(enumerate(self.inserts))):
             test = F.lit(True) if clause.when is None else is_true(clause.when(t, s))
@@ -166,25 +192,6 @@ class Merge:
             value = value(t, s)
         return value.cast(kind)
 
-    def _repeat_guard(self) -> DataFrame:
-        """No rows, or a failed job when a repeated source key matches the target."""
-        pairs = self._pairs()
-        keys = [f"{KEY}{i}" for i in range(len(pairs))]
-        repeated = (
-            self.source.select(*rename_keys(pairs, self.source))
-            .dropna()
-            .groupBy(*keys)
-            .agg(F.count("*").alias("__n"))
-            .filter("__n > 1")
-        )
-        held = self.target.select(*[col(name) for name, _ in pairs])
-        # The message names both sides, so the failing test can only run on matched pairs.
-        clash = held.join(repeated, keys_match(pairs))
-        key_text = F.to_json(F.struct(*[col(name) for name, _ in pairs]))
-        message = F.concat(F.lit("merge source holds "), F.col("__n"), F.lit(" rows for key "), key_text)
-        failed = clash.filter(F.raise_error(message).cast("boolean"))
-        return failed.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.target.schema.fields])
-
 
 def _sides() -> tuple[Side, Side]:
     return (lambda name: col(f"__s_{name}")), col

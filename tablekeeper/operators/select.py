@@ -16,7 +16,13 @@ from tablekeeper.plans.grams import contains_join
 from tablekeeper.plans.keys import KEY, Keys, distinct_keys, key_pairs, keys_match, rename_keys, without_clash
 from tablekeeper.plans.ranges import range_join
 from tablekeeper.plans.ranks import order_by
-from tablekeeper.plans.sizing import COMPARE_ROWS, broadcast_if_small, within_rows
+from tablekeeper.plans.sizing import (
+    COMPARE_ROWS,
+    broadcast_if_small,
+    compares_all_pairs,
+    prefilter,
+    within_rows,
+)
 
 # Row count up to which a window keeps only the leading rows of a group before it shuffles.
 WINDOW_LIMIT = 1_000
@@ -73,10 +79,11 @@ def select_less(target: DataFrame, criteria: DataFrame, column: str, threshold:
     return range_join(target, criteria.select(col(threshold)), column, upper=threshold, strict=True, **options)
 
 
-def select_in_set(target: DataFrame, criteria: DataFrame, on: Keys) -> DataFrame:
+def select_in_set(target: DataFrame, criteria: DataFrame, on: Keys, small: bool = False) -> DataFrame:
     """Rows whose key is in the criteria, once each, whatever the criteria repeat."""
     pairs = key_pairs(on, target, criteria)
-    return target.join(distinct_keys(criteria, pairs), keys_match(pairs), "left_semi")
+    keys = distinct_keys(criteria, pairs)
+    return target.join(broadcast_if_small(keys) if small else keys, keys_match(pairs), "left_semi")
 
 
 def select_values(target: DataFrame, column: str, values: Sequence) -> DataFrame:
@@ -115,7 +122,7 @@ def select_by_condition(
     if within_rows(sides, COMPARE_ROWS):
         return F.broadcast(sides).join(target, test).select(*columns)
     joined = sides.join(target, test).select(*columns)
-    if _compares_all_pairs(joined):
+    if compares_all_pairs(joined):
         raise ValueError(
             f"more than {COMPARE_ROWS} criteria rows and no equality in the condition: "
             "add one, or use select_between / select_greater / select_less / select_dispatch"
@@ -123,11 +130,6 @@ def select_by_condition(
     return joined
 
 
-def _compares_all_pairs(frame: DataFrame) -> bool:
-    plan = frame._jdf.queryExecution().executedPlan().toString()
-    return "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan
-
-
 def select_dispatch(
     target: DataFrame,
     criteria: DataFrame,
@@ -192,7 +194,9 @@ def select_capped(
     """
     pairs = key_pairs(on, target, criteria)
     keys = [name for name, _ in pairs]
-    kept = first_per_key(select_in_set(target, criteria, on), keys, order, per_value)
+    # The cap comes before a join that shuffles, so a hot value is cut in every task first.
+    asked = _asked_rows(target, criteria, pairs)
+    kept = select_in_set(first_per_key(asked, keys, order, per_value), criteria, on)
     if max_results is None:
         return kept
     sorting = [by.value.desc() if by.descending else by.value.asc() for by in order_by(order)]
@@ -211,10 +215,11 @@ def selection_errors(criteria: DataFrame, column: str, index: str) -> tuple[Data
 def selection_summary(target: DataFrame, criteria: DataFrame, on: Keys, search_as: Sequence[str] | None = None) -> DataFrame:
     """Matches per search value. Both sides are counted per key before they meet."""
     pairs = key_pairs(on, target, criteria)
-    search_as = list(search_as or ["search_value"] if len(pairs) == 1 else search_as or [c for _, c in pairs])
+    search_as = list(search_as or (["search_value"] if len(pairs) == 1 else [f"search_{c}" for _, c in pairs]))
     asked = criteria.select(*rename_keys(pairs, criteria)).dropna()
     asked = asked.groupBy(*asked.columns).agg(F.count("*").alias("__asked"))
-    held = target.groupBy(*[col(t).alias(f"__t{i}") for i, (t, _) in enumerate(pairs)]).agg(
+    held = _asked_rows(target, criteria, pairs)
+    held = held.groupBy(*[col(t).alias(f"__t{i}") for i, (t, _) in enumerate(pairs)]).agg(
         F.count("*").alias("__held")
     )
     on_keys = [F.col(f"{KEY}{i}") == F.col(f"__t{i}") for i in range(len(pairs))]
@@ -222,6 +227,10 @@ def selection_summary(target: DataFrame, criteria: DataFrame, on: Keys, search_a
     return asked.join(held, on_keys).select(*tags, (F.col("__asked") * F.col("__held")).alias("matches"))
 
 
+def _asked_rows(target: DataFrame, criteria: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    return prefilter(target, distinct_keys(criteria, pairs), keys_match(pairs))
+
+
 def selection_totals(target: DataFrame, criteria: DataFrame, on: Keys) -> DataFrame:
     """One row: total matches, distinct search values that matched, and the target columns seen."""
     summary = selection_summary(target, criteria, on)
@@ -250,7 +259,8 @@ def select_join_agg(
     for name, source in average.items():
         partial += [F.sum(col(source)).alias(f"__sum_{name}"), F.count(col(source)).alias(f"__n_{name}")]
     partial += [F.count(col(source)).alias(f"__n_{name}") for name, source in count.items()]
-    held = target.groupBy(*[col(t).alias(f"__t{i}") for i, (t, _) in enumerate(pairs)]).agg(*partial)
+    held = _asked_rows(target, criteria, pairs)
+    held = held.groupBy(*[col(t).alias(f"__t{i}") for i, (t, _) in enumerate(pairs)]).agg(*partial)
     asked = criteria.groupBy(*rename_keys(pairs, criteria), *[col(b) for b in by]).agg(F.count("*").alias("__times"))
     on_keys = [F.col(f"{KEY}{i}") == F.col(f"__t{i}") for i in range(len(pairs))]
     times = F.col("__times")
@@ -266,7 +276,8 @@ def validate_exists(rows: DataFrame, target: DataFrame, on: Keys, flag: str = "f
     """Each input row with a flag: does the target hold its key? `on` maps input -> target columns."""
     pairs = key_pairs(on, rows, target)
     without_clash(rows, [flag])
-    known = distinct_keys(target, pairs).withColumn("__known", F.lit(True))
+    held = _asked_rows(target, rows, [(t, r) for r, t in pairs])
+    known = distinct_keys(held, pairs).withColumn("__known", F.lit(True))
     joined = rows.join(known, keys_match(pairs), "left")
     return joined.select(*[col(c) for c in rows.columns], F.coalesce("__known", F.lit(False)).alias(flag))
 
@@ -283,7 +294,8 @@ def enrich_first(
     `on` maps source -> lookup columns. "First" is by the lookup order given.
     """
     pairs = key_pairs(on, source, lookup)
-    first = first_per_key(lookup, [name for _, name in pairs], order)
+    held = _asked_rows(lookup, source, [(right, left) for left, right in pairs])
+    first = first_per_key(held, [name for _, name in pairs], order)
     first = first.select(*rename_keys(pairs, lookup), *[col(c).alias(f"__new_{c}") for c in columns]).dropna(
         subset=[f"{KEY}{i}" for i in range(len(pairs))]
     )

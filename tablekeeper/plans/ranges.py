@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekeeper.functions.predicates import all_of, col
-from tablekeeper.plans.keys import keys_match, without_clash
+from tablekeeper.plans.keys import without_clash
 from tablekeeper.plans.sizing import COMPARE_ROWS, within_rows
 
 MAX_DEPTH = 40
@@ -55,23 +55,17 @@ def range_join(
     upper: str | None = None,
     *,
     strict: bool = False,
-    pairs: list[tuple[str, str]] | None = None,
     compare_rows: int = COMPARE_ROWS,
 ) -> DataFrame:
-    """Inner join on `lower <= column <= upper`; one side may be open. Every pair appears once.
-
-    `pairs` adds key equality; its criteria columns must already carry the private key names.
-    """
+    """Inner join on `lower <= column <= upper`; one side may be open. Every pair appears once."""
     if lower is None and upper is None:
         raise ValueError("a range needs a lower or an upper column")
     without_clash(target, criteria.columns)
     matches = in_range(
         col(column), col(lower) if lower else None, col(upper) if upper else None, strict
     )
-    if pairs:
-        matches = keys_match(pairs) & matches
     if within_rows(criteria, compare_rows):
-        return criteria.join(target, matches) if pairs else F.broadcast(criteria).join(target, matches)
+        return F.broadcast(criteria).join(target, matches)
     return _grid_join(target, criteria, column, lower, upper, matches)
 
 

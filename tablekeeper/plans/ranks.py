@@ -20,8 +20,8 @@ from tablekeeper.session import checkpoint_dir
 
 # A rank this low, or a rest this small, is answered by one bounded top-k.
 TOP_ROWS = 10_000
-REST_ROWS = 200_000
-SAMPLE_ROWS = 4_000
+REST_ROWS = 500_000
+SAMPLE_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -66,29 +66,40 @@ class _Order:
     def literals(self, key: Sequence[str | None]) -> list[Column | None]:
         return [None if v is None else F.lit(v).cast(kind) for v, kind in zip(key, self.kinds)]
 
-    def before(self, key: Sequence[str | None], columns: Sequence[Column] | None = None) -> Column:
-        columns = self.own if columns is None else columns
+    def _beyond(self, key: Sequence[str | None], columns: Sequence[Column] | None, earlier: bool) -> Column:
+        """Rows strictly before (or after) the key; plain comparisons, so that scans can use them."""
         cases, ties = [], []
-        for column, literal, by in zip(columns, self.literals(key), self.spec):
-            if by.descending:
-                less = column.isNotNull() if literal is None else F.coalesce(column > literal, F.lit(False))
-            elif literal is None:
-                less = F.lit(False)
+        for column, literal, by in zip(columns or self.own, self.literals(key), self.spec):
+            if earlier != by.descending:  # smaller values, and nulls, which sort smallest
+                test = F.lit(False) if literal is None else column.isNull() | (column < literal)
             else:
-                less = column.isNull() | F.coalesce(column < literal, F.lit(False))
-            cases.append(all_of([*ties, less]))
+                test = column.isNotNull() if literal is None else column.isNotNull() & (column > literal)
+            cases.append(all_of([*ties, test]))
             ties.append(column.isNull() if literal is None else column.eqNullSafe(literal))
         return any_of(cases)
 
+    def before(self, key: Sequence[str | None], columns: Sequence[Column] | None = None) -> Column:
+        return self._beyond(key, columns, True)
+
+    def after(self, key: Sequence[str | None], columns: Sequence[Column] | None = None) -> Column:
+        return self._beyond(key, columns, False)
+
     def same(self, key: Sequence[str | None], columns: Sequence[Column] | None = None) -> Column:
-        columns = self.own if columns is None else columns
-        return all_of(
-            c.isNull() if v is None else c.eqNullSafe(v) for c, v in zip(columns, self.literals(key))
-        )
+        pairs = zip(columns or self.own, self.literals(key))
+        return all_of(c.isNull() if v is None else c.eqNullSafe(v) for c, v in pairs)
+
+
+@dataclass(frozen=True)
+class Found:
+    """Sort key at a rank, as text, and whether it is the last row with that key."""
+
+    key: tuple
+    last: bool
 
 
-def _at(order: _Order, keys: DataFrame, rank: int):
-    return keys.orderBy(*order.sorting()).select(*order.as_text()).offset(rank).limit(1).first()
+def _at(order: _Order, keys: DataFrame, rank: int) -> Found | None:
+    rows = keys.orderBy(*order.sorting()).select(*order.as_text()).offset(rank).limit(2).collect()
+    return Found(tuple(rows[0]), len(rows) == 1 or tuple(rows[1]) != tuple(rows[0])) if rows else None
 
 
 def key_at(
@@ -99,79 +110,96 @@ def key_at(
     top_rows: int = TOP_ROWS,
     rest_rows: int = REST_ROWS,
     sample_rows: int = SAMPLE_ROWS,
-) -> tuple | None:
-    """Sort key (as text values) of the row at 0-based `rank`; None when there is no such row."""
+) -> Found | None:
+    """Sort key of the row at 0-based `rank`; None when there is no such row."""
     if rank < 0:
         raise ValueError("rank must not be negative")
     order = _Order(frame, spec)
     if rank < top_rows:
-        row = _at(order, order.keys, rank)
-        return None if row is None else tuple(row)
+        return _at(order, order.keys, rank)
     inside, total = order.keys, order.keys.count()
+    if rank >= total:
+        return None
+    held: list[DataFrame] = []
+    try:
+        return _narrow(order, inside, total, rank, rest_rows, sample_rows, held)
+    finally:
+        for frame in held:
+            frame.unpersist()
+
+
+def _narrow(order, inside, total, rank, rest_rows, sample_rows, held) -> Found:
     seed = 17
-    while True:
-        if rank >= total:
-            return None
-        if total <= rest_rows:
-            return tuple(_at(order, inside, rank))
+    while total > rest_rows:
+        # Enough sample keys for the bracket to fall below rest_rows at once, within bounds.
+        wanted = min(sample_rows, max(sample_rows // 25, math.ceil((3 * total / rest_rows) ** 2)))
+        seed += 1
         picked = (
-            inside.sample(min(1.0, sample_rows / total), seed)
+            inside.sample(min(1.0, wanted / total), seed)
             .orderBy(*order.sorting())
             .select(*order.as_text())
-            .limit(2 * sample_rows)
+            .limit(2 * wanted)
             .collect()
         )
-        seed += 1
         if not picked:
             continue
         middle = rank / total * len(picked)
-        margin = 3 * math.sqrt(len(picked)) / 2 + 1
-        low = tuple(picked[max(0, math.floor(middle - margin))])
+        margin = 1.5 * math.sqrt(len(picked)) + 1
+        low = tuple(picked[min(len(picked) - 1, max(0, math.floor(middle - margin)))])
         high = tuple(picked[min(len(picked) - 1, math.ceil(middle + margin))])
-        below, at_low, below_high, at_high = inside.agg(
-            *[
-                F.count_if(test)
-                for test in (order.before(low), order.same(low), order.before(high), order.same(high))
-            ]
-        ).first()
-        # Hot keys end the search at once: their rank interval is known from the counts.
+        tests = order.before(low), order.same(low), order.before(high), order.same(high)
+        below, at_low, below_high, at_high = inside.agg(*[F.count_if(test) for test in tests]).first()
+        # A key that repeats a lot ends the search at once: its ranks are known from the counts.
         if below <= rank < below + at_low:
-            return low
+            return Found(low, rank + 1 == below + at_low)
         if below_high <= rank < below_high + at_high:
-            return high
+            return Found(high, rank + 1 == below_high + at_high)
         if rank < below:
             inside, total = inside.filter(order.before(low)), below
         elif rank < below_high:
-            inside = inside.filter(~order.before(low) & ~order.same(low) & order.before(high))
+            inside = inside.filter(order.after(low) & order.before(high))
             total, rank = below_high - below - at_low, rank - below - at_low
         else:
-            skipped = below_high + at_high
-            inside = inside.filter(~order.before(high) & ~order.same(high))
+            inside, skipped = inside.filter(order.after(high)), below_high + at_high
             total, rank = total - skipped, rank - skipped
+        # Keys inside the bracket only; later rounds need not scan the table again.
+        inside = inside.persist()
+        held.append(inside)
+    return _at(order, inside, rank)
 
 
 def split_at(frame: DataFrame, spec: Sequence[By], rows: int, **bounds: int) -> tuple[DataFrame, DataFrame]:
     """(first `rows` rows, all others) in the given order; exact, also when keys repeat.
 
-    Rows that tie on the whole order are told apart by a hash of all columns; what still
-    ties is the same row, so any of the copies may go to either side.
+    Rows that tie on the order are told apart by a hash of all columns; what still ties is
+    the same row, so any of the copies may go to either side.
     """
     if rows <= 0:
         return frame.filter(F.lit(False)), frame
-    spec = [*spec, By(row_hash(frame))]
-    key = key_at(frame, spec, rows - 1, **bounds)
-    if key is None:
+    found = key_at(frame, spec, rows - 1, **bounds)
+    if found is None:
         return frame, frame.filter(F.lit(False))
-    order = _Order(frame, spec)
-    values = [by.value for by in spec]
-    before, same = order.before(key, values), order.same(key, values)
-    below, equal = frame.agg(F.count_if(before), F.count_if(same)).first()
-    if below + equal == rows:
-        return frame.filter(before | same), frame.filter(~(before | same))
-    ties, part = frame.filter(same), rows - below
+    order, values = _Order(frame, spec), [by.value for by in spec]
+    before, same, after = (test(found.key, values) for test in (order.before, order.same, order.after))
+    if found.last:
+        return frame.filter(before | same), frame.filter(after)
+    ties, part = frame.filter(same), rows - frame.filter(before).count()
+    some, others = _split_ties(ties, part, bounds)
+    return frame.filter(before).unionAll(some), frame.filter(after).unionAll(others)
+
+
+def _split_ties(ties: DataFrame, rows: int, bounds: dict) -> tuple[DataFrame, DataFrame]:
+    spec = [By(row_hash(ties))]
+    found = key_at(ties, spec, rows - 1, **bounds)
+    order, values = _Order(ties, spec), [by.value for by in spec]
+    before, same, after = (test(found.key, values) for test in (order.before, order.same, order.after))
+    if found.last:
+        return ties.filter(before | same), ties.filter(after)
+    below, equal = ties.agg(F.count_if(before), F.count_if(same)).first()
+    copies = ties.filter(same)
     return (
-        frame.filter(before).unionAll(ties.limit(part)),
-        frame.filter(~(before | same)).unionAll(ties.limit(equal - part)),
+        ties.filter(before).unionAll(copies.limit(rows - below)),
+        ties.filter(after).unionAll(copies.limit(below + equal - rows)),
     )
 
 
@@ -185,15 +213,17 @@ def quantile(frame: DataFrame, column: str, fraction: float, *, linear: bool = T
         return None
     spec = [By(F.col("v"))]
     if not linear:
-        return float(key_at(values, spec, max(0, math.ceil(fraction * n) - 1), **bounds)[0])
+        return float(key_at(values, spec, max(0, math.ceil(fraction * n) - 1), **bounds).key[0])
     if n <= bounds.get("rest_rows", REST_ROWS):
         return values.agg(F.percentile("v", fraction)).first()[0]
     place = (n - 1) * fraction
-    low = float(key_at(values, spec, math.floor(place), **bounds)[0])
-    if place == math.floor(place):
+    rank = math.floor(place)
+    found = key_at(values, spec, rank, **bounds)
+    low = float(found.key[0])
+    if place == rank or not found.last:
         return low
-    high = float(key_at(values, spec, math.ceil(place), **bounds)[0])
-    return (math.ceil(place) - place) * low + (place - math.floor(place)) * high
+    high = values.filter(_Order(values, spec).after(found.key, [F.col("v")])).agg(F.min("v")).first()[0]
+    return (rank + 1 - place) * low + (place - rank) * high
 
 
 def with_positions(frame: DataFrame, spec: Sequence[By], name: str = "position", parts: int | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows a hash-join side may hold, and rows every target row may be compared with.
@@ -18,3 +18,24 @@ def within_rows(frame: DataFrame, rows: int) -> bool:
 def broadcast_if_small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast behind a size check; a larger frame is left to the optimizer."""
     return F.broadcast(frame) if within_rows(frame, rows) else frame
+
+
+def plan_text(frame: DataFrame) -> str:
+    """The physical plan as Spark would print it."""
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def compares_all_pairs(frame: DataFrame) -> bool:
+    plan = plan_text(frame)
+    return "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan
+
+
+def prefilter(frame: DataFrame, keys: DataFrame, match: Column) -> DataFrame:
+    """Drop rows whose key is not asked for, if that needs no shuffle of the frame.
+
+    Used ahead of a grouping: where the optimizer would broadcast `keys`, most rows go
+    before they move. Otherwise the frame is returned whole and the grouping, which is
+    combined map-side, comes first, so that a hot key shrinks before it is joined.
+    """
+    narrowed = frame.join(keys, match, "left_semi")
+    return narrowed if "BroadcastHashJoin" in plan_text(narrowed) else frame

@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tablekeeper.functions.predicates import col
 
@@ -114,5 +116,13 @@ def union_all_by_name(frames: Sequence[DataFrame], constants: Sequence[Mapping[s
     return result
 
 
+def literal_rows(spark: SparkSession, schema: str, rows: Sequence[Sequence]) -> DataFrame:
+    """A small table from literal rows. Spark knows its exact size, so joins can broadcast it unasked."""
+    fields = T._parse_datatype_string(schema)
+    kinds = to_arrow_schema(fields)
+    columns = [pa.array([row[i] for row in rows], kind.type) for i, kind in enumerate(kinds)]
+    return spark.createDataFrame(pa.table(columns, schema=kinds), schema=fields)
+
+
 def id_range(spark: SparkSession, start: int, stop: int, name: str = "id") -> DataFrame:
     return spark.range(start, stop).select(F.col("id").alias(name))

@@ -142,6 +142,8 @@ class SnapshotTable:
         }
         # The note goes first: a version that is complete always has its operation and batch.
         self._write_note(note)
+        if partition_by:  # few files per partition value; one large value is split over several tasks
+            rows = rows.hint("rebalance", *partition_by)
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self._data(version))
         written = self.read(version).count()
         if expect_rows is not None and written != expect_rows:

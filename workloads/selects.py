@@ -3,11 +3,13 @@
 from pyspark.sql import functions as F
 
 from tablekeeper.operators import select
+from tablekeeper.plans.grams import contains_join
+from tablekeeper.sources.files import literal_rows
 from workloads.registry import query
 
 
 def values(load, schema, rows):
-    return load.spark.createDataFrame(rows, schema)
+    return literal_rows(load.spark, schema, rows)
 
 
 @query(
@@ -257,8 +259,6 @@ def audit_breakdown(load):
 )
 def select_contains(load):
     """Substring join of every nation's two-letter code with every part name."""
-    from tablekeeper.plans.grams import contains_join
-
     terms = load("nation").select(
         F.col("n_nationkey").alias("item_id"), F.lower(F.substring("n_name", 1, 2)).alias("term")
     )
