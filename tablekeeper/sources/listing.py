@@ -1,14 +1,19 @@
-"""File listings as tables: any path Spark can read, without opening file contents."""
+"""File listings as tables, made by listing folders in parallel; no file is opened."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekeeper.functions.paths import ISO_FORMAT, split_container, time_text, to_gb, to_mb
+from tablekeeper.functions.paths import ISO_FORMAT, base_name, split_container, time_text, to_gb, to_mb
 from tablekeeper.functions.predicates import col, metadata_flag
+from tablekeeper.session import checkpoint_dir
+from tablekeeper.sources.files import literal_rows
 
 # The columns of a listing export.
 EXPORT_COLUMNS = (
@@ -24,38 +29,81 @@ EXPORT_COLUMNS = (
 )
 
 
-def list_files(spark: SparkSession, root: str, prefix: str = "", glob: str | None = None) -> DataFrame:
+FOUND = "path string, folder boolean, size bigint, modified timestamp"
+
+
+def list_files(
+    spark: SparkSession,
+    root: str,
+    prefix: str = "",
+    glob: str | None = None,
+    connect: Callable[[], fs.FileSystem] | None = None,
+) -> DataFrame:
     """Files below `root`: container (first folder), name below it, size, size_mb, last_modified.
 
-    A prefix narrows names within the containers. Attributes that only an object store
-    knows (content type, tags, metadata) are null columns to be joined in where available.
+    Folders are listed level by level, in parallel tasks, and each level is kept in the
+    checkpoint folder; empty files are included, which Spark's own file readers pass over.
+    `connect` opens the file system inside a task when the URI alone does not say enough.
+    A prefix narrows names within the containers, a glob the base names. Attributes only an object
+    store knows (content type, tags, metadata) are null columns, to be joined in where available.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(root).select("path", "length", "modificationTime")
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    base = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(path).toString()
-    # File URIs may be printed with one or three slashes; compare what follows the scheme.
-    head = base.split(":", 1)[-1].lstrip("/")
-    inner = F.regexp_replace(F.substring_index(F.col("path"), ":", -1), "^/+", "")
-    inner = F.substring(inner, len(head) + 2, 1 << 30)
-    container, name = split_container(inner)
+    if connect is None:
+        base = fs.FileSystem.from_uri(root)[1]
+        connect = partial(_file_system, root)
+    else:
+        base = root
+    base = base.rstrip("/")
+    checkpoint_dir(spark)
+    level, files = literal_rows(spark, "path string", [(base,)]), None
+    while level is not None:
+        found = level.repartition(F.col("path")).mapInArrow(partial(_list_folders, connect), FOUND).checkpoint()
+        here = found.filter("NOT folder")
+        files = here if files is None else files.unionAll(here)
+        level = found.filter("folder").select("path")
+        if level.isEmpty():
+            level = None
+    container, name = split_container(F.substring(F.col("path"), len(base) + 2, 1 << 30))
     listed = files.select(
         container.alias("container"),
         name.alias("name"),
-        F.col("length").alias("size"),
-        to_mb(F.col("length")).alias("size_mb"),
-        F.col("modificationTime").alias("last_modified"),
+        F.col("size"),
+        to_mb(F.col("size")).alias("size_mb"),
+        F.col("modified").alias("last_modified"),
         F.lit(None).cast("string").alias("content_type"),
         F.lit(None).cast("string").alias("etag"),
         F.lit(None).cast("string").alias("blob_type"),
         F.lit(None).cast("timestamp").alias("creation_time"),
         F.lit(None).cast("map<string,string>").alias("metadata"),
     )
+    if glob:
+        listed = listed.filter(base_name(F.col("name")).like(glob.replace("%", r"\%").replace("_", r"\_").replace("*", "%").replace("?", "_")))
     return with_prefix(listed, prefix)
 
 
+def _file_system(root: str) -> fs.FileSystem:
+    return fs.FileSystem.from_uri(root)[0]
+
+
+def _list_folders(connect: Callable[[], fs.FileSystem], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries directly inside each folder path."""
+    system = None
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            system = system or connect()
+            entries = system.get_file_info(fs.FileSelector(path))
+            for start in range(0, len(entries), 10_000):
+                part = entries[start : start + 10_000]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([e.path for e in part], pa.string()),
+                        pa.array([e.type == fs.FileType.Directory for e in part], pa.bool_()),
+                        pa.array([e.size for e in part], pa.int64()),
+                        pa.array([e.mtime for e in part], pa.timestamp("us", "UTC")),
+                    ],
+                    names=["path", "folder", "size", "modified"],
+                )
+
+
 def with_prefix(listing: DataFrame, prefix: str) -> DataFrame:
     return listing.filter(F.col("name").startswith(prefix)) if prefix else listing
 
