@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablekeeper.functions.predicates import col
+from tablekeeper.functions.predicates import all_of, col
 from tablekeeper.operators.delete import delete_by_keys
 from tablekeeper.operators.select import first_per_key
 from tablekeeper.plans import ranks
@@ -44,11 +44,14 @@ def drop_duplicates(
 
 
 def _drop_all_copies(target: DataFrame, subset: Sequence[str]) -> DataFrame:
-    row = F.struct(*[col(c) for c in target.columns])
-    counted = target.groupBy(*[col(c).alias(f"__g{i}") for i, c in enumerate(subset)]).agg(
-        F.first(row).alias("__row"), F.count("*").alias("__n")
+    """Keys are counted map-side first; rows then join the keys that occur once, nulls alike."""
+    single = (
+        target.groupBy(*[col(c).alias(f"__g{i}") for i, c in enumerate(subset)])
+        .agg(F.count("*").alias("__n"))
+        .filter("__n = 1")
     )
-    return counted.filter("__n = 1").select("__row.*")
+    same = all_of(col(c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate(subset))
+    return target.join(single, same, "left_semi")
 
 
 def drop_missing(target: DataFrame, how: str = "any", subset: Sequence[str] | None = None) -> DataFrame:
@@ -130,8 +133,8 @@ def delete_positions(
     wanted = sorted(set(positions))
     if not wanted:
         return target
-    if wanted[0] < 0:
-        raise IndexError("positions must not be negative")
+    if wanted[0] < 0 or wanted[-1] >= target.count():
+        raise IndexError(f"positions {wanted[0]} to {wanted[-1]} do not all lie in the table")
     names = [key] if isinstance(key, str) else list(key)
     spec = order_by(order)
     keys = target.select(*[col(n) for n in names], *[by.value.alias(f"__o{i}") for i, by in enumerate(spec)])
@@ -145,8 +148,6 @@ def delete_positions(
         keys = ranks.with_positions(keys, sorting, "__position")
     asked = literal_rows(target.sparkSession, "__wanted long", [(p,) for p in wanted])
     victims = keys.join(F.broadcast(asked), F.col("__position") == F.col("__wanted")).select(*[col(n) for n in names])
-    if victims.count() < len(wanted):
-        raise IndexError(f"position {wanted[-1]} lies outside the table")
     return delete_by_keys(target, victims, names).kept()
 
 
@@ -216,8 +217,9 @@ def sample_exact(target: DataFrame, key: Sequence[str] | str, fraction: float, s
         raise ValueError("fraction must lie between 0 and 1")
     names = [key] if isinstance(key, str) else list(key)
     text = F.concat_ws(":", *[F.coalesce(col(n).cast("string"), F.lit("")) for n in names], F.lit(str(seed)))
-    rows = round(fraction * target.count())
-    kept, _ = ranks.split_at(target, [By(F.md5(text.cast("binary"))), *order_by(names)], rows, **bounds)
+    total = target.count()
+    spec = [By(F.md5(text.cast("binary"))), *order_by(names)]
+    kept, _ = ranks.split_at(target, spec, round(fraction * total), total, **bounds)
     return kept
 
 

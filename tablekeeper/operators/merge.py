@@ -74,22 +74,28 @@ class Merge:
 
     # -- result -------------------------------------------------------------------------
 
-    def result(self, check: bool = True) -> DataFrame:
+    def result(self, check: bool = True, unique: bool = False) -> DataFrame:
         """The merged table. A source key that repeats and matches a target row fails the job.
 
         `check=False` leaves that test out, for a source known to be unique (an aggregate).
+        `unique=True` says that both sides hold each key at most once, as two aggregates do:
+        no key can be hot then, and one full outer join does all the work.
         """
-        parts = [self._target_rows()]
+        if unique:
+            both = self._marked_target().join(self._held_source(), keys_match(self._pairs()), "full")
+            return self._resolve(both)
         check = check and bool(self.matched)
+        held = self._held_source().dropna(subset=[f"{KEY}{i}" for i in range(len(self._pairs()))])
+        merged = self._resolve(self._marked_target().join(held, keys_match(self._pairs()), "left"))
         if self.inserts:
-            parts.append(self._inserted_rows(check))
+            merged = merged.unionAll(self._resolve(self._source_only(check)))
         elif check:
-            parts.append(self._no_rows_but_checked())
-        merged = parts[0]
-        for part in parts[1:]:
-            merged = merged.unionAll(part)
+            merged = merged.unionAll(self._no_rows_but_checked())
         return merged
 
+    def _marked_target(self) -> DataFrame:
+        return self.target.withColumn("__target", F.lit(True))
+
     def _held_source(self) -> DataFrame:
         return self.source.select(
             *rename_keys(self._pairs(), self.source),
@@ -97,30 +103,35 @@ class Merge:
             F.lit(True).alias("__source"),
         )
 
-    def _target_rows(self) -> DataFrame:
-        pairs = self._pairs()
-        keys = [f"{KEY}{i}" for i in range(len(pairs))]
-        source = self._held_source().dropna(subset=keys)
+    def _source_only(self, check: bool) -> DataFrame:
+        """Source rows without a target row, beside empty target columns."""
+        count = len(self._pairs())
+        same = all_of(F.col(f"{KEY}{i}") == F.col(f"__held{i}") for i in range(count))
+        new = self._held_source().join(self._matched_keys(check), same, "left_anti")
+        empty = {f.name: F.lit(None).cast(f.dataType) for f in self.target.schema.fields}
+        return new.withColumns({**empty, "__target": F.lit(None).cast("boolean")})
+
+    def _resolve(self, joined: DataFrame) -> DataFrame:
+        """Give each joined row its action and the values that action sets."""
         s, t = _sides()
-        joined = self.target.join(source, keys_match(pairs), "left")
-        hit = F.col("__source").isNotNull()
-        clauses = [(hit, c) for c in self.matched] + [(~hit, c) for c in self.target_only]
+        old, new = F.col("__target").isNotNull(), F.col("__source").isNotNull()
+        clauses = [(old & new, c) for c in self.matched]
+        clauses += [(old & ~new, c) for c in self.target_only]
+        clauses += [(new & ~old, c) for c in self.inserts]
         action = F.lit(None).cast("int")
         for i, (side, clause) in reversed(list(enumerate(clauses))):
             test = side if clause.when is None else side & is_true(clause.when(t, s))
             action = F.when(test, F.lit(i)).otherwise(action)
-        joined = joined.withColumn("__action", action)
-        for i, (_, clause) in enumerate(clauses):
-            if clause.action == "delete":
-                joined = joined.filter(~F.col("__action").eqNullSafe(F.lit(i)))
+        joined = joined.withColumn("__action", action).filter(old | F.col("__action").isNotNull())
+        deletes = [i for i, (_, clause) in enumerate(clauses) if clause.action == "delete"]
+        if deletes:
+            joined = joined.filter(~is_true(F.col("__action").isin(deletes)))
         columns = []
         for name in self.target.columns:
             value = col(name)
             for i, (_, clause) in enumerate(clauses):
-                if clause.action != "update":
-                    continue
-                new = self._value(clause, name, t, s, default=col(name))
-                value = F.when(F.col("__action") == i, new).otherwise(value)
+                if clause.action != "delete":
+                    value = F.when(F.col("__action") == i, self._value(clause, name, t, s)).otherwise(value)
             columns.append(value.alias(name))
         return joined.select(*columns)
 
@@ -155,36 +166,17 @@ class Merge:
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.target.schema.fields]
         return self._matched_keys(True).filter(F.col("__held0").isNull()).select(*nothing)
 
-    def _inserted_rows(self, check: bool) -> DataFrame:
-        pairs = self._pairs()
-        s, t = _sides()
-        same = all_of(F.col(f"{KEY}{i}") == F.col(f"__held{i}") for i in range(len(pairs)))
-        new = self._held_source().join(self._matched_keys(check), same, "left_anti")
-        action = F.lit(None).cast("int")
-        for i, clause in reversed(list(enumerate(self.inserts))):
-            test = F.lit(True) if clause.when is None else is_true(clause.when(t, s))
-            action = F.when(test, F.lit(i)).otherwise(action)
-        new = new.withColumn("__action", action).filter(F.col("__action").isNotNull())
-        columns = []
-        for name in self.target.columns:
-            kind = self.target.schema[name].dataType
-            value = F.lit(None).cast(kind)
-            for i, clause in enumerate(self.inserts):
-                given = self._value(clause, name, t, s, default=F.lit(None).cast(kind))
-                value = F.when(F.col("__action") == i, given).otherwise(value)
-            columns.append(value.alias(name))
-        return new.select(*columns)
-
-    def _value(self, clause: _Clause, name: str, t: Side, s: Side, default: Column) -> Column:
+    def _value(self, clause: _Clause, name: str, t: Side, s: Side) -> Column:
+        """What the clause sets; a column it does not name keeps its value, which is null on insert."""
         kind = self.target.schema[name].dataType
         if clause.values is None:
             named = dict(self._pairs()).get(name, name)
-            return s(named).cast(kind) if named in self.source.columns else default
+            return s(named).cast(kind) if named in self.source.columns else col(name)
         unknown = set(clause.values) - set(self.target.columns)
         if unknown:
             raise ValueError(f"the target has no columns {sorted(unknown)}")
         if name not in clause.values:
-            return default
+            return col(name)
         value = clause.values[name]
         if isinstance(value, str):
             value = s(value)

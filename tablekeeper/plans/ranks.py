@@ -20,7 +20,7 @@ from tablekeeper.session import checkpoint_dir
 
 # A rank this low, or a rest this small, is answered by one bounded top-k.
 TOP_ROWS = 10_000
-REST_ROWS = 500_000
+REST_ROWS = 100_000
 SAMPLE_ROWS = 100_000
 
 
@@ -106,23 +106,24 @@ def key_at(
     frame: DataFrame,
     spec: Sequence[By],
     rank: int,
+    total: int | None = None,
     *,
     top_rows: int = TOP_ROWS,
     rest_rows: int = REST_ROWS,
     sample_rows: int = SAMPLE_ROWS,
 ) -> Found | None:
-    """Sort key of the row at 0-based `rank`; None when there is no such row."""
+    """Sort key of the row at 0-based `rank`; None when there is no such row. `total` saves a count."""
     if rank < 0:
         raise ValueError("rank must not be negative")
     order = _Order(frame, spec)
     if rank < top_rows:
         return _at(order, order.keys, rank)
-    inside, total = order.keys, order.keys.count()
+    total = order.keys.count() if total is None else total
     if rank >= total:
         return None
     held: list[DataFrame] = []
     try:
-        return _narrow(order, inside, total, rank, rest_rows, sample_rows, held)
+        return _narrow(order, order.keys, total, rank, rest_rows, sample_rows, held)
     finally:
         for frame in held:
             frame.unpersist()
@@ -168,7 +169,9 @@ def _narrow(order, inside, total, rank, rest_rows, sample_rows, held) -> Found:
     return _at(order, inside, rank)
 
 
-def split_at(frame: DataFrame, spec: Sequence[By], rows: int, **bounds: int) -> tuple[DataFrame, DataFrame]:
+def split_at(
+    frame: DataFrame, spec: Sequence[By], rows: int, total: int | None = None, **bounds: int
+) -> tuple[DataFrame, DataFrame]:
     """(first `rows` rows, all others) in the given order; exact, also when keys repeat.
 
     Rows that tie on the order are told apart by a hash of all columns; what still ties is
@@ -176,7 +179,7 @@ def split_at(frame: DataFrame, spec: Sequence[By], rows: int, **bounds: int) ->
     """
     if rows <= 0:
         return frame.filter(F.lit(False)), frame
-    found = key_at(frame, spec, rows - 1, **bounds)
+    found = key_at(frame, spec, rows - 1, total, **bounds)
     if found is None:
         return frame, frame.filter(F.lit(False))
     order, values = _Order(frame, spec), [by.value for by in spec]
@@ -213,12 +216,10 @@ def quantile(frame: DataFrame, column: str, fraction: float, *, linear: bool = T
         return None
     spec = [By(F.col("v"))]
     if not linear:
-        return float(key_at(values, spec, max(0, math.ceil(fraction * n) - 1), **bounds).key[0])
-    if n <= bounds.get("rest_rows", REST_ROWS):
-        return values.agg(F.percentile("v", fraction)).first()[0]
+        return float(key_at(values, spec, max(0, math.ceil(fraction * n) - 1), n, **bounds).key[0])
     place = (n - 1) * fraction
     rank = math.floor(place)
-    found = key_at(values, spec, rank, **bounds)
+    found = key_at(values, spec, rank, n, **bounds)
     low = float(found.key[0])
     if place == rank or not found.last:
         return low

@@ -67,7 +67,7 @@ def merge_accumulate(load):
         Merge(target, source, keys)
         .when_matched_update({"l_quantity": lambda t, s: t("l_quantity") + s("l_quantity")})
         .when_not_matched_insert()
-        .result(check=False)
+        .result(unique=True)
     )
 
 
