@@ -1,4 +1,7 @@
-"""Compare every registered query with its SQL in DuckDB: `python -m tests.check_oracles [sf dir] [name ...]`."""
+"""Compare every registered query with its SQL in DuckDB: `python -m tests.check_oracles [sf dir] [name ...]`.
+
+With SHUFFLE=1 nothing is broadcast by size, as with tables of cluster size.
+"""
 
 import math
 import os
@@ -54,6 +57,9 @@ def main(folder="/root/testdata/sf0.01", *names):
 
     spark = build_session("local[8]", **{"spark__sql__shuffle__partitions": "8", "spark__ui__enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("SHUFFLE"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     db, sql, failed = connect(folder), oracle_sql(), 0
     for name, run in queries().items():
         if names and name not in names:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablekeeper.operators import delete
+from tablekeeper.sources.partitions import delete_in_place
 from tablekeeper.sources.snapshots import SnapshotTable
 from tests.conftest import ids, table
 
@@ -167,3 +168,38 @@ def test_plans_stay_joins_on_keys(spark, staff, rows):
             assert text.count("Exchange hashpartitioning") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_in_place_rewrites_touched_partitions_only(spark, staff, tmp_path):
+    folder = tmp_path / "parts"
+    staff.withColumn("place", F.concat(F.coalesce("department", F.lit("No one")), F.lit(" & co"))).write.partitionBy(
+        "place", "level"
+    ).parquet(str(folder))
+
+    def run(dry_run, condition):
+        return delete_in_place(
+            spark, str(folder), ["place", "level"], lambda t: delete.delete_where(t, F.expr(condition)), dry_run
+        )
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+    before = files()
+    condition = "salary = 91000 OR id = 8"  # empties Design/Senior, Design/null and Legal/Senior
+    assert run(True, condition) == {"rows_deleted": 3, "partitions": 3, "emptied": 0}
+    assert files() == before
+    assert run(False, condition) == {"rows_deleted": 3, "partitions": 3, "emptied": 3}
+    assert ids(spark.read.parquet(str(folder))) == [2, 3, 4, 5, 6]
+    after = files()
+    assert len(after) == 5 and all(before[p] == t for p, t in after.items())
+    assert run(False, "salary > 1000000") == {"rows_deleted": 0, "partitions": 0, "emptied": 0}
+
+
+def test_in_place_keeps_the_rest_of_a_partition(spark, tmp_path):
+    folder = str(tmp_path / "parts")
+    spark.range(1000).select("id", (F.col("id") % 4).alias("p")).write.partitionBy("p").parquet(folder)
+    doomed = spark.range(0, 400, 4).select("id")  # all in partition 0
+    got = delete_in_place(spark, folder, ["p"], lambda t: delete.delete_by_keys(t, doomed, "id"), dry_run=False)
+    assert got == {"rows_deleted": 100, "partitions": 1, "emptied": 0}
+    left = spark.read.parquet(folder)
+    assert left.count() == 900 and left.filter("p = 0").agg(F.min("id")).first()[0] == 400
