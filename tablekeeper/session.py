@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -18,7 +19,23 @@ SETTINGS = {
 }
 
 
+# Bytes one shuffle task should read, and the most shuffle partitions worth tracking.
+TASK_BYTES = 200 * 1024**2
+MOST_PARTITIONS = 100_000
+
+
+def sized_settings(shuffled_bytes: int) -> dict[str, str]:
+    """Settings for jobs that shuffle about this much; adaptive execution merges what turns out smaller."""
+    parts = min(MOST_PARTITIONS, max(200, math.ceil(shuffled_bytes / TASK_BYTES)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": "256m" if parts > 2_000 else "128m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{TASK_BYTES // 1024**2}m",
+    }
+
+
 def build_session(master: str | None = None, name: str = "tablekeeper", **extra: str) -> SparkSession:
+    """A session with these settings; extra ones are given with `__` in place of dots."""
     builder = SparkSession.builder.appName(name)
     if master:
         builder = builder.master(master)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 from functools import partial
 
@@ -44,8 +45,9 @@ def list_files(
     Folders are listed level by level, in parallel tasks, and each level is kept in the
     checkpoint folder; empty files are included, which Spark's own file readers pass over.
     `connect` opens the file system inside a task when the URI alone does not say enough.
-    A prefix narrows names within the containers, a glob the base names. Attributes only an object
-    store knows (content type, tags, metadata) are null columns, to be joined in where available.
+    A prefix narrows names within the containers, a glob (`*` and `?`) the base names. Attributes
+    only an object store knows (content type, tags, metadata) are null columns, to be joined in
+    where available.
     """
     if connect is None:
         base = fs.FileSystem.from_uri(root)[1]
@@ -54,9 +56,11 @@ def list_files(
         base = root
     base = base.rstrip("/")
     checkpoint_dir(spark)
+    # A stated number of parts is kept as it is; paths alone are small enough to be merged into one task.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     level, files = literal_rows(spark, "path string", [(base,)]), None
     while level is not None:
-        found = level.repartition(F.col("path")).mapInArrow(partial(_list_folders, connect), FOUND).checkpoint()
+        found = level.repartition(parts, "path").mapInArrow(partial(_list_folders, connect), FOUND).checkpoint()
         here = found.filter("NOT folder")
         files = here if files is None else files.unionAll(here)
         level = found.filter("folder").select("path")
@@ -76,7 +80,8 @@ def list_files(
         F.lit(None).cast("map<string,string>").alias("metadata"),
     )
     if glob:
-        listed = listed.filter(base_name(F.col("name")).like(glob.replace("%", r"\%").replace("_", r"\_").replace("*", "%").replace("?", "_")))
+        pattern = re.escape(glob).replace(r"\*", ".*").replace(r"\?", ".")
+        listed = listed.filter(base_name(F.col("name")).rlike(f"^{pattern}$"))
     return with_prefix(listed, prefix)
 
 

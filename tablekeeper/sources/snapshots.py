@@ -72,6 +72,11 @@ class SnapshotTable:
     def current_version(self) -> int | None:
         return max(self.versions(), default=None)
 
+    def partition_columns(self, version: int | None = None) -> list[str]:
+        version = self.current_version() if version is None else version
+        note = None if version is None else self._note(version)
+        return list((note or {}).get("partition_by") or [])
+
     # -- reading ------------------------------------------------------------------------
 
     def read(self, version: int | None = None, as_of: datetime | None = None) -> DataFrame:
@@ -114,7 +119,7 @@ class SnapshotTable:
         operation: str = "write",
         parameters: Mapping | None = None,
         *,
-        partition_by: Sequence[str] = (),
+        partition_by: Sequence[str] | None = None,
         constraints: Mapping[str, str] | None = None,
         expect_rows: int | None = None,
         rows_before: int | None = None,
@@ -122,13 +127,15 @@ class SnapshotTable:
     ) -> int:
         """Write rows as the next version and return its number.
 
-        The row count is read back from the written footers. If it is not `expect_rows`, or
+        Partition columns are those of the current version unless given. The row count is read back from the written footers. If it is not `expect_rows`, or
         a row constraint is broken, the version is withdrawn and an error raised.
         """
         if constraints and not self.violating(rows, constraints).isEmpty():
             raise ValueError(f"rows break a constraint of {sorted(constraints)}; see violating()")
         current = self.current_version()
         version = 0 if current is None else current + 1
+        if partition_by is None:
+            partition_by = [c for c in self.partition_columns() if c in rows.columns]
         ordered = [c for c in rows.columns if c not in partition_by] + list(partition_by)
         note = {
             "version": version,
@@ -138,6 +145,7 @@ class SnapshotTable:
             "rows_before": rows_before,
             "rows_after": None,
             "batch_id": batch_id,
+            "partition_by": list(partition_by),
             "schema": json.dumps(rows.select(*[col(c) for c in ordered]).schema.jsonValue()),
         }
         # The note goes first: a version that is complete always has its operation and batch.
@@ -161,7 +169,9 @@ class SnapshotTable:
 
     def restore(self, version: int) -> int:
         """Publish an old version's rows as a new version."""
-        return self.publish(self.read(version), "restore", {"version": version})
+        return self.publish(
+            self.read(version), "restore", {"version": version}, partition_by=self.partition_columns(version)
+        )
 
     def count_diff(self, previous: int, current: int | None = None) -> DataFrame:
         """One row: previous_rows, current_rows, diff (rows lost)."""
@@ -178,15 +188,21 @@ class SnapshotTable:
         removed = before.exceptAll(after).withColumn("change", F.lit("removed"))
         return removed.unionByName(after.exceptAll(before).withColumn("change", F.lit("added")))
 
-    def compact(self, files: int) -> int:
-        """The same rows in a stated number of files."""
-        return self.publish(self.read().repartition(files), "compact", {"files": files})
+    def compact(self, files: int | None = None) -> int:
+        """The same rows in fewer files: a stated number, or as many as their size asks for.
+
+        In a partitioned table the size decides per partition.
+        """
+        rows = self.read()
+        if not self.partition_columns():
+            rows = rows.hint("rebalance") if files is None else rows.repartition(files)
+        return self.publish(rows, "compact", {"files": files})
 
     def cluster_by(self, columns: Sequence[str], files: int) -> int:
         """Sort rows over files by the columns, so that scans can skip files by min / max."""
         keys = [col(c) for c in columns]
         rows = self.read().repartitionByRange(files, *keys).sortWithinPartitions(*keys)
-        return self.publish(rows, "cluster", {"columns": ",".join(columns)})
+        return self.publish(rows, "cluster", {"columns": ",".join(columns)}, partition_by=[])
 
     def purge(self, before: datetime | None = None, keep: int | None = None) -> list[int]:
         """Remove versions published before a time and / or all but the newest `keep`; never the current one."""

@@ -67,7 +67,9 @@ def test_partitions_and_empty_tables(store, staff):
     filtered = store.read().filter("department = 'Sales'")
     assert ids(filtered) == [3, 4]
     assert "PartitionFilters: [isnotnull(department" in filtered._jdf.queryExecution().executedPlan().toString()
-    store.publish(staff.limit(0), partition_by=["department"])
+    store.compact()
+    assert store.partition_columns() == ["department"] and table(store.read().select(*staff.columns)) == table(staff)
+    store.publish(staff.limit(0))
     assert store.read().count() == 0 and set(store.read().columns) == set(staff.columns)
 
 

@@ -114,6 +114,16 @@ def delete_positions(load):
     return clean.delete_positions(load("orders"), "o_orderkey", [0, 2, 4], key="o_orderkey")
 
 
+@query(
+    """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey)-1 AS rn
+    FROM orders) WHERE rn NOT IN (3,700,1400)"""
+)
+def delete_positions_spread(load):
+    """Positions assigned partition by partition, as for positions far into a large table."""
+    order = ["-o_totalprice", "o_orderkey"]
+    return clean.delete_positions(load("orders"), order, [3, 700, 1400], key="o_orderkey", top_rows=0)
+
+
 @query(
     """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey)-1 AS rn FROM orders)
     WHERE NOT (rn>=2 AND rn<5)"""

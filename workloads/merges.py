@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from tablekeeper.functions.predicates import violations
-from tablekeeper.operators.delete import delete_where
+from tablekeeper.operators.delete import delete_scoped, delete_where
 from tablekeeper.operators.merge import Merge, source_checks, upsert
 from tablekeeper.session import scratch_path
+from tablekeeper.sources.files import write_parquet
+from tablekeeper.sources.partitions import delete_in_place
 from tablekeeper.sources.snapshots import SnapshotTable
 from tablekeeper.streaming.upsert import read_file_stream, upsert_stream
 from workloads.registry import query
@@ -229,6 +231,44 @@ def snapshot_restore(load):
     return table.read()
 
 
+@query("SELECT * FROM orders")
+def snapshot_compact(load):
+    table = SnapshotTable(load.spark, scratch_path(load.spark, "orders"))
+    table.publish(load("orders"), "load", partition_by=["o_orderpriority"])
+    table.compact(2)
+    return table.read().select(*load("orders").columns)
+
+
+@query("SELECT * FROM orders WHERE o_totalprice>=250000")
+def snapshot_cluster(load):
+    """Sorted over files by price, so the filter skips files and row groups."""
+    table = SnapshotTable(load.spark, scratch_path(load.spark, "orders"))
+    table.publish(load("orders"), "load")
+    table.cluster_by(["o_totalprice", "o_orderkey"], 4)
+    return table.read().filter("o_totalprice >= 250000")
+
+
+@query(
+    """SELECT * FROM orders o WHERE NOT (o_orderpriority IN ('1-URGENT','2-HIGH') AND EXISTS
+    (SELECT 1 FROM customer c WHERE c.c_custkey=o.o_custkey AND c.c_acctbal<0))"""
+)
+def delete_in_partitions(load):
+    """Only the two partitions that hold victims are written again."""
+    folder = scratch_path(load.spark, "by-priority")
+    write_parquet(load("orders"), folder, partition_by=["o_orderpriority"])
+    indebted = load("customer").filter("c_acctbal < 0")
+    delete_in_place(
+        load.spark,
+        folder,
+        ["o_orderpriority"],
+        lambda orders: delete_scoped(
+            orders, indebted, {"o_custkey": "c_custkey"}, F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+        ),
+        dry_run=False,
+    )
+    return load.spark.read.parquet(folder).select(*load("orders").columns)
+
+
 @query(
     """SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER
     (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn=1"""

@@ -84,6 +84,16 @@ def select_in_set(load):
     return select.select_in_set(load("orders"), builders, {"o_custkey": "c_custkey"})
 
 
+@query(
+    """SELECT o.o_custkey AS search_o_custkey, l.* FROM orders o JOIN customer l ON l.c_custkey=o.o_custkey
+    WHERE o.o_totalprice>=499000"""
+)
+def select_small_criteria(load):
+    """Criteria derived from a large table, broadcast only after their row count was checked."""
+    large = load("orders").filter("o_totalprice >= 499000")
+    return select.select_by_columns(load("customer"), large, {"c_custkey": "o_custkey"}, small=True)
+
+
 @query("SELECT * FROM customer WHERE c_mktsegment IN ('BUILDING','MACHINERY')")
 def select_value_list(load):
     return select.select_values(load("customer"), "c_mktsegment", ["BUILDING", "MACHINERY", None])
