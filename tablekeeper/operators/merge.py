@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tablekeeper.functions.predicates import all_of, col, is_true
 from tablekeeper.plans.keys import KEY, Keys, distinct_keys, key_pairs, keys_match, rename_keys
-from tablekeeper.plans.sizing import prefilter
+from tablekeeper.plans.sizing import broadcasts
 
 Side = Callable[[str], Column]
 Values = Mapping[str, Callable[[Side, Side], Column] | Column | str]
@@ -149,9 +149,13 @@ class Merge:
             .groupBy(*[f"{KEY}{i}" for i in range(len(pairs))])
             .agg(F.count("*").alias("__asked"))
         )
-        held = prefilter(self.target.select(*[col(n) for n in names]), distinct_keys(self.source, pairs), keys_match(pairs))
-        held = held.groupBy(*[col(n) for n in names]).agg(F.count("*").alias("__held"))
+        held = self.target.select(*[col(n) for n in names])
+        groups = [col(n) for n in names]
         both = held.join(asked, keys_match(pairs))
+        if broadcasts(both):
+            both = both.groupBy(*groups).agg(F.count("*").alias("__held"), F.max("__asked").alias("__asked"))
+        else:  # keys are counted map-side before they are shuffled, so that a hot one is not
+            both = held.groupBy(*groups).agg(F.count("*").alias("__held")).join(asked, keys_match(pairs))
         keys = [col(n) for n in names]
         if check:
             text = F.concat(

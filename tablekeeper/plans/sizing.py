@@ -30,6 +30,11 @@ def compares_all_pairs(frame: DataFrame) -> bool:
     return "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan
 
 
+def broadcasts(joined: DataFrame) -> bool:
+    """Does the optimizer broadcast a side of this join, so that the other one is not shuffled?"""
+    return "BroadcastHashJoin" in plan_text(joined)
+
+
 def prefilter(frame: DataFrame, keys: DataFrame, match: Column) -> DataFrame:
     """Drop rows whose key is not asked for, if that needs no shuffle of the frame.
 
@@ -38,4 +43,4 @@ def prefilter(frame: DataFrame, keys: DataFrame, match: Column) -> DataFrame:
     combined map-side, comes first, so that a hot key shrinks before it is joined.
     """
     narrowed = frame.join(keys, match, "left_semi")
-    return narrowed if "BroadcastHashJoin" in plan_text(narrowed) else frame
+    return narrowed if broadcasts(narrowed) else frame

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Plans are built from many small calls; noting the source line of each doubles their cost.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
