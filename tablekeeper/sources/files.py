@@ -118,7 +118,7 @@ def union_all_by_name(frames: Sequence[DataFrame], constants: Sequence[Mapping[s
 
 def literal_rows(spark: SparkSession, schema: str, rows: Sequence[Sequence]) -> DataFrame:
     """A small table from literal rows. Spark knows its exact size, so joins can broadcast it unasked."""
-    fields = T._parse_datatype_string(schema)
+    fields = T.StructType.fromDDL(schema)
     kinds = to_arrow_schema(fields)
     columns = [pa.array([row[i] for row in rows], kind.type) for i, kind in enumerate(kinds)]
     return spark.createDataFrame(pa.table(columns, schema=kinds), schema=fields)

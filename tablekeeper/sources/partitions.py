@@ -17,7 +17,9 @@ from tablekeeper.functions.predicates import all_of, any_of, col
 from tablekeeper.operators.delete import DeletePlan
 from tablekeeper.session import scratch_path
 
-FILE = "__file"
+FOLDERS = "__folders"
+# Fixed value: up to this many partitions are named one by one in a filter that the scan can prune by.
+NAMED_PARTITIONS = 1_000
 
 
 def delete_in_place(
@@ -33,40 +35,40 @@ def delete_in_place(
     """
     schema = spark.read.parquet(path).schema
     table = spark.read.schema(schema).parquet(path)
-    victims = describe(table).preview()
-    touched = victims.groupBy(*[col(c) for c in partition_by]).agg(F.count("*").alias("__rows")).collect()
-    report = {"rows_deleted": sum(r["__rows"] for r in touched), "partitions": len(touched), "emptied": 0}
+    groups = [col(c) for c in partition_by]
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    victims = describe(table.withColumn(FOLDERS, folder)).preview()
+    # One row per touched partition: names of folders, whatever the table holds.
+    touched = victims.groupBy(*groups).agg(F.count("*").alias("n"), F.collect_set(FOLDERS).alias(FOLDERS)).collect()
+    report = {"rows_deleted": sum(row.n for row in touched), "partitions": len(touched), "emptied": 0}
     if dry_run or not touched:
         return report
-    # One row per partition folder, so literals of folder values: the scan lists those folders only.
-    kinds = {f.name: f.dataType for f in schema.fields}
-    inside = any_of(
-        all_of(col(c).eqNullSafe(F.lit(row[c]).cast(kinds[c])) for c in partition_by) for row in touched
-    )
-    part = table.filter(inside)
-    before = part.count()
+    part = _inside(table, partition_by, touched)
     staged = scratch_path(spark, "rewrite")
-    describe(part).kept().hint("rebalance", *[col(c) for c in partition_by]).write.partitionBy(*partition_by).parquet(
-        staged
-    )
+    describe(part).kept().hint("rebalance", *groups).write.partitionBy(*partition_by).parquet(staged)
     kept = spark.read.schema(schema).parquet(staged)
-    held = {tuple(row) for row in kept.groupBy(*[col(c) for c in partition_by]).count().drop("count").collect()}
-    if kept.count() != before - report["rows_deleted"]:
+    left = kept.groupBy(*groups).agg(F.count("*").alias("n")).collect()
+    if sum(row.n for row in left) != part.count() - report["rows_deleted"]:
         raise ValueError(f"staged rows in {staged} are not those announced; {path} was not changed")
+    held = {tuple(row[c] for c in partition_by) for row in left}
     emptied = [row for row in touched if tuple(row[c] for c in partition_by) not in held]
-    folders = _folders(part, partition_by, emptied, kinds)
     if held:
         kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
-    for folder in folders:
-        place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI.create(folder))
+    for name in (name for row in emptied for name in row[FOLDERS]):
+        place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI.create(name))
         place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
     return {**report, "emptied": len(emptied)}
 
 
-def _folders(part: DataFrame, partition_by: Sequence[str], emptied: list, kinds: dict) -> list[str]:
-    """Folders of the partitions in which no row is left."""
-    if not emptied:
-        return []
-    gone = any_of(all_of(col(c).eqNullSafe(F.lit(row[c]).cast(kinds[c])) for c in partition_by) for row in emptied)
-    files = part.filter(gone).select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias(FILE)).distinct()
-    return [row[FILE] for row in files.collect()]
+def _inside(table: DataFrame, partition_by: Sequence[str], touched: list) -> DataFrame:
+    """Rows of the touched partitions; a missing partition value is one too."""
+    if len(touched) <= NAMED_PARTITIONS:
+        kinds = {f.name: f.dataType for f in table.schema.fields}
+        return table.filter(
+            any_of(all_of(col(c).eqNullSafe(F.lit(row[c]).cast(kinds[c])) for c in partition_by) for row in touched)
+        )
+    fields = table.select(*[col(c) for c in partition_by]).schema
+    names = table.sparkSession.createDataFrame([tuple(row[c] for c in partition_by) for row in touched], fields)
+    names = names.toDF(*[f"__p{i}" for i in range(len(partition_by))])
+    same = all_of(col(c).eqNullSafe(F.col(f"__p{i}")) for i, c in enumerate(partition_by))
+    return table.join(F.broadcast(names), same, "left_semi")

@@ -57,20 +57,23 @@ class SnapshotTable:
         finally:
             stream.close()
 
-    def versions(self) -> list[int]:
-        """Complete versions, oldest first. One folder listing; it grows with versions, not rows."""
+    def _numbers(self) -> list[int]:
+        """Versions that were begun, oldest first: one folder listing."""
         root = self._file("data")
         if not self._fs.exists(root):
             return []
-        found = []
-        for status in self._fs.listStatus(root):
-            name = status.getPath().getName()
-            if name.startswith("v=") and self._fs.exists(self._file("data", name, "_SUCCESS")):
-                found.append(int(name[2:]))
-        return sorted(found)
+        names = [status.getPath().getName() for status in self._fs.listStatus(root)]
+        return sorted(int(name[2:]) for name in names if name.startswith("v="))
+
+    def _complete(self, version: int) -> bool:
+        return self._fs.exists(self._file("data", f"v={version:07d}", "_SUCCESS"))
+
+    def versions(self) -> list[int]:
+        """Complete versions, oldest first."""
+        return [v for v in self._numbers() if self._complete(v)]
 
     def current_version(self) -> int | None:
-        return max(self.versions(), default=None)
+        return next((v for v in reversed(self._numbers()) if self._complete(v)), None)
 
     def partition_columns(self, version: int | None = None) -> list[str]:
         version = self.current_version() if version is None else version
@@ -81,15 +84,14 @@ class SnapshotTable:
 
     def read(self, version: int | None = None, as_of: datetime | None = None) -> DataFrame:
         """The newest version, a numbered one, or the last one published at or before a time."""
-        known = self.versions()
         if as_of is not None:
             stamp = as_of if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)
-            known = [v for v in known if datetime.fromisoformat(self._note(v)["timestamp"]) <= stamp]
-            version = max(known, default=None)
+            early = (v for v in reversed(self.versions()) if datetime.fromisoformat(self._note(v)["timestamp"]) <= stamp)
+            version = next(early, None)
         elif version is None:
-            version = max(known, default=None)
-        if version is None or version not in known:
-            raise ValueError(f"{self.path} has no such version; it has {known}")
+            version = self.current_version()
+        if version is None or not self._complete(version):
+            raise ValueError(f"{self.path} has no such version; it has {self.versions()}")
         note = self._note(version)
         reader = self.spark.read
         if note and note.get("schema"):
@@ -104,11 +106,13 @@ class SnapshotTable:
         notes = self.spark.read.schema(HISTORY).json(f"{self.path}/history")
         return notes.join(F.broadcast(complete), "version", "left_semi").drop("schema")
 
-    def has_batch(self, batch_id: int, source: str | None = None) -> bool:
-        for version in reversed(self.versions()):
+    def has_batch(self, batch_id: int, source: str) -> bool:
+        """Was this batch of a stream published? Batch numbers of one source only grow."""
+        for version in reversed(self._numbers()):
             note = self._note(version) or {}
-            if note.get("batch_id") == batch_id and note.get("parameters", {}).get("source") == source:
-                return True
+            if note.get("batch_id") is not None and note["parameters"].get("source") == source:
+                if self._complete(version):
+                    return batch_id <= note["batch_id"]
         return False
 
     # -- writing ------------------------------------------------------------------------

@@ -57,7 +57,7 @@ def apply_batch(
     deleted: Callable | None = None,
     source: str = "stream",
 ) -> int | None:
-    """Merge one batch of changes and publish. A batch already in the history changes nothing.
+    """Merge one batch of changes and publish. A batch of this source already in the history changes nothing.
 
     A change older than the row it meets is ignored, so batches may arrive in any split.
     `deleted(t, s)` marks changes that remove their row.
@@ -96,12 +96,14 @@ def upsert_stream(
     *,
     trigger: Mapping | None = None,
     deleted: Callable | None = None,
-    source: str = "stream",
 ) -> StreamingQuery:
-    """Start a query that upserts every micro-batch into the table. Runs to the end of the input by default."""
+    """Start a query that upserts every micro-batch into the table. Runs to the end of the input by default.
+
+    The checkpoint names the stream in the history, so its batch numbers are its own.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, batch_id, table, keys, order, deleted, source)
+        apply_batch(batch, batch_id, table, keys, order, deleted, checkpoint)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablekeeper.operators import delete
+from tablekeeper.sources import partitions
 from tablekeeper.sources.partitions import delete_in_place
 from tablekeeper.sources.snapshots import SnapshotTable
 from tests.conftest import ids, table
@@ -195,7 +196,9 @@ def test_in_place_rewrites_touched_partitions_only(spark, staff, tmp_path):
     assert run(False, "salary > 1000000") == {"rows_deleted": 0, "partitions": 0, "emptied": 0}
 
 
-def test_in_place_keeps_the_rest_of_a_partition(spark, tmp_path):
+@pytest.mark.parametrize("named", [0, 1000])
+def test_in_place_keeps_the_rest_of_a_partition(spark, tmp_path, monkeypatch, named):
+    monkeypatch.setattr(partitions, "NAMED_PARTITIONS", named)
     folder = str(tmp_path / "parts")
     spark.range(1000).select("id", (F.col("id") % 4).alias("p")).write.partitionBy("p").parquet(folder)
     doomed = spark.range(0, 400, 4).select("id")  # all in partition 0
