@@ -15,6 +15,10 @@ from tablekeeper.plans.ranks import By, order_by
 from tablekeeper.sources.files import literal_rows
 
 
+# Fixed value: positions searched one by one before all are assigned.
+FEW_POSITIONS = 12
+
+
 def keep_where(target: DataFrame, condition: Column | str) -> DataFrame:
     """Keep rows for which the condition is true; unknown goes."""
     return target.filter(condition)
@@ -128,18 +132,23 @@ def delete_positions(
     """Delete rows at 0-based positions of the given order. A position outside the table is an error.
 
     `key` names the columns that identify a row. Low positions come from one bounded
-    top-k; others from positions assigned partition by partition.
+    top-k, a few others are searched one by one, and many are assigned partition by partition.
     """
     wanted = sorted(set(positions))
     if not wanted:
         return target
-    if wanted[0] < 0 or wanted[-1] >= target.count():
+    total = target.count()
+    if wanted[0] < 0 or wanted[-1] >= total:
         raise IndexError(f"positions {wanted[0]} to {wanted[-1]} do not all lie in the table")
     names = [key] if isinstance(key, str) else list(key)
-    spec = order_by(order)
+    spec = [*order_by(order), *order_by(names)]
+    low = wanted[-1] < bounds.get("top_rows", ranks.TOP_ROWS)
+    if not low and len(wanted) <= FEW_POSITIONS:
+        found = [ranks.key_at(target, spec, p, total, **bounds).key for p in wanted]
+        return target.filter(ranks.not_at(target, spec, found))
     keys = target.select(*[col(n) for n in names], *[by.value.alias(f"__o{i}") for i, by in enumerate(spec)])
     sorting = [By(F.col(f"__o{i}"), by.descending) for i, by in enumerate(spec)]
-    if wanted[-1] < bounds.get("top_rows", ranks.TOP_ROWS):
+    if low:
         columns = [s.value.desc() if s.descending else s.value.asc() for s in sorting]
         lowest = keys.orderBy(*columns).limit(wanted[-1] + 1)
         one_task = Window.partitionBy(F.lit(0)).orderBy(*columns)
@@ -148,7 +157,7 @@ def delete_positions(
         keys = ranks.with_positions(keys, sorting, "__position")
     asked = literal_rows(target.sparkSession, "__wanted long", [(p,) for p in wanted])
     victims = keys.join(F.broadcast(asked), F.col("__position") == F.col("__wanted")).select(*[col(n) for n in names])
-    return delete_by_keys(target, victims, names).kept()
+    return delete_by_keys(target, victims, names, small=True).kept()
 
 
 def delete_position_range(target: DataFrame, order: Sequence[str] | str, start: int, stop: int, **bounds: int) -> DataFrame:
@@ -211,15 +220,30 @@ def drop_outliers(target: DataFrame, column: str, deviations: float = 2.0, sides
     return target.filter(F.abs(col(column) - F.lit(mean)) <= F.lit(reach))
 
 
-def sample_exact(target: DataFrame, key: Sequence[str] | str, fraction: float, seed: int = 42, **bounds: int) -> DataFrame:
-    """Keep exactly `round(fraction * n)` rows, chosen by a hash of key and seed; repeatable."""
+def sample_exact(
+    target: DataFrame,
+    key: Sequence[str] | str,
+    fraction: float,
+    seed: int = 42,
+    method: str = "xxhash64",
+    **bounds: int,
+) -> DataFrame:
+    """Keep exactly `round(fraction * n)` rows, chosen by a hash of key and seed; repeatable.
+
+    `method="md5"` chooses rows that other systems can choose too, at many times the cost per row.
+    """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must lie between 0 and 1")
     names = [key] if isinstance(key, str) else list(key)
-    text = F.concat_ws(":", *[F.coalesce(col(n).cast("string"), F.lit("")) for n in names], F.lit(str(seed)))
+    if method == "xxhash64":
+        mixed = F.xxhash64(*[col(n) for n in names], F.lit(seed))
+    elif method == "md5":
+        parts = [F.coalesce(col(n).cast("string"), F.lit("")) for n in names]
+        mixed = F.md5(F.concat_ws(":", *parts, F.lit(str(seed))).cast("binary"))
+    else:
+        raise ValueError("method must be 'xxhash64' or 'md5'")
     total = target.count()
-    spec = [By(F.md5(text.cast("binary"))), *order_by(names)]
-    kept, _ = ranks.split_at(target, spec, round(fraction * total), total, **bounds)
+    kept, _ = ranks.split_at(target, [By(mixed), *order_by(names)], round(fraction * total), total, **bounds)
     return kept
 
 

@@ -15,7 +15,7 @@ from tablekeeper.functions.predicates import col, row_hash
 from tablekeeper.plans.grams import contains_join
 from tablekeeper.plans.keys import KEY, Keys, distinct_keys, key_pairs, keys_match, rename_keys, without_clash
 from tablekeeper.plans.ranges import range_join
-from tablekeeper.plans.ranks import order_by
+from tablekeeper.plans.ranks import By, order_by
 from tablekeeper.plans.sizing import (
     COMPARE_ROWS,
     broadcast_if_small,
@@ -164,9 +164,12 @@ def select_time_range(target: DataFrame, criteria: DataFrame, column: str, start
     return range_join(target, criteria.select(col(start), col(end)), column, start, end, **options)
 
 
-def first_per_key(frame: DataFrame, keys: Sequence[str], order: Sequence[str] | str, rows: int = 1) -> DataFrame:
-    """The first `rows` rows of each key. Only that many per key and task are shuffled."""
-    sorting = [by.value.desc() if by.descending else by.value.asc() for by in order_by(order)]
+def first_per_key(frame: DataFrame, keys: Sequence[str], order: Sequence[str | By] | str, rows: int = 1) -> DataFrame:
+    """The first `rows` rows of each key. No task passes on more than that many per key."""
+    spec = order_by(order)
+    if rows == 1 and len({by.descending for by in spec}) == 1:
+        return _first_row(frame, keys, spec)
+    sorting = [by.value.desc() if by.descending else by.value.asc() for by in spec]
     names = [col(k) for k in keys]
 
     def leading(data: DataFrame, groups: Sequence[Column]) -> DataFrame:
@@ -180,6 +183,14 @@ def first_per_key(frame: DataFrame, keys: Sequence[str], order: Sequence[str] |
     return leading(frame, names)
 
 
+def _first_row(frame: DataFrame, keys: Sequence[str], spec: Sequence[By]) -> DataFrame:
+    """One row per key as an aggregate, which is combined map-side. Struct order puts nulls smallest, as sorting does."""
+    pick = F.max_by if spec[0].descending else F.min_by
+    row = F.struct(*[col(c) for c in frame.columns])
+    chosen = pick(row, F.struct(*[by.value.alias(f"o{i}") for i, by in enumerate(spec)]))
+    return frame.groupBy(*[col(k).alias(f"__g{i}") for i, k in enumerate(keys)]).agg(chosen.alias("__row")).select("__row.*")
+
+
 def select_capped(
     target: DataFrame,
     criteria: DataFrame,
@@ -294,11 +305,14 @@ def enrich_first(
     `on` maps source -> lookup columns. "First" is by the lookup order given.
     """
     pairs = key_pairs(on, source, lookup)
-    held = _asked_rows(lookup, source, [(right, left) for left, right in pairs])
-    first = first_per_key(held, [name for _, name in pairs], order)
-    first = first.select(*rename_keys(pairs, lookup), *[col(c).alias(f"__new_{c}") for c in columns]).dropna(
-        subset=[f"{KEY}{i}" for i in range(len(pairs))]
+    spec = order_by(order)
+    held = _asked_rows(lookup, source, [(right, left) for left, right in pairs]).select(
+        *rename_keys(pairs, lookup),
+        *[col(c).alias(f"__new_{c}") for c in columns],
+        *[by.value.alias(f"__o{i}") for i, by in enumerate(spec)],
     )
+    keys = [f"{KEY}{i}" for i in range(len(pairs))]
+    first = first_per_key(held.dropna(subset=keys), keys, [By(F.col(f"__o{i}"), by.descending) for i, by in enumerate(spec)])
     joined = source.join(first, keys_match(pairs))
     kept = [F.col(f"`__new_{c}`").alias(c) if c in columns else col(c) for c in source.columns]
     added = [F.col(f"`__new_{c}`").alias(c) for c in columns if c not in source.columns]

@@ -66,28 +66,45 @@ class _Order:
     def literals(self, key: Sequence[str | None]) -> list[Column | None]:
         return [None if v is None else F.lit(v).cast(kind) for v, kind in zip(key, self.kinds)]
 
-    def _beyond(self, key: Sequence[str | None], columns: Sequence[Column] | None, earlier: bool) -> Column:
-        """Rows strictly before (or after) the key; plain comparisons, so that scans can use them."""
-        cases, ties = [], []
-        for column, literal, by in zip(columns or self.own, self.literals(key), self.spec):
-            if earlier != by.descending:  # smaller values, and nulls, which sort smallest
+    def _compare(self, key: Sequence[str | None], columns: Sequence[Column] | None, earlier: bool, equal: bool) -> Column:
+        """Rows before (or after) the key, nested so that a column is read again only on a tie.
+
+        Plain comparisons, which scans can use; nulls sort smallest.
+        """
+        result = F.lit(equal)
+        for column, literal, by in reversed(list(zip(columns or self.own, self.literals(key), self.spec))):
+            if earlier != by.descending:
                 test = F.lit(False) if literal is None else column.isNull() | (column < literal)
             else:
                 test = column.isNotNull() if literal is None else column.isNotNull() & (column > literal)
-            cases.append(all_of([*ties, test]))
-            ties.append(column.isNull() if literal is None else column.eqNullSafe(literal))
-        return any_of(cases)
+            tie = column.isNull() if literal is None else column.eqNullSafe(literal)
+            result = test | (tie & result)
+        return result
 
     def before(self, key: Sequence[str | None], columns: Sequence[Column] | None = None) -> Column:
-        return self._beyond(key, columns, True)
+        return self._compare(key, columns, earlier=True, equal=False)
+
+    def up_to(self, key: Sequence[str | None], columns: Sequence[Column] | None = None) -> Column:
+        return self._compare(key, columns, earlier=True, equal=True)
 
     def after(self, key: Sequence[str | None], columns: Sequence[Column] | None = None) -> Column:
-        return self._beyond(key, columns, False)
+        return self._compare(key, columns, earlier=False, equal=False)
 
     def same(self, key: Sequence[str | None], columns: Sequence[Column] | None = None) -> Column:
         pairs = zip(columns or self.own, self.literals(key))
         return all_of(c.isNull() if v is None else c.eqNullSafe(v) for c, v in pairs)
 
+    def counts(self, keys: DataFrame, low: Sequence[str | None], high: Sequence[str | None]) -> list[int]:
+        """Rows before low, at low, between, and at high; each row is placed once."""
+        place = (
+            F.when(self.before(low), 0)
+            .when(self.same(low), 1)
+            .when(self.before(high), 2)
+            .when(self.same(high), 3)
+        )
+        found = {r["p"]: r["n"] for r in keys.groupBy(place.alias("p")).agg(F.count("*").alias("n")).collect()}
+        return [found.get(i, 0) for i in range(4)]
+
 
 @dataclass(frozen=True)
 class Found:
@@ -148,8 +165,8 @@ def _narrow(order, inside, total, rank, rest_rows, sample_rows, held) -> Found:
         margin = 1.5 * math.sqrt(len(picked)) + 1
         low = tuple(picked[min(len(picked) - 1, max(0, math.floor(middle - margin)))])
         high = tuple(picked[min(len(picked) - 1, math.ceil(middle + margin))])
-        tests = order.before(low), order.same(low), order.before(high), order.same(high)
-        below, at_low, below_high, at_high = inside.agg(*[F.count_if(test) for test in tests]).first()
+        below, at_low, between, at_high = order.counts(inside, low, high)
+        below_high = below + at_low + between
         # A key that repeats a lot ends the search at once: its ranks are known from the counts.
         if below <= rank < below + at_low:
             return Found(low, rank + 1 == below + at_low)
@@ -159,7 +176,7 @@ def _narrow(order, inside, total, rank, rest_rows, sample_rows, held) -> Found:
             inside, total = inside.filter(order.before(low)), below
         elif rank < below_high:
             inside = inside.filter(order.after(low) & order.before(high))
-            total, rank = below_high - below - at_low, rank - below - at_low
+            total, rank = between, rank - below - at_low
         else:
             inside, skipped = inside.filter(order.after(high)), below_high + at_high
             total, rank = total - skipped, rank - skipped
@@ -169,6 +186,12 @@ def _narrow(order, inside, total, rank, rest_rows, sample_rows, held) -> Found:
     return _at(order, inside, rank)
 
 
+def not_at(frame: DataFrame, spec: Sequence[By], keys: Sequence[tuple]) -> Column:
+    """Rows whose sort key is none of the fetched ones."""
+    order, values = _Order(frame, spec), [by.value for by in spec]
+    return ~any_of(order.same(key, values) for key in keys)
+
+
 def split_at(
     frame: DataFrame, spec: Sequence[By], rows: int, total: int | None = None, **bounds: int
 ) -> tuple[DataFrame, DataFrame]:
@@ -185,7 +208,7 @@ def split_at(
     order, values = _Order(frame, spec), [by.value for by in spec]
     before, same, after = (test(found.key, values) for test in (order.before, order.same, order.after))
     if found.last:
-        return frame.filter(before | same), frame.filter(after)
+        return frame.filter(order.up_to(found.key, values)), frame.filter(after)
     ties, part = frame.filter(same), rows - frame.filter(before).count()
     some, others = _split_ties(ties, part, bounds)
     return frame.filter(before).unionAll(some), frame.filter(after).unionAll(others)
@@ -197,7 +220,7 @@ def _split_ties(ties: DataFrame, rows: int, bounds: dict) -> tuple[DataFrame, Da
     order, values = _Order(ties, spec), [by.value for by in spec]
     before, same, after = (test(found.key, values) for test in (order.before, order.same, order.after))
     if found.last:
-        return ties.filter(before | same), ties.filter(after)
+        return ties.filter(order.up_to(found.key, values)), ties.filter(after)
     below, equal = ties.agg(F.count_if(before), F.count_if(same)).first()
     copies = ties.filter(same)
     return (

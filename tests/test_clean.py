@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablekeeper.operators import clean
+from tablekeeper.operators.select import first_per_key
 from tablekeeper.plans import ranks
 from tablekeeper.plans.ranks import By, order_by
 from tests.conftest import ids, table
@@ -92,11 +93,12 @@ def test_positions_without_a_global_sort(numbers):
     assert ids(placed, "position") == list(range(800))
 
 
-@pytest.mark.parametrize("bounds", [{"top_rows": 0}, {}])
-def test_delete_positions(numbers, bounds):
+@pytest.mark.parametrize("many", [[], list(range(100, 400, 20))])
+@pytest.mark.parametrize("bounds", [TIGHT, {}])
+def test_delete_positions(numbers, bounds, many):
     frame, data = numbers
     ordered = [r[0] for r in _sorted(data)]
-    wanted = [0, 2, 4, 333, 799]
+    wanted = [0, 2, 4, 333, 799] + many
     left = clean.delete_positions(frame, ["x", "id"], wanted, key="id", **bounds)
     assert ids(left) == sorted(set(ordered) - {ordered[p] for p in wanted})
     with pytest.raises(IndexError):
@@ -120,11 +122,12 @@ def test_ranges_pages_and_tops(numbers, bounds):
     assert ids(clean.delete_top_n(frame, "x", 9, "id", **bounds)) == sorted(set(range(800)) - {r[0] for r in largest})
 
 
-@pytest.mark.parametrize("bounds", [TIGHT, {}])
-def test_exact_sample(numbers, bounds):
+@pytest.mark.parametrize("method", ["xxhash64", "md5"])
+def test_exact_sample(numbers, method):
     frame, _ = numbers
+    bounds = {**TIGHT, "method": method}
     kept = ids(clean.sample_exact(frame, "id", 0.7, **bounds))
-    assert len(kept) == 560 and kept == ids(clean.sample_exact(frame, "id", 0.7))
+    assert len(kept) == 560 and kept == ids(clean.sample_exact(frame, "id", 0.7, method=method))
     assert kept != ids(clean.sample_exact(frame, "id", 0.7, seed=1))
     assert clean.sample_exact(frame, "tag", 0.5, **bounds).count() == 400
     assert 0 < clean.sample_about(frame, 0.5).count() < 800
@@ -160,9 +163,25 @@ def test_first_per_key_is_limited_before_the_shuffle(spark):
     frame = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     plan = clean.drop_duplicates(frame, ["k"], "first", "id")._jdf.queryExecution().executedPlan().toString()
     exchange = plan.index("Exchange")
+    # The plan is printed from the last step to the first: the partial step stands below the exchange.
+    assert "partial_min_by" in plan[exchange:] and "partial_min_by" not in plan[:exchange]
+    frame = frame.withColumn("x", -F.col("id"))
+    plan = clean.drop_duplicates(frame, ["k"], "first", ["id", "-x"])._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange")
     assert "WindowGroupLimit" in plan[:exchange] and "WindowGroupLimit" in plan[exchange:]
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_first_row_and_window_agree(numbers, descending):
+    frame, _ = numbers
+    sign = "-" if descending else ""
+    one = clean.drop_duplicates(frame, ["tag"], "first", [f"{sign}x", f"{sign}id"])
+    window = first_per_key(frame, ["tag"], [f"{sign}x", f"{sign}id"], rows=2)
+    assert set(table(one)) < set(table(window)) and one.count() == 3
+    mixed = first_per_key(frame, ["tag"], [f"{sign}x", f"{sign}id", ("" if descending else "-") + "tag"])
+    assert table(mixed) == table(one)
+
+
 def test_missing(staff):
     assert ids(clean.drop_missing(staff)) == [1, 2, 3]
     assert ids(clean.drop_missing(staff, subset=["salary", "hired"])) == [1, 2, 3, 5, 6, 7]

@@ -114,14 +114,25 @@ def delete_positions(load):
     return clean.delete_positions(load("orders"), "o_orderkey", [0, 2, 4], key="o_orderkey")
 
 
-@query(
-    """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey)-1 AS rn
-    FROM orders) WHERE rn NOT IN (3,700,1400)"""
-)
+SPREAD = [3, 50, 90, 144, 233, 377, 400, 555, 610, 700, 801, 987, 1024, 1111, 1290, 1400]
+BY_PRICE = """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey)-1 AS rn
+FROM orders) WHERE rn NOT IN """
+
+
+@query(BY_PRICE + str(tuple(SPREAD)))
 def delete_positions_spread(load):
-    """Positions assigned partition by partition, as for positions far into a large table."""
-    order = ["-o_totalprice", "o_orderkey"]
-    return clean.delete_positions(load("orders"), order, [3, 700, 1400], key="o_orderkey", top_rows=0)
+    """Many positions, assigned partition by partition as in a table too large for a top-k."""
+    return clean.delete_positions(
+        load("orders"), ["-o_totalprice", "o_orderkey"], SPREAD, key="o_orderkey", top_rows=0
+    )
+
+
+@query(BY_PRICE + "(700,1400)")
+def delete_positions_few(load):
+    """A few far positions, each found by narrowing a bracket."""
+    return clean.delete_positions(
+        load("orders"), ["-o_totalprice", "o_orderkey"], [700, 1400], key="o_orderkey", top_rows=0, rest_rows=500
+    )
 
 
 @query(
@@ -164,7 +175,7 @@ def drop_outliers_both(load):
     WHERE rn<=round_even(0.7*n,0)"""
 )
 def sample_exact_fraction(load):
-    return clean.sample_exact(load("orders"), "o_orderkey", 0.7, seed=42)
+    return clean.sample_exact(load("orders"), "o_orderkey", 0.7, seed=42, method="md5")
 
 
 @query(
