@@ -57,13 +57,35 @@ class SnapshotTable:
         finally:
             stream.close()
 
-    def _numbers(self) -> list[int]:
-        """Versions that were begun, oldest first: one folder listing."""
-        root = self._file("data")
+    def _started(self, folder: str, prefix: str) -> list[int]:
+        """Numbers of the folders below one folder, finished or not: one listing."""
+        root = self._file(folder)
         if not self._fs.exists(root):
             return []
         names = [status.getPath().getName() for status in self._fs.listStatus(root)]
-        return sorted(int(name[2:]) for name in names if name.startswith("v="))
+        return sorted(int(name[len(prefix) :]) for name in names if name.startswith(prefix))
+
+    def complete_folders(self, folder: str, prefix: str) -> list[int]:
+        """Numbers of the finished folders `<prefix><number>` below a folder of this table."""
+        return [
+            number
+            for number in self._started(folder, prefix)
+            if self._fs.exists(self._file(folder, f"{prefix}{number:09d}", "_SUCCESS"))
+        ]
+
+    def remove_folder(self, folder: str) -> None:
+        self._fs.delete(self._file(folder), True)
+
+    def last_parameter(self, name: str, source: str) -> str | None:
+        """Newest value of a parameter that versions of one source carry."""
+        for version in reversed(self._numbers()):
+            parameters = (self._note(version) or {}).get("parameters", {})
+            if name in parameters and parameters.get("source") == source and self._complete(version):
+                return parameters[name]
+        return None
+
+    def _numbers(self) -> list[int]:
+        return self._started("data", "v=")
 
     def _complete(self, version: int) -> bool:
         return self._fs.exists(self._file("data", f"v={version:07d}", "_SUCCESS"))

@@ -1,0 +1,91 @@
+"""Streamed changes kept beside a versioned table until they are folded in.
+
+Publishing a version per micro-batch writes the whole table per batch. Here a batch only
+appends its own changes; a read merges the pending ones over the current version, and a
+fold publishes that merge as the next version when it is worth a rewrite. Deletes that
+are still pending also stop older changes that arrive after them.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Mapping, Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+from tablekeeper.functions.predicates import col, is_true
+from tablekeeper.sources.snapshots import SnapshotTable
+from tablekeeper.streaming.upsert import latest_changes, merge_changes
+
+FOLDED = "folded"
+
+
+class ChangeLog:
+    """Changes of one stream for one table; batch numbers must grow. `deleted(t, s)` marks removals."""
+
+    def __init__(
+        self,
+        table: SnapshotTable,
+        keys: Sequence[str],
+        order: Sequence[str],
+        deleted: Callable | None = None,
+        name: str = "stream",
+    ):
+        self.table, self.keys, self.order, self.deleted, self.name = table, list(keys), list(order), deleted, name
+
+    def _batch(self, number: int) -> str:
+        return f"{self.table.path}/changes/{self.name}/b={number:09d}"
+
+    def folded(self) -> int:
+        """Last batch the current version holds; -1 if none."""
+        return int(self.table.last_parameter(FOLDED, self.name) or -1)
+
+    def pending(self) -> list[int]:
+        """Complete batches that no version holds yet: one folder listing."""
+        done = self.folded()
+        return [b for b in self.table.complete_folders(f"changes/{self.name}", "b=") if b > done]
+
+    def append(self, changes: DataFrame, batch_id: int) -> None:
+        """Write one batch. Writing a number again replaces it, and one already folded is left alone."""
+        if batch_id > self.folded():
+            rows = latest_changes(changes, self.keys, self.order)
+            rows.write.mode("overwrite").parquet(self._batch(batch_id))
+
+    def read(self) -> DataFrame:
+        """The table with all pending changes applied."""
+        waiting = self.pending()
+        if not waiting:
+            return self.table.read()
+        logged = self.table.spark.read.parquet(*[self._batch(b) for b in waiting])
+        latest = latest_changes(logged, self.keys, self.order)
+        if self.table.current_version() is None:
+            return latest if self.deleted is None else latest.filter(~is_true(self.deleted(None, col)))
+        return merge_changes(self.table.read(), latest, self.keys, self.order, self.deleted)
+
+    def fold(self) -> int | None:
+        """Publish the table with its pending changes; None when there are none."""
+        waiting = self.pending()
+        if not waiting:
+            return None
+        return self.table.publish(self.read(), "fold", {FOLDED: waiting[-1], "source": self.name})
+
+    def trim(self) -> list[int]:
+        """Remove the folders of folded batches, which no reader of the current version needs."""
+        done = self.folded()
+        gone = [b for b in self.table.complete_folders(f"changes/{self.name}", "b=") if b <= done]
+        for number in gone:
+            self.table.remove_folder(f"changes/{self.name}/b={number:09d}")
+        return gone
+
+    def follow(
+        self, stream: DataFrame, checkpoint: str, *, fold_every: int | None = None, trigger: Mapping | None = None
+    ) -> StreamingQuery:
+        """Append every micro-batch of a stream; fold after each `fold_every` pending batches."""
+
+        def run(batch: DataFrame, batch_id: int) -> None:
+            self.append(batch, batch_id)
+            if fold_every and len(self.pending()) >= fold_every:
+                self.fold()
+
+        writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+        return writer.trigger(**(trigger or {"availableNow": True})).start()

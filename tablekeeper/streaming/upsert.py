@@ -1,4 +1,4 @@
-"""Streaming upsert into a snapshot table."""
+"""Streaming upsert into a snapshot table, one version per batch. For large tables see `changelog`."""
 
 from __future__ import annotations
 
@@ -70,20 +70,24 @@ def apply_batch(
         if table.current_version() is None:
             merged = rows if deleted is None else rows.filter(~is_true(deleted(None, col)))
         else:
-            merged = _merge(table.read(), rows, keys, newer(order), deleted).result(check=False)
+            merged = merge_changes(table.read(), rows, keys, order, deleted)
         return table.publish(merged, "stream_upsert", {"source": source}, batch_id=batch_id)
     finally:
         rows.unpersist()
 
 
-def _merge(target: DataFrame, rows: DataFrame, keys: Sequence[str], is_newer: Callable, deleted: Callable | None) -> Merge:
-    merge = Merge(target, rows, list(keys))
+def merge_changes(
+    target: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[str], deleted: Callable | None = None
+) -> DataFrame:
+    """Target with one change per key applied, where the change is newer than the row."""
+    is_newer, merge = newer(order), Merge(target, rows, list(keys))
     if deleted is None:
-        return merge.when_matched_update(when=is_newer).when_not_matched_insert()
+        return merge.when_matched_update(when=is_newer).when_not_matched_insert().result(check=False)
     return (
         merge.when_matched_delete(lambda t, s: is_newer(t, s) & deleted(t, s))
         .when_matched_update(when=is_newer)
         .when_not_matched_insert(when=lambda t, s: ~is_true(deleted(t, s)))
+        .result(check=False)
     )
 
 

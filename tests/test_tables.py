@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablekeeper.sources.snapshots import SnapshotTable
+from tablekeeper.streaming.changelog import ChangeLog
 from tablekeeper.streaming.upsert import apply_batch, read_file_stream, upsert_stream
 from tests.conftest import ids, table
 
@@ -125,3 +126,38 @@ def test_stream_over_several_batches(spark, store, tmp_path):
     ).parquet(str(folder))
     run()
     assert store.read().filter("v = -1").count() == 10
+
+
+def test_change_log_applies_late_and_deleted_rows(store, rows):
+    log = ChangeLog(store, ["k"], ["at"], lambda t, s: s("op") == "drop")
+
+    def add(number, *batch):
+        log.append(rows(CHANGES, list(batch)), number)
+
+    add(0, (1, 5, "e", "set"), (1, 7, "g", "set"), (2, 1, "a", "set"))
+    add(1, (2, 9, None, "drop"), (3, 4, "x", "set"))
+    add(2, (2, 3, "late", "set"), (1, 6, "late", "set"))  # older than what is known
+    assert table(log.read().select("k", "v")) == [(1, "g"), (3, "x")] and store.versions() == []
+    assert log.fold() == 0 and log.fold() is None and log.pending() == []
+    add(1, (3, 99, "replayed", "set"))  # already folded: left alone
+    add(3, (3, 5, None, "drop"), (4, 1, "new", "set"))
+    add(3, (3, 5, None, "drop"), (4, 2, "again", "set"))  # the same batch once more
+    assert table(log.read().select("k", "v")) == [(1, "g"), (4, "again")]
+    assert log.pending() == [3] and log.trim() == [0, 1, 2]
+    store.publish(store.read().filter("k <> 1"), "delete")
+    assert table(log.read().select("k", "v")) == [(4, "again")]
+    assert log.fold() == 2 and table(store.read().select("k", "v")) == [(4, "again")]
+
+
+def test_change_log_follows_a_stream(spark, store, tmp_path):
+    folder = tmp_path / "in"
+    events = spark.range(900).select(
+        (F.col("id") % 40).alias("k"), ((F.col("id") * 37) % 900).alias("at"), F.col("id").alias("v")
+    )
+    events.repartition(5).write.parquet(str(folder))
+    log = ChangeLog(store, ["k"], ["at"])
+    stream = read_file_stream(spark, str(folder), events.schema, maxFilesPerTrigger=1)
+    log.follow(stream, str(tmp_path / "progress"), fold_every=2).awaitTermination()
+    assert store.versions() == [0, 1] and log.pending() == [4]
+    expected = events.groupBy("k").agg(F.max("at").alias("at"), F.max_by("v", "at").alias("v"))
+    assert table(log.read()) == table(expected)

@@ -9,6 +9,7 @@ from tablekeeper.session import scratch_path
 from tablekeeper.sources.files import write_parquet
 from tablekeeper.sources.partitions import delete_in_place
 from tablekeeper.sources.snapshots import SnapshotTable
+from tablekeeper.streaming.changelog import ChangeLog
 from tablekeeper.streaming.upsert import read_file_stream, upsert_stream
 from workloads.registry import query
 
@@ -281,3 +282,16 @@ def stream_upsert(load):
     )
     started.awaitTermination()
     return table.read().select("user_id", "event_id", "event_type", "value")
+
+
+@query(
+    """SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER
+    (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn=1 AND event_type<>'error'"""
+)
+def stream_change_log(load):
+    """The last event of a user decides; an error removes the user."""
+    table = SnapshotTable(load.spark, scratch_path(load.spark, "live-users"))
+    log = ChangeLog(table, ["user_id"], ["ts", "event_id"], lambda t, s: s("event_type") == "error")
+    stream = read_file_stream(load.spark, load.folder, load("events").schema, glob="events.parquet")
+    log.follow(stream, checkpoint=scratch_path(load.spark, "stream-progress")).awaitTermination()
+    return log.read().select("user_id", "event_id", "event_type", "value")
