@@ -131,7 +131,9 @@ def explain_by_keys(target: DataFrame, criteria: DataFrame, on: Keys, carry: Seq
     return joined.select(*[col(c) for c in target.columns], *[col(c) for c in carry])
 
 
-def delete_by_values(target: DataFrame, column: str, values: Sequence | DataFrame, value_column: str | None = None) -> DeletePlan:
+def delete_by_values(
+    target: DataFrame, column: str, values: Sequence | DataFrame, value_column: str | None = None
+) -> DeletePlan:
     """Delete rows whose column is in a literal list, or in a column of a criteria table."""
     if isinstance(values, DataFrame):
         return delete_by_keys(target, values, {column: value_column or column})

@@ -345,7 +345,8 @@ def audit_breakdown(
     seen = log.withColumn("__salt", spread)
     inside = (col(time) >= F.col("__start")) & (col(time) <= F.col("__end"))
     joined = periods.join(seen, keys_match(pairs) & (F.col("__part") == F.col("__salt")) & inside)
-    period = [*[F.col(f"{KEY}{i}").alias(n) for i, n in enumerate(names)], F.col("__start").alias(start), F.col("__end").alias(end)]
+    period = [F.col(f"{KEY}{i}").alias(n) for i, n in enumerate(names)]
+    period += [F.col("__start").alias(start), F.col("__end").alias(end)]
     counts = joined.groupBy(*period, col(action).alias("action")).agg(F.count("*").alias("n"))
     whole = Window.partitionBy(*[col(n) for n in [*names, start, end]])
     return counts.withColumn("total_actions", F.sum("n").over(whole))

@@ -50,6 +50,9 @@ class SnapshotTable:
         finally:
             stream.close()
 
+    def _published(self, version: int) -> datetime:
+        return datetime.fromisoformat(self._note(version)["timestamp"])
+
     def _write_note(self, note: Mapping) -> None:
         stream = self._fs.create(self._file("history", f"{note['version']:07d}.json"), True)
         try:
@@ -108,8 +111,7 @@ class SnapshotTable:
         """The newest version, a numbered one, or the last one published at or before a time."""
         if as_of is not None:
             stamp = as_of if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)
-            early = (v for v in reversed(self.versions()) if datetime.fromisoformat(self._note(v)["timestamp"]) <= stamp)
-            version = next(early, None)
+            version = next((v for v in reversed(self.versions()) if self._published(v) <= stamp), None)
         elif version is None:
             version = self.current_version()
         if version is None or not self._complete(version):
@@ -153,8 +155,9 @@ class SnapshotTable:
     ) -> int:
         """Write rows as the next version and return its number.
 
-        Partition columns are those of the current version unless given. The row count is read back from the written footers. If it is not `expect_rows`, or
-        a row constraint is broken, the version is withdrawn and an error raised.
+        Partition columns are those of the current version unless given. The row count is read
+        back from the written footers. If it is not `expect_rows`, the version is withdrawn and
+        an error raised; rows that break a constraint are refused before anything is written.
         """
         if constraints and not self.violating(rows, constraints).isEmpty():
             raise ValueError(f"rows break a constraint of {sorted(constraints)}; see violating()")
@@ -236,7 +239,7 @@ class SnapshotTable:
         doomed = set(known[:-1])
         if before is not None:
             stamp = before if before.tzinfo else before.replace(tzinfo=timezone.utc)
-            doomed = {v for v in doomed if datetime.fromisoformat(self._note(v)["timestamp"]) < stamp}
+            doomed = {v for v in doomed if self._published(v) < stamp}
         if keep is not None:
             doomed &= set(known[: -max(keep, 1)])
         if before is None and keep is None:

@@ -7,7 +7,7 @@ from tablekeeper.operators import delete
 from tablekeeper.sources import partitions
 from tablekeeper.sources.partitions import delete_in_place
 from tablekeeper.sources.snapshots import SnapshotTable
-from tests.conftest import ids, table
+from tests.conftest import ids
 
 ALL = [1, 2, 3, 4, 5, 6, 7, 8]
 
