@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablekeeper.llm import mixing
+from tablekeeper.llm import bpe, mixing
 from tablekeeper.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -46,3 +47,15 @@ def op10(spark, folder):
         F.col("_target").alias("target"),
         (F.col("_size") * F.col("_copies")).alias("taken"),
     )
+
+
+@query("op2_byte_bpe")
+def op2(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, back="bytes")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
