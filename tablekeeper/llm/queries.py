@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablekeeper.llm import bpe, mixing
+from tablekeeper.llm import bpe, mixing, simhash
 from tablekeeper.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -59,3 +59,11 @@ def op2(spark, folder):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
     )
+
+
+@query("op9_simhash_trie")
+def op9(spark, folder):
+    found = simhash.classes(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", simhash.hexadecimal(F.col("_fp")).alias("fingerprint"), F.col("_component").alias("component_id")
+    )

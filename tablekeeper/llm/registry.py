@@ -2,20 +2,36 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that see this folder import the package from it, however the driver found it."""
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, known]))
 
 
 def query(name: str, sql: str | None = None):
     def register(function):
-        QUERIES[name] = function
+        @wraps(function)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            importable(spark)
+            return function(spark, folder)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
-        return function
+        return run
 
     return register
 
