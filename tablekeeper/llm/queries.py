@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablekeeper.llm import bpe, mixing, simhash
+from tablekeeper.llm import bpe, mixing, passages, simhash
 from tablekeeper.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -67,3 +67,14 @@ def op9(spark, folder):
     return found.select(
         "doc_id", simhash.hexadecimal(F.col("_fp")).alias("fingerprint"), F.col("_component").alias("component_id")
     )
+
+
+@query("op7_passage_anchors")
+def op7(spark, folder):
+    cut = passages.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id",
+        F.col("_n_words").alias("n_words"),
+        F.col("_n_removed").alias("n_removed"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
