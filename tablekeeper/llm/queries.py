@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablekeeper.llm import bpe, mixing, passages, simhash
+from tablekeeper.llm import bpe, mixing, passages, simhash, suffixes
 from tablekeeper.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -78,3 +78,15 @@ def op7(spark, folder):
         F.col("_n_removed").alias("n_removed"),
         F.sha2("_kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op6_suffix_sort")
+def op6(spark, folder):
+    cut = suffixes.remove_earlier(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id",
+        F.col("_n_bytes").alias("n_bytes"),
+        F.col("_n_removed").alias("n_removed"),
+        F.size("_spans").cast("long").alias("n_spans"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
