@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablekeeper.llm import bpe, mixing, passages, simhash, suffixes
+from tablekeeper.llm import bpe, mixing, passages, simhash, suffixes, vectors
 from tablekeeper.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -90,3 +90,24 @@ def op6(spark, folder):
         F.size("_spans").cast("long").alias("n_spans"),
         F.sha2("_kept", 256).alias("kept_sha256"),
     )
+
+
+@query(
+    "op5_quantised_tiles",
+    """WITH RECURSIVE v AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS vec,
+            sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS norm
+        FROM embeddings),
+    u AS (SELECT * FROM v WHERE label IS NOT NULL AND isfinite(norm) AND norm > 0
+        AND len(list_filter(vec, lambda x: x IS NULL)) = 0),
+    links AS (
+        SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE len(a.vec) = len(b.vec) AND list_dot_product(a.vec, b.vec) / (a.norm * b.norm) >= 0.93),
+    reach(x, y) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+    SELECT v.vec_id, (SELECT count(*) FROM links WHERE x = v.vec_id) AS n_links, c.component_id,
+        v.vec_id = c.component_id AS kept
+    FROM v JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON c.x = v.vec_id""",
+)
+def op5(spark, folder):
+    found = table(spark, folder, "embeddings")
+    return vectors.near_vectors(found, "vec_id", "embedding", "label")
