@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablekeeper.llm import bpe, mixing, passages, simhash, suffixes, vectors
+from tablekeeper.llm import bpe, mixing, passages, repetition, simhash, suffixes, vectors
 from tablekeeper.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -111,3 +111,16 @@ def op6(spark, folder):
 def op5(spark, folder):
     found = table(spark, folder, "embeddings")
     return vectors.near_vectors(found, "vec_id", "embedding", "label")
+
+
+@query("op1_suffix_repetition")
+def op1(spark, folder):
+    found = repetition.judged(repetition.measure(table(spark, folder, "documents").select("doc_id", "text")))
+    names = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept".split()
+    return found.select(
+        "doc_id",
+        *(F.col(f"_{n}").alias(n) for n in names),
+        F.col("_n_covered").alias("n_covered_words"),
+        F.col("_n_repeats").alias("n_maximal_repeats"),
+        F.col("_longest").alias("longest_repeat"),
+    )
