@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablekeeper.llm import bpe, mixing, passages, repetition, simhash, suffixes, vectors
+from tablekeeper.llm import bpe, mixing, passages, quality, repetition, simhash, suffixes, vectors
 from tablekeeper.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -124,3 +124,8 @@ def op1(spark, folder):
         F.col("_n_repeats").alias("n_maximal_repeats"),
         F.col("_longest").alias("longest_repeat"),
     )
+
+
+@query("op4_random_indexing")
+def op4(spark, folder):
+    return quality.scored(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels"))
