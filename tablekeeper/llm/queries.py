@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablekeeper.llm import bpe, mixing, passages, quality, repetition, simhash, suffixes, vectors
+from tablekeeper.llm import bpe, language, mixing, passages, quality, repetition, simhash, suffixes, vectors
 from tablekeeper.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -129,3 +129,9 @@ def op1(spark, folder):
 @query("op4_random_indexing")
 def op4(spark, folder):
     return quality.scored(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels"))
+
+
+@query("op3_language_fusion")
+def op3(spark, folder):
+    found = language.identify_documents(table(spark, folder, "documents"), table(spark, folder, "pages"))
+    return found.select("doc_id", "language", "posterior", "kept")
