@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablekeeper.llm import bpe, language, mixing, passages, quality, repetition, simhash, suffixes, vectors
+from tablekeeper.llm import bpe, language, licences, mixing, passages, quality, repetition, simhash, suffixes, vectors
 from tablekeeper.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -135,3 +135,8 @@ def op4(spark, folder):
 def op3(spark, folder):
     found = language.identify_documents(table(spark, folder, "documents"), table(spark, folder, "pages"))
     return found.select("doc_id", "language", "posterior", "kept")
+
+
+@query("op8_licence_digests", licences.scan_sql())
+def op8(spark, folder):
+    return licences.scan(table(spark, folder, "documents").select("doc_id", "text"), licences.known_licences(spark))
