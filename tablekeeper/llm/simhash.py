@@ -159,19 +159,21 @@ def near_links(prints: DataFrame, most: int = MOST_BITS, name: str = "_fp") -> D
     return spread.groupBy("_low", "_d").applyInArrow(run, "a long, b long")
 
 
-def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = MOST_BITS) -> DataFrame:
-    """`doc_id`, `_fp` and `_component` for every row: the least doc_id reachable over links of at most `most` bits.
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = MOST_BITS, more=()) -> DataFrame:
+    """`doc_id`, the columns `more`, `_fp`, `_root` and `_component` for every row.
+
+    `_component` is the least doc_id reachable over links of at most `most` bits; `_root` names the component by a fingerprint.
 
     Rows without words have fingerprint 0 and are linked like others. Rows that repeat a doc_id are rows of their own.
     A null doc_id takes part, but names a component only if no other row is in it (then the component is null).
     """
-    prints = stored(fingerprints(docs.select(doc_id, text), text), "prints")
+    prints = stored(fingerprints(docs.select(doc_id, *more, text), text), "prints")
     each = prints.groupBy("_fp").agg(F.min(doc_id).alias("_least"))
     roots = components(near_links(each.select("_fp"), most))
     rooted = each.join(roots.withColumnRenamed("node", "_fp"), "_fp", "left")
     rooted = rooted.withColumn("_root", F.coalesce("root", "_fp"))
     named = rooted.groupBy("_root").agg(F.min("_least").alias("_component"))
-    of_print = rooted.select("_fp", "_root").join(named, "_root").select("_fp", "_component")
+    of_print = rooted.select("_fp", "_root").join(named, "_root")
     return prints.join(of_print, "_fp")
 
 
