@@ -32,9 +32,9 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def buckets_for(docs: DataFrame, text: str) -> int:
-    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    return max(16, math.ceil(size / BUCKET_BYTES))
+def buckets_for(docs: DataFrame, text: str, each: int = BUCKET_BYTES) -> int:
+    size = docs.agg(F.sum(F.octet_length(plain(text)))).first()[0] or 0
+    return max(16, math.ceil(size / each))
 
 
 def pack(hashes: list[np.ndarray], row: np.ndarray, at: np.ndarray, more: np.ndarray, ids: np.ndarray, ths: np.ndarray) -> bytes:
@@ -82,8 +82,8 @@ def packed(hashes: list[np.ndarray], row: np.ndarray, at: np.ndarray, ids: np.nd
 
 
 def by_row(ids: np.ndarray, ths: np.ndarray, at: np.ndarray) -> pa.Table:
-    """Places as rows of PLACES."""
-    order = np.lexsort((at, ths, ids))
+    """Places as rows of PLACES; a place is a number, or a pair of them."""
+    order = np.lexsort((at if at.ndim == 1 else at[:, 0], ths, ids))
     ids, ths, at = ids[order], ths[order], at[order].astype(np.int32)
     cuts = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (ths[1:] != ths[:-1])])) if len(ids) else []
     ends = [*cuts[1:], len(ids)]

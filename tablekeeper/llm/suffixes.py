@@ -10,6 +10,7 @@ sorted neighbours are then compared byte by byte; where a hash had collided, the
 
 from __future__ import annotations
 
+import math
 import pickle
 
 import numpy as np
@@ -29,9 +30,11 @@ LENGTH = 50
 GRAM = 20
 #: A moved stretch holds strings whose minimizer stands at one of so many neighbouring offsets; all of them share
 #: LENGTH - STEP + 1 bytes, by which they are dealt out. So a common minimizer with varied surroundings is dealt to many tasks.
-STEP = 8
+STEP = 16
+#: Bytes of text for each bucket, of a piece of texts, and of stretches sorted together.
+BUCKET_BYTES, PIECE_BYTES, SORTED_BYTES = 4 << 20, 2 << 20, 3 << 20
 #: Marks a text that is, as a whole, a copy of an earlier document's.
-WHOLE = np.int32(-1)
+WHOLE = np.array([-1, 0], np.int32)
 
 
 def minimizers(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -201,20 +204,32 @@ def _sent(data, bounds, ids, ths, found, buckets: int, length: int) -> pa.Record
         values.append(_store(key[s], ids[row[s]], ths[row[s]], local, offset[s].astype(np.uint8), count[s].astype(np.uint8), content))
     done = np.flatnonzero(decided)
     if len(done):
-        at = np.repeat(start[done] - bounds[row[done]] - (np.cumsum(count[done]) - count[done]), count[done])
-        at += np.arange(len(at))
-        who = np.repeat(row[done], count[done])
         names.append(buckets + int(key[done[0]] % np.uint64(buckets)))
-        values.append(_store(ids[who], ths[who], at.astype(np.int32)))
+        at = np.stack([start[done] - bounds[row[done]], count[done]], 1)
+        values.append(_store(ids[row[done]], ths[row[done]], at.astype(np.int32)))
     return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(values, pa.binary())], names=["bucket", "items"])
 
 
 def _later(key, ids, ths, local, offset, count, content, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Id, text hash and start of each string that a smaller id holds too, among the stretches of a bucket."""
+    """Id, text hash and (start, number) of the runs of strings that a smaller id holds too, among the stretches of a bucket."""
     size = count.astype(np.int64) + length - 1
     begin = np.cumsum(size) - size
+    # Stretches of one key are sorted together, so a bucket can be taken in parts by key.
+    part = mixed(key) % np.uint64(max(1, math.ceil(len(content) / SORTED_BYTES)))
+    found = []
+    for k in np.unique(part):
+        s = np.flatnonzero(part == k)
+        flags, bounds = _later_flags(key[s], ids[s], offset[s], count[s], gather(content, begin[s], size[s]), length)
+        first, last, of = runs(flags, bounds)
+        found.append((ids[s][of], ths[s][of], np.stack([local[s][of] + first - bounds[of], last - first], 1).astype(np.int32)))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _later_flags(key, ids, offset, count, content, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a smaller id holds each string of the stretches too, and where each stretch's strings begin, with the end."""
     n = count.astype(np.int64)
-    nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    bounds = np.concatenate([[0], np.cumsum(n)])
+    nth = np.arange(bounds[-1]) - np.repeat(bounds[:-1], n)
     of = np.repeat(np.arange(len(n)), n)
     name = key[of] + mixed((offset.astype(np.int64)[of] - nth).astype(np.uint64))  # minimizer, surroundings and offset
     order = np.argsort(name, kind="stable")
@@ -222,27 +237,29 @@ def _later(key, ids, ths, local, offset, count, content, length: int) -> tuple[n
     grouped = same.copy()
     grouped[:-1] |= same[1:]
     order, same = order[grouped], same[grouped]  # strings that are alone are not sorted
-    first = np.concatenate([np.flatnonzero(~same), [len(order)]]).astype(np.int64)
-    if not len(order):
-        return ids[:0], ths[:0], local[:0]
-    place = (begin[of] + nth)[order]
-    rank, equal = suffix_order(content, place, first, length)
-    item = order[rank]
-    least = np.minimum.reduceat(ids[of[item]], np.flatnonzero(~equal))
-    later = item[ids[of[item]] > np.repeat(least, np.diff(np.flatnonzero(~equal), append=len(item)))]
-    return ids[of[later]], ths[of[later]], local[of[later]] + nth[later].astype(np.int32)
+    flags = np.zeros(bounds[-1], bool)
+    if len(order):
+        first = np.concatenate([np.flatnonzero(~same), [len(order)]]).astype(np.int64)
+        place = np.arange(bounds[-1])[order] + of[order] * (length - 1)
+        rank, equal = suffix_order(content, place, first, length)
+        item = order[rank]
+        least = np.minimum.reduceat(ids[of[item]], np.flatnonzero(~equal))
+        flags[item] = ids[of[item]] > np.repeat(least, np.diff(np.flatnonzero(~equal), append=len(item)))
+    return flags, bounds
 
 
 def earlier_strings(docs: DataFrame, moved: DataFrame, text: str, length: int = LENGTH) -> DataFrame:
-    """For each text (`_id`, `_th`) with such strings: `_at`, their starts, or only WHOLE for a copy of an earlier text."""
-    buckets = repeats.buckets_for(docs, text)
+    """For each text (`_id`, `_th`) with such strings: `_at`, (start, number) of runs of them, or WHOLE for an earlier text's copy."""
+    buckets = repeats.buckets_for(docs, text, BUCKET_BYTES)
     digest = docs.select("_id", "_th", F.sha2(F.coalesce(repeats.plain(text), F.lit("")), 256).alias("_digest"))
     first = digest.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last")).filter("_last > _first")
     copies = digest.join(first, "_digest").filter("_id > _first").select("_id", "_th").distinct()
-    single = moved.join(copies, ["_id", "_th"], "left_anti")
+    # As an outer join, because an anti join would be planned below the shuffle, which could then not be shared.
+    marked = moved.join(copies.withColumn("_copy", F.lit(True)), ["_id", "_th"], "left")
+    single = marked.filter("_copy IS NULL").drop("_copy")
 
     def sketch(batches):
-        for part in chunks(batches, text):
+        for part in chunks(batches, text, PIECE_BYTES):
             data, bounds = raw(part.column(text))
             yield repeats.packed(*_anchors(data, bounds, length), *_keys(part), buckets)
 
@@ -250,7 +267,7 @@ def earlier_strings(docs: DataFrame, moved: DataFrame, text: str, length: int =
     held = moved.join(shared, ["_id", "_th"])
 
     def stretch(batches):
-        for part in chunks(batches, text):
+        for part in chunks(batches, text, PIECE_BYTES):
             data, bounds = raw(part.column(text))
             found = _stretches(data, bounds, repeats.numbers(part.column("_at")), length)
             yield _sent(data, bounds, *_keys(part), found, buckets, length)
@@ -288,13 +305,17 @@ def remove_earlier(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     schema = T.StructType([f for f in docs.schema.fields if f.name in own] + added)
 
     def cut(batches):
-        for part in chunks(batches, text):
+        for part in chunks(batches, text, PIECE_BYTES):
             data, bounds = raw(part.column(text))
-            at = repeats.numbers(part.column("_at"))
-            whole = np.array([len(a) > 0 and a[0] == WHOLE for a in at], bool) & (np.diff(bounds) >= length)
-            begin = [a[a >= 0] + b for a, b in zip(at, bounds, strict=False)]
-            begin = np.concatenate([*begin, np.zeros(0)]).astype(np.int64)
-            covered = spread(begin, begin + length, len(data)) | np.repeat(whole, np.diff(bounds))
+            lists = part.column("_at").to_pylist()
+            found = np.frombuffer(b"".join(b for row_ in lists for b in row_ or ()), np.int32).reshape(-1, 2).astype(np.int64)
+            of = np.repeat(np.arange(len(lists)), [sum(map(len, row_ or ())) // 8 for row_ in lists])
+            whole = np.zeros(len(lists), bool)
+            whole[of[found[:, 0] == WHOLE[0]]] = True
+            whole &= np.diff(bounds) >= length
+            of, found = of[found[:, 1] > 0], found[found[:, 1] > 0]
+            begin = bounds[of] + found[:, 0]
+            covered = spread(begin, begin + found[:, 1] + length - 1, len(data)) | np.repeat(whole, np.diff(bounds))
             s, e, row = runs(covered, bounds)
             cuts = np.searchsorted(row, np.arange(part.num_rows + 1))
             ends = [pa.array(x - bounds[row], pa.int32()) for x in (s, e)]
