@@ -21,6 +21,7 @@ KEY = ["_id", "_th"]
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that are in no known language, or in none with enough certainty; text is not changed."""
     importable(spark)
+    docs = docs.select(*COLUMNS)
     found = language.identify_documents(docs, table(spark, sf_dir, "pages"))
     # Written, so that its size is known: few are rejected, and a small table is broadcast to the texts.
     rejected = stored(found.filter("NOT kept").select(*KEY).distinct(), "rejected")

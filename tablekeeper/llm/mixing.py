@@ -16,6 +16,8 @@ from tablekeeper.llm.words import WORD
 WEIGHTS = (5, 2, 1)
 #: A source is repeated this often at most.
 MOST_REPEATS = 3
+#: Columns that `mix` adds, or replaces where the documents have them.
+ADDED = ("_size", "_source_size", "_target", "_copies", "_plan_source", "_copy")
 
 
 def size_of(text: Column) -> Column:
@@ -69,7 +71,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     documents, all without words, are taken 0 times. Rows that are alike in id draw alike. An empty table gives
     an empty result. The per-source table has one row per source and is joined with whatever join fits its size.
     """
-    sized = docs.withColumn("_size", size_of(F.col(text)))
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ADDED]
+    sized = docs.select(*own, size_of(F.col(text)).alias("_size"))
     plan = targets(sized.select(F.col(source).alias("_s"), "_size"), "_s", "_size").select(
         F.col("_source").alias("_plan_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target")
     )
@@ -83,6 +86,6 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
 
 def emit(mixed: DataFrame) -> DataFrame:
     """Each document as often as the mix takes it, in the columns it came with."""
-    own = [c for c in mixed.columns if c not in ("_size", "_source_size", "_target", "_copies")]
+    own = [c for c in mixed.columns if c not in ADDED]
     times = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")
     return mixed.filter("_copies > 0").select(*[F.col(f"`{c}`") for c in own], times).drop("_copy")

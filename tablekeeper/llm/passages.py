@@ -127,24 +127,22 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Null and empty texts have no words and keep the empty text. Texts shorter than a window are never touched. Repeated
     rows repeat each other's windows and lose them. Columns named like the four added ones are replaced.
     """
-    own = [c for c in docs.columns if c not in ("_n_words", "_n_removed", "_spans", "_kept")]
-    keyed = repeats.keyed(docs.select(*map(repeats.plain, own)), doc_id, text)
+    rows = repeats.enclosed(docs, doc_id, text)
+    keyed = repeats.keyed(rows, "_doc", "_text")
     moved = keyed.repartition("_id", "_th")
-    starts = repeated_starts(keyed, text, window, moved)
+    starts = repeated_starts(keyed, "_text", window, moved)
     joined = moved.join(starts, ["_id", "_th"], "left")
-    added = T.StructType(
-        [
-            T.StructField("_n_words", T.LongType()),
-            T.StructField("_n_removed", T.LongType()),
-            T.StructField("_spans", SPANS),
-            T.StructField("_kept", T.StringType()),
-        ]
-    )
-    schema = T.StructType([f for f in docs.schema.fields if f.name in own] + added.fields)
+    added = [
+        T.StructField("_n_words", T.LongType()),
+        T.StructField("_n_removed", T.LongType()),
+        T.StructField("_spans", SPANS),
+        T.StructField("_kept", T.StringType()),
+    ]
+    kept, schema = rows.columns, T.StructType(rows.schema.fields + added)
 
     def cut(batches):
-        for part in chunks(batches, text):
-            words = words_of(part.column(text))
+        for part in chunks(batches, "_text"):
+            words = words_of(part.column("_text"))
             at = repeats.numbers(part.column("_at"))
             begin = np.concatenate([a + f for a, f in zip(at, words.rows, strict=False)] + [np.zeros(0)]).astype(np.int64)
             covered = spread(begin, begin + window, int(words.rows[-1]))
@@ -159,7 +157,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             lost = np.concatenate([[0], np.cumsum(covered)])[words.rows]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(part.column(c) for c in own),
+                    *(part.column(c) for c in kept),
                     pa.array(np.diff(words.rows), pa.int64()),
                     pa.array(np.diff(lost), pa.int64()),
                     spans,
@@ -168,4 +166,4 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 names=schema.names,
             )
 
-    return joined.mapInArrow(cut, schema)
+    return repeats.opened(joined.mapInArrow(cut, schema), docs, doc_id, text, [f.name for f in added])

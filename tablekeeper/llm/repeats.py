@@ -32,6 +32,20 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
+def enclosed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows as `_doc`, `_text` and `_rest`, a struct of all other columns, so that no name of theirs can clash."""
+    rest = [plain(c) for c in docs.columns if c not in (doc_id, text)]
+    parts = {"_doc": plain(doc_id), "_text": plain(text)} | ({"_rest": F.struct(*rest)} if rest else {})
+    return docs.select(*[c.alias(k) for k, c in parts.items()])
+
+
+def opened(rows: DataFrame, docs: DataFrame, doc_id: str, text: str, added: list[str]) -> DataFrame:
+    """The columns of `docs` again, in their order, and the added ones, which replace any of the same name."""
+    own = {doc_id: F.col("_doc"), text: F.col("_text")}
+    kept = [own.get(c, F.col(f"_rest.`{c}`")).alias(c) for c in docs.columns if c not in added]
+    return rows.select(*kept, *added)
+
+
 def buckets_for(docs: DataFrame, text: str, each: int = BUCKET_BYTES) -> int:
     size = docs.agg(F.sum(F.octet_length(plain(text)))).first()[0] or 0
     return max(16, math.ceil(size / each))

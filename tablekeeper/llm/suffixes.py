@@ -170,7 +170,7 @@ def _equal_runs(keys: list[np.ndarray], order: np.ndarray) -> np.ndarray:
 
 
 def _sent(data, bounds, ids, ths, found, buckets: int, length: int) -> pa.RecordBatch:
-    """A piece's stretches by bucket. Of equal ones only that of the least id is sent; larger ids are already decided."""
+    """A piece's stretches by bucket. Of equal ones only those of the least id are sent; larger ids are already decided."""
     key, row, start, offset, count = found
     size = count + length - 1
     own = windows(prefix(data + np.uint64(1), BASES[1]), start, start + size, BASES[1])
@@ -187,12 +187,10 @@ def _sent(data, bounds, ids, ths, found, buckets: int, length: int) -> pa.Record
             inside = cells < size[order[part]][:, None]
             last = len(data) - 1
             same[part] &= ((data[np.minimum(a, last)] == data[np.minimum(b, last)]) | ~inside).all(1)
-    copy = np.zeros(len(key), bool)
-    copy[order] = same
     decided = np.zeros(len(key), bool)
-    decided[order] = same & (ids[row[order]] > ids[row[order[head]]]) if len(order) else False
+    decided[order] = same & (ids[row[order]] > ids[row[order[head]]])
     names, values = [], []
-    send = np.flatnonzero(~copy)
+    send = np.flatnonzero(~decided)
     send = send[np.argsort((key[send] % np.uint64(buckets)).astype(np.int64), kind="stable")]
     bucket = (key[send] % np.uint64(buckets)).astype(np.int64)
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
@@ -298,15 +296,15 @@ def remove_earlier(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         T.StructField("_spans", SPANS),
         T.StructField("_kept", T.BinaryType()),
     ]
-    own = [c for c in docs.columns if c not in {f.name for f in added}]
-    keyed = repeats.keyed(docs.select(*map(repeats.plain, own)), doc_id, text)
+    rows = repeats.enclosed(docs, doc_id, text)
+    keyed = repeats.keyed(rows, "_doc", "_text")
     moved = keyed.repartition("_id", "_th")
-    joined = moved.join(earlier_strings(keyed, moved, text, length), ["_id", "_th"], "left")
-    schema = T.StructType([f for f in docs.schema.fields if f.name in own] + added)
+    joined = moved.join(earlier_strings(keyed, moved, "_text", length), ["_id", "_th"], "left")
+    kept, schema = rows.columns, T.StructType(rows.schema.fields + added)
 
     def cut(batches):
-        for part in chunks(batches, text, PIECE_BYTES):
-            data, bounds = raw(part.column(text))
+        for part in chunks(batches, "_text", PIECE_BYTES):
+            data, bounds = raw(part.column("_text"))
             lists = part.column("_at").to_pylist()
             found = np.frombuffer(b"".join(b for row_ in lists for b in row_ or ()), np.int32).reshape(-1, 2).astype(np.int64)
             of = np.repeat(np.arange(len(lists)), [sum(map(len, row_ or ())) // 8 for row_ in lists])
@@ -321,13 +319,13 @@ def remove_earlier(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             ends = [pa.array(x - bounds[row], pa.int32()) for x in (s, e)]
             spans = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.StructArray.from_arrays(ends, ["start", "end"]))
             lost = np.concatenate([[0], np.cumsum(covered)])[bounds]
-            kept = pa.LargeBinaryArray.from_buffers(
+            left = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(),
                 part.num_rows,
                 [None, pa.py_buffer((bounds - lost).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[~covered]))],
             )
             counts = [pa.array(np.diff(x), pa.int64()) for x in (bounds, lost)]
-            columns = [*(part.column(c) for c in own), *counts, spans, kept.cast(pa.binary())]
+            columns = [*(part.column(c) for c in kept), *counts, spans, left.cast(pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return joined.mapInArrow(cut, schema)
+    return repeats.opened(joined.mapInArrow(cut, schema), docs, doc_id, text, [f.name for f in added])
