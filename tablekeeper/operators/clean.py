@@ -102,21 +102,17 @@ def column_stats(target: DataFrame, columns: Sequence[str] | None = None) -> Dat
 def profile_criteria(criteria: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per criteria column: type, exact distinct values and nulls, to look at before acting.
 
-    Each column is counted by value first, so a frequent value is one partial row.
+    One pass: values go as text under their column's name and are counted map-side, so a frequent value is one partial
+    row. An empty table has no rows here.
     """
     columns = list(columns or criteria.columns)
     kinds = dict(criteria.dtypes)
-    parts = None
-    for c in columns:
-        by_value = criteria.groupBy(col(c).alias("v")).agg(F.count("*").alias("n"))
-        part = by_value.agg(
-            F.lit(c).alias("column_name"),
-            F.lit(kinds[c]).alias("type"),
-            F.count("v").alias("distinct_values"),
-            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
-        )
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    rows = [F.struct(F.lit(c).alias("column_name"), F.lit(kinds[c]).alias("type"), col(c).cast("string").alias("v")) for c in columns]
+    by_value = criteria.select(F.inline(F.array(*rows))).groupBy("column_name", "type", "v").agg(F.count("*").alias("n"))
+    return by_value.groupBy("column_name", "type").agg(
+        F.count("v").alias("distinct_values"),
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
+    )
 
 
 def table_counts(target: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

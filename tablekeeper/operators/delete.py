@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablekeeper.functions.paths import base_name, days_before
-from tablekeeper.functions.predicates import any_of, col, is_true, quality_rule, text_match
+from tablekeeper.functions.predicates import all_of, any_of, col, is_true, quality_rule, text_match
 from tablekeeper.plans import ranks
 from tablekeeper.plans.keys import KEY, Keys, distinct_keys, key_pairs, keys_match, rename_keys, without_clash
-from tablekeeper.plans.sizing import COMPARE_ROWS, broadcast_if_small, compares_all_pairs, within_rows
+from tablekeeper.plans.sizing import COMPARE_ROWS, broadcast_if_small, compares_all_pairs
 
 HIT = "hit"
 
@@ -160,25 +160,26 @@ def delete_by_thresholds(
     return _delete_joined(target, limits, test, "delete_by_thresholds", on=dict(pairs), column=column)
 
 
-def delete_by_condition(target: DataFrame, criteria: DataFrame, condition: str, unique: Sequence[str]) -> DeletePlan:
+def delete_by_condition(
+    target: DataFrame, criteria: DataFrame, condition: str, unique: Sequence[str], compare_all_pairs: bool = False
+) -> DeletePlan:
     """Delete rows matched by a condition text over `t` (target) and `c` (criteria).
 
-    Equalities in the text become join keys. `unique` names the columns that identify a
-    target row; reports use it to count a row once when several criteria rows hit it.
+    Equalities in the text become join keys; without one every pair has to be compared, which is refused at any size unless
+    asked for. `unique` names the columns that identify a target row, nulls included; reports use it to count a row
+    once when several criteria rows hit it.
     """
     left, right = target.alias("t"), criteria.alias("c")
     test = F.expr(condition)
-    if within_rows(criteria, COMPARE_ROWS):
-        right = F.broadcast(right)
-    elif compares_all_pairs(left.join(right, test, "left_semi")):
-        raise ValueError(
-            f"more than {COMPARE_ROWS} criteria rows and no equality in the condition; add one"
-        )
+    if not compare_all_pairs and compares_all_pairs(left.join(right, test, "left_semi")):
+        raise ValueError("no equality in the condition: add one, or ask for compare_all_pairs")
+    right = broadcast_if_small(right, COMPARE_ROWS)
 
     def marked() -> DataFrame:
-        victims = left.join(right, test, "left_semi").select(*[col(u) for u in unique])
-        pairs = [(u, u) for u in unique]
-        return _delete_joined(target, distinct_keys(victims, pairs), keys_match(pairs), "").flagged()
+        victims = left.join(right, test, "left_semi")
+        names = victims.select(*[col(u).alias(f"{KEY}{i}") for i, u in enumerate(unique)]).distinct()
+        same = all_of(col(u).eqNullSafe(F.col(f"{KEY}{i}")) for i, u in enumerate(unique))
+        return _delete_joined(target, names, same, "").flagged()
 
     return DeletePlan(
         target,
@@ -222,13 +223,14 @@ def delete_scoped(target: DataFrame, criteria: DataFrame, on: Keys, scope: Colum
 def delete_above_percentile(
     target: DataFrame, column: str, fraction: float, accuracy: int | None = None
 ) -> DeletePlan:
-    """Delete rows at or above a percentile. Exact, or from a sketch when an accuracy is given."""
+    """Delete rows at or above a percentile. Exact in the column's own type, or from a sketch when an accuracy is given."""
     if accuracy is None:
-        cut = ranks.quantile(target, column, fraction, linear=False)
+        cut = ranks.quantile_value(target, column, fraction)
     else:
-        cut = target.agg(F.percentile_approx(col(column), fraction, accuracy)).first()[0]
-    condition = F.lit(False) if cut is None else col(column) >= F.lit(cut)
-    return delete_where(target, condition, "delete_above_percentile", column=column, cut=cut)
+        found = target.agg(F.percentile_approx(col(column), fraction, accuracy)).first()[0]
+        cut = None if found is None else F.lit(found)
+    condition = F.lit(False) if cut is None else col(column) >= cut
+    return delete_where(target, condition, "delete_above_percentile", column=column, fraction=fraction)
 
 
 def delete_retention(

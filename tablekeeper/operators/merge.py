@@ -193,16 +193,24 @@ def _sides() -> tuple[Side, Side]:
     return (lambda name: col(f"__s_{name}")), col
 
 
-def upsert(target: DataFrame, source: DataFrame, on: Keys) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, on: Keys, check: bool = True) -> DataFrame:
     """Replace target rows by source rows with the same key and add the others.
 
-    Columns are taken by name in the target's order. The source must be unique on the key;
-    see :func:`source_checks`.
+    Columns are taken by name in the target's order. A key that the source repeats fails the job, as the result would hold it
+    twice; `check=False` leaves that test out, for a source known to be unique. Null keys match nothing and are added.
     """
     pairs = key_pairs(on, target, source)
     renamed = source.withColumnsRenamed({c: t for t, c in pairs})
     rows = renamed.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
-    return target.join(distinct_keys(source, pairs), keys_match(pairs), "left_anti").unionByName(rows)
+    if not check:
+        return target.join(distinct_keys(source, pairs), keys_match(pairs), "left_anti").unionByName(rows)
+    names = [f"{KEY}{i}" for i in range(len(pairs))]
+    counted = source.select(*rename_keys(pairs, source)).dropna().groupBy(*names).agg(F.count("*").alias("__n"))
+    text = F.concat(F.lit("source holds "), F.col("__n"), F.lit(" rows for key "), F.to_json(F.struct(*names)))
+    # A branch of its own that gives no rows, so that the test runs whatever happens to the join.
+    repeated = counted.filter(F.when(F.col("__n") > 1, F.raise_error(text).cast("boolean")).otherwise(F.lit(False)))
+    nothing = repeated.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    return target.join(counted.drop("__n"), keys_match(pairs), "left_anti").unionByName(rows).unionByName(nothing)
 
 
 def source_checks(source: DataFrame, keys: list[str]) -> DataFrame:

@@ -21,7 +21,6 @@ from tablekeeper.plans.sizing import (
     broadcast_if_small,
     compares_all_pairs,
     prefilter,
-    within_rows,
 )
 
 # Row count up to which a window keeps only the leading rows of a group before it shuffles.
@@ -97,6 +96,8 @@ def select_join(target: DataFrame, criteria: DataFrame, on: Keys) -> DataFrame:
     renamed = criteria.withColumnsRenamed({c: t for t, c in pairs})
     keys = [t for t, _ in pairs]
     without_clash(target.drop(*keys), [c for c in renamed.columns if c not in keys])
+    if len(set(renamed.columns)) < len(renamed.columns):
+        raise ValueError(f"criteria hold a column that is named like a target key already: {renamed.columns}")
     return renamed.join(target, keys)
 
 
@@ -105,12 +106,13 @@ def select_by_condition(
     criteria: DataFrame,
     condition: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
     search_as: Mapping[str, str] | None = None,
+    compare_all_pairs: bool = False,
 ) -> DataFrame:
     """Rows that satisfy `condition(search, target)` for a criteria row.
 
     `condition` gets two functions from a column name to a Column and is called once.
-    Equalities in it become join keys. Without one, every pair has to be compared, so
-    that is done against a criteria side of checked size only.
+    Equalities in it become join keys. Without one, every pair has to be compared, which is refused at any size unless
+    asked for; ranges and substrings have selections of their own that compare fewer.
     """
     search_as = dict(search_as or {name: name for name in criteria.columns})
     without_clash(target, search_as.values())
@@ -119,15 +121,12 @@ def select_by_condition(
     test = condition(lambda name: F.col(held[name]), col)
     tags = [F.col(held[name]).alias(alias) for name, alias in search_as.items()]
     columns = [*tags, *[col(c) for c in target.columns]]
-    if within_rows(sides, COMPARE_ROWS):
-        return F.broadcast(sides).join(target, test).select(*columns)
-    joined = sides.join(target, test).select(*columns)
-    if compares_all_pairs(joined):
+    if not compare_all_pairs and compares_all_pairs(sides.join(target, test)):
         raise ValueError(
-            f"more than {COMPARE_ROWS} criteria rows and no equality in the condition: "
-            "add one, or use select_between / select_greater / select_less / select_dispatch"
+            "no equality in the condition: add one, use select_between / select_greater / select_less / "
+            "select_dispatch, or ask for compare_all_pairs"
         )
-    return joined
+    return broadcast_if_small(sides, COMPARE_ROWS).join(target, test).select(*columns)
 
 
 def select_dispatch(
@@ -328,23 +327,19 @@ def audit_breakdown(
     start: str,
     end: str,
     action: str,
-    salts: int = 16,
 ) -> DataFrame:
     """Actions per criteria row (keys and period): `n` per action and `total_actions` over the period.
 
-    `on` maps log -> criteria columns. The log side is salted, so the rows of one busy
-    key are joined and pre-counted in `salts` tasks before the small final sum.
+    `on` maps log -> criteria columns. Nothing is copied ahead of need: adaptive execution splits the rows of a busy key
+    over tasks, and counts are combined before they are shuffled.
     """
     pairs = key_pairs(on, log, criteria)
     names = [name for _, name in pairs]
     periods = criteria.select(
         *rename_keys(pairs, criteria), col(start).alias("__start"), col(end).alias("__end")
     ).distinct()
-    periods = periods.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = F.pmod(row_hash(log), F.lit(salts)).cast("int")
-    seen = log.withColumn("__salt", spread)
     inside = (col(time) >= F.col("__start")) & (col(time) <= F.col("__end"))
-    joined = periods.join(seen, keys_match(pairs) & (F.col("__part") == F.col("__salt")) & inside)
+    joined = periods.join(log, keys_match(pairs) & inside)
     period = [F.col(f"{KEY}{i}").alias(n) for i, n in enumerate(names)]
     period += [F.col("__start").alias(start), F.col("__end").alias(end)]
     counts = joined.groupBy(*period, col(action).alias("action")).agg(F.count("*").alias("n"))

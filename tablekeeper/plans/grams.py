@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablekeeper.functions.predicates import col
+from tablekeeper.functions.predicates import col, row_hash
 from tablekeeper.plans.keys import without_clash
-from tablekeeper.plans.sizing import COMPARE_ROWS, within_rows
+from tablekeeper.plans.sizing import COMPARE_ROWS, small_enough
 
 GRAM = 3
 
 
+def _grams(text: Column, n: int) -> Column:
+    """All different runs of n characters."""
+    if n == 0:
+        return F.array(F.lit(""))
+    starts = F.sequence(F.lit(1), F.length(text) - (n - 1))
+    every = F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
+    return F.when(F.length(text) >= n, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
+
+
 def contains_join(
     target: DataFrame,
     terms: DataFrame,
@@ -22,28 +31,30 @@ def contains_join(
 ) -> DataFrame:
     """Inner join on `contains(column, term)`, every pair once.
 
-    Few terms are broadcast and compared. Beyond that a term is keyed by its first
-    characters (up to three), a text by all such grams it holds, and the equi join on
-    the gram yields the candidates that are then tested.
+    Few terms are broadcast and compared. Beyond that a term is keyed by the rarest of its grams of up to three characters, and
+    dropped if a gram occurs in no text. Texts are looked up by key without their rows: only a hash of the row goes with
+    its grams, of which only those that are keys go on. The rows are joined back once, and each candidate is tested.
     """
     terms = terms.withColumnRenamed(term, "__term").filter("__term is not null")
     without_clash(target, terms.columns)
-    test = F.contains(col(column), F.col("__term"))
-    if within_rows(terms, compare_rows):
-        return F.broadcast(terms).join(target, test).withColumnRenamed("__term", term)
-    terms = terms.withColumn("__gram", F.substring("__term", 1, GRAM))
-    # At most GRAM + 1 different lengths.
-    lengths = sorted(r[0] for r in terms.select(F.length("__gram")).distinct().collect())
     text = col(column)
-
-    def grams(n: int):
-        if n == 0:
-            return F.array(F.lit(""))
-        starts = F.sequence(F.lit(1), F.length(text) - (n - 1))
-        every = F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
-        return F.when(F.length(text) >= n, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
-
-    held = F.concat(*[grams(n) for n in lengths])
-    probed = target.filter(text.isNotNull()).withColumn("__held", F.explode(held))
-    joined = terms.join(probed, (F.col("__gram") == F.col("__held")) & test)
-    return joined.drop("__gram", "__held").withColumnRenamed("__term", term)
+    test = F.contains(text, F.col("__term"))
+    if small_enough(terms, compare_rows):
+        return F.broadcast(terms).join(target, test).withColumnRenamed("__term", term)
+    lengths = [r[0] for r in terms.select(F.least(F.length("__term"), F.lit(GRAM)).alias("n")).distinct().collect()]
+    wanted = terms.select("__term").distinct()
+    size = F.length("__term")
+    own = F.coalesce(*[F.when(F.least(size, F.lit(GRAM)) == n, _grams(F.col("__term"), n)) for n in sorted(lengths)]) if lengths else F.array(F.lit(""))
+    parts = wanted.select("__term", F.explode(own).alias("__gram"))
+
+    held = F.concat(*[_grams(text, n) for n in sorted(lengths)]) if lengths else F.array(F.lit(""))
+    hashed = target.filter(text.isNotNull()).withColumn("__row", row_hash(target))
+    narrow = hashed.select("__row", F.explode(held).alias("__gram"))
+    asked = parts.select("__gram").distinct()
+    counts = narrow.join(asked, "__gram", "left_semi").groupBy("__gram").agg(F.count("*").alias("__n"))
+    ranked = parts.join(counts, "__gram", "left").groupBy("__term")
+    keys = ranked.agg(F.min_by("__gram", F.struct(F.coalesce("__n", F.lit(0)), "__gram")).alias("__gram"), F.min(F.coalesce("__n", F.lit(0))).alias("__n"))
+    keys = keys.filter("__n > 0").drop("__n")
+    found = narrow.join(keys, "__gram").select("__row", F.col("__term").alias("__hit")).distinct()
+    joined = hashed.join(found, "__row").filter(F.contains(text, F.col("__hit"))).drop("__row")
+    return terms.join(joined, F.col("__term") == F.col("__hit")).drop("__hit").withColumnRenamed("__term", term)

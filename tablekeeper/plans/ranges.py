@@ -1,41 +1,73 @@
 """Joins of a target value against criteria ranges.
 
-Few ranges are broadcast and compared. Beyond that, both sides are placed on a dyadic
-grid over the target's value span: a range sits at the depth whose cells are about as
-wide as the range, so it touches at most two cells; a target row probes one cell per depth in
-use. The join is then an equi join on (depth, cell) that shuffles, spills and splits
-like any other, and the exact comparison is re-checked on each candidate.
+Both sides are first brought to one comparison type, whatever happens next. Few ranges are broadcast and compared.
+Beyond that the target's values are cut into cells of about equally many rows, by approximate quantiles, so
+that an outlier or a crowded region does not fill one cell. A target row lies in one cell and a range in all cells it spans;
+the join is an equi join on the cell with the exact comparison re-checked. There are about as many cells as half the
+target's rows, so a range that spans many cells has at least as many matches, and the work follows the result.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekeeper.functions.predicates import all_of, col
 from tablekeeper.plans.keys import without_clash
-from tablekeeper.plans.sizing import COMPARE_ROWS, within_rows
+from tablekeeper.plans.sizing import COMPARE_ROWS, small_enough
 
-MAX_DEPTH = 40
-DEPTH_STEP = 2
+# Quantiles that shape the cells, and how exact they are.
+QUANTILES = 1_000
+ACCURACY = 10_000
 
 
-def axis(value: Column, kind: T.DataType) -> Column:
-    """A double that never decreases when the value increases. Ties are fine, cells are re-checked."""
+def _family(kind: T.DataType) -> str:
     if isinstance(kind, T.NumericType):
-        return value.cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(value) / F.lit(1e6)
+        return "number"
+    if isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
+        return "text"
     if isinstance(kind, T.DateType):
+        return "date"
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return "time"
+    raise TypeError(f"cannot order values of type {kind.simpleString()} on a range axis")
+
+
+def comparison_type(kinds: list[T.DataType]) -> T.DataType | None:
+    """The type all are cast to before they are compared; None where Spark compares them as they are.
+
+    Text beside numbers is read as a number, text or dates beside times as a time; what cannot be read is null.
+    """
+    families = {_family(k) for k in kinds}
+    if len(families) == 1:
+        return None if families != {"time"} or len(set(kinds)) == 1 else T.TimestampType()
+    if families == {"number", "text"}:
+        return T.DoubleType()
+    if families == {"date", "text"}:
+        return T.DateType()
+    if "number" not in families:
+        times = {type(k) for k in kinds if _family(k) == "time"}
+        return T.TimestampNTZType() if times == {T.TimestampNTZType} else T.TimestampType()
+    raise TypeError(f"cannot compare {', '.join(sorted(k.simpleString() for k in kinds))} on one range axis")
+
+
+def axis(value: Column, kind: T.DataType) -> Column:
+    """A double that never decreases when the value increases; NaN, the largest, is infinite. Ties are fine, cells are re-checked."""
+    family = _family(kind)
+    if family == "number":
+        number = value.cast("double")
+        return F.when(F.isnan(number), F.lit(float("inf"))).otherwise(number)
+    if family == "date":
         return F.unix_date(value) * F.lit(86400.0)
-    if isinstance(kind, T.TimestampNTZType):
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value) / F.lit(1e6)
+    if family == "time":
         clock = F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
         return F.unix_date(value.cast("date")) * F.lit(86400.0) + clock
-    if isinstance(kind, T.StringType):
-        head = F.hex(F.substring(F.encode(value, "UTF-8"), 1, 6))
-        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
-    raise TypeError(f"cannot order values of type {kind.simpleString()} on a range axis")
+    head = F.hex(F.substring(F.encode(value, "UTF-8"), 1, 6))
+    return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
 
 
 def in_range(value: Column, lower: Column | None, upper: Column | None, strict: bool = False) -> Column:
@@ -57,64 +89,56 @@ def range_join(
     strict: bool = False,
     compare_rows: int = COMPARE_ROWS,
 ) -> DataFrame:
-    """Inner join on `lower <= column <= upper`; one side may be open. Every pair appears once."""
+    """Inner join on `lower <= column <= upper`; one side may be open. Every pair appears once.
+
+    An open range matches a share of all pairs by its nature; for "above any threshold" semi-join the least one instead.
+    """
     if lower is None and upper is None:
         raise ValueError("a range needs a lower or an upper column")
     without_clash(target, criteria.columns)
-    matches = in_range(
-        col(column), col(lower) if lower else None, col(upper) if upper else None, strict
-    )
-    if within_rows(criteria, compare_rows):
-        return F.broadcast(criteria).join(target, matches)
-    return _grid_join(target, criteria, column, lower, upper, matches)
-
-
-def _grid_join(target, criteria, column, lower, upper, matches) -> DataFrame:
-    kind = target.schema[column].dataType
-    place = axis(col(column), kind)
-    finite = F.when(F.abs(place) < F.lit(float("inf")), place)
-    low, high = target.agg(F.min(finite), F.max(finite)).first()
-    low, span = (0.0, 1.0) if low is None else (low, (high - low) or 1.0)
-
-    def unit(value: Column) -> Column:
-        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (value - F.lit(low)) / F.lit(span)))
-
-    def bound(name: str | None, default: float) -> Column:
-        if name is None:
-            return F.lit(default)
-        if isinstance(kind, T.NumericType):
-            return unit(axis(col(name), criteria.schema[name].dataType))
-        return unit(axis(col(name).cast(kind), kind))
+    named = [name for name in (lower, upper) if name]
+    kinds = [target.schema[column].dataType, *[criteria.schema[n].dataType for n in named]]
+    common = comparison_type([k for k in kinds if not isinstance(k, T.NullType)])
 
-    def cell(value: Column, depth: Column) -> Column:
-        return F.floor(value * F.pow(F.lit(2.0), depth))
+    def same(name: str) -> Column:
+        return col(name) if common is None else col(name).try_cast(common)
 
-    named = [name for name in (lower, upper) if name]
-    ranges = (
-        criteria.dropna(subset=named)
-        .withColumns({"__from": bound(lower, 0.0), "__to": bound(upper, 1.0)})
-        .filter("__from <= __to")
-    )
-    width = F.greatest(F.col("__to") - F.col("__from"), F.lit(2.0**-MAX_DEPTH))
-    steps = F.floor(-F.log2(width) / DEPTH_STEP).cast("int") * DEPTH_STEP
-    ranges = ranges.withColumn("__depth", F.greatest(F.lit(0), F.least(F.lit(MAX_DEPTH), steps)))
-    # At most MAX_DEPTH / DEPTH_STEP + 1 values, whatever the criteria hold.
-    depths = sorted(row[0] for row in ranges.select("__depth").distinct().collect())
-    ranges = ranges.withColumn(
-        "__cell",
-        F.explode(F.sequence(cell(F.col("__from"), F.col("__depth")), cell(F.col("__to"), F.col("__depth")))),
-    ).drop("__from", "__to")
-
-    probes = F.array(
-        *[F.struct(F.lit(d).alias("__d"), cell(unit(place), F.lit(float(d))).alias("__c")) for d in depths]
-    ) if depths else F.expr("cast(array() as array<struct<__d:int,__c:bigint>>)")
-    probed = (
-        target.filter(col(column).isNotNull())
-        .withColumn("__probe", F.explode(probes))
-        .withColumns({"__d": F.col("__probe.__d"), "__c": F.col("__probe.__c")})
-        .drop("__probe")
-    )
-    joined = ranges.join(
-        probed, (F.col("__depth") == F.col("__d")) & (F.col("__cell") == F.col("__c")) & matches
-    )
-    return joined.drop("__depth", "__cell", "__d", "__c")
+    matches = in_range(same(column), same(lower) if lower else None, same(upper) if upper else None, strict)
+    if small_enough(criteria, compare_rows):
+        return F.broadcast(criteria).join(target, matches)
+    places = {n: axis(same(n), common or k) for n, k in zip([column, *named], kinds)}
+    return _cell_join(target, criteria, places, column, lower, upper, matches)
+
+
+def _cell_join(target, criteria, places, column, lower, upper, matches) -> DataFrame:
+    finite = F.when(F.abs(places[column]) < F.lit(float("inf")), places[column])
+    shares = [i / QUANTILES for i in range(QUANTILES + 1)]
+    rows, found = target.agg(F.count(finite), F.percentile_approx(finite, shares, ACCURACY)).first()
+    cuts = sorted(set(found or [0.0]))
+    cuts = cuts if len(cuts) > 1 else [cuts[0], cuts[0] + 1.0]
+    finer = max(1, rows // 2 // len(cuts))
+    buckets = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="__place", outputCol="__bucket")
+    edges = F.array(*[F.lit(c) for c in cuts])
+    last = len(cuts) - 1
+
+    def cell(frame: DataFrame, place: Column, name: str) -> DataFrame:
+        """Cell numbers never decrease along the axis: the quantile below, then even parts up to the next."""
+        held = buckets.transform(frame.withColumn("__place", place))
+        below = F.col("__bucket").cast("int") - 1
+        low = edges[F.greatest(F.lit(0), F.least(F.lit(last - 1), below))]
+        high = edges[F.greatest(F.lit(1), F.least(F.lit(last), below + 1))]
+        part = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("__place") - low) / (high - low)))
+        inner = below * finer + F.least(F.lit(finer - 1), F.floor(part * finer))
+        number = F.when(below < 0, F.lit(-1)).when(below >= last, F.lit(last * finer)).otherwise(inner)
+        return held.withColumn(name, number.cast("long")).drop("__place", "__bucket")
+
+    ranges = criteria.dropna(subset=[name for name in (lower, upper) if name])
+    for name, bound, default in ((lower, "__from", -1), (upper, "__to", last * finer)):
+        if name:
+            ranges = cell(ranges.filter(places[name].isNotNull()), places[name], bound)
+        else:
+            ranges = ranges.withColumn(bound, F.lit(default).cast("long"))
+    spans = F.explode(F.sequence(F.col("__from"), F.col("__to")))
+    ranges = ranges.filter("__from <= __to").withColumn("__span", spans).drop("__from", "__to")
+    placed = cell(target.filter(places[column].isNotNull()), places[column], "__cell")
+    return ranges.join(placed, (F.col("__span") == F.col("__cell")) & matches).drop("__span", "__cell")

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablekeeper.functions.predicates import all_of, any_of, col, row_hash
 from tablekeeper.session import checkpoint_dir
@@ -55,16 +56,18 @@ class _Order:
         self.keys = frame.select(*[by.value.alias(f"k{i}") for i, by in enumerate(spec)])
         self.kinds = [field.dataType for field in self.keys.schema.fields]
         self.own = [F.col(f"k{i}") for i in range(len(spec))]
+        for kind in self.kinds:
+            _check_kind(kind)
 
     def sorting(self) -> list[Column]:
         return [k.desc() if by.descending else k.asc() for k, by in zip(self.own, self.spec)]
 
     def as_text(self) -> list[Column]:
-        """Keys as text: exact for numbers, times and strings, and free of time zone conversion."""
-        return [k.cast("string").alias(f"k{i}") for i, k in enumerate(self.own)]
+        """Keys as text that comes back as the same value: bytes in hex, instants as microseconds, others as Spark writes them."""
+        return [_to_text(k, kind).alias(f"k{i}") for i, (k, kind) in enumerate(zip(self.own, self.kinds))]
 
     def literals(self, key: Sequence[str | None]) -> list[Column | None]:
-        return [None if v is None else F.lit(v).cast(kind) for v, kind in zip(key, self.kinds)]
+        return [None if v is None else _from_text(v, kind) for v, kind in zip(key, self.kinds)]
 
     def _compare(self, key: Sequence[str | None], columns: Sequence[Column] | None, earlier: bool, equal: bool) -> Column:
         """Rows before (or after) the key, nested so that a column is read again only on a tie.
@@ -106,6 +109,39 @@ class _Order:
         return [found.get(i, 0) for i in range(4)]
 
 
+# Fixed value: bytes of sample keys that may reach the driver at once.
+SAMPLE_BYTES = 32 << 20
+
+
+def _check_kind(kind: T.DataType) -> None:
+    plain = (T.NumericType, T.StringType, T.BooleanType, T.BinaryType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    if not isinstance(kind, plain):
+        raise TypeError(f"cannot search ranks by values of type {kind.simpleString()}")
+
+
+def _to_text(key: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.BinaryType):
+        return F.hex(key)
+    return (F.unix_micros(key) if isinstance(kind, T.TimestampType) else key).cast("string")
+
+
+def _from_text(value: str, kind: T.DataType) -> Column:
+    if isinstance(kind, T.BinaryType):
+        return F.unhex(F.lit(value))
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(F.lit(int(value)))
+    return F.lit(value).cast(kind)
+
+
+def _sample_bound(order: _Order, keys: DataFrame, rows: int) -> int:
+    """Rows of a sample whose keys stay within SAMPLE_BYTES; only keys of open length are measured."""
+    open_ended = [k for k, kind in zip(order.own, order.kinds) if isinstance(kind, (T.StringType, T.BinaryType))]
+    if not open_ended:
+        return rows
+    width = sum((F.coalesce(F.octet_length(k), F.lit(0)) for k in open_ended), F.lit(32))
+    return max(50, min(rows, int(SAMPLE_BYTES / (2 * (keys.agg(F.avg(width)).first()[0] or 1)))))
+
+
 @dataclass(frozen=True)
 class Found:
     """Sort key at a rank, as text, and whether it is the last row with that key."""
@@ -148,9 +184,10 @@ def key_at(
 
 def _narrow(order, inside, total, rank, rest_rows, sample_rows, held) -> Found:
     seed = 17
+    sample_rows = _sample_bound(order, inside, sample_rows) if total > rest_rows else sample_rows
     while total > rest_rows:
         # Enough sample keys for the bracket to fall below rest_rows at once, within bounds.
-        wanted = min(sample_rows, max(sample_rows // 25, math.ceil((3 * total / rest_rows) ** 2)))
+        wanted = min(sample_rows, max(sample_rows // 25, 50, math.ceil((3 * total / rest_rows) ** 2)))
         seed += 1
         picked = (
             inside.sample(min(1.0, wanted / total), seed)
@@ -229,14 +266,37 @@ def _split_ties(ties: DataFrame, rows: int, bounds: dict) -> tuple[DataFrame, Da
     )
 
 
+def quantile_value(frame: DataFrame, column: str, fraction: float, **bounds: int) -> Column | None:
+    """The value at the rank of a fraction, as a literal in the column's own type; nulls are left out."""
+    if not 0.0 <= fraction <= 1.0:
+        raise ValueError("fraction must lie between 0 and 1")
+    values = frame.select(col(column).alias("v")).filter("v is not null")
+    n = values.count()
+    if n == 0:
+        return None
+    spec = [By(F.col("v"))]
+    found = key_at(values, spec, max(0, math.ceil(fraction * n) - 1), n, **bounds)
+    return _Order(values, spec).literals(found.key)[0]
+
+
+# Fixed value: whole numbers beyond this are not all doubles.
+EXACT_DOUBLE = 2**53
+
+
 def quantile(frame: DataFrame, column: str, fraction: float, *, linear: bool = True, **bounds: int) -> float | None:
-    """Exact quantile of the non-null values: interpolated, or the value at its rank (`linear=False`)."""
+    """Exact quantile of the non-null values as a double: interpolated, or the value at its rank (`linear=False`).
+
+    Whole numbers and decimals beyond 2^53 do not fit a double and are refused; see :func:`quantile_value`.
+    """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must lie between 0 and 1")
     values = frame.select(col(column).cast("double").alias("v")).filter("v is not null")
-    n = values.count()
+    wide = isinstance(frame.schema[column].dataType, (T.LongType, T.DecimalType))
+    n, most = values.agg(F.count("*"), F.max(F.abs("v")) if wide else F.lit(0.0)).first()
     if n == 0:
         return None
+    if (most or 0.0) > EXACT_DOUBLE:
+        raise ValueError(f"{column} holds values beyond 2^53, which a double cannot interpolate; use quantile_value")
     spec = [By(F.col("v"))]
     if not linear:
         return float(key_at(values, spec, max(0, math.ceil(fraction * n) - 1), n, **bounds).key[0])

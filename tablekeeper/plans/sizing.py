@@ -1,23 +1,26 @@
-"""Checked broadcasting: a side is shipped whole only after its row count was bounded."""
+"""Checked broadcasting: a side is shipped whole only after its rows and bytes were bounded."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows a hash-join side may hold, and rows every target row may be compared with.
+# Rows and bytes a broadcast side may hold, and rows every target row may be compared with.
 BROADCAST_ROWS = 10_000
+BROADCAST_BYTES = 32 << 20
 COMPARE_ROWS = 1_000
 
 
-def within_rows(frame: DataFrame, rows: int) -> bool:
-    """True if the frame holds at most `rows` rows. The check itself stops after `rows + 1`."""
-    return frame.limit(rows + 1).count() <= rows
+def small_enough(frame: DataFrame, rows: int, size: int = BROADCAST_BYTES) -> bool:
+    """True if the frame holds at most `rows` rows and, as text, `size` bytes. The check stops after `rows + 1` rows."""
+    width = F.octet_length(F.struct("*").cast("string")) if frame.columns else F.lit(0)
+    found = frame.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return found[0] <= rows and found[1] <= size
 
 
 def broadcast_if_small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast behind a size check; a larger frame is left to the optimizer."""
-    return F.broadcast(frame) if within_rows(frame, rows) else frame
+    return F.broadcast(frame) if small_enough(frame, rows) else frame
 
 
 def plan_text(frame: DataFrame) -> str:

@@ -23,14 +23,13 @@ SETTINGS = {
 }
 
 
-# Bytes one shuffle task should read, and the most shuffle partitions worth tracking.
+# Fixed value: bytes one shuffle task should read.
 TASK_BYTES = 200 * 1024**2
-MOST_PARTITIONS = 100_000
 
 
 def sized_settings(shuffled_bytes: int) -> dict[str, str]:
     """Settings for jobs that shuffle about this much; adaptive execution merges what turns out smaller."""
-    parts = min(MOST_PARTITIONS, max(200, math.ceil(shuffled_bytes / TASK_BYTES)))
+    parts = max(200, math.ceil(shuffled_bytes / TASK_BYTES))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": "256m" if parts > 2_000 else "128m",
@@ -38,23 +37,32 @@ def sized_settings(shuffled_bytes: int) -> dict[str, str]:
     }
 
 
-def build_session(master: str | None = None, name: str = "tablekeeper", **extra: str) -> SparkSession:
-    """A session with these settings; extra ones are given with `__` in place of dots."""
+def build_session(
+    master: str | None = None, name: str = "tablekeeper", volume: int | None = None, **extra: str
+) -> SparkSession:
+    """A session with these settings, sized for `volume` shuffled bytes if given; extra ones have `__` in place of dots."""
     builder = SparkSession.builder.appName(name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
+    sized = {} if volume is None else sized_settings(volume)
+    for key, value in {**SETTINGS, **sized, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; a temporary one only where none is set (tests)."""
+    """The shared folder the session names. Only a local session without one (as in tests) gets a temporary folder.
+
+    On a cluster a folder of one machine would lose rows, so there a missing name is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        local = spark.sparkContext.master.partition("[")[0] == "local"
+        if named is None and not local:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="tablekeeper-"))
         current = spark.sparkContext.getCheckpointDir()
     return named or current
@@ -63,3 +71,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; nothing is created yet."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that is no longer read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)

@@ -126,7 +126,7 @@ def allow_containers(listing: DataFrame, allowed: DataFrame, column: str = "cont
 def missing_names(wanted: DataFrame, present: DataFrame, column: str) -> DataFrame:
     """Set difference: names asked for that are not present."""
     names = wanted.select(col(column)).distinct()
-    return names.join(present.select(col(column)), column, "left_anti")
+    return names.join(present.select(col(column)).distinct(), column, "left_anti")
 
 
 def inventory_summary(listing: DataFrame) -> DataFrame:

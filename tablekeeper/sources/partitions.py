@@ -1,9 +1,8 @@
 """Deletes in a partitioned parquet folder that rewrite only the partitions they touch.
 
-At table sizes where a whole new version is too much to write for a few rows, the folder
-is changed in place: kept rows of the touched partitions are staged, counted, and then
-put back with dynamic partition overwrite. The staged copy stays until that is done, so a
-run that broke off is repeated from the same delete. One writer at a time.
+The victims are found once, from the whole table, and written down as (file, row). The touched partitions are then staged
+without them, counted, and put back with dynamic partition overwrite. Nothing changes before the count is right, and a plan that
+looks at the whole table, such as a percentile, is never asked about a part of it. One writer at a time.
 """
 
 from __future__ import annotations
@@ -13,13 +12,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekeeper.functions.predicates import all_of, any_of, col
+from tablekeeper.functions.predicates import all_of, col
 from tablekeeper.operators.delete import DeletePlan
-from tablekeeper.session import scratch_path
+from tablekeeper.session import drop_path, scratch_path
 
-FOLDERS = "__folders"
-# Fixed value: up to this many partitions are named one by one in a filter that the scan can prune by.
-NAMED_PARTITIONS = 1_000
+FILE, ROW = "__file", "__row"
 
 
 def delete_in_place(
@@ -35,40 +32,37 @@ def delete_in_place(
     """
     schema = spark.read.parquet(path).schema
     table = spark.read.schema(schema).parquet(path)
+    placed = table.withColumns({FILE: F.col("_metadata.file_path"), ROW: F.col("_metadata.row_index")})
     groups = [col(c) for c in partition_by]
-    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
-    victims = describe(table.withColumn(FOLDERS, folder)).preview()
-    # One row per touched partition: names of folders, whatever the table holds.
-    touched = victims.groupBy(*groups).agg(F.count("*").alias("n"), F.collect_set(FOLDERS).alias(FOLDERS)).collect()
-    report = {"rows_deleted": sum(row.n for row in touched), "partitions": len(touched), "emptied": 0}
-    if dry_run or not touched:
+    noted = scratch_path(spark, "victims")
+    describe(placed).preview().select(*groups, FILE, ROW).distinct().write.parquet(noted)
+    victims = spark.read.parquet(noted)
+    touched = victims.groupBy(*[col(c).alias(f"__p{i}") for i, c in enumerate(partition_by)]).agg(F.count("*").alias("__n"))
+    deleted, count = touched.agg(F.coalesce(F.sum("__n"), F.lit(0)), F.count("*")).first()
+    report = {"rows_deleted": deleted, "partitions": count, "emptied": 0}
+    if dry_run or not count:
+        drop_path(spark, noted)
         return report
-    part = _inside(table, partition_by, touched)
+    same = all_of(col(c).eqNullSafe(F.col(f"__p{i}")) for i, c in enumerate(partition_by))
+    part = placed.join(touched.drop("__n"), same, "left_semi")
+    before = part.count()
     staged = scratch_path(spark, "rewrite")
-    describe(part).kept().hint("rebalance", *groups).write.partitionBy(*partition_by).parquet(staged)
+    left = part.join(victims.select(FILE, ROW), [FILE, ROW], "left_anti").select(*[col(c) for c in schema.names])
+    left.hint("rebalance", *groups).write.partitionBy(*partition_by).parquet(staged)
     kept = spark.read.schema(schema).parquet(staged)
-    left = kept.groupBy(*groups).agg(F.count("*").alias("n")).collect()
-    if sum(row.n for row in left) != part.count() - report["rows_deleted"]:
-        raise ValueError(f"staged rows in {staged} are not those announced; {path} was not changed")
-    held = {tuple(row[c] for c in partition_by) for row in left}
-    emptied = [row for row in touched if tuple(row[c] for c in partition_by) not in held]
-    if held:
+    after = kept.count()
+    if after != before - deleted:
+        raise ValueError(f"{after} rows were staged in {staged} where {before - deleted} were expected; {path} was not changed")
+    folder = F.regexp_replace(FILE, "/[^/]*$", "").alias("folder")
+    held = kept.select(*[col(c).alias(f"__p{i}") for i, c in enumerate(partition_by)]).distinct()
+    still = all_of(col(c).eqNullSafe(F.col(f"__p{i}")) for i, c in enumerate(partition_by))
+    emptied = 0
+    # Folder names of partitions that are left empty, one after another.
+    for row in victims.join(held, still, "left_anti").select(folder).distinct().toLocalIterator():
+        drop_path(spark, spark._jvm.java.net.URI.create(row.folder))
+        emptied += 1
+    if after:
         kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
-    for name in (name for row in emptied for name in row[FOLDERS]):
-        place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI.create(name))
-        place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
-    return {**report, "emptied": len(emptied)}
-
-
-def _inside(table: DataFrame, partition_by: Sequence[str], touched: list) -> DataFrame:
-    """Rows of the touched partitions; a missing partition value is one too."""
-    if len(touched) <= NAMED_PARTITIONS:
-        kinds = {f.name: f.dataType for f in table.schema.fields}
-        return table.filter(
-            any_of(all_of(col(c).eqNullSafe(F.lit(row[c]).cast(kinds[c])) for c in partition_by) for row in touched)
-        )
-    fields = table.select(*[col(c) for c in partition_by]).schema
-    names = table.sparkSession.createDataFrame([tuple(row[c] for c in partition_by) for row in touched], fields)
-    names = names.toDF(*[f"__p{i}" for i in range(len(partition_by))])
-    same = all_of(col(c).eqNullSafe(F.col(f"__p{i}")) for i, c in enumerate(partition_by))
-    return table.join(F.broadcast(names), same, "left_semi")
+    drop_path(spark, staged)
+    drop_path(spark, noted)
+    return {**report, "emptied": emptied}

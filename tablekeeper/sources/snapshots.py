@@ -20,7 +20,7 @@ from tablekeeper.functions.predicates import col, violations
 
 HISTORY = (
     "version bigint, timestamp timestamp, operation string, parameters map<string,string>, "
-    "rows_before bigint, rows_after bigint, batch_id bigint, schema string"
+    "rows_before bigint, rows_after bigint, schema string"
 )
 
 
@@ -79,14 +79,6 @@ class SnapshotTable:
     def remove_folder(self, folder: str) -> None:
         self._fs.delete(self._file(folder), True)
 
-    def last_parameter(self, name: str, source: str) -> str | None:
-        """Newest value of a parameter that versions of one source carry."""
-        for version in reversed(self._numbers()):
-            parameters = (self._note(version) or {}).get("parameters", {})
-            if name in parameters and parameters.get("source") == source and self._complete(version):
-                return parameters[name]
-        return None
-
     def _numbers(self) -> list[int]:
         return self._started("data", "v=")
 
@@ -130,15 +122,6 @@ class SnapshotTable:
         notes = self.spark.read.schema(HISTORY).json(f"{self.path}/history")
         return notes.join(F.broadcast(complete), "version", "left_semi").drop("schema")
 
-    def has_batch(self, batch_id: int, source: str) -> bool:
-        """Was this batch of a stream published? Batch numbers of one source only grow."""
-        for version in reversed(self._numbers()):
-            note = self._note(version) or {}
-            if note.get("batch_id") is not None and note["parameters"].get("source") == source:
-                if self._complete(version):
-                    return batch_id <= note["batch_id"]
-        return False
-
     # -- writing ------------------------------------------------------------------------
 
     def publish(
@@ -151,13 +134,13 @@ class SnapshotTable:
         constraints: Mapping[str, str] | None = None,
         expect_rows: int | None = None,
         rows_before: int | None = None,
-        batch_id: int | None = None,
+        arranged: bool = False,
     ) -> int:
         """Write rows as the next version and return its number.
 
-        Partition columns are those of the current version unless given. The row count is read
-        back from the written footers. If it is not `expect_rows`, the version is withdrawn and
-        an error raised; rows that break a constraint are refused before anything is written.
+        Partition columns are those of the current version unless given. The rows are staged and counted from the written
+        footers; if that is not `expect_rows`, an error is raised and no reader has seen anything. Rows that break a
+        constraint are refused before anything is written. `arranged` rows keep their files and order.
         """
         if constraints and not self.violating(rows, constraints).isEmpty():
             raise ValueError(f"rows break a constraint of {sorted(constraints)}; see violating()")
@@ -173,21 +156,24 @@ class SnapshotTable:
             "parameters": {k: str(v) for k, v in (parameters or {}).items() if v is not None},
             "rows_before": rows_before,
             "rows_after": None,
-            "batch_id": batch_id,
             "partition_by": list(partition_by),
             "schema": json.dumps(rows.select(*[col(c) for c in ordered]).schema.jsonValue()),
         }
-        # The note goes first: a version that is complete always has its operation and batch.
-        self._write_note(note)
-        if partition_by:  # few files per partition value; one large value is split over several tasks
+        if partition_by and not arranged:  # few files per partition value; one large value is split over several tasks
             rows = rows.hint("rebalance", *partition_by)
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self._data(version))
-        written = self.read(version).count()
+        staged = f"{self.path}/staging/v={version:07d}"
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(staged)
+        schema = T.StructType.fromJson(json.loads(note["schema"]))
+        written = self.spark.read.schema(schema).parquet(staged).count()
         if expect_rows is not None and written != expect_rows:
-            self._fs.delete(self._file("data", f"v={version:07d}"), True)
-            self._fs.delete(self._file("history", f"{version:07d}.json"), False)
+            self._fs.delete(self._file("staging", f"v={version:07d}"), True)
             raise ValueError(f"{written} rows were written where {expect_rows} were expected; nothing published")
+        # The note goes first: a version that is complete always has its operation.
         self._write_note({**note, "rows_after": written})
+        self._fs.delete(self._file("data", f"v={version:07d}"), True)  # of a run that broke off
+        self._fs.mkdirs(self._file("data"))
+        if not self._fs.rename(self._file("staging", f"v={version:07d}"), self._file("data", f"v={version:07d}")):
+            raise ValueError(f"version {version} could not be put in place in {self.path}")
         return version
 
     def violating(self, rows: DataFrame, constraints: Mapping[str, str]) -> DataFrame:
@@ -210,12 +196,17 @@ class SnapshotTable:
         return both.withColumn("diff", F.col("previous_rows") - F.col("current_rows"))
 
     def diff(self, previous: int, current: int | None = None) -> DataFrame:
-        """Rows removed from and added since a version, duplicates counted, with a `change` column."""
-        before, after = self.read(previous), self.read(current)
-        names = [c for c in before.columns if c in after.columns]
-        before, after = before.select(*[col(c) for c in names]), after.select(*[col(c) for c in names])
-        removed = before.exceptAll(after).withColumn("change", F.lit("removed"))
-        return removed.unionByName(after.exceptAll(before).withColumn("change", F.lit("added")))
+        """Rows removed from and added since a version, duplicates counted, with a `change` column.
+
+        A column that only one version has is null in the other, so its values make rows differ.
+        """
+        sides = [self.read(v).withColumn("__sign", F.lit(sign)) for v, sign in ((previous, -1), (current, 1))]
+        both = sides[0].unionByName(sides[1], allowMissingColumns=True)
+        names = [c for c in both.columns if c != "__sign"]
+        net = both.groupBy(*[col(c) for c in names]).agg(F.sum("__sign").alias("__net")).filter("__net <> 0")
+        change = F.when(F.col("__net") < 0, "removed").otherwise("added").alias("change")
+        times = F.explode(F.sequence(F.lit(1), F.abs("__net").cast("int"))).alias("__copy")
+        return net.select(*[col(c) for c in names], change, times).drop("__copy")
 
     def compact(self, files: int | None = None) -> int:
         """The same rows in fewer files: a stated number, or as many as their size asks for.
@@ -228,10 +219,11 @@ class SnapshotTable:
         return self.publish(rows, "compact", {"files": files})
 
     def cluster_by(self, columns: Sequence[str], files: int) -> int:
-        """Sort rows over files by the columns, so that scans can skip files by min / max."""
-        keys = [col(c) for c in columns]
+        """Sort rows over files by the columns, inside partitions if there are any, so that scans can skip files by min / max."""
+        parts = self.partition_columns()
+        keys = [col(c) for c in [*parts, *columns]]
         rows = self.read().repartitionByRange(files, *keys).sortWithinPartitions(*keys)
-        return self.publish(rows, "cluster", {"columns": ",".join(columns)}, partition_by=[])
+        return self.publish(rows, "cluster", {"columns": ",".join(columns)}, partition_by=parts, arranged=True)
 
     def purge(self, before: datetime | None = None, keep: int | None = None) -> list[int]:
         """Remove versions published before a time and / or all but the newest `keep`; never the current one."""

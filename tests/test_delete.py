@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablekeeper.operators import delete
-from tablekeeper.sources import partitions
 from tablekeeper.sources.partitions import delete_in_place
 from tablekeeper.sources.snapshots import SnapshotTable
 from tests.conftest import ids
@@ -196,9 +195,7 @@ def test_in_place_rewrites_touched_partitions_only(spark, staff, tmp_path):
     assert run(False, "salary > 1000000") == {"rows_deleted": 0, "partitions": 0, "emptied": 0}
 
 
-@pytest.mark.parametrize("named", [0, 1000])
-def test_in_place_keeps_the_rest_of_a_partition(spark, tmp_path, monkeypatch, named):
-    monkeypatch.setattr(partitions, "NAMED_PARTITIONS", named)
+def test_in_place_keeps_the_rest_of_a_partition(spark, tmp_path):
     folder = str(tmp_path / "parts")
     spark.range(1000).select("id", (F.col("id") % 4).alias("p")).write.partitionBy("p").parquet(folder)
     doomed = spark.range(0, 400, 4).select("id")  # all in partition 0
@@ -206,3 +203,31 @@ def test_in_place_keeps_the_rest_of_a_partition(spark, tmp_path, monkeypatch, na
     assert got == {"rows_deleted": 100, "partitions": 1, "emptied": 0}
     left = spark.read.parquet(folder)
     assert left.count() == 900 and left.filter("p = 0").agg(F.min("id")).first()[0] == 400
+
+
+def test_in_place_victims_come_from_the_whole_table(spark, tmp_path):
+    folder = str(tmp_path / "parts")
+    spark.range(1000).select("id", F.when(F.col("id") < 990, 0).otherwise(1).alias("p")).write.partitionBy("p").parquet(folder)
+    got = delete_in_place(spark, folder, ["p"], lambda t: delete.delete_above_percentile(t, "id", 0.95), dry_run=False)
+    assert got == {"rows_deleted": 51, "partitions": 2, "emptied": 1}
+    assert spark.read.parquet(folder).agg(F.count("*"), F.max("id")).first()[:] == (949, 948)
+
+
+def test_percentile_of_wide_integers_is_exact(rows):
+    frame = rows("id int, x bigint", [(i, 2**53 + i) for i in range(8)])
+    assert ids(delete.delete_above_percentile(frame, "x", 0.25).kept()) == [0]
+    assert ids(delete.delete_above_percentile(frame, "x", 0.75).kept()) == [0, 1, 2, 3, 4]
+
+
+def test_condition_without_equality_is_refused_at_any_size(rows):
+    frame = rows("id int, x int", [(1, 5), (2, 9)])
+    limits = rows("low int", [(6,)])
+    with pytest.raises(ValueError, match="no equality"):
+        delete.delete_by_condition(frame, limits, "t.x > c.low", ["id"])
+    assert ids(delete.delete_by_condition(frame, limits, "t.x > c.low", ["id"], compare_all_pairs=True).kept()) == [1]
+
+
+def test_condition_counts_rows_whose_identity_is_null(rows):
+    frame = rows("id int, x int", [(None, 5), (2, 5), (3, 1)])
+    plan = delete.delete_by_condition(frame, rows("y int", [(5,)]), "t.x = c.y", ["id"])
+    assert plan.report().first().rows_deleted == 2 and plan.kept().count() == 1

@@ -7,8 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablekeeper.sources.snapshots import SnapshotTable
-from tablekeeper.streaming.changelog import ChangeLog
-from tablekeeper.streaming.upsert import apply_batch, read_file_stream, upsert_stream
+from tablekeeper.streaming.upsert import UpsertTable, read_file_stream, upsert_stream
 from tests.conftest import ids, table
 
 
@@ -85,25 +84,51 @@ def test_constraints(store, staff):
 
 
 CHANGES = "k int, at int, v string, op string"
-
-
-def test_batches_in_any_order(store, rows):
-    batches = [
-        [(1, 5, "e", "set"), (1, 7, "g", "set"), (2, 1, "a", "set")],
-        [(1, 6, "late", "set"), (3, 1, "x", "set")],
-        [(2, 9, None, "drop"), (3, 0, None, "drop"), (4, 1, None, "drop")],
-    ]
-    gone = lambda t, s: s("op") == "drop"
-    for number, batch in enumerate(batches):
-        assert apply_batch(rows(CHANGES, batch), number, store, ["k"], ["at"], gone) == number
-    assert table(store.read().select("k", "v")) == [(1, "g"), (3, "x")]
-    # A replayed batch changes nothing.
-    assert apply_batch(rows(CHANGES, batches[0]), 0, store, ["k"], ["at"], gone) is None
-    assert store.versions() == [0, 1, 2]
-
-
-def test_stream_over_several_batches(spark, store, tmp_path):
-    folder = tmp_path / "in"
+BATCHES = [
+    [(1, 5, "e", "set"), (1, 7, "g", "set"), (2, 1, "a", "set")],
+    [(1, 6, "late", "set"), (3, 1, "x", "set")],
+    [(2, 9, None, "drop"), (3, 0, None, "drop"), (4, 1, None, "drop")],
+    [(2, 3, "late", "set"), (5, 2, "n", "set"), (4, None, "untimed", "set")],
+]
+
+
+@pytest.mark.parametrize("split", ["as given", "backwards", "one by one", "all at once", "each twice"])
+def test_changes_lead_to_the_same_rows_in_any_split(spark, rows, tmp_path, split):
+    changes = [c for batch in BATCHES for c in batch]
+    arrive = {
+        "as given": BATCHES,
+        "backwards": BATCHES[::-1],
+        "one by one": [[c] for c in changes],
+        "all at once": [changes],
+        "each twice": [b for b in BATCHES for _ in range(2)],
+    }[split]
+    store = UpsertTable(spark, str(tmp_path / "t"), ["k"], ["at"], lambda s: s("op") == "drop", parts=3)
+    for number, batch in enumerate(arrive):
+        store.apply(rows(CHANGES, batch), number)
+    assert table(store.read().select("k", "v")) == [(1, "g"), (3, "x"), (5, "n")]
+    assert store.apply(rows(CHANGES, []), 99) == 0
+
+
+def test_a_batch_rewrites_only_the_parts_of_its_keys(spark, tmp_path):
+    store = UpsertTable(spark, str(tmp_path / "t"), ["k"], ["at"], parts=16)
+    store.apply(spark.range(500).selectExpr("id AS k", "1 AS at", "'a' AS v"))
+    files = lambda: set(store.read().inputFiles())
+    before = files()
+    assert store.apply(spark.range(1).selectExpr("id AS k", "2 AS at", "'b' AS v")) == 1
+    assert len(before - files()) <= 2 and len(before & files()) >= len(before) - 2
+    assert store.read().count() == 500 and store.read().filter("v = 'b'").count() == 1
+
+
+def test_marks_of_removed_keys_are_kept_to_a_horizon(spark, rows, tmp_path):
+    store = UpsertTable(spark, str(tmp_path / "t"), ["k"], ["at"], lambda s: s("op") == "drop", parts=2)
+    store.apply(rows(CHANGES, [(1, 5, None, "drop"), (2, 9, None, "drop"), (3, 1, "x", "set")]))
+    assert store.forget(F.lit(6)) == 1
+    store.apply(rows(CHANGES, [(1, 2, "back", "set"), (2, 2, "late", "set")]))
+    assert table(store.read().select("k", "v")) == [(1, "back"), (3, "x")]
+
+
+def test_stream_over_several_batches(spark, tmp_path):
+    folder, store = tmp_path / "in", UpsertTable(spark, str(tmp_path / "t"), ["k"], ["at"], parts=4)
     events = spark.range(900).select(
         (F.col("id") % 40).alias("k"), ((F.col("id") * 37) % 900).alias("at"), F.col("id").alias("v")
     )
@@ -111,15 +136,11 @@ def test_stream_over_several_batches(spark, store, tmp_path):
     stream = read_file_stream(spark, str(folder), events.schema, maxFilesPerTrigger=2)
 
     def run():
-        query = upsert_stream(stream, store, ["k"], ["at"], str(tmp_path / "progress"))
-        query.awaitTermination()
+        upsert_stream(stream, store, str(tmp_path / "progress")).awaitTermination()
 
     run()
-    assert len(store.versions()) == 3
     expected = events.groupBy("k").agg(F.max("at").alias("at"), F.max_by("v", "at").alias("v"))
-    assert table(store.read()) == table(expected)
-    run()  # nothing new
-    assert len(store.versions()) == 3
+    assert table(store.read().select("k", "at", "v")) == table(expected)
     # New files are picked up where the stream left off.
     events.limit(10).select("k", (F.col("at") + 5000).alias("at"), F.lit(-1).cast("bigint").alias("v")).write.mode(
         "append"
@@ -128,36 +149,21 @@ def test_stream_over_several_batches(spark, store, tmp_path):
     assert store.read().filter("v = -1").count() == 10
 
 
-def test_change_log_applies_late_and_deleted_rows(store, rows):
-    log = ChangeLog(store, ["k"], ["at"], lambda t, s: s("op") == "drop")
+def test_diff_shows_columns_that_came_and_went(store, staff):
+    store.publish(staff.select("id", "name"))
+    store.publish(staff.select("id", "salary"))
+    changed = store.diff(0).collect()
+    assert len([r for r in changed if r.change == "removed"]) == 8 and len(changed) == 16
 
-    def add(number, *batch):
-        log.append(rows(CHANGES, list(batch)), number)
 
-    add(0, (1, 5, "e", "set"), (1, 7, "g", "set"), (2, 1, "a", "set"))
-    add(1, (2, 9, None, "drop"), (3, 4, "x", "set"))
-    add(2, (2, 3, "late", "set"), (1, 6, "late", "set"))  # older than what is known
-    assert table(log.read().select("k", "v")) == [(1, "g"), (3, "x")] and store.versions() == []
-    assert log.fold() == 0 and log.fold() is None and log.pending() == []
-    add(1, (3, 99, "replayed", "set"))  # already folded: left alone
-    add(3, (3, 5, None, "drop"), (4, 1, "new", "set"))
-    add(3, (3, 5, None, "drop"), (4, 2, "again", "set"))  # the same batch once more
-    assert table(log.read().select("k", "v")) == [(1, "g"), (4, "again")]
-    assert log.pending() == [3] and log.trim() == [0, 1, 2]
-    store.publish(store.read().filter("k <> 1"), "delete")
-    assert table(log.read().select("k", "v")) == [(4, "again")]
-    assert log.fold() == 2 and table(store.read().select("k", "v")) == [(4, "again")]
+def test_a_wrong_row_count_is_never_seen(store, staff):
+    store.publish(staff)
+    with pytest.raises(ValueError, match="nothing published"):
+        store.publish(staff.limit(3), expect_rows=5)
+    assert store.versions() == [0] and store.history().count() == 1
 
 
-def test_change_log_follows_a_stream(spark, store, tmp_path):
-    folder = tmp_path / "in"
-    events = spark.range(900).select(
-        (F.col("id") % 40).alias("k"), ((F.col("id") * 37) % 900).alias("at"), F.col("id").alias("v")
-    )
-    events.repartition(5).write.parquet(str(folder))
-    log = ChangeLog(store, ["k"], ["at"])
-    stream = read_file_stream(spark, str(folder), events.schema, maxFilesPerTrigger=1)
-    log.follow(stream, str(tmp_path / "progress"), fold_every=2).awaitTermination()
-    assert store.versions() == [0, 1] and log.pending() == [4]
-    expected = events.groupBy("k").agg(F.max("at").alias("at"), F.max_by("v", "at").alias("v"))
-    assert table(log.read()) == table(expected)
+def test_clustering_keeps_the_partitions(store, staff):
+    store.publish(staff, partition_by=["department"])
+    store.cluster_by(["salary"], 2)
+    assert store.partition_columns() == ["department"] and table(store.read().select(*staff.columns)) == table(staff)

@@ -184,3 +184,13 @@ def sample_exact_fraction(load):
 )
 def delete_top_n(load):
     return clean.delete_top_n(load("orders"), "o_totalprice", 3, tie_order="o_orderkey")
+
+
+@query(
+    """SELECT o_orderkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY md5(o_orderkey::VARCHAR) DESC, o_orderkey) AS rn
+    FROM orders) WHERE rn>50"""
+)
+def delete_top_n_binary(load):
+    """The largest values of a binary column."""
+    orders = load("orders").select("o_orderkey", F.unhex(F.md5(F.col("o_orderkey").cast("string"))).alias("digest"))
+    return clean.delete_top_n(orders, "digest", 50, "o_orderkey", top_rows=0).select("o_orderkey")

@@ -194,3 +194,47 @@ def delete_cascade(load):
     ]
     root = delete.delete_where(tables["customer"], F.col("c_acctbal") < 0)
     return delete.delete_cascade(tables, links, "customer", root)["lineitem"].kept()
+
+
+@query("SELECT * FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal<0)")
+def delete_by_value_table(load):
+    """The values come from a column of another table."""
+    indebted = load("customer").filter("c_acctbal < 0")
+    return delete.delete_by_values(load("orders"), "o_custkey", indebted, "c_custkey").kept()
+
+
+@query(
+    """SELECT o_orderkey, o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal<0) AS active FROM orders"""
+)
+def soft_delete_by_keys(load):
+    indebted = load("customer").filter("c_acctbal < 0")
+    orders = load("orders").select("o_orderkey", "o_custkey")
+    return delete.soft_delete_by_keys(orders, indebted, {"o_custkey": "c_custkey"}).select("o_orderkey", "active")
+
+
+@query(
+    """SELECT * FROM lineitem l WHERE NOT EXISTS
+    (SELECT 1 FROM part p WHERE p.p_partkey=l.l_partkey AND l.l_quantity>p.p_size)"""
+)
+def delete_condition_large(load):
+    """An equality and a range per part, with as many criteria as there are parts."""
+    condition = "t.l_partkey = c.p_partkey AND t.l_quantity > c.p_size"
+    return delete.delete_by_condition(load("lineitem"), load("part"), condition, ["l_orderkey", "l_linenumber"]).kept()
+
+
+@query(
+    """WITH w AS (SELECT o_orderkey, o_orderkey+9007199254740992 AS wide FROM orders)
+    SELECT o_orderkey FROM w WHERE wide < (SELECT quantile_disc(wide, 0.75) FROM w)"""
+)
+def delete_percentile_wide(load):
+    """Whole numbers that a double cannot tell apart."""
+    orders = load("orders").select("o_orderkey", (F.col("o_orderkey") + 2**53).alias("wide"))
+    return delete.delete_above_percentile(orders, "wide", 0.75).kept().select("o_orderkey")
+
+
+@query("SELECT true AS within, count(*) AS rows_before FROM orders")
+def delete_percentile_approximate(load):
+    """With an accuracy the cut's rank is off by at most 1 in that many rows."""
+    plan = delete.delete_above_percentile(load("orders"), "o_totalprice", 0.9, accuracy=1000)
+    off = F.abs(F.col("rows_after") / F.col("rows_before") - 0.9)
+    return plan.report().select((off <= 0.0011).alias("within"), "rows_before")

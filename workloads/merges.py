@@ -3,14 +3,13 @@
 from pyspark.sql import functions as F
 
 from tablekeeper.functions.predicates import violations
-from tablekeeper.operators.delete import delete_scoped, delete_where
+from tablekeeper.operators.delete import delete_above_percentile, delete_groups, delete_scoped, delete_where
 from tablekeeper.operators.merge import Merge, source_checks, upsert
 from tablekeeper.session import scratch_path
 from tablekeeper.sources.files import write_parquet
 from tablekeeper.sources.partitions import delete_in_place
 from tablekeeper.sources.snapshots import SnapshotTable
-from tablekeeper.streaming.changelog import ChangeLog
-from tablekeeper.streaming.upsert import read_file_stream, upsert_stream
+from tablekeeper.streaming.upsert import UpsertTable, read_file_stream, upsert_stream
 from workloads.registry import query
 
 
@@ -54,9 +53,8 @@ def merge_conditional(load):
 
 @query(
     """WITH tgt AS (SELECT l_orderkey, l_linenumber, sum(l_quantity) AS l_quantity FROM lineitem
-    WHERE l_returnflag<>'R' GROUP BY ALL),
-    src AS (SELECT l_orderkey, l_linenumber, sum(l_quantity) AS l_quantity FROM lineitem
-    WHERE l_linestatus='O' GROUP BY ALL)
+    GROUP BY ALL),
+    src AS (SELECT l_orderkey+1000 AS l_orderkey, l_linenumber, sum(l_quantity) AS l_quantity FROM lineitem GROUP BY ALL)
     SELECT coalesce(t.l_orderkey,s.l_orderkey) AS l_orderkey, coalesce(t.l_linenumber,s.l_linenumber) AS l_linenumber,
     coalesce(t.l_quantity,0)+coalesce(s.l_quantity,0) AS l_quantity
     FROM tgt t FULL JOIN src s ON s.l_orderkey=t.l_orderkey AND s.l_linenumber=t.l_linenumber"""
@@ -64,8 +62,8 @@ def merge_conditional(load):
 def merge_accumulate(load):
     lines = load("lineitem")
     keys = ["l_orderkey", "l_linenumber"]
-    target = lines.filter("l_returnflag <> 'R'").groupBy(*keys).agg(F.sum("l_quantity").alias("l_quantity"))
-    source = lines.filter("l_linestatus = 'O'").groupBy(*keys).agg(F.sum("l_quantity").alias("l_quantity"))
+    target = lines.groupBy(*keys).agg(F.sum("l_quantity").alias("l_quantity"))
+    source = target.withColumn("l_orderkey", F.col("l_orderkey") + 1000)
     return (
         Merge(target, source, keys)
         .when_matched_update({"l_quantity": lambda t, s: t("l_quantity") + s("l_quantity")})
@@ -98,9 +96,8 @@ def merge_delete(load):
 
 
 @query(
-    """WITH tgt AS (SELECT p_partkey AS id, p_size AS qty, p_retailprice AS unit_cost, 0 AS update_count FROM part
-    WHERE p_type IN ('SMALL','LARGE','PROMO')),
-    src AS (SELECT p_partkey AS id, p_size-25 AS chg, p_retailprice+1 AS unit_cost FROM part WHERE p_size<30)
+    """WITH tgt AS (SELECT p_partkey AS id, p_size AS qty, p_retailprice AS unit_cost, 0 AS update_count FROM part),
+    src AS (SELECT p_partkey+100 AS id, p_size-25 AS chg, p_retailprice+1 AS unit_cost FROM part)
     SELECT coalesce(t.id,s.id) AS id, coalesce(t.qty,0)+coalesce(s.chg,0) AS qty,
     coalesce(s.unit_cost,t.unit_cost) AS unit_cost,
     CASE WHEN s.id IS NULL THEN t.update_count ELSE coalesce(t.update_count,0)+1 END AS update_count,
@@ -110,15 +107,15 @@ def merge_delete(load):
 def merge_expressions(load):
     as_of = F.lit("2024-06-01").cast("timestamp_ntz")
     parts = load("part")
-    target = parts.filter(F.col("p_type").isin("SMALL", "LARGE", "PROMO")).select(
+    target = parts.select(
         F.col("p_partkey").alias("id"),
         F.col("p_size").alias("qty"),
         F.col("p_retailprice").alias("unit_cost"),
         F.lit(0).alias("update_count"),
         F.lit(None).cast("timestamp_ntz").alias("updated_at"),
     )
-    source = parts.filter("p_size < 30").select(
-        F.col("p_partkey").alias("id"),
+    source = parts.select(
+        (F.col("p_partkey") + 100).alias("id"),
         (F.col("p_size") - 25).alias("chg"),
         (F.col("p_retailprice") + 1).alias("unit_cost"),
     )
@@ -270,17 +267,56 @@ def delete_in_partitions(load):
     return load.spark.read.parquet(folder).select(*load("orders").columns)
 
 
+def _priced(load, name: str) -> str:
+    folder = scratch_path(load.spark, name)
+    write_parquet(load("orders"), folder, partition_by=["o_orderpriority"])
+    return folder
+
+
+@query(
+    """SELECT * FROM orders WHERE o_totalprice < (SELECT quantile_disc(o_totalprice, 0.9) FROM orders)"""
+)
+def delete_in_partitions_percentile(load):
+    """The percentile is that of the whole table, whichever partitions hold its victims."""
+    folder = _priced(load, "by-percentile")
+    delete_in_place(
+        load.spark, folder, ["o_orderpriority"], lambda t: delete_above_percentile(t, "o_totalprice", 0.9), dry_run=False
+    )
+    return load.spark.read.parquet(folder).select(*load("orders").columns)
+
+
+@query(
+    """SELECT * FROM orders WHERE o_custkey NOT IN
+    (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING avg(o_totalprice)>300000)"""
+)
+def delete_in_partitions_groups(load):
+    """Customers are judged over all partitions."""
+    folder = _priced(load, "by-average")
+    having = F.avg("o_totalprice") > 300_000
+    delete_in_place(load.spark, folder, ["o_orderpriority"], lambda t: delete_groups(t, ["o_custkey"], having), dry_run=False)
+    return load.spark.read.parquet(folder).select(*load("orders").columns)
+
+
+@query(
+    """WITH src AS (SELECT l_orderkey+100 AS k, max(l_extendedprice) AS top FROM lineitem GROUP BY 1),
+    tgt AS (SELECT o_orderkey AS k, o_totalprice AS top FROM orders)
+    SELECT t.* FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.k=t.k) UNION ALL SELECT * FROM src"""
+)
+def merge_upsert_unique(load):
+    """Upsert of a source reduced to one row per key; a repeated key would fail the job."""
+    target = load("orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("top"))
+    source = load("lineitem").groupBy((F.col("l_orderkey") + 100).alias("k")).agg(F.max("l_extendedprice").alias("top"))
+    return upsert(target, source, "k")
+
+
 @query(
     """SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER
     (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn=1"""
 )
 def stream_upsert(load):
-    table = SnapshotTable(load.spark, scratch_path(load.spark, "latest-events"))
+    table = UpsertTable(load.spark, scratch_path(load.spark, "latest-events"), ["user_id"], ["ts", "event_id"], parts=8)
     stream = read_file_stream(load.spark, load.folder, load("events").schema, glob="events.parquet")
-    started = upsert_stream(
-        stream, table, ["user_id"], ["ts", "event_id"], checkpoint=scratch_path(load.spark, "stream-progress")
-    )
-    started.awaitTermination()
+    upsert_stream(stream, table, scratch_path(load.spark, "stream-progress")).awaitTermination()
     return table.read().select("user_id", "event_id", "event_type", "value")
 
 
@@ -289,9 +325,16 @@ def stream_upsert(load):
     (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn=1 AND event_type<>'error'"""
 )
 def stream_change_log(load):
-    """The last event of a user decides; an error removes the user."""
-    table = SnapshotTable(load.spark, scratch_path(load.spark, "live-users"))
-    log = ChangeLog(table, ["user_id"], ["ts", "event_id"], lambda t, s: s("event_type") == "error")
-    stream = read_file_stream(load.spark, load.folder, load("events").schema, glob="events.parquet")
-    log.follow(stream, checkpoint=scratch_path(load.spark, "stream-progress")).awaitTermination()
-    return log.read().select("user_id", "event_id", "event_type", "value")
+    """The last event of a user decides; an error removes the user. The newest third of the events comes first, so all others are late."""
+    folder = scratch_path(load.spark, "live-users")
+    table = UpsertTable(load.spark, folder, ["user_id"], ["ts", "event_id"], lambda s: s("event_type") == "error", parts=8)
+    events = load("events")
+    arrival = scratch_path(load.spark, "arrival")
+    late = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    newest = events.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.66)).first()[0] or 0
+    wave = F.when(F.unix_micros(F.col("ts").cast("timestamp")) > newest, 0).otherwise(1 + late)
+    for number in range(3):
+        events.filter(wave == number).coalesce(1).write.mode("append").parquet(arrival)
+    stream = read_file_stream(load.spark, arrival, events.schema, maxFilesPerTrigger=1)
+    upsert_stream(stream, table, scratch_path(load.spark, "stream-progress")).awaitTermination()
+    return table.read().select("user_id", "event_id", "event_type", "value")

@@ -157,14 +157,79 @@ def name_search_counts(load):
     return listing.name_search_counts(load("part"), "p_name", predicates.text_match("p_name", "RE", regex=True))
 
 
+def _event_files(load):
+    """Every event as a listed file: its type is the container, its number the name."""
+    return load("events").select(
+        F.col("event_type").alias("container"), F.col("event_id").cast("string").alias("name"), F.col("ts").alias("last_modified")
+    )
+
+
 @query(
     """SELECT event_type||'/'||event_id::VARCHAR||chr(9)||strftime(ts,'%Y-%m-%d %H:%M:%S UTC') AS line FROM events"""
 )
 def match_lines(load):
-    line = F.concat_ws(
-        "\t", F.concat_ws("/", "event_type", F.col("event_id").cast("string")), paths.time_text(F.col("ts"))
+    folder = scratch_path(load.spark, "matches")
+    listing.write_matches(_event_files(load), folder)
+    return load.spark.read.text(folder).withColumnRenamed("value", "line")
+
+
+@query("SELECT event_type AS container, event_id::VARCHAR AS name FROM events")
+def match_lines_read(load):
+    """Match list written and read again."""
+    folder = scratch_path(load.spark, "matches")
+    listing.write_matches(_event_files(load), folder)
+    return listing.read_matches(load.spark, folder)
+
+
+@query(
+    """SELECT name FROM (VALUES ('region'),('nation'),('customer'),('supplier'),('part'),('orders'),('lineitem'),
+    ('events'),('documents'),('embeddings'),('pages'),('benchmark'),('labels'),('conversations')) t(name)"""
+)
+def list_given_files(load):
+    """The tables' own files, listed in tasks; a table may be one file or a folder of them."""
+    found = listing.list_files(load.spark, load.folder)
+    top = F.when(F.col("container") == "", F.col("name")).otherwise(F.col("container"))
+    top = F.when(F.col("container").endswith(".parquet"), F.col("container")).otherwise(top)
+    return found.select(F.regexp_extract(top, r"^([a-z]+)\.parquet$", 1).alias("name")).filter("name <> ''").distinct()
+
+
+@query(
+    """SELECT 'file' AS kind, d.source AS container, d.doc_id::VARCHAR AS name FROM documents d
+    WHERE d.source IN ('src0','src3') UNION ALL SELECT 'missing', 'nosuch', NULL"""
+)
+def allow_listed_containers(load):
+    catalogue = load("documents").select(F.col("source").alias("container"), F.col("doc_id").cast("string").alias("name"))
+    allowed = files.literal_rows(load.spark, "container string", [("src0",), ("src3",), ("nosuch",), ("src0",), (None,)])
+    inside, missing = listing.allow_containers(catalogue, allowed)
+    absent = missing.select(F.lit("missing").alias("kind"), "container", F.lit(None).cast("string").alias("name"))
+    return inside.select(F.lit("file").alias("kind"), "container", "name").unionByName(absent)
+
+
+@query(
+    """SELECT source AS container, doc_id::VARCHAR AS name, n_chars::VARCHAR AS size FROM documents"""
+)
+def export_listing_csv(load):
+    """The nine export columns, read back as text."""
+    folder = scratch_path(load.spark, "export")
+    catalogue = load("documents").select(
+        F.col("source").alias("container"),
+        F.col("doc_id").cast("string").alias("name"),
+        F.col("n_chars").alias("size"),
+        *[F.lit(None).cast(k).alias(c) for c, k in (("size_mb", "double"), ("last_modified", "timestamp"), ("content_type", "string"))],
+        *[F.lit(None).cast(k).alias(c) for c, k in (("blob_type", "string"), ("creation_time", "timestamp"), ("etag", "string"))],
     )
-    return load("events").select(line.alias("line"))
+    listing.export_csv(catalogue, folder)
+    return load.spark.read.option("header", True).csv(folder).select("container", "name", "size")
+
+
+@query(
+    """SELECT 'orders' AS name, count(*) AS n, 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority' AS columns
+    FROM orders"""
+)
+def parquet_facts(load):
+    facts = files.file_facts(load.spark, load.path("orders"))
+    row = ("orders", facts["rows"], ",".join(facts["schema"].names))
+    return files.literal_rows(load.spark, "name string, n bigint, columns string", [row])
 
 
 @query(

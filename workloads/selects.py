@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tablekeeper.operators import select
 from tablekeeper.plans.grams import contains_join
+from tablekeeper.plans.ranges import range_join
 from tablekeeper.sources.files import literal_rows
 from workloads.registry import query
 
@@ -197,13 +198,13 @@ def select_summary(load):
 
 
 @query(
-    """SELECT count(*) AS total_matches, count(DISTINCT c.c_custkey) AS unique_search_values
-    FROM customer c JOIN orders o ON o.o_custkey=c.c_custkey WHERE c.c_acctbal<0"""
+    """SELECT count(*) AS total_matches, count(DISTINCT c.c_custkey) AS unique_search_values,
+    'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority' AS target_columns FROM customer c JOIN orders o ON o.o_custkey=c.c_custkey WHERE c.c_acctbal<0"""
 )
 def select_totals(load):
     indebted = load("customer").filter("c_acctbal < 0")
     totals = select.selection_totals(load("orders"), indebted, {"o_custkey": "c_custkey"})
-    return totals.select("total_matches", "unique_search_values")
+    return totals.withColumn("target_columns", F.array_join("target_columns", ","))
 
 
 @query(
@@ -264,13 +265,53 @@ def audit_breakdown(load):
 
 
 @query(
-    """SELECT b.item_id, p.p_partkey, p.p_name FROM (SELECT n_nationkey AS item_id, lower(substr(n_name,1,2)) AS term
-    FROM nation) b JOIN part p ON contains(p.p_name,b.term)"""
+    """SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, substr(b.text, 1, 40))"""
 )
 def select_contains(load):
-    """Substring join of every nation's two-letter code with every part name."""
-    terms = load("nation").select(
-        F.col("n_nationkey").alias("item_id"), F.lower(F.substring("n_name", 1, 2)).alias("term")
+    """Which documents hold the beginning of which benchmark passage; every term goes the way of many terms."""
+    terms = load("benchmark").select("item_id", F.substring("text", 1, 40).alias("term"))
+    docs = load("documents").select("doc_id", "text")
+    return contains_join(docs, terms, "text", "term", compare_rows=0).select("item_id", "doc_id")
+
+
+@query(
+    """SELECT p.p_partkey, l.l_orderkey, l.l_linenumber FROM part p JOIN lineitem l
+    ON l.l_extendedprice>=p.p_retailprice AND l.l_extendedprice<=p.p_retailprice+p.p_size"""
+)
+def select_between_mixed_types(load):
+    """Lower bounds as text and upper bounds as decimals against doubles, the way of many ranges."""
+    upper = F.col("p_retailprice") + F.col("p_size")
+    ranges = load("part").select(
+        "p_partkey", F.col("p_retailprice").cast("string").alias("low"), upper.cast("decimal(38,14)").alias("high")
+    )
+    lines = load("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    found = range_join(lines, ranges, "l_extendedprice", "low", "high", compare_rows=0)
+    return found.select("p_partkey", "l_orderkey", "l_linenumber")
+
+
+@query(
+    """WITH t AS (SELECT o_orderkey, o_totalprice FROM orders UNION ALL SELECT -1, 1e30)
+    SELECT p.p_partkey, t.o_orderkey FROM part p JOIN t ON t.o_totalprice>=p.p_retailprice AND t.o_totalprice<=p.p_retailprice+p.p_size"""
+)
+def select_between_outlier(load):
+    """One extreme value must not put all others into one cell."""
+    orders = load("orders").select("o_orderkey", "o_totalprice")
+    lone = values(load, "o_orderkey bigint, o_totalprice double", [(-1, 1e30)])
+    ranges = load("part").select("p_partkey", F.col("p_retailprice").alias("low"), (F.col("p_retailprice") + F.col("p_size")).alias("high"))
+    found = range_join(orders.unionByName(lone), ranges, "o_totalprice", "low", "high", compare_rows=0)
+    return found.select("p_partkey", "o_orderkey")
+
+
+@query(
+    """SELECT p.p_partkey AS part, l.l_orderkey, l.l_linenumber FROM part p JOIN lineitem l
+    ON l.l_partkey=p.p_partkey AND l.l_quantity>p.p_size"""
+)
+def select_condition_large(load):
+    """An equality and a range per part, with as many criteria as there are parts."""
+    found = select.select_by_condition(
+        load("lineitem"),
+        load("part").select("p_partkey", "p_size"),
+        lambda s, t: (t("l_partkey") == s("p_partkey")) & (t("l_quantity") > s("p_size")),
+        {"p_partkey": "part"},
     )
-    parts = load("part").select("p_partkey", "p_name")
-    return contains_join(parts, terms, "p_name", "term", compare_rows=0).select("item_id", "p_partkey", "p_name")
+    return found.select("part", "l_orderkey", "l_linenumber")
