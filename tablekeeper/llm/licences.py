@@ -7,6 +7,8 @@ done in DataFrame functions; the known digests are a table of fixed size.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,40 +104,53 @@ SPELLINGS = [
 ]
 
 
-def canonical(text: Column) -> Column:
-    """The text in canonical form; null for null."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
-    out = F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
+#: Beginnings of texts that a spelling may turn into another beginning; see SPELLINGS.
+RESPELLED = ("and", "cc ", "ver", "v0", "v1", "v2", "v3", "v4", "v5", "v6", "v7", "v8", "v9")
+START = 3
+
+
+def plain(text: Column) -> Column:
+    """Lower case, without copyright lines, and with spaces for all but letters, digits and line ends."""
+    return F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, ""), r"[^\p{L}\p{N}\n ]+", " ")
+
+
+def canonical(part: Column) -> Column:
+    """Plain text in one line and one spelling."""
+    out = F.trim(F.regexp_replace(part, r"[ \n]+", " "))
     for pattern, spelling in SPELLINGS:
         out = F.regexp_replace(out, pattern, spelling)
     return out
 
 
-def digest(text: Column) -> Column:
-    return F.md5(canonical(text))
-
-
 def known_licences(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
-    """`_digest` and `licence` of the known texts; texts that say the same in canonical form are one."""
+    """`_digest`, `licence` and `_start`, the first characters, of the known texts; texts that say the same are one."""
     rows = NOTICES + TEXTS if known is None else known
-    return spark.createDataFrame(rows, "licence string, text string").select(digest(F.col("text")).alias("_digest"), "licence").distinct()
+    form = canonical(plain(F.col("text")))
+    frame = spark.createDataFrame(rows, "licence string, text string")
+    return frame.select(F.md5(form).alias("_digest"), "licence", F.substring(form, 1, START).alias("_start")).distinct()
 
 
 def parts(text: Column) -> Column:
-    """The whole text, its paragraphs and its lines, those that are alike once."""
-    return F.array_distinct(F.concat(F.array(text), F.split(text, r"\n[ \t]*\n"), F.split(text, "\n")))
+    """A plain text as a whole, its paragraphs (between lines without a letter or digit) and its lines."""
+    return F.concat(F.array(text), F.split(text, r"\n *\n"), F.split(text, "\n"))
 
 
 def scan(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`doc_id`, `licences` (names in order, by commas), `n_licences` and `whole_text` (the text as a whole is a licence) per row.
 
     Null, empty and punctuation-only texts have none. A row of equal id and text as another has the same result. `known` has one row
-    per digest and is broadcast: its size does not depend on the documents.
+    per known text and is broadcast: its size does not depend on the documents. Only parts that begin like a known text, or
+    with what a spelling may change, are spelled and hashed; no other could match.
     """
+    starts = sorted({r[0] for r in known.select("_start").distinct().collect()} | set(RESPELLED))
+    begins = "^(" + "|".join(re.escape(x) for x in starts if x) + ")"
     keyed = repeats.keyed(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", "text")
-    pieces = keyed.filter("text IS NOT NULL").select("_id", "_th", F.posexplode(parts(F.col("text"))).alias("_nth", "_part"))
-    hits = pieces.select("_id", "_th", "_nth", digest(F.col("_part")).alias("_digest")).join(F.broadcast(known), "_digest")
-    found = hits.groupBy("_id", "_th").agg(F.collect_set("licence").alias("_names"), F.max(F.col("_nth") == 0).alias("_whole"))
+    whole = keyed.filter("text IS NOT NULL").select("_id", "_th", plain(F.col("text")).alias("_all"))
+    likely = F.filter(parts(F.col("_all")), lambda x: F.ltrim(F.translate(x, "\n", " ")).rlike(begins))
+    pieces = whole.select("_id", "_th", "_all", F.explode(likely).alias("_part"))
+    pieces = pieces.select("_id", "_th", (F.col("_part") == F.col("_all")).alias("_is_all"), F.md5(canonical(F.col("_part"))).alias("_digest"))
+    hits = pieces.join(F.broadcast(known.select("_digest", "licence")), "_digest")
+    found = hits.groupBy("_id", "_th").agg(F.collect_set("licence").alias("_names"), F.max("_is_all").alias("_whole"))
     rows = keyed.select("doc_id", "_id", "_th").join(found, ["_id", "_th"], "left")
     names = F.coalesce(F.array_sort("_names"), F.array().cast("array<string>"))
     return rows.select(
@@ -147,20 +162,22 @@ def scan(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str =
 
 
 def scan_sql(known: list[tuple[str, str]] | None = None) -> str:
-    """The same scan of the table documents as SQL for DuckDB."""
+    """The same scan of the table documents as SQL for DuckDB, which spells and hashes every part."""
+
+    def flat(text: str) -> str:
+        return rf"regexp_replace(regexp_replace(lower({text}), '{COPYRIGHT_LINE}', '', 'g'), '[^\p{{L}}\p{{N}}\n ]+', ' ', 'g')"
 
-    def form(text: str) -> str:
-        out = f"regexp_replace(lower({text}), '{COPYRIGHT_LINE}', '', 'g')"
-        out = rf"trim(regexp_replace({out}, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+    def form(part: str) -> str:
+        out = rf"trim(regexp_replace({part}, '[ \n]+', ' ', 'g'))"
         for pattern, spelling in SPELLINGS:
             out = f"regexp_replace({out}, '{pattern}', '{spelling.replace('$', chr(92))}', 'g')"
         return f"md5({out})"
 
     rows = ", ".join("('{}', '{}')".format(*(v.replace("'", "''") for v in r)) for r in (NOTICES + TEXTS if known is None else known))
-    return rf"""WITH known AS (SELECT DISTINCT {form("text")} AS digest, licence FROM (VALUES {rows}) k(licence, text)),
-    parts AS (
-        SELECT doc_id, text AS whole, unnest(list_distinct([text] || regexp_split_to_array(text, '\n[ \t]*\n')
-            || string_split(text, chr(10)))) AS part FROM documents WHERE text IS NOT NULL),
+    return rf"""WITH known AS (SELECT DISTINCT {form(flat("text"))} AS digest, licence FROM (VALUES {rows}) k(licence, text)),
+    plain AS (SELECT doc_id, {flat("text")} AS whole FROM documents WHERE text IS NOT NULL),
+    parts AS (SELECT doc_id, whole, unnest([whole] || regexp_split_to_array(whole, '\n *\n') || string_split(whole, chr(10))) AS part
+        FROM plain),
     hits AS (
         SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences, count(DISTINCT licence) AS n_licences,
             bool_or(part = whole) AS whole_text FROM parts JOIN known ON {form("part")} = digest GROUP BY doc_id)
