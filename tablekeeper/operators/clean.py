@@ -15,7 +15,7 @@ from tablekeeper.plans.ranks import By, order_by
 from tablekeeper.sources.files import literal_rows
 
 
-# Fixed value: positions searched one by one before all are assigned.
+# Fixed value: positions searched together before all are assigned.
 FEW_POSITIONS = 12
 
 
@@ -128,7 +128,7 @@ def delete_positions(
     """Delete rows at 0-based positions of the given order. A position outside the table is an error.
 
     `key` names the columns that identify a row. Low positions come from one bounded
-    top-k, a few others are searched one by one, and many are assigned partition by partition.
+    top-k, a few others are searched together, and many are assigned partition by partition.
     """
     wanted = sorted(set(positions))
     if not wanted:
@@ -140,7 +140,7 @@ def delete_positions(
     spec = [*order_by(order), *order_by(names)]
     low = wanted[-1] < bounds.get("top_rows", ranks.TOP_ROWS)
     if not low and len(wanted) <= FEW_POSITIONS:
-        found = [ranks.key_at(target, spec, p, total, **bounds).key for p in wanted]
+        found = [f.key for f in ranks.keys_at(target, spec, wanted, total, **bounds)]
         return target.filter(ranks.not_at(target, spec, found))
     keys = target.select(*[col(n) for n in names], *[by.value.alias(f"__o{i}") for i, by in enumerate(spec)])
     sorting = [By(F.col(f"__o{i}"), by.descending) for i, by in enumerate(spec)]

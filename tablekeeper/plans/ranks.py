@@ -223,6 +223,59 @@ def _narrow(order, inside, total, rank, rest_rows, sample_rows, held) -> Found:
     return _at(order, inside, rank)
 
 
+def keys_at(
+    frame: DataFrame,
+    spec: Sequence[By],
+    wanted: Sequence[int],
+    total: int,
+    *,
+    top_rows: int = TOP_ROWS,
+    rest_rows: int = REST_ROWS,
+    sample_rows: int = SAMPLE_ROWS,
+) -> list[Found]:
+    """Sort keys of a few ranks below `total`, searched together: one sample brackets all of them, one aggregate counts
+    between the brackets, and one pass keeps the keys inside."""
+    order = _Order(frame, spec)
+    if max(wanted) < top_rows or total <= rest_rows:
+        return [_at(order, order.keys, rank) for rank in wanted]
+    size = _sample_bound(order, order.keys, sample_rows)
+    picked = order.keys.sample(min(1.0, size / total), 17).orderBy(*order.sorting()).select(*order.as_text()).limit(2 * size).collect()
+    margin = 1.5 * math.sqrt(len(picked)) + 1
+    edges: list[tuple] = []
+    for rank in sorted(wanted):
+        middle = rank / total * len(picked)
+        for place in (math.floor(middle - margin), math.ceil(middle + margin)):
+            key = tuple(picked[min(len(picked) - 1, max(0, place))]) if picked else None
+            edges += [key] if key is not None and key not in edges else []
+    edges = [key for key in dict.fromkeys(map(tuple, picked)) if key in edges]  # in their order
+    place = F.when(F.lit(False), F.lit(0))
+    for j, edge in enumerate(edges):
+        place = place.when(order.before(edge), 2 * j).when(order.same(edge), 2 * j + 1)
+    numbered = order.keys.withColumn("__place", place.otherwise(2 * len(edges)))
+    counts = {r["__place"]: r["n"] for r in numbered.groupBy("__place").agg(F.count("*").alias("n")).collect()}
+    found: dict[int, Found] = {}
+    open_ranks, start = {}, 0
+    for j in range(2 * len(edges) + 1):
+        end = start + counts.get(j, 0)
+        for rank in wanted:
+            if start <= rank < end and j % 2:
+                found[rank] = Found(edges[j // 2], rank + 1 == end)
+            elif start <= rank < end:
+                open_ranks[rank] = (j, rank - start, end - start)
+        start = end
+    if open_ranks:
+        inside = numbered.filter(F.col("__place").isin(sorted({j for j, _, _ in open_ranks.values()}))).persist()
+        held: list[DataFrame] = [inside]
+        try:
+            for rank, (j, own, size) in open_ranks.items():
+                part = inside.filter(F.col("__place") == j).drop("__place")
+                found[rank] = _narrow(order, part, size, own, rest_rows, sample_rows, held)
+        finally:
+            for kept in held:
+                kept.unpersist()
+    return [found[rank] for rank in wanted]
+
+
 def not_at(frame: DataFrame, spec: Sequence[By], keys: Sequence[tuple]) -> Column:
     """Rows whose sort key is none of the fetched ones."""
     order, values = _Order(frame, spec), [by.value for by in spec]

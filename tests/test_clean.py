@@ -210,3 +210,30 @@ def test_rank_filters_reach_the_scan(spark, tmp_path):
         plan = part._jdf.queryExecution().executedPlan().toString()
         pushed = plan[plan.index("PushedFilters"):]
         assert "(id," in pushed.split("]")[0]
+
+
+def test_top_n_by_every_orderable_type(spark):
+    frame = spark.range(40).selectExpr(
+        "id",
+        "unhex(hex(id)) AS b",
+        "timestamp_micros(id * 1000003) AS t",
+        "cast(id AS decimal(20,3)) AS d",
+        "date_add(date'2020-01-01', cast(id AS int)) AS day",
+        "lpad(cast(id AS string), 5, 'ü') AS s",
+        "id % 2 = 0 AS flag",
+        "cast(id AS float) / 3 AS f",
+    )
+    for name in ("b", "t", "d", "day", "s", "flag", "f"):
+        order = sorted(((r[name], -r["id"]) for r in frame.collect()), reverse=True)[:7]
+        left = clean.delete_top_n(frame, name, 7, "id", top_rows=0, rest_rows=5, sample_rows=50)
+        assert ids(left) == sorted(set(range(40)) - {-i for _, i in order}), name
+
+
+def test_positions_are_searched_together(spark):
+    frame = spark.range(5000).selectExpr("id", "id * 7919 % 5000 AS x", "id % 3 AS tied")
+    for order in ("x", ["tied", "id"]):
+        wanted = [0, 17, 1666, 1667, 2500, 4999]
+        key = (lambda r: r.x) if order == "x" else (lambda r: (r.tied, r.id))
+        rows_ = sorted(frame.collect(), key=key)
+        left = clean.delete_positions(frame, order, wanted, key="id", top_rows=0, rest_rows=40, sample_rows=400)
+        assert ids(left) == sorted(r.id for i, r in enumerate(rows_) if i not in wanted)

@@ -128,3 +128,14 @@ def test_small_source_does_not_shuffle_the_target(spark, rows, tmp_path):
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
     assert merged.filter("n = 1").count() == 2 and merged.count() == 200_001
+
+
+def test_upsert_refuses_a_repeated_key(rows):
+    target = rows("k int, v string", [(1, "a"), (2, "b")])
+    source = rows("k int, v string", [(1, "x"), (1, "y"), (3, "z"), (None, "n"), (None, "m")])
+    with pytest.raises(Exception, match="2 rows for key"):
+        upsert(target, source, "k").collect()
+    with pytest.raises(Exception, match="2 rows for key"):
+        upsert(target.limit(0), source, "k").collect()
+    assert upsert(target, source, "k", check=False).count() == 6
+    assert upsert(target, source.filter("v <> 'y'"), "k").count() == 5

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablekeeper.operators import select
 from tablekeeper.plans.grams import contains_join
+from tablekeeper.plans import ranges as ranges_plan
 from tablekeeper.plans.ranges import range_join
 from tests.conftest import ids, table
 
@@ -230,3 +231,34 @@ def test_audit_breakdown(rows):
     periods = rows("who int, a timestamp_ntz, b timestamp_ntz", [(1, day(1), day(2)), (1, day(2), day(9)), (3, day(1), day(9))])
     got = select.audit_breakdown(periods, log, {"u": "who"}, time="t", start="a", end="b", action="a")
     assert table(got.drop("a", "b")) == sorted([(1, "in", 2, 2), (1, "in", 1, 2), (1, "out", 1, 2)], key=repr)
+
+
+@pytest.mark.parametrize("compare_rows", [0, 10_000])
+def test_ranges_of_other_types_match_at_every_size(rows, compare_rows):
+    target = rows("i int, x double, s string", [(i, i / 2, str(i)) for i in range(40)] + [(99, float("nan"), "x"), (98, None, None)])
+    bounds = rows("lo string, hi decimal(9,2), a int, b int", [("3", 5, 3, 11), ("x", 5, 0, 1), ("-1", 0, 38, 50), (None, 2, 5, None)])
+    found = range_join(target, bounds, "x", "lo", "hi", compare_rows=compare_rows).select("i")
+    assert ids(found, "i") == sorted([6, 7, 8, 9, 10, 0])
+    found = range_join(target, bounds, "s", "a", "b", compare_rows=compare_rows).select("i")
+    assert ids(found, "i") == [0, 1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 38, 39]
+
+
+def test_an_outlier_does_not_fill_one_cell(spark):
+    target = spark.range(2000).selectExpr("id", "cast(id AS double) AS x").union(spark.range(1).selectExpr("-1L AS id", "1e30 AS x"))
+    ranges = spark.range(300).selectExpr("id * 6 + 0.5 AS lo", "id * 6 + 2.5 AS hi")
+    places = {name: F.col(name) for name in ("x", "lo", "hi")}
+    found = ranges_plan._cell_join(target, ranges, places, "x", "lo", "hi", F.col("x") >= F.col("lo"))
+    # Pairs that share a cell and pass half of the test: near the 600 that match, not the 300 000 that a single cell would give.
+    assert 600 <= found.count() <= 3000
+    assert range_join(target, ranges, "x", "lo", "hi", compare_rows=0).count() == 600
+
+
+def test_substrings_of_many_terms_match_brute_force(rows):
+    texts = ["the cat sat", "cat", "", "a", None, "thethe", "sat the", "cat", "xyz" * 40]
+    terms = ["the", "cat", "at s", "", "a", "zz", "yz", "the cat sat", None, "the"]
+    target = rows("i int, s string", list(enumerate(texts)))
+    wanted = rows("j int, t string", list(enumerate(terms)))
+    expected = sorted((i, j) for i, s in enumerate(texts) for j, t in enumerate(terms) if s is not None and t is not None and t in s)
+    for bound in (0, 1000):
+        found = contains_join(target, wanted, "s", "t", compare_rows=bound).select("i", "j").collect()
+        assert sorted(map(tuple, found)) == expected

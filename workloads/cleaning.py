@@ -88,22 +88,25 @@ def missing_counts(load):
 
 @query(
     GAPS
-    + """SELECT 'nk' AS column_name, count(DISTINCT nk) AS distinct_values, count(*)-count(nk) AS missing FROM t
-    UNION ALL SELECT 'seg', count(DISTINCT seg), count(*)-count(seg) FROM t"""
+    + """SELECT 'nk' AS column_name, 'int' AS type, count(DISTINCT nk) AS distinct_values, count(*)-count(nk) AS missing FROM t
+    UNION ALL SELECT 'seg', 'string', count(DISTINCT seg), count(*)-count(seg) FROM t"""
 )
 def profile_criteria(load):
-    return clean.profile_criteria(_with_gaps(load), ["nk", "seg"]).select("column_name", "distinct_values", "missing")
+    return clean.profile_criteria(_with_gaps(load), ["nk", "seg"])
 
 
 @query(
-    """SELECT 'o_custkey' AS column_name, count(*) AS rows, count(*)-count(o_custkey) AS missing,
-    min(o_custkey)::VARCHAR AS minimum, max(o_custkey)::VARCHAR AS maximum FROM orders
-    UNION ALL SELECT 'o_orderpriority', count(*), count(*)-count(o_orderpriority), min(o_orderpriority),
-    max(o_orderpriority) FROM orders"""
+    """SELECT 'o_custkey' AS column_name, 'bigint' AS type, count(*) AS rows, count(*)-count(o_custkey) AS missing,
+    min(o_custkey)::VARCHAR AS minimum, max(o_custkey)::VARCHAR AS maximum, true AS distinct_is_near FROM orders
+    UNION ALL SELECT 'o_orderpriority', 'string', count(*), count(*)-count(o_orderpriority), min(o_orderpriority),
+    max(o_orderpriority), true FROM orders"""
 )
 def column_stats(load):
     stats = clean.column_stats(load("orders"), ["o_custkey", "o_orderpriority"])
-    return stats.select("column_name", "rows", "missing", "minimum", "maximum")
+    exact = load("orders").agg(F.countDistinct("o_custkey").alias("o_custkey"), F.countDistinct("o_orderpriority").alias("o_orderpriority"))
+    exact = exact.unpivot([], ["o_custkey", "o_orderpriority"], "column_name", "exact")
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.2 * F.col("exact")
+    return stats.join(exact, "column_name").select("column_name", "type", "rows", "missing", "minimum", "maximum", near.alias("distinct_is_near"))
 
 
 @query(
