@@ -21,7 +21,7 @@ def _powers(size: int, base: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     """base^i and base^-i modulo 2^64 for i below n at least."""
-    return _powers(1 << max(16, int(n).bit_length()), base)
+    return _powers(1 << max(16, int(n - 1).bit_length()), base)
 
 
 def prefix(values: np.ndarray, base: int) -> np.ndarray:

@@ -86,19 +86,25 @@ def repeated_starts(docs: DataFrame, text: str, window: int = WINDOW, moved: Dat
     moved = docs.repartition("_id", "_th") if moved is None else moved
     narrow = docs.select("_id", "_th", repeats.plain(text).alias("_text"))
 
-    def sketch(batches):
+    def anchors(batches):
         for part in chunks(batches, "_text"):
             words = words_of(part.column("_text"))
-            yield repeats.packed(*_anchors(words, window), *_keys(part), buckets)
+            yield *_anchors(words, window), *_keys(part), part.column("_text").nbytes
+
+    def sketch(batches):
+        yield from repeats.sent(anchors(batches), buckets)
 
     shared = repeats.per_text(repeats.repeated(narrow.mapInArrow(sketch, repeats.ITEMS), buckets))
     held = moved.join(shared, ["_id", "_th"])  # all columns, so that both uses of `moved` share one shuffle
 
-    def extend(batches):
+    def starts(batches):
         for part in chunks(batches, text):
             words = words_of(part.column(text))
             found = _windows(words, repeats.numbers(part.column("_at")), window)
-            yield repeats.packed(*found, *_keys(part), buckets)
+            yield *found, *_keys(part), part.column(text).nbytes
+
+    def extend(batches):
+        yield from repeats.sent(starts(batches), buckets)
 
     return repeats.per_text(repeats.repeated(held.mapInArrow(extend, repeats.ITEMS), buckets))
 

@@ -88,7 +88,7 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     def partial(batches):
         total, counts = np.zeros(TOKENS * DIMENSIONS), np.zeros(TOKENS)
-        for part in chunks(batches, text):
+        for part in chunks(batches, text, 2_000_000):
             _add_contexts(total, counts, *tokens(part.column(text)))
         table = np.concatenate([counts[:, None], total.reshape(TOKENS, DIMENSIONS)], 1).reshape(TOKENS // SLOTS, -1)
         keys = np.flatnonzero(np.abs(table).sum(1))
@@ -151,7 +151,7 @@ def features(docs: DataFrame, vectors: np.ndarray, text: str = "text", name: str
     schema = docs.select(*[F.col(f"`{c}`") for c in kept], F.lit(b"").alias(name)).schema
 
     def run(batches):
-        for part in chunks(batches, text, 1 << 20):
+        for part in chunks(batches, text):
             values = [row.tobytes() for row in pooled(part.column(text), shared.value)]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(values, pa.binary())], names=[*kept, name])
 

@@ -9,6 +9,7 @@ grows with the data, so that a bucket stays at a few MB.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text for each bucket.
 BUCKET_BYTES = 16 << 20
+#: Bytes of text whose places a task sends together.
+SENT_BYTES = 8 << 20
 ITEMS = "bucket long, items binary"
 PLACES = "_id long, _th int, at binary"
 
@@ -52,12 +55,14 @@ def buckets_for(docs: DataFrame, text: str, each: int = BUCKET_BYTES) -> int:
 
 
 def pack(hashes: list[np.ndarray], row: np.ndarray, at: np.ndarray, more: np.ndarray, ids: np.ndarray, ths: np.ndarray) -> bytes:
-    """Places in the order of their rows as one value: hashes as they are, the rest small."""
+    """Places in the order of their rows as one value: hashes as they are (a single one in six bytes), the rest small."""
     used, counts = np.unique(row, return_counts=True)
     parts = [ids[used].astype(np.int64), ths[used].astype(np.int32), counts.astype(np.int32), at.astype(np.int32), more.astype(np.uint8)]
     head = np.array([len(row), len(used), len(hashes)], np.int64).tobytes()
     small = zstandard.ZstdCompressor(level=1).compress(head + b"".join(p.tobytes() for p in parts))
-    return np.int64(len(small)).tobytes() + small + b"".join(h.tobytes() for h in hashes)
+    # One hash only names candidates, for which six bytes do; several decide.
+    held = hashes if len(hashes) > 1 else [h.view(np.uint8).reshape(-1, 8)[:, 2:] for h in hashes]
+    return np.int64(len(small)).tobytes() + small + b"".join(h.tobytes() for h in held)
 
 
 def unpack(value: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -70,7 +75,12 @@ def unpack(value: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.n
         out.append(np.frombuffer(small, dtype, count, at))
         at += out[-1].nbytes
     ids, ths, counts, places, more = out
-    hashes = [np.frombuffer(value, np.uint64, n, 8 + size + 8 * n * i) for i in range(k)]
+    if k == 1:
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, 2:] = np.frombuffer(value, np.uint8, 6 * n, 8 + size).reshape(-1, 6)
+        hashes = [wide.view(np.uint64)[:, 0]]
+    else:
+        hashes = [np.frombuffer(value, np.uint64, n, 8 + size + 8 * n * i) for i in range(k)]
     return hashes, np.repeat(ids, counts), np.repeat(ths, counts), places, more
 
 
@@ -95,6 +105,27 @@ def packed(hashes: list[np.ndarray], row: np.ndarray, at: np.ndarray, ids: np.nd
     return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(values, pa.binary())], names=["bucket", "items"])
 
 
+def sent(found: Iterable[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Places of pieces of text, given as (hashes, row, position, ids, text hashes, bytes), sent together for many pieces."""
+    held, size = [], 0
+    for piece in found:
+        held.append(piece)
+        size += piece[5]
+        if size >= SENT_BYTES:
+            yield _together(held, buckets)
+            held, size = [], 0
+    if held:
+        yield _together(held, buckets)
+
+
+def _together(held: list[tuple], buckets: int) -> pa.RecordBatch:
+    hashes = [np.concatenate(h) for h in zip(*(piece[0] for piece in held), strict=True)]
+    first = np.cumsum([0, *(len(piece[3]) for piece in held)])
+    row = np.concatenate([piece[1] + n for piece, n in zip(held, first, strict=False)])
+    at, ids, ths = (np.concatenate([piece[k] for piece in held]) for k in (2, 3, 4))
+    return packed(hashes, row, at, ids, ths, buckets)
+
+
 def by_row(ids: np.ndarray, ths: np.ndarray, at: np.ndarray) -> pa.Table:
     """Places as rows of PLACES; a place is a number, or a pair of them."""
     order = np.lexsort((at if at.ndim == 1 else at[:, 0], ths, ids))

@@ -31,8 +31,8 @@ GRAM = 20
 #: A moved stretch holds strings whose minimizer stands at one of so many neighbouring offsets; all of them share
 #: LENGTH - STEP + 1 bytes, by which they are dealt out. So a common minimizer with varied surroundings is dealt to many tasks.
 STEP = 16
-#: Bytes of text for each bucket, of a piece of texts, and of stretches sorted together.
-BUCKET_BYTES, PIECE_BYTES, SORTED_BYTES = 4 << 20, 2 << 20, 3 << 20
+#: Bytes of stretches that are sorted or hashed together.
+SORTED_BYTES = 1_000_000
 #: Marks a text that is, as a whole, a copy of an earlier document's.
 WHOLE = np.array([-1, 0], np.int32)
 
@@ -114,18 +114,22 @@ def suffix_order(text: np.ndarray, at: np.ndarray, first: np.ndarray, length: in
 
     same = np.zeros(n, bool)
     inner = np.flatnonzero(np.arange(n) > begin) if n else np.zeros(0, np.int64)
-    wrong = []
-    for part in np.array_split(inner, max(1, len(inner) // 200_000)):
-        a, b = where[part - 1][:, None] + np.arange(length), where[part][:, None] + np.arange(length)
-        a, b = text[a], text[b]
-        differ = a != b
-        at_ = differ.argmax(1)
-        here = np.arange(len(part))
-        any_ = differ[here, at_] if length else np.zeros(len(part), bool)
-        same[part] = ~any_
-        wrong.append(part[any_ & (a[here, at_] > b[here, at_])])
+    wrong = [inner[:0]]
+    for part in np.array_split(inner, len(inner) // 100_000 + 1):
         # Equal by bytes is equal by hash, so equal ones are neighbours unless a collision has put one elsewhere.
-    for g in np.unique(begin[np.concatenate(wrong)] if wrong else []).astype(int):
+        a, b = where[part - 1], where[part]
+        left = np.ones(len(part), bool)
+        for k in range(0, length, 8):
+            left &= _eight(text, a, min(k, max(0, length - 8))) == _eight(text, b, min(k, max(0, length - 8)))
+        same[part] = left
+        part, a, b = part[~left], a[~left], b[~left]
+        cells = np.arange(length)
+        for some in np.array_split(np.arange(len(part)), len(part) // 10_000 + 1):
+            x, y = text[a[some][:, None] + cells], text[b[some][:, None] + cells]
+            at_ = (x != y).argmax(1)
+            here = np.arange(len(some))
+            wrong.append(part[some][x[here, at_] > y[here, at_]])
+    for g in np.unique(begin[np.concatenate(wrong)]).tolist():
         stop = int(end[g])
         strings = [text[p : p + length].tobytes() for p in at[g:stop]]
         own = sorted(range(stop - g), key=strings.__getitem__)
@@ -134,6 +138,16 @@ def suffix_order(text: np.ndarray, at: np.ndarray, first: np.ndarray, length: in
     return order, same
 
 
+def _eight(text: np.ndarray, at: np.ndarray, shift: int) -> np.ndarray:
+    """Eight bytes of text from each place, as one number; at the very end fewer, padded with zeros."""
+    out = np.zeros(len(at), np.uint64)
+    for k in range(8):
+        place = at + (shift + k)
+        inside = np.minimum(place, len(text) - 1)
+        out |= np.where(place < len(text), text[inside], 0).astype(np.uint64) << np.uint64(8 * k)
+    return out
+
+
 def _stretches(data: np.ndarray, bounds: np.ndarray, anchors: list[np.ndarray], length: int):
     """Stretches of strings around a text's given anchors: key, row, first start, offset of the anchor there, number of strings."""
     starts, at, _ = minimizers(data, bounds, length)
@@ -153,7 +167,7 @@ def _stretches(data: np.ndarray, bounds: np.ndarray, anchors: list[np.ndarray],
 
 
 def _store(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, 5))
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(arrays, 5))
 
 
 def _load(value: bytes) -> tuple[np.ndarray, ...]:
@@ -169,42 +183,51 @@ def _equal_runs(keys: list[np.ndarray], order: np.ndarray) -> np.ndarray:
     return same
 
 
-def _sent(data, bounds, ids, ths, found, buckets: int, length: int) -> pa.RecordBatch:
-    """A piece's stretches by bucket. Of equal ones only those of the least id are sent; larger ids are already decided."""
-    key, row, start, offset, count = found
-    size = count + length - 1
-    own = windows(prefix(data + np.uint64(1), BASES[1]), start, start + size, BASES[1])
-    order = np.lexsort((ids[row], own, count, offset, key))
-    same = _equal_runs([key, offset, count, own], order)
-    # Equal by hash is not enough: bytes decide, against the first of the run.
+def _decided(key, ids, offset, count, content, begin, size) -> np.ndarray:
+    """Which stretches are those of a smaller id again, as a whole, byte by byte."""
+    own = np.zeros(len(key), np.uint64)
+    block = begin // SORTED_BYTES  # a bounded part of the content at a time
+    cuts = np.flatnonzero(np.diff(block, prepend=-1, append=-1))
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        low, high = begin[a], begin[b - 1] + size[b - 1]
+        sums = prefix(content[low:high] + np.uint64(1), BASES[1])
+        own[a:b] = windows(sums, begin[a:b] - low, begin[a:b] - low + size[a:b], BASES[1])
+    name = mixed(key + mixed(own + (offset.astype(np.uint64) << np.uint64(8)) + count.astype(np.uint64)))
+    order = np.lexsort((ids, name))
+    same = _equal_runs([name, key, offset, count, own], order)
     head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
     test = np.flatnonzero(same)
-    for part in np.array_split(test, max(1, len(test) // 50_000)):
+    for part in np.array_split(test, len(test) // 20_000 + 1):
         if len(part):
-            wide = int(size[order[part]].max())
-            cells = np.arange(wide)
-            a, b = (start[order[x]][:, None] + cells for x in (part, head[part]))
-            inside = cells < size[order[part]][:, None]
-            last = len(data) - 1
-            same[part] &= ((data[np.minimum(a, last)] == data[np.minimum(b, last)]) | ~inside).all(1)
-    decided = np.zeros(len(key), bool)
-    decided[order] = same & (ids[row[order]] > ids[row[order[head]]])
+            cells = np.arange(int(size[order[part]].max()))
+            a, b = (begin[order[x]][:, None] + cells for x in (part, head[part]))
+            inside, last = cells < size[order[part]][:, None], len(content) - 1
+            same[part] &= ((content[np.minimum(a, last)] == content[np.minimum(b, last)]) | ~inside).all(1)
+    out = np.zeros(len(key), bool)
+    out[order] = same & (ids[order] > ids[order[head]])
+    return out
+
+
+def _sent(parts: list[tuple], buckets: int, length: int) -> pa.RecordBatch:
+    """Stretches by bucket. Of equal ones only those of the least id are sent; larger ids are already decided."""
+    key, ids, ths, local, offset, count, content = (np.concatenate(c) for c in zip(*parts, strict=True))
+    size = count.astype(np.int64) + length - 1
+    begin = np.cumsum(size) - size
+    decided = _decided(key, ids, offset, count, content, begin, size)
     names, values = [], []
     send = np.flatnonzero(~decided)
-    send = send[np.argsort((key[send] % np.uint64(buckets)).astype(np.int64), kind="stable")]
     bucket = (key[send] % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    send, bucket = send[order], bucket[order]
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
     for a, b in zip(cuts, cuts[1:], strict=False):
         s = send[a:b]
         names.append(int(bucket[a]))
-        local = (start[s] - bounds[row[s]]).astype(np.int32)
-        content = gather(data, start[s], size[s])
-        values.append(_store(key[s], ids[row[s]], ths[row[s]], local, offset[s].astype(np.uint8), count[s].astype(np.uint8), content))
+        values.append(_store(*(c[s] for c in (key, ids, ths, local, offset, count)), gather(content, begin[s], size[s])))
     done = np.flatnonzero(decided)
     if len(done):
         names.append(buckets + int(key[done[0]] % np.uint64(buckets)))
-        at = np.stack([start[done] - bounds[row[done]], count[done]], 1)
-        values.append(_store(ids[row[done]], ths[row[done]], at.astype(np.int32)))
+        values.append(_store(ids[done], ths[done], np.stack([local[done], count[done]], 1).astype(np.int32)))
     return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(values, pa.binary())], names=["bucket", "items"])
 
 
@@ -212,12 +235,20 @@ def _later(key, ids, ths, local, offset, count, content, length: int) -> tuple[n
     """Id, text hash and (start, number) of the runs of strings that a smaller id holds too, among the stretches of a bucket."""
     size = count.astype(np.int64) + length - 1
     begin = np.cumsum(size) - size
-    # Stretches of one key are sorted together, so a bucket can be taken in parts by key.
+    # Stretches of one key are looked at together, so a bucket can be taken in parts by key.
     part = mixed(key) % np.uint64(max(1, math.ceil(len(content) / SORTED_BYTES)))
-    found = []
+    found = [(ids[:0], ths[:0], np.zeros((0, 2), np.int32))]
     for k in np.unique(part):
         s = np.flatnonzero(part == k)
-        flags, bounds = _later_flags(key[s], ids[s], offset[s], count[s], gather(content, begin[s], size[s]), length)
+        text = gather(content, begin[s], size[s])
+        here = np.cumsum(size[s]) - size[s]
+        decided = _decided(key[s], ids[s], offset[s], count[s], text, here, size[s])
+        found.append((ids[s][decided], ths[s][decided], np.stack([local[s][decided], count[s][decided]], 1).astype(np.int32)))
+        # Among different stretches only those that share their key with another can hold equal strings.
+        s, here = s[~decided], here[~decided]
+        _, which, times = np.unique(key[s], return_inverse=True, return_counts=True)
+        s, here = s[times[which] > 1], here[times[which] > 1]
+        flags, bounds = _later_flags(key[s], ids[s], offset[s], count[s], gather(text, here, size[s]), length)
         first, last, of = runs(flags, bounds)
         found.append((ids[s][of], ths[s][of], np.stack([local[s][of] + first - bounds[of], last - first], 1).astype(np.int32)))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
@@ -248,7 +279,7 @@ def _later_flags(key, ids, offset, count, content, length: int) -> tuple[np.ndar
 
 def earlier_strings(docs: DataFrame, moved: DataFrame, text: str, length: int = LENGTH) -> DataFrame:
     """For each text (`_id`, `_th`) with such strings: `_at`, (start, number) of runs of them, or WHOLE for an earlier text's copy."""
-    buckets = repeats.buckets_for(docs, text, BUCKET_BYTES)
+    buckets = repeats.buckets_for(docs, text)
     digest = docs.select("_id", "_th", F.sha2(F.coalesce(repeats.plain(text), F.lit("")), 256).alias("_digest"))
     first = digest.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last")).filter("_last > _first")
     copies = digest.join(first, "_digest").filter("_id > _first").select("_id", "_th").distinct()
@@ -256,19 +287,31 @@ def earlier_strings(docs: DataFrame, moved: DataFrame, text: str, length: int =
     marked = moved.join(copies.withColumn("_copy", F.lit(True)), ["_id", "_th"], "left")
     single = marked.filter("_copy IS NULL").drop("_copy")
 
-    def sketch(batches):
-        for part in chunks(batches, text, PIECE_BYTES):
+    def anchors(batches):
+        for part in chunks(batches, text):
             data, bounds = raw(part.column(text))
-            yield repeats.packed(*_anchors(data, bounds, length), *_keys(part), buckets)
+            yield *_anchors(data, bounds, length), *_keys(part), len(data)
+
+    def sketch(batches):
+        yield from repeats.sent(anchors(batches), buckets)
 
     shared = repeats.per_text(repeats.repeated(single.mapInArrow(sketch, repeats.ITEMS), buckets))
     held = moved.join(shared, ["_id", "_th"])
 
     def stretch(batches):
-        for part in chunks(batches, text, PIECE_BYTES):
+        held, total = [], 0
+        for part in chunks(batches, text):
             data, bounds = raw(part.column(text))
-            found = _stretches(data, bounds, repeats.numbers(part.column("_at")), length)
-            yield _sent(data, bounds, *_keys(part), found, buckets, length)
+            key, row, start, offset, count = _stretches(data, bounds, repeats.numbers(part.column("_at")), length)
+            ids, ths = (k[row] for k in _keys(part))
+            narrow = ((start - bounds[row]).astype(np.int32), offset.astype(np.uint8), count.astype(np.uint8))
+            held.append((key, ids, ths, *narrow, gather(data, start, count + length - 1)))
+            total += len(data)
+            if total >= repeats.SENT_BYTES:
+                yield _sent(held, buckets, length)
+                held, total = [], 0
+        if held:
+            yield _sent(held, buckets, length)
 
     def sort(key, group):
         parts = [_load(v.as_py()) for c in group.column("items").chunks for v in c]
@@ -303,7 +346,7 @@ def remove_earlier(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kept, schema = rows.columns, T.StructType(rows.schema.fields + added)
 
     def cut(batches):
-        for part in chunks(batches, "_text", PIECE_BYTES):
+        for part in chunks(batches, "_text"):
             data, bounds = raw(part.column("_text"))
             lists = part.column("_at").to_pylist()
             found = np.frombuffer(b"".join(b for row_ in lists for b in row_ or ()), np.int32).reshape(-1, 2).astype(np.int64)

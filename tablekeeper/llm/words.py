@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text handled at once in a task; one longer text is handled alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
