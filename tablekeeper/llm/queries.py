@@ -69,7 +69,24 @@ def op9(spark, folder):
     )
 
 
-@query("op7_passage_anchors")
+@query(
+    "op7_passage_anchors",
+    r"""WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    hashed AS (
+        SELECT doc_id, list_transform(range(1, len(words) - 33), lambda i: md5(array_to_string(words[i:i + 34], ' '))) AS hs
+        FROM texts WHERE len(words) >= 35),
+    windows AS (SELECT doc_id, unnest(hs) AS h, unnest(range(1, len(hs) + 1)) AS s FROM hashed),
+    again AS (SELECT doc_id, s FROM (SELECT *, count(*) OVER (PARTITION BY h) AS n FROM windows) WHERE n > 1),
+    placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM texts),
+    judged AS (
+        SELECT p.doc_id, word, i, coalesce(max(s) OVER (PARTITION BY p.doc_id ORDER BY i) >= i - 34, false) AS gone
+        FROM placed p LEFT JOIN again a ON a.doc_id = p.doc_id AND a.s = p.i),
+    cut AS (
+        SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+        FROM judged GROUP BY doc_id)
+    SELECT t.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM texts t LEFT JOIN cut ON cut.doc_id = t.doc_id""",
+)
 def op7(spark, folder):
     cut = passages.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return cut.select(
@@ -80,7 +97,29 @@ def op7(spark, folder):
     )
 
 
-@query("op6_suffix_sort")
+@query(
+    "op6_suffix_sort",
+    r"""WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS t FROM documents),
+    hashed AS (
+        SELECT doc_id, list_transform(range(0, length(t) // 2 - 49), lambda i: md5(t[2 * i + 1:2 * i + 100])) AS hs
+        FROM texts WHERE length(t) >= 100),
+    strings AS (SELECT doc_id, unnest(hs) AS h, unnest(range(0, len(hs))) AS s FROM hashed),
+    later AS (SELECT doc_id, s FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS first FROM strings) WHERE first < doc_id),
+    edges AS (SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM later),
+    starts AS (
+        SELECT doc_id, s, count(*) FILTER (before IS NULL OR s > before + 50) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM edges),
+    runs AS (SELECT doc_id, run, min(s) AS a, max(s) + 50 AS b FROM starts GROUP BY doc_id, run),
+    gaps AS (
+        SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z,
+            lead(a) OVER (PARTITION BY doc_id ORDER BY a) IS NULL AS last FROM runs),
+    cut AS (
+        SELECT g.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+            string_agg(t[2 * z + 1:2 * a] || CASE WHEN last THEN t[2 * b + 1:] ELSE '' END, '' ORDER BY a) AS kept
+        FROM gaps g JOIN texts USING (doc_id) GROUP BY g.doc_id)
+    SELECT x.doc_id, (length(t) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+        coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(CASE WHEN n_spans IS NULL THEN t ELSE kept END)) AS kept_sha256
+    FROM texts x LEFT JOIN cut ON cut.doc_id = x.doc_id""",
+)
 def op6(spark, folder):
     cut = suffixes.remove_earlier(table(spark, folder, "documents").select("doc_id", "text"))
     return cut.select(

@@ -11,6 +11,7 @@ import pytest
 import tiktoken
 
 from tablekeeper.llm import bpe, language, licences, quality, repetition
+from tablekeeper.llm.queries import QUERIES
 from tablekeeper.llm.words import chunks, words_of
 from tests.llm import plain
 
@@ -200,3 +201,40 @@ def test_licences_whole_texts_only(spark):
         key=str,
     )
     assert licences.scan(docs.limit(0), licences.known_licences(spark)).count() == 0
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+
+
+def test_query_of_bpe_equals_the_library(spark, small, reference):
+    found = {r[0]: tuple(r[1:]) for r in QUERIES["op2_byte_bpe"](spark, SMALL).collect()}
+    assert found.keys() == small.keys()
+    for i, text in small.items():
+        ids = reference.encode_ordinary(text or "")
+        assert found[i] == (len(ids), plain.sha(" ".join(map(str, ids))), plain.sha((text or "").encode()))
+
+
+def test_query_of_repetition_equals_brute_force(spark, small):
+    found = {r["doc_id"]: r for r in QUERIES["op1_suffix_repetition"](spark, SMALL).collect()}
+    assert found.keys() == small.keys()
+    for i, text in small.items():
+        if len(text or "") < 2500:
+            n, chars, symbols, lines, again, covered, repeats, longest = brute_repetition(text, repetition.LEAST_REPEAT)
+            failed = n < 50 or 100 * again > 50 * n
+            kept = not failed and covered <= repetition.MOST_COVERED * n and longest <= repetition.LONGEST_REPEAT
+            got = found[i]
+            assert (got.n_words, got.word_chars, got.n_symbols, got.n_dup_lines, got.n_repeat_words) == (n, chars, symbols, lines, again)
+            assert (got.base_failed, got.kept) == (failed, kept)
+            assert (got.n_covered_words, got.n_maximal_repeats, got.longest_repeat) == (covered, repeats, longest)
+
+
+def test_query_of_quality_is_right_on_held_out_rows(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    found = [r for r in QUERIES["op4_random_indexing"](spark, folder).collect() if r["held_out"] and r["doc_id"] in labels]
+    assert np.mean([r["predicted"] == labels[r["doc_id"]] for r in found]) > 0.93
