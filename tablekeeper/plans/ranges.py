@@ -98,7 +98,9 @@ def range_join(
     without_clash(target, criteria.columns)
     named = [name for name in (lower, upper) if name]
     kinds = [target.schema[column].dataType, *[criteria.schema[n].dataType for n in named]]
-    common = comparison_type([k for k in kinds if not isinstance(k, T.NullType)])
+    untyped = any(isinstance(k, T.NullType) for k in kinds)
+    kinds = [kinds[0] if isinstance(k, T.NullType) else k for k in kinds]
+    common = comparison_type(kinds) or (kinds[0] if untyped else None)
 
     def same(name: str) -> Column:
         return col(name) if common is None else col(name).try_cast(common)
