@@ -23,11 +23,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tablekeeper.llm.words import chunks
+from tablekeeper.llm.words import chunks, give_back
 
 #: Text whose different pre-tokens are merged together, and text cut or decoded at once, in bytes.
-PIECE_BYTES = 32 << 20
-SLICE_BYTES = 4 << 20
+PIECE_BYTES = 12 << 20
+SLICE_BYTES = 1_000_000
 
 NO_RANK = np.int32(2**31 - 1)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -157,16 +157,18 @@ def merge(ranks: Ranks, data: np.ndarray, bounds: np.ndarray, together: bool = T
     """
     n = len(data)
     symbols = np.concatenate([ranks.of_byte[data], np.array([-1], np.int32)])
-    follows, before = np.arange(1, n + 2), np.arange(-1, n)
+    follows, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
     filled = np.diff(bounds) > 0
     follows[bounds[1:][filled] - 1] = n
     before[bounds[:-1][filled]] = n
     pair = np.full(n + 1, NO_RANK, np.int32)
-    pair[:n] = ranks.of_pairs(symbols[:n], symbols[follows[:n]])
     queue = RankQueue(ranks.size)
-    known = np.flatnonzero(pair != NO_RANK)
-    if len(known):
-        queue.push_all(pair[known], known)
+    for at in range(0, n, 1 << 18):  # in blocks, to hold little beside the list
+        here = slice(at, min(n, at + (1 << 18)))
+        pair[here] = ranks.of_pairs(symbols[here], symbols[follows[here]])
+        known = (at + np.flatnonzero(pair[here] != NO_RANK)).astype(np.int32)
+        if len(known):
+            queue.push_all(pair[known], known)
     try:
         while (found := queue.pop()) is not None:
             rank, at = found
@@ -226,9 +228,10 @@ def _pieces(ranks: Ranks, pattern: str, column: str, batches: Iterator[pa.Record
     find = regex.compile(pattern).findall
 
     def finish():
-        tokens = [t.encode() for t in codes]
-        bounds = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
-        ids, starts = merge(ranks, np.frombuffer(b"".join(tokens), np.uint8), bounds)
+        lengths = np.fromiter((len(t.encode()) for t in codes), np.int64, len(codes))
+        data = np.frombuffer("".join(codes).encode(), np.uint8)
+        codes.clear()
+        ids, starts = merge(ranks, data, np.concatenate([[0], np.cumsum(lengths)]))
         counts = np.diff(starts)
         for part, of_part, rows in held:
             lengths = counts[of_part]
@@ -246,10 +249,11 @@ def _pieces(ranks: Ranks, pattern: str, column: str, batches: Iterator[pa.Record
         size += part.column(column).nbytes
         if size >= PIECE_BYTES:
             yield from finish()
-            codes.clear()
             held, size = [], 0
     if held:
         yield from finish()
+        held.clear()
+    give_back()
 
 
 def _with(docs: DataFrame, **added: T.DataType) -> T.StructType:

@@ -65,13 +65,14 @@ def _state(links: DataFrame) -> tuple:
     return tuple(row)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, reduced: bool = False) -> DataFrame:
     """`node`, `root` for every node that has a link, root being the least node it is connected with.
 
-    `links` has long columns `a` and `b`; links with a null, and of a node to itself, are ignored.
+    `links` has long columns `a` and `b`; links with a null, and of a node to itself, are ignored. `reduced` links are already
+    forests from Python tasks, (node, smaller node), which then need no second Python worker beside the first.
     """
     edges = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b")
-    edges = _local(edges).distinct()  # a: node, b: a smaller one
+    edges = (edges if reduced else _local(edges)).distinct()  # a: node, b: a smaller one
     edges = stored(edges, "links")
     state = _state(edges)
     while state[0]:

@@ -17,6 +17,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablekeeper.llm.words import give_back
+
 #: Bytes of text for each bucket.
 BUCKET_BYTES = 16 << 20
 #: Bytes of text whose places a task sends together.
@@ -146,6 +148,7 @@ def repeated(items: DataFrame, buckets: int) -> DataFrame:
     """Rows of PLACES: the places whose hash occurs at another place too, in several rows per text."""
 
     def run(key, group):
+        give_back()
         parts = [unpack(v.as_py()) for c in group.column("items").chunks for v in c]
         ids, ths, at, twice = (np.concatenate([p[i] for p in parts]) for i in range(1, 5))
         if key[0].as_py() >= buckets:

@@ -169,7 +169,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: i
     """
     prints = stored(fingerprints(docs.select(doc_id, *more, text), text), "prints")
     each = prints.groupBy("_fp").agg(F.min(doc_id).alias("_least"))
-    roots = components(near_links(each.select("_fp"), most))
+    roots = components(near_links(each.select("_fp"), most), reduced=True)
     rooted = each.join(roots.withColumnRenamed("node", "_fp"), "_fp", "left")
     rooted = rooted.withColumn("_root", F.coalesce("root", "_fp"))
     named = rooted.groupBy("_root").agg(F.min("_least").alias("_component"))

@@ -6,6 +6,8 @@ bytes in UTF-8, so words are found on bytes, without decoding.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -17,14 +19,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text handled at once in a task; one longer text is handled alone.
 CHUNK_BYTES = 1_000_000
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker serves many tasks and would keep what its largest one used."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of at most `limit` bytes of that column, one row at least."""
+    give_back()
     for batch in batches:
         sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
         ends = np.cumsum(sizes)
@@ -34,6 +45,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    give_back()
 
 
 def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
