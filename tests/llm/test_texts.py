@@ -203,6 +203,32 @@ def test_licences_whole_texts_only(spark):
     assert licences.scan(docs.limit(0), licences.known_licences(spark)).count() == 0
 
 
+def test_licences_with_titles_in_runs_of_paragraphs_and_beyond_copyright_lines(spark):
+    text = dict(licences.TEXTS)
+    gpl = (licences.FOLDER / "GPL-3.0.txt").read_text()
+    apache = (licences.FOLDER / "Apache-2.0.txt").read_text()
+    holder = "Copyright (c) 2020 Some One"
+    cases = {
+        1: (f"MIT License\n\n{holder}\n\n{text['MIT']}", "MIT", True),
+        2: (f"BSD 3-Clause License\n\n{holder}\nAll rights reserved.\n\n{text['BSD-3-Clause']}", "BSD-3-Clause", True),
+        3: (f"Read me\n\nSome words.\n\n{text['MIT']}\n\nMore words.", "MIT", False),
+        4: (f"A file\n{holder}. Licensed under the MIT License.\ncode", "MIT", False),
+        5: (f"{holder}. All rights reserved. Released under the MIT License.", "MIT", True),
+        6: (text["MIT"].replace("The above copyright", "The above\ncopyright"), "MIT", True),
+        7: ("# SPDX-License-Identifier: LGPL-2.1-or-later\nimport os", "LGPL-2.1-or-later", False),
+        8: (gpl, "GPL-3.0", True),
+        9: (f"Preface\n\n{apache}\n\nAppended", "Apache-2.0", False),
+        10: ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License "
+             "as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n\n"
+             "x", "GPL-3.0-or-later", False),
+        11: (f"MIT License\n\n{holder}\n\n{text['MIT'][:-20]}", "", False),
+        12: ("Copyright law is in dispute. Some words on it.", "", False),
+    }
+    docs = spark.createDataFrame([(i, c[0]) for i, c in cases.items()], "doc_id long, text string")
+    found = {r["doc_id"]: (r["licences"], r["whole_text"]) for r in licences.scan(docs, licences.known_licences(spark)).collect()}
+    assert found == {i: c[1:] for i, c in cases.items()}
+
+
 SMALL = "/root/testdata/sf0.001"
 
 
