@@ -33,6 +33,8 @@ GRAM = 20
 STEP = 16
 #: Bytes of stretches that are sorted or hashed together.
 SORTED_BYTES = 1_000_000
+#: Bytes of different stretches of one key beyond which its strings are dealt out one by one, by all their bytes.
+HOT_BYTES = 16 << 20
 #: Marks a text that is, as a whole, a copy of an earlier document's.
 WHOLE = np.array([-1, 0], np.int32)
 
@@ -148,13 +150,17 @@ def _eight(text: np.ndarray, at: np.ndarray, shift: int) -> np.ndarray:
     return out
 
 
-def _stretches(data: np.ndarray, bounds: np.ndarray, anchors: list[np.ndarray], length: int):
-    """Stretches of strings around a text's given anchors: key, row, first start, offset of the anchor there, number of strings."""
+def _stretches(data: np.ndarray, bounds: np.ndarray, anchors: list[np.ndarray] | None, length: int, hot: np.ndarray | None = None):
+    """Stretches of strings around a text's given anchors: key, row, first start, offset of the anchor there, number of strings.
+
+    Without anchors, around all. Each string at a key of `hot` is a stretch of its own, with a key by its bytes and the offset.
+    """
     starts, at, _ = minimizers(data, bounds, length)
-    wanted = np.zeros(len(data) + 1, bool)
-    wanted[np.concatenate([a + b for a, b in zip(anchors, bounds, strict=False)] + [np.zeros(0)]).astype(np.int64)] = True
-    chosen = wanted[at]
-    starts, at = starts[chosen], at[chosen]
+    if anchors is not None:
+        wanted = np.zeros(len(data) + 1, bool)
+        wanted[np.concatenate([a + b for a, b in zip(anchors, bounds, strict=False)] + [np.zeros(0)]).astype(np.int64)] = True
+        chosen = wanted[at]
+        starts, at = starts[chosen], at[chosen]
     offset = at - starts
     new = np.flatnonzero((np.diff(at, prepend=-1) != 0) | (np.diff(offset // STEP, prepend=-1) != 0))
     counts = np.diff(new, append=len(starts))
@@ -162,10 +168,40 @@ def _stretches(data: np.ndarray, bounds: np.ndarray, anchors: list[np.ndarray],
     high = np.minimum(low + STEP - 1, length - GRAM)
     sums = prefix(data + np.uint64(1), BASES[0])
     key = windows(sums, at[new] - low, at[new] - high + length, BASES[0]) + low.astype(np.uint64)
+    if hot is not None and len(hot) and (is_hot := np.isin(key, hot)).any():
+        each = np.where(is_hot, counts, 1)
+        of = np.repeat(np.arange(len(new)), each)
+        new = new[of] + np.arange(len(of)) - np.repeat(np.cumsum(each) - each, each)
+        single, key, counts = is_hot[of], key[of], np.where(is_hot, 1, counts)[of]
+        first = starts[new[single]]
+        own = windows(sums, first, first + length, BASES[0])
+        key[single] = mixed(key[single] + mixed(own + offset[new[single]].astype(np.uint64)))
     row = np.searchsorted(bounds, starts[new], side="right") - 1
     return key, row, starts[new], offset[new], counts
 
 
+def hot_keys(docs: DataFrame, text: str, length: int, rate: int, most: int) -> np.ndarray:
+    """Keys whose different stretches make over `most` bytes, as estimated from one of `rate` texts.
+
+    All tasks split the strings of the same keys, so results do not depend on the estimate.
+    """
+
+    def run(batches):
+        for part in chunks(batches, text):
+            data, bounds = raw(part.column(text))
+            key, _, start, _, count = _stretches(data, bounds, None, length)
+            sums = prefix(data + np.uint64(1), BASES[1])
+            own = windows(sums, start, start + count + length - 1, BASES[1])
+            columns = [pa.array(k.view(np.int64), pa.int64()) for k in (key, own)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "own"])
+
+    sample = docs.filter(F.pmod(F.xxhash64("_id", "_th"), F.lit(rate)) == 0).select(text)
+    each = sample.mapInArrow(run, "key long, own long").distinct().groupBy("key").count()
+    # A stretch of a line that stands in other surroundings each time has about this many bytes; few in the sample tell nothing.
+    found = each.filter(F.col("count") >= max(4, math.ceil(most / (length + STEP - 1) / rate))).select("key").collect()
+    return np.sort(np.array([r[0] for r in found], np.int64).view(np.uint64))
+
+
 def _store(*arrays: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(arrays, 5))
 
@@ -277,9 +313,10 @@ def _later_flags(key, ids, offset, count, content, length: int) -> tuple[np.ndar
     return flags, bounds
 
 
-def earlier_strings(docs: DataFrame, moved: DataFrame, text: str, length: int = LENGTH) -> DataFrame:
+def earlier_strings(docs: DataFrame, moved: DataFrame, text: str, length: int = LENGTH, most: int = HOT_BYTES) -> DataFrame:
     """For each text (`_id`, `_th`) with such strings: `_at`, (start, number) of runs of them, or WHOLE for an earlier text's copy."""
     buckets = repeats.buckets_for(docs, text)
+    hot = hot_keys(docs, text, length, buckets, most)
     digest = docs.select("_id", "_th", F.sha2(F.coalesce(repeats.plain(text), F.lit("")), 256).alias("_digest"))
     first = digest.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last")).filter("_last > _first")
     copies = digest.join(first, "_digest").filter("_id > _first").select("_id", "_th").distinct()
@@ -302,7 +339,7 @@ def earlier_strings(docs: DataFrame, moved: DataFrame, text: str, length: int =
         held, total = [], 0
         for part in chunks(batches, text):
             data, bounds = raw(part.column(text))
-            key, row, start, offset, count = _stretches(data, bounds, repeats.numbers(part.column("_at")), length)
+            key, row, start, offset, count = _stretches(data, bounds, repeats.numbers(part.column("_at")), length, hot)
             ids, ths = (k[row] for k in _keys(part))
             narrow = ((start - bounds[row]).astype(np.int32), offset.astype(np.uint8), count.astype(np.uint8))
             held.append((key, ids, ths, *narrow, gather(data, start, count + length - 1)))
@@ -327,11 +364,13 @@ def _keys(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return part.column("_id").to_numpy(), part.column("_th").to_numpy()
 
 
-def remove_earlier(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+def remove_earlier(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, most: int = HOT_BYTES
+) -> DataFrame:
     """The rows with `_n_bytes`, `_n_removed`, `_spans` (removed runs, in bytes) and `_kept`, the remaining bytes.
 
     Null and empty texts have no bytes. A text shorter than `length` loses nothing. Rows that share a doc_id take nothing from
-    each other; a null doc_id counts as the largest long. Columns named like the four added ones are replaced.
+    each other; a null doc_id counts as the largest long. A key of stretches of over `most` bytes is split by string. Columns named like the four added ones are replaced.
     """
     added = [
         T.StructField("_n_bytes", T.LongType()),
@@ -342,7 +381,7 @@ def remove_earlier(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = repeats.enclosed(docs, doc_id, text)
     keyed = repeats.keyed(rows, "_doc", "_text")
     moved = keyed.repartition("_id", "_th")
-    joined = moved.join(earlier_strings(keyed, moved, "_text", length), ["_id", "_th"], "left")
+    joined = moved.join(earlier_strings(keyed, moved, "_text", length, most), ["_id", "_th"], "left")
     kept, schema = rows.columns, T.StructType(rows.schema.fields + added)
 
     def cut(batches):

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -65,6 +66,25 @@ def test_earlier_strings_equal_brute_force(spark, shared):
     assert suffixes.remove_earlier(docs.limit(0)).count() == 0
 
 
+def test_suffix_strings_of_a_hot_key_are_dealt_out_by_their_bytes(spark, shared):
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    line, edges = "A line of boilerplate, which all documents hold", [noise(70) for _ in range(40)]
+    rows = [(i, rng.choice([noise(70), rng.choice(edges)]) + line + rng.choice([noise(70), rng.choice(edges)])) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = suffixes.repeats.keyed(docs, "doc_id", "text")
+    hot = suffixes.hot_keys(keyed, "text", 50, 1, 5000)
+    assert len(hot) and not len(suffixes.hot_keys(keyed, "text", 50, 1, suffixes.HOT_BYTES))
+    data, bounds = suffixes.raw(pa.array([t for _, t in rows]))
+    most = lambda key: np.unique(key, return_counts=True)[1].max()
+    before, after = (suffixes._stretches(data, bounds, None, 50, h) for h in (None, hot))
+    assert most(before[0]) > 200 > 60 > most(after[0]) and before[4].sum() == after[4].sum()
+    for some, most_ in ((rows, 5000), (shared[0], 500)):
+        found = suffixes.remove_earlier(spark.createDataFrame(some, "doc_id long, text string"), most=most_).collect()
+        got = sorted((str(r["doc_id"]), r["_n_bytes"], r["_n_removed"], len(r["_spans"]), bytes(r["_kept"])) for r in found)
+        assert got == sorted((str(i), n, k, s, b) for (i, _), (n, k, s, b) in zip(some, plain.earlier(some, 50)))
+
+
 def test_suffix_order_sorts_inside_groups_even_if_hashes_collide(monkeypatch):
     rng = random.Random(2)
     text = np.array([rng.choice(b"ab") for _ in range(3000)], np.uint8)
