@@ -5,7 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablekeeper.llm import bpe, language, licences, mixing, passages, quality, repetition, simhash, suffixes, vectors
+from tablekeeper.llm import (
+    bpe,
+    language,
+    licences,
+    mixing,
+    passages,
+    quality,
+    repetition,
+    simhash,
+    suffixes,
+    vectors,
+    whitening,
+)
 from tablekeeper.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -179,3 +191,19 @@ def op3(spark, folder):
 @query("op8_licence_digests", licences.scan_sql())
 def op8(spark, folder):
     return licences.scan(table(spark, folder, "documents").select("doc_id", "text"), licences.known_licences(spark))
+
+
+@query("op11_whitening")
+def op11(spark, folder):
+    found = whitening.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    each = found.select("*", F.posexplode("_whitened").alias("at", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        F.col("_n").alias("n"),
+        F.expr("try_cast(_deviation AS long)").alias("deviation"),
+        "whitened",
+        F.col("_explained")[F.col("at")].alias("explained"),
+        F.col("_identity_error").alias("identity_error"),
+        F.col("_deviation").alias("deviation_exact"),
+    )
