@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablekeeper.llm import (
     bpe,
+    dialogue,
     language,
     licences,
     mixing,
@@ -207,3 +208,39 @@ def op11(spark, folder):
         F.col("_identity_error").alias("identity_error"),
         F.col("_deviation").alias("deviation_exact"),
     )
+
+
+def damaged(rows):
+    """The rows of conversations after a fault chosen by their place; a null counts as one space."""
+    place = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    fault = F.crc32(F.concat(place[0], F.lit(":"), place[1])) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(role).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("times"),
+    )
+
+
+@query("op12_dialogue_repair")
+def op12(spark, folder):
+    rows = damaged(table(spark, folder, "conversations"))
+    left = rows.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("times"))))
+    told = dialogue.reports(dialogue.repair(left))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    found = told.select(
+        F.col("_c").alias("conv_id"),
+        *(F.col(f"_{c}").alias(c) for c in counts),
+        F.col("_audit").alias("audit"),
+        F.col("_sha256").alias("repaired_sha256"),
+    )
+    gone = rows.groupBy("conv_id").agg(F.max("times").alias("times")).filter("times = 0")
+    nothing = gone.select(
+        "conv_id",
+        *(F.lit(0).cast("long").alias(c) for c in counts),
+        F.lit("").alias("audit"),
+        F.sha2(F.lit(b""), 256).alias("repaired_sha256"),
+    )
+    return found.union(nothing)
