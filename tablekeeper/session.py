@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +25,8 @@ SETTINGS = {
 }
 
 
+ROOT = str(Path(__file__).resolve().parents[1])
+
 # Fixed value: bytes one shuffle task should read.
 TASK_BYTES = 200 * 1024**2
 
@@ -50,6 +54,13 @@ def build_session(
     return builder.getOrCreate()
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that see this folder import the package from it, however the driver found it."""
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, known]))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the session names. Only a local session without one (as in tests) gets a temporary folder.
 

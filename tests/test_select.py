@@ -149,8 +149,8 @@ def test_contains_join_matches_brute_force(rows):
     expected = sorted(
         ((i, t) for i, s in enumerate(texts) for t in terms if s is not None and t is not None and t in s), key=repr
     )
-    for bound in (0, 1000):
-        found = contains_join(target, wanted, "s", "t", compare_rows=bound).select("i", "t")
+    for bound, automaton in ((0, 0), (0, 1000), (1000, 0)):
+        found = contains_join(target, wanted, "s", "t", compare_rows=bound, automaton_terms=automaton).select("i", "t")
         assert table(found) == expected
 
 
@@ -259,6 +259,6 @@ def test_substrings_of_many_terms_match_brute_force(rows):
     target = rows("i int, s string", list(enumerate(texts)))
     wanted = rows("j int, t string", list(enumerate(terms)))
     expected = sorted((i, j) for i, s in enumerate(texts) for j, t in enumerate(terms) if s is not None and t is not None and t in s)
-    for bound in (0, 1000):
-        found = contains_join(target, wanted, "s", "t", compare_rows=bound).select("i", "j").collect()
+    for bound, automaton in ((0, 0), (0, 1000), (1000, 0)):
+        found = contains_join(target, wanted, "s", "t", compare_rows=bound, automaton_terms=automaton).select("i", "j").collect()
         assert sorted(map(tuple, found)) == expected

@@ -264,14 +264,36 @@ def audit_breakdown(load):
     )
 
 
+@query("SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)")
+def select_contains(load):
+    """Which documents hold which benchmark passage."""
+    docs = load("documents").select("doc_id", "text")
+    return contains_join(docs, load("benchmark").withColumnRenamed("text", "term"), "text", "term").select("item_id", "doc_id")
+
+
 @query(
-    """SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, substr(b.text, 1, 40))"""
+    """WITH t AS (SELECT DISTINCT unnest(string_split(text, '. ')) AS sentence FROM benchmark WHERE text IS NOT NULL)
+    SELECT t.sentence, count(*) AS documents FROM t JOIN documents d ON contains(d.text, t.sentence) GROUP BY t.sentence"""
 )
-def select_contains(load):
-    """Which documents hold the beginning of which benchmark passage; every term goes the way of many terms."""
-    terms = load("benchmark").select("item_id", F.substring("text", 1, 40).alias("term"))
+def select_contains_sentences(load):
+    """How many documents hold each sentence of the benchmark passages, by an automaton of all sentences."""
     docs = load("documents").select("doc_id", "text")
-    return contains_join(docs, terms, "text", "term", compare_rows=0).select("item_id", "doc_id")
+    sentences = load("benchmark").select(F.explode(F.split("text", r"\. ")).alias("sentence")).distinct()
+    return contains_join(docs, sentences, "text", "sentence").groupBy("sentence").agg(F.count("*").alias("documents"))
+
+
+@query(
+    """WITH w AS (SELECT DISTINCT unnest(string_split(lower(n_name), ' ')) AS word FROM nation UNION
+        SELECT DISTINCT p_type FROM part UNION SELECT DISTINCT left(c_name, 16) FROM customer)
+    SELECT w.word, c.c_custkey FROM w JOIN customer c ON contains(c.c_name, w.word)"""
+)
+def select_contains_many(load):
+    """Beginnings of customers' names among other terms, the way of more terms than an automaton takes."""
+    terms = load("nation").select(F.explode(F.split(F.lower("n_name"), " ")).alias("word"))
+    terms = terms.union(load("part").select("p_type")).union(load("customer").select(F.left("c_name", F.lit(16))))
+    names = load("customer").select("c_custkey", "c_name")
+    found = contains_join(names, terms.distinct(), "c_name", "word", compare_rows=0, automaton_terms=0)
+    return found.select("word", "c_custkey")
 
 
 @query(
