@@ -68,8 +68,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     """The documents with `_size`, `_source_size`, `_target` and `_copies`, how often the mix takes each.
 
     Null text has size 0; a null source is a source of its own. A source of size 0 has target 0 and its
-    documents, all without words, are taken 0 times. Rows that are alike in id draw alike. An empty table gives
-    an empty result. The per-source table has one row per source and is joined with whatever join fits its size.
+    documents, all without words, are taken 0 times. A row draws by its id and text, so rows that are alike in both draw alike,
+    while others under a null or shared id do not. An empty table gives an empty result. The per-source table has one row per source and is joined with whatever join fits its size.
     """
     own = [F.col(f"`{c}`") for c in docs.columns if c not in ADDED]
     sized = docs.select(*own, size_of(F.col(text)).alias("_size"))
@@ -79,7 +79,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     # Sources that no longer carry words cannot divide.
     rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate)
-    once_more = draw(F.lit(seed), F.col(doc_id)) < rate - whole
+    once_more = draw(F.lit(seed), F.col(doc_id), F.md5(F.coalesce(F.col(text), F.lit("")))) < rate - whole
     joined = sized.join(plan, sized[source].eqNullSafe(plan["_plan_source"]), "inner").drop("_plan_source")
     return joined.withColumn("_copies", (whole + once_more.cast("long")).cast("long"))
 

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tablekeeper.llm import repeats
 from tablekeeper.llm.hashing import BASES, prefix, windows, word_hashes
-from tablekeeper.llm.words import Words, chunks, words_of
+from tablekeeper.llm.words import Words, chunks, raw, word_starts, words_of
 
 WINDOW = 35
 #: Perfect difference sets; every residue modulo the period is a difference of two members.
@@ -127,10 +127,23 @@ def runs(covered: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(bounds, starts, side="right") - 1
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+def uncovered(texts: pa.Array, covered: np.ndarray) -> pa.Array:
+    """The texts as they stand without the covered words and the white space behind each."""
+    data, bounds = raw(texts)
+    starts = word_starts(data, bounds)
+    ends = np.minimum(np.append(starts[1:], len(data)), bounds[np.searchsorted(bounds, starts, side="right")])
+    gone = spread(starts[covered], ends[covered], len(data))
+    lost = np.concatenate([[0], np.cumsum(gone)])[bounds]
+    left = pa.py_buffer(np.ascontiguousarray(data[~gone]))
+    return pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer((bounds - lost).astype(np.int64)), left)
+
+
+def remove_repeats(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, as_it_stands: bool = False
+) -> DataFrame:
     """The rows with `_n_words`, `_n_removed`, `_spans` (removed runs, in words) and `_kept`, the other words by one space.
 
-    Null and empty texts have no words and keep the empty text. Texts shorter than a window are never touched. Repeated
+    `as_it_stands`: `_kept` keeps the white space and lines between the words that stay. Null and empty texts have no words and keep the empty text. Texts shorter than a window are never touched. Repeated
     rows repeat each other's windows and lose them. Columns named like the four added ones are replaced.
     """
     rows = repeats.enclosed(docs, doc_id, text)
@@ -167,7 +180,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     pa.array(np.diff(words.rows), pa.int64()),
                     pa.array(np.diff(lost), pa.int64()),
                     spans,
-                    words.only(~covered).joined().cast(pa.string()),
+                    (uncovered(part.column("_text"), covered) if as_it_stands else words.only(~covered).joined()).cast(pa.string()),
                 ],
                 names=schema.names,
             )

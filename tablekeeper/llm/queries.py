@@ -28,7 +28,8 @@ __all__ = ["ORACLES", "QUERIES"]
 @query(
     "op10_source_mix",
     r"""WITH sized AS (
-        SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
+        SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+            md5(coalesce(text, '')) AS digest FROM documents),
     totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
     ranked AS (
         SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w,
@@ -46,7 +47,8 @@ __all__ = ["ORACLES", "QUERIES"]
     rated AS (
         SELECT doc_id, size, source_size, target,
             CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-            ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS u
+            ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '') || ':' || digest), 1, 12))::BIGINT
+                / 281474976710656.0::DOUBLE AS u
         FROM sized JOIN planned ON sized.source IS NOT DISTINCT FROM planned.source)
     SELECT doc_id, size::BIGINT AS size, source_size, target,
         (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken

@@ -28,13 +28,13 @@ PLACES = "_id long, _th int, at binary"
 
 
 def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The rows with `_id` and `_th`, which name a row up to rows of equal id and text; a null id is the largest long."""
-    return docs.withColumns(
-        {
-            "_id": F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)),
-            "_th": F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(0x7FFFFFFF).cast("int"),
-        }
-    )
+    """The rows with `_id` and `_th`, 96 bits of two unlike hashes of id and whole text, which name a row.
+
+    Rows of equal id and text share a name, and with it their results. Ids may be null or repeat: in 10^11 rows that differ two
+    share a name with a chance of one in ten million.
+    """
+    whole = [plain(doc_id), F.coalesce(plain(text), F.lit(""))]
+    return docs.withColumns({"_id": F.xxhash64(*whole), "_th": F.hash(*whole)})
 
 
 def enclosed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -87,7 +87,10 @@ def unpack(value: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.n
 
 
 def packed(hashes: list[np.ndarray], row: np.ndarray, at: np.ndarray, ids: np.ndarray, ths: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """A piece's places as rows of ITEMS; buckets from `buckets` on hold places already known to repeat."""
+    """A piece's places as rows of ITEMS; buckets from `buckets` on hold places already known to repeat.
+
+    Those are dealt out by their text, so that a hash of which there are many is not one group.
+    """
     order = np.lexsort(hashes[::-1])
     same = np.ones(max(0, len(order) - 1), bool)
     for h in hashes:
@@ -95,8 +98,14 @@ def packed(hashes: list[np.ndarray], row: np.ndarray, at: np.ndarray, ids: np.nd
     again, twice = np.zeros(len(row), np.uint8), np.zeros(len(row), np.uint8)
     again[order[1:]] = same  # not the first of its hash
     twice[order[:-1]] = same
-    bucket = (hashes[0] % np.uint64(buckets)).astype(np.int64) + np.where(again, buckets, 0)
-    order = np.argsort(bucket, kind="stable")  # rows stay in order
+    known = np.flatnonzero(again)
+    row = row.copy()
+    row[known] = first_alike(ids, ths)[row[known]]
+    bucket = (hashes[0] % np.uint64(buckets)).astype(np.int64)
+    bucket[known] = own_bucket(ids, buckets)[row[known]]
+    _, once = np.unique(row[known].astype(np.int64) << 32 | at[known], return_index=True)
+    use = np.concatenate([np.flatnonzero(again == 0), known[once]])
+    order = use[np.lexsort((row[use], bucket[use]))]
     cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
     names, values = [], []
     for a, b in zip(cuts, cuts[1:], strict=False):
@@ -107,6 +116,21 @@ def packed(hashes: list[np.ndarray], row: np.ndarray, at: np.ndarray, ids: np.nd
     return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(values, pa.binary())], names=["bucket", "items"])
 
 
+def own_bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each text's places that are known to repeat; another one for a copy that is sent with other texts."""
+    return buckets + ((ids + ids[:1]).view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+
+
+def first_alike(ids: np.ndarray, ths: np.ndarray) -> np.ndarray:
+    """For each row of a piece the first of the same name."""
+    order = np.lexsort((ths, ids))
+    same = np.zeros(len(ids), bool)
+    same[1:] = (ids[order[1:]] == ids[order[:-1]]) & (ths[order[1:]] == ths[order[:-1]])
+    out = np.empty(len(ids), np.int64)
+    out[order] = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(ids))))] if len(ids) else order
+    return out
+
+
 def sent(found: Iterable[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
     """Places of pieces of text, given as (hashes, row, position, ids, text hashes, bytes), sent together for many pieces."""
     held, size = [], 0
@@ -129,9 +153,14 @@ def _together(held: list[tuple], buckets: int) -> pa.RecordBatch:
 
 
 def by_row(ids: np.ndarray, ths: np.ndarray, at: np.ndarray) -> pa.Table:
-    """Places as rows of PLACES; a place is a number, or a pair of them."""
-    order = np.lexsort((at if at.ndim == 1 else at[:, 0], ths, ids))
+    """Places as rows of PLACES, each once; a place is a number, or a pair of them."""
+    columns = [ths, ids] if at.ndim == 1 else [at[:, 1], ths, ids]
+    order = np.lexsort((at if at.ndim == 1 else at[:, 0], *columns))
     ids, ths, at = ids[order], ths[order], at[order].astype(np.int32)
+    if len(ids):
+        differs = at[1:] != at[:-1]
+        new = np.concatenate([[True], (ids[1:] != ids[:-1]) | (ths[1:] != ths[:-1]) | (differs if at.ndim == 1 else differs.any(1))])
+        ids, ths, at = ids[new], ths[new], at[new]
     cuts = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (ths[1:] != ths[:-1])])) if len(ids) else []
     ends = [*cuts[1:], len(ids)]
     return pa.table(

@@ -246,10 +246,10 @@ def _decided(key, ids, offset, count, content, begin, size) -> np.ndarray:
 
 def _sent(parts: list[tuple], buckets: int, length: int) -> pa.RecordBatch:
     """Stretches by bucket. Of equal ones only those of the least id are sent; larger ids are already decided."""
-    key, ids, ths, local, offset, count, content = (np.concatenate(c) for c in zip(*parts, strict=True))
+    key, docs, ids, ths, local, offset, count, content = (np.concatenate(c) for c in zip(*parts, strict=True))
     size = count.astype(np.int64) + length - 1
     begin = np.cumsum(size) - size
-    decided = _decided(key, ids, offset, count, content, begin, size)
+    decided = _decided(key, docs, offset, count, content, begin, size)
     names, values = [], []
     send = np.flatnonzero(~decided)
     bucket = (key[send] % np.uint64(buckets)).astype(np.int64)
@@ -259,16 +259,16 @@ def _sent(parts: list[tuple], buckets: int, length: int) -> pa.RecordBatch:
     for a, b in zip(cuts, cuts[1:], strict=False):
         s = send[a:b]
         names.append(int(bucket[a]))
-        values.append(_store(*(c[s] for c in (key, ids, ths, local, offset, count)), gather(content, begin[s], size[s])))
+        values.append(_store(*(c[s] for c in (key, docs, ids, ths, local, offset, count)), gather(content, begin[s], size[s])))
     done = np.flatnonzero(decided)
     if len(done):
-        names.append(buckets + int(key[done[0]] % np.uint64(buckets)))
+        names.append(int(repeats.own_bucket(ids[done[:1]], buckets)[0]))
         values.append(_store(ids[done], ths[done], np.stack([local[done], count[done]], 1).astype(np.int32)))
     return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(values, pa.binary())], names=["bucket", "items"])
 
 
-def _later(key, ids, ths, local, offset, count, content, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Id, text hash and (start, number) of the runs of strings that a smaller id holds too, among the stretches of a bucket."""
+def _later(key, docs, ids, ths, local, offset, count, content, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names and (start, number) of the runs of strings that a document of a smaller id holds too, among the stretches of a bucket."""
     size = count.astype(np.int64) + length - 1
     begin = np.cumsum(size) - size
     # Stretches of one key are looked at together, so a bucket can be taken in parts by key.
@@ -278,13 +278,13 @@ def _later(key, ids, ths, local, offset, count, content, length: int) -> tuple[n
         s = np.flatnonzero(part == k)
         text = gather(content, begin[s], size[s])
         here = np.cumsum(size[s]) - size[s]
-        decided = _decided(key[s], ids[s], offset[s], count[s], text, here, size[s])
+        decided = _decided(key[s], docs[s], offset[s], count[s], text, here, size[s])
         found.append((ids[s][decided], ths[s][decided], np.stack([local[s][decided], count[s][decided]], 1).astype(np.int32)))
         # Among different stretches only those that share their key with another can hold equal strings.
         s, here = s[~decided], here[~decided]
         _, which, times = np.unique(key[s], return_inverse=True, return_counts=True)
         s, here = s[times[which] > 1], here[times[which] > 1]
-        flags, bounds = _later_flags(key[s], ids[s], offset[s], count[s], gather(text, here, size[s]), length)
+        flags, bounds = _later_flags(key[s], docs[s], offset[s], count[s], gather(text, here, size[s]), length)
         first, last, of = runs(flags, bounds)
         found.append((ids[s][of], ths[s][of], np.stack([local[s][of] + first - bounds[of], last - first], 1).astype(np.int32)))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
@@ -314,12 +314,17 @@ def _later_flags(key, ids, offset, count, content, length: int) -> tuple[np.ndar
 
 
 def earlier_strings(docs: DataFrame, moved: DataFrame, text: str, length: int = LENGTH, most: int = HOT_BYTES) -> DataFrame:
-    """For each text (`_id`, `_th`) with such strings: `_at`, (start, number) of runs of them, or WHOLE for an earlier text's copy."""
+    """For each text (`_id`, `_th`) with such strings: `_at`, (start, number) of runs of them, or WHOLE for an earlier text's copy.
+
+    `_order` says which texts are earlier.
+    """
     buckets = repeats.buckets_for(docs, text)
-    hot = hot_keys(docs, text, length, buckets, most)
-    digest = docs.select("_id", "_th", F.sha2(F.coalesce(repeats.plain(text), F.lit("")), 256).alias("_digest"))
-    first = digest.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last")).filter("_last > _first")
-    copies = digest.join(first, "_digest").filter("_id > _first").select("_id", "_th").distinct()
+    # A key is hot from four stretches of the sample on, so the sample is never so thin that four stand for more than `most` bytes.
+    rate = max(1, min(buckets, most // (4 * (length + STEP - 1))))
+    hot = hot_keys(docs, text, length, rate, most)
+    digest = docs.select("_id", "_th", "_order", F.sha2(F.coalesce(repeats.plain(text), F.lit("")), 256).alias("_digest"))
+    first = digest.groupBy("_digest").agg(F.min("_order").alias("_first"), F.max("_order").alias("_last")).filter("_last > _first")
+    copies = digest.join(first, "_digest").filter("_order > _first").select("_id", "_th").distinct()
     # As an outer join, because an anti join would be planned below the shuffle, which could then not be shared.
     marked = moved.join(copies.withColumn("_copy", F.lit(True)), ["_id", "_th"], "left")
     single = marked.filter("_copy IS NULL").drop("_copy")
@@ -340,9 +345,9 @@ def earlier_strings(docs: DataFrame, moved: DataFrame, text: str, length: int =
         for part in chunks(batches, text):
             data, bounds = raw(part.column(text))
             key, row, start, offset, count = _stretches(data, bounds, repeats.numbers(part.column("_at")), length, hot)
-            ids, ths = (k[row] for k in _keys(part))
+            docs_, ids, ths = (k[row] for k in (part.column("_order").to_numpy(), *_keys(part)))
             narrow = ((start - bounds[row]).astype(np.int32), offset.astype(np.uint8), count.astype(np.uint8))
-            held.append((key, ids, ths, *narrow, gather(data, start, count + length - 1)))
+            held.append((key, docs_, ids, ths, *narrow, gather(data, start, count + length - 1)))
             total += len(data)
             if total >= repeats.SENT_BYTES:
                 yield _sent(held, buckets, length)
@@ -379,7 +384,7 @@ def remove_earlier(
         T.StructField("_kept", T.BinaryType()),
     ]
     rows = repeats.enclosed(docs, doc_id, text)
-    keyed = repeats.keyed(rows, "_doc", "_text")
+    keyed = repeats.keyed(rows, "_doc", "_text").withColumn("_order", F.coalesce(F.col("_doc").cast("long"), F.lit(2**63 - 1)))
     moved = keyed.repartition("_id", "_th")
     joined = moved.join(earlier_strings(keyed, moved, "_text", length, most), ["_id", "_th"], "left")
     kept, schema = rows.columns, T.StructType(rows.schema.fields + added)

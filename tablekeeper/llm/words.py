@@ -106,15 +106,21 @@ class Words(NamedTuple):
         )
 
 
-def words_of(texts: pa.Array, lower: bool = False) -> Words:
-    """The words of each text; with `lower`, A to Z become a to z."""
-    data, bounds = raw(texts)
+def word_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where each word begins in the bytes of texts that begin at `bounds`."""
     space = _SPACE[data]
     first = ~space
     first[1:] &= space[:-1]
     begins = bounds[:-1][np.diff(bounds) > 0]
     first[begins] = ~space[begins]
-    starts = np.flatnonzero(first)
+    return np.flatnonzero(first)
+
+
+def words_of(texts: pa.Array, lower: bool = False) -> Words:
+    """The words of each text; with `lower`, A to Z become a to z."""
+    data, bounds = raw(texts)
+    space = _SPACE[data]
+    starts = word_starts(data, bounds)
     # A word ends before the next space, or where the next text begins.
     rows = np.searchsorted(starts, bounds)
     kept = data[~space]

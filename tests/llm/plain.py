@@ -31,6 +31,21 @@ def passages(rows, window):
     return out
 
 
+def as_it_stands(text, window, seen):
+    """A text without the words of windows that `seen` counts twice and without the white space behind each such word."""
+    found = list(WORD.finditer(text or ""))
+    w = [m[0] for m in found]
+    gone = cover([k for k in range(len(w) - window + 1) if seen[tuple(w[k : k + window])] > 1], len(w), window)
+    ends = [m.start() for m in found[1:]] + [len(text or "")]
+    lost = [(m.start(), e) for m, e, g in zip(found, ends, gone) if g]
+    return "".join(c for i, c in enumerate(text or "") if not any(a <= i < b for a, b in lost))
+
+
+def windows(rows, window):
+    texts = [words(t) for _, t in rows]
+    return Counter(tuple(w[k : k + window]) for w in texts for k in range(len(w) - window + 1))
+
+
 def earlier(rows, length):
     """(n_bytes, n_removed, n_spans, kept bytes) of each (id, text)."""
     data = [(2**63 - 1 if i is None else i, (t or "").encode()) for i, t in rows]

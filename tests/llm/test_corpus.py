@@ -5,9 +5,10 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 import corpus_pipeline
-from tablekeeper.llm import components, mixing, passages, simhash, suffixes, vectors
+from tablekeeper.llm import components, licences, mixing, passages, repeats, simhash, suffixes, vectors
 from tablekeeper.llm.queries import ORACLES, QUERIES
 from tests.check_oracles import connect, differences
 from tests.llm import plain
@@ -254,6 +255,64 @@ def test_pipeline_equals_plain_stages(spark):
     rows = [row for k, row in enumerate(rows) if label[k] == k]
     docs = corpus_pipeline.near_duplicates(spark, docs, SMALL)
     assert sorted((r["doc_id"], r["text"]) for r in docs.collect()) == rows
-    left = [(i, t if not k else s) for (i, t), (n, k, s) in zip(rows, plain.passages(rows, 35)) if not n or k < n]
+    seen = plain.windows(rows, 35)
+    left = [(i, plain.as_it_stands(t, 35, seen)) for (i, t), (n, k, _) in zip(rows, plain.passages(rows, 35)) if not n or k < n]
+    assert any("\n" in t for _, t in left)
     cut = corpus_pipeline.repeated_passages(spark, docs, SMALL)
     assert sorted((r["doc_id"], r["text"]) for r in cut.collect()) == sorted(left)
+
+
+def one_name_before():
+    """Two word lists whose texts agree in the 31 bits that once told texts of one id apart."""
+    seen, rng = {}, random.Random(11)
+    while True:
+        text = " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(30))
+        bits = xxhash.xxh64_intdigest(text.encode(), 42) & 0x7FFFFFFF
+        if bits in seen and seen[bits] != text:
+            return seen[bits], text
+        seen[bits] = text
+
+
+def test_rows_without_an_id_keep_their_own_results(spark):
+    a, b = one_name_before()
+    licence = "SPDX-License-Identifier: MIT"
+    rows = [(None, a, "en"), (None, b, "en"), (1, a, "en"), (None, licence, "en"), (None, "plain text", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert repeats.keyed(docs, "doc_id", "text").select(*corpus_pipeline.KEY).distinct().count() == 5
+    cut = {(r["doc_id"], r["text"]): (r["_n_removed"], r["_kept"]) for r in passages.remove_repeats(docs, window=20).collect()}
+    assert cut[None, a] == cut[1, a] == (30, "") and cut[None, b] == (0, b)
+    gone = {(r["doc_id"], r["text"]): r["_n_removed"] for r in suffixes.remove_earlier(docs).collect()}
+    assert gone == {(None, a): len(a), (None, b): 0, (1, a): 0, (None, licence): 0, (None, "plain text"): 0}
+    found = licences.scan(docs, licences.known_licences(spark)).collect()
+    assert sorted(r["licences"] for r in found) == ["", "", "", "", "MIT"]
+    frame = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    once = corpus_pipeline.near_duplicates(spark, frame, SMALL).select("doc_id", "text").collect()
+    assert sorted(map(tuple, once), key=str) == sorted([(1, a), (None, b), (None, licence), (None, "plain text")], key=str)
+
+
+def test_rows_without_an_id_draw_their_own_copies(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice([None, 5]), f"w{i} " * rng.randint(1, 5), rng.choice("abc")) for i in range(6000)]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for source in "abc":
+        own = [r for r in found if r["source"] == source]
+        assert abs(sum(r["_size"] * r["_copies"] for r in own) / own[0]["_target"] - 1) < 0.1
+
+
+def test_passages_leave_the_rest_as_it_stands(spark):
+    shared = " ".join(f"p{i}" for i in range(40))
+    rows = [(1, f"A line.\n\n  {shared}\n\tdef f():\n\t\treturn 1\n"), (2, f"{shared}  end"), (3, f" start \n{shared} \n"), (4, " no \n words  lost "), (5, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["_kept"] for r in passages.remove_repeats(frame, as_it_stands=True).collect()}
+    assert found == {1: "A line.\n\n  def f():\n\t\treturn 1\n", 2: "end", 3: " start \n", 4: " no \n words  lost ", 5: ""}
+
+
+def test_a_third_of_all_rows_alike_is_dealt_out(spark):
+    """Equal rows send each known place once a piece, and not all to one bucket."""
+    n, places = 3000, 20
+    ids = np.where(np.arange(n) % 3 == 0, 7, np.arange(n) * 1_000_003).astype(np.int64)
+    row, at = np.repeat(np.arange(n), places), np.tile(np.arange(places), n)
+    batch = repeats.packed([np.tile(np.arange(places, dtype=np.uint64), n)], row, at, ids, np.zeros(n, np.int32), 16)
+    known = [(b, *repeats.unpack(v)[1:4]) for b, v in zip(batch["bucket"].to_pylist(), batch["items"].to_pylist(), strict=True) if b >= 16]
+    assert len(known) == 16 and sum(len(k[1]) for k in known) == len({*zip(ids[row].tolist(), at.tolist(), strict=True)})
+    assert max(len(k[1]) for k in known) < 2 * sum(len(k[1]) for k in known) / 16
