@@ -32,16 +32,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps the document of the least doc_id of each group of near-duplicates; a repeated row stays once."""
     importable(spark)
     keyed = repeats.keyed(docs.select(*COLUMNS), "doc_id", "text")
-    groups = simhash.classes(keyed, "_id", "text", more=["_th"])
-    kept = groups.groupBy("_root").agg(F.min(F.struct(*KEY)).alias("_least")).select("_least.*")
+    groups = simhash.classes(keyed, "doc_id", "text", more=KEY)
+    first = F.struct(F.col("doc_id").isNull().alias("_null"), "doc_id", *KEY)  # a null doc_id is the last
+    kept = groups.groupBy("_root").agg(F.min(first).alias("_least")).select(*[f"_least.{k}" for k in KEY])
     once = keyed.join(kept, KEY, "left_semi").dropDuplicates(KEY)
     return once.select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts passages that occur more than once; a document of which nothing is left goes, one that loses nothing is unchanged."""
+    """Cuts passages that occur more than once out of the text, whose lines and spaces stay.
+
+    A document of which nothing is left goes, one that loses nothing is unchanged.
+    """
     importable(spark)
-    cut = passages.remove_repeats(docs.select(*COLUMNS)).filter("_n_removed = 0 OR _n_removed < _n_words")
+    cut = passages.remove_repeats(docs.select(*COLUMNS), as_it_stands=True).filter("_n_removed = 0 OR _n_removed < _n_words")
     changed = F.col("_n_removed") > 0
     text = F.when(changed, F.col("_kept")).otherwise(F.col("text"))
     length = F.when(changed, F.length("_kept").cast("long")).otherwise(F.col("n_chars"))
