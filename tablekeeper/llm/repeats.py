@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from tablekeeper.llm.words import give_back
 
-#: Bytes of text for each bucket.
-BUCKET_BYTES = 16 << 20
+#: Bytes of text for each bucket. A text has places in few buckets if there are few, so a bucket is as large as a task can hold.
+BUCKET_BYTES = 32 << 20
 #: Bytes of text whose places a task sends together.
 SENT_BYTES = 8 << 20
 ITEMS = "bucket long, items binary"
@@ -67,8 +67,8 @@ def pack(hashes: list[np.ndarray], row: np.ndarray, at: np.ndarray, more: np.nda
     return np.int64(len(small)).tobytes() + small + b"".join(h.tobytes() for h in held)
 
 
-def unpack(value: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, and for each place id, text hash, position and mark."""
+def unpack(value: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the places; ids, text hashes and numbers of places of the rows; positions and marks of the places."""
     size = int(np.frombuffer(value, np.int64, 1)[0])
     small = zstandard.ZstdDecompressor().decompress(value[8 : 8 + size])
     n, used, k = np.frombuffer(small, np.int64, 3)
@@ -76,14 +76,13 @@ def unpack(value: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.n
     for dtype, count in ((np.int64, used), (np.int32, used), (np.int32, used), (np.int32, n), (np.uint8, n)):
         out.append(np.frombuffer(small, dtype, count, at))
         at += out[-1].nbytes
-    ids, ths, counts, places, more = out
     if k == 1:
         wide = np.zeros((n, 8), np.uint8)
         wide[:, 2:] = np.frombuffer(value, np.uint8, 6 * n, 8 + size).reshape(-1, 6)
         hashes = [wide.view(np.uint64)[:, 0]]
     else:
         hashes = [np.frombuffer(value, np.uint64, n, 8 + size + 8 * n * i) for i in range(k)]
-    return hashes, np.repeat(ids, counts), np.repeat(ths, counts), places, more
+    return hashes, *out
 
 
 def packed(hashes: list[np.ndarray], row: np.ndarray, at: np.ndarray, ids: np.ndarray, ths: np.ndarray, buckets: int) -> pa.RecordBatch:
@@ -105,7 +104,8 @@ def packed(hashes: list[np.ndarray], row: np.ndarray, at: np.ndarray, ids: np.nd
     bucket[known] = own_bucket(ids, buckets)[row[known]]
     _, once = np.unique(row[known].astype(np.int64) << 32 | at[known], return_index=True)
     use = np.concatenate([np.flatnonzero(again == 0), known[once]])
-    order = use[np.lexsort((row[use], bucket[use]))]
+    use = use[np.argsort(row[use], kind="stable")]
+    order = use[np.argsort(bucket[use], kind="stable")]  # rows stay in order
     cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
     names, values = [], []
     for a, b in zip(cuts, cuts[1:], strict=False):
@@ -178,11 +178,14 @@ def repeated(items: DataFrame, buckets: int) -> DataFrame:
 
     def run(key, group):
         give_back()
-        parts = [unpack(v.as_py()) for c in group.column("items").chunks for v in c]
-        ids, ths, at, twice = (np.concatenate([p[i] for p in parts]) for i in range(1, 5))
+        # A place is held as the number of its row; the names of the rows are held once.
+        hashes, *rest = zip(*(unpack(v.as_py()) for c in group.column("items").chunks for v in c), strict=True)
+        ids, ths, counts, at, twice = (np.concatenate(x) for x in rest)
+        rest.clear()
+        row = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
         if key[0].as_py() >= buckets:
-            return by_row(ids, ths, at)
-        hashes = [np.concatenate(h) for h in zip(*(p[0] for p in parts), strict=True)]
+            return by_row(ids[row], ths[row], at)
+        hashes = [np.concatenate(h) for h in zip(*hashes, strict=True)]
         order = np.lexsort(hashes[::-1])
         same = np.ones(len(order) - 1, bool)
         for h in hashes:
@@ -191,7 +194,8 @@ def repeated(items: DataFrame, buckets: int) -> DataFrame:
         found[1:] |= same
         found[:-1] |= same
         chosen = order[found]
-        return by_row(ids[chosen], ths[chosen], at[chosen])
+        del hashes, order
+        return by_row(ids[row[chosen]], ths[row[chosen]], at[chosen])
 
     return items.groupBy("bucket").applyInArrow(run, PLACES)
 
