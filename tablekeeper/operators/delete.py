@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tablekeeper.functions.paths import base_name, days_before
 from tablekeeper.functions.predicates import all_of, any_of, col, is_true, quality_rule, text_match
 from tablekeeper.plans import ranks
+from tablekeeper.plans.conditions import any_fits, ordered_join, target_names
 from tablekeeper.plans.keys import KEY, Keys, distinct_keys, key_pairs, keys_match, rename_keys, without_clash
 from tablekeeper.plans.sizing import COMPARE_ROWS, broadcast_if_small, compares_all_pairs
 
@@ -165,30 +166,38 @@ def delete_by_condition(
 ) -> DeletePlan:
     """Delete rows matched by a condition text over `t` (target) and `c` (criteria).
 
-    Equalities in the text become join keys; without one every pair has to be compared, which is refused at any size unless
+    Equalities in the text become join keys. Without one, one or two comparisons come down to a predicate of the target by the best
+    criteria; more make a range join or a grid. With neither, every pair has to be compared, which is refused at any size unless
     asked for. `unique` names the columns that identify a target row, nulls included; reports use it to count a row
     once when several criteria rows hit it.
     """
-    left, right = target.alias("t"), criteria.alias("c")
+    # Renamed columns have no lineage in common with the target's.
+    left, right = target.alias("t"), criteria.select(*[col(c).alias(c) for c in criteria.columns]).alias("c")
     test = F.expr(condition)
-    if not compare_all_pairs and compares_all_pairs(left.join(right, test, "left_semi")):
-        raise ValueError("no equality in the condition: add one, or ask for compare_all_pairs")
-    right = broadcast_if_small(right, COMPARE_ROWS)
+    parameters = {"condition": condition}
+    if compare_all_pairs or not compares_all_pairs(left.join(right, test, "left_semi")):
+        right = broadcast_if_small(right, COMPARE_ROWS)
+        victims, remaining = (lambda: left.join(right, test, "left_semi")), (lambda: left.join(right, test, "left_anti"))
+    else:
+        fits = any_fits(left, right, test)
+        if fits is not None:
+            plan = delete_where(left, fits, "delete_by_condition")
+            return DeletePlan(target, plan.operation, plan.victims, plan.remaining, plan.marked, parameters)
+        # Rows that agree in the columns of the condition go together, whatever identifies them.
+        asked = target_names(left, right, test)
+        pairs = ordered_join(left, right, test, [F.col(f"t.`{u}`").alias(f"{KEY}{i}") for i, u in enumerate(asked)])
+        if pairs is None:
+            raise ValueError("no equality or comparison of both sides in the condition: add one, or ask for compare_all_pairs")
+        own = pairs.distinct()
+        hit = all_of(col(u).eqNullSafe(F.col(f"{KEY}{i}")) for i, u in enumerate(asked))
+        return _delete_joined(target, own, hit, "delete_by_condition", **parameters)
 
     def marked() -> DataFrame:
-        victims = left.join(right, test, "left_semi")
-        names = victims.select(*[col(u).alias(f"{KEY}{i}") for i, u in enumerate(unique)]).distinct()
+        names = victims().select(*[col(u).alias(f"{KEY}{i}") for i, u in enumerate(unique)]).distinct()
         same = all_of(col(u).eqNullSafe(F.col(f"{KEY}{i}")) for i, u in enumerate(unique))
         return _delete_joined(target, names, same, "").flagged()
 
-    return DeletePlan(
-        target,
-        "delete_by_condition",
-        victims=lambda: left.join(right, test, "left_semi"),
-        remaining=lambda: left.join(right, test, "left_anti"),
-        marked=marked,
-        parameters={"condition": condition},
-    )
+    return DeletePlan(target, "delete_by_condition", victims, remaining, marked, parameters)
 
 
 def delete_by_query(target: DataFrame, query: str, on: Keys, args: Mapping | None = None, **frames: DataFrame) -> DeletePlan:

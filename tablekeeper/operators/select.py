@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablekeeper.functions.predicates import col, row_hash
+from tablekeeper.plans.conditions import ordered_join
 from tablekeeper.plans.grams import contains_join
 from tablekeeper.plans.keys import KEY, Keys, distinct_keys, key_pairs, keys_match, rename_keys, without_clash
 from tablekeeper.plans.ranges import range_join
@@ -111,8 +112,8 @@ def select_by_condition(
     """Rows that satisfy `condition(search, target)` for a criteria row.
 
     `condition` gets two functions from a column name to a Column and is called once.
-    Equalities in it become join keys. Without one, every pair has to be compared, which is refused at any size unless
-    asked for; ranges and substrings have selections of their own that compare fewer.
+    Equalities in it become join keys; without one, comparisons become a range join, or place both sides on a grid. With neither,
+    every pair has to be compared, which is refused at any size unless asked for; substrings have a join of their own.
     """
     search_as = dict(search_as or {name: name for name in criteria.columns})
     without_clash(target, search_as.values())
@@ -122,10 +123,13 @@ def select_by_condition(
     tags = [F.col(held[name]).alias(alias) for name, alias in search_as.items()]
     columns = [*tags, *[col(c) for c in target.columns]]
     if not compare_all_pairs and compares_all_pairs(sides.join(target, test)):
-        raise ValueError(
-            "no equality in the condition: add one, use select_between / select_greater / select_less / "
-            "select_dispatch, or ask for compare_all_pairs"
-        )
+        found = ordered_join(target, sides, test, columns)
+        if found is None:
+            raise ValueError(
+                "no equality or comparison of both sides in the condition: add one, use select_dispatch for substrings, "
+                "or ask for compare_all_pairs"
+            )
+        return found
     return broadcast_if_small(sides, COMPARE_ROWS).join(target, test).select(*columns)
 
 

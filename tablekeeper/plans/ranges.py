@@ -1,10 +1,11 @@
 """Joins of a target value against criteria ranges.
 
 Both sides are first brought to one comparison type, whatever happens next. Few ranges are broadcast and compared.
-Beyond that the target's values are cut into cells of about equally many rows, by approximate quantiles, so
-that an outlier or a crowded region does not fill one cell. A target row lies in one cell and a range in all cells it spans;
-the join is an equi join on the cell with the exact comparison re-checked. There are about as many cells as half the
-target's rows, so a range that spans many cells has at least as many matches, and the work follows the result.
+Beyond that the target's values are cut into cells of about equally many rows: by approximate quantiles of numbers and times, with
+even parts between them, so that an outlier or a crowded region does not fill one cell; by sampled values of texts, so that what
+they begin with alike does not matter. A target row lies in one cell and a range in all cells it spans; the join is an equi join on
+the cell with the exact comparison re-checked. A cell is about half as wide as the mean range, so that a range is copied about three
+times and its end cells hold no more rows than it matches, on the mean.
 """
 
 from __future__ import annotations
@@ -16,11 +17,14 @@ from pyspark.sql import types as T
 
 from tablekeeper.functions.predicates import all_of, col
 from tablekeeper.plans.keys import without_clash
+from tablekeeper.plans.places import steps_before, text_array, text_cuts
 from tablekeeper.plans.sizing import COMPARE_ROWS, small_enough
 
 # Quantiles that shape the cells, and how exact they are.
 QUANTILES = 1_000
 ACCURACY = 10_000
+# Fixed value: cells of texts at most; a range's two end cells hold that share of the rows each.
+TEXT_CELLS = 2_048
 
 
 def _family(kind: T.DataType) -> str:
@@ -63,11 +67,8 @@ def axis(value: Column, kind: T.DataType) -> Column:
         return F.unix_date(value) * F.lit(86400.0)
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(value) / F.lit(1e6)
-    if family == "time":
-        clock = F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
-        return F.unix_date(value.cast("date")) * F.lit(86400.0) + clock
-    head = F.hex(F.substring(F.encode(value, "UTF-8"), 1, 6))
-    return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
+    clock = F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
+    return F.unix_date(value.cast("date")) * F.lit(86400.0) + clock
 
 
 def in_range(value: Column, lower: Column | None, upper: Column | None, strict: bool = False) -> Column:
@@ -88,14 +89,18 @@ def range_join(
     *,
     strict: bool = False,
     compare_rows: int = COMPARE_ROWS,
+    same_names: bool = False,
 ) -> DataFrame:
     """Inner join on `lower <= column <= upper`; one side may be open. Every pair appears once.
 
+    `same_names` lets both sides hold columns of one name, for callers that tell them apart.
+
     An open range matches a share of all pairs by its nature; for "above any threshold" semi-join the least one instead.
     """
     if lower is None and upper is None:
         raise ValueError("a range needs a lower or an upper column")
-    without_clash(target, criteria.columns)
+    if not same_names:
+        without_clash(target, criteria.columns)
     named = [name for name in (lower, upper) if name]
     kinds = [target.schema[column].dataType, *[criteria.schema[n].dataType for n in named]]
     untyped = any(isinstance(k, T.NullType) for k in kinds)
@@ -108,39 +113,70 @@ def range_join(
     matches = in_range(same(column), same(lower) if lower else None, same(upper) if upper else None, strict)
     if small_enough(criteria, compare_rows):
         return F.broadcast(criteria).join(target, matches)
+    if _family(common or kinds[0]) == "text":
+        places = {n: same(n) for n in [column, *named]}
+        return _cell_join(target, criteria, places, column, lower, upper, matches, texts=True)
     places = {n: axis(same(n), common or k) for n, k in zip([column, *named], kinds)}
     return _cell_join(target, criteria, places, column, lower, upper, matches)
 
 
-def _cell_join(target, criteria, places, column, lower, upper, matches) -> DataFrame:
-    finite = F.when(F.abs(places[column]) < F.lit(float("inf")), places[column])
-    shares = [i / QUANTILES for i in range(QUANTILES + 1)]
-    rows, found = target.agg(F.count(finite), F.percentile_approx(finite, shares, ACCURACY)).first()
-    cuts = sorted(set(found or [0.0]))
-    cuts = cuts if len(cuts) > 1 else [cuts[0], cuts[0] + 1.0]
-    finer = max(1, rows // 2 // len(cuts))
-    buckets = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="__place", outputCol="__bucket")
-    edges = F.array(*[F.lit(c) for c in cuts])
-    last = len(cuts) - 1
-
-    def cell(frame: DataFrame, place: Column, name: str) -> DataFrame:
-        """Cell numbers never decrease along the axis: the quantile below, then even parts up to the next."""
-        held = buckets.transform(frame.withColumn("__place", place))
+class _Quantiles:
+    """Places of numbers: the quantile below, and how far the value is on the way to the next."""
+
+    def __init__(self, target: DataFrame, place: Column):
+        finite = F.when(F.abs(place) < F.lit(float("inf")), place)
+        shares = [i / QUANTILES for i in range(QUANTILES + 1)]
+        self.rows, found = target.agg(F.count(finite), F.percentile_approx(finite, shares, ACCURACY)).first()
+        cuts = sorted(set(found or [0.0]))
+        cuts = cuts if len(cuts) > 1 else [cuts[0], cuts[0] + 1.0]
+        self.last = len(cuts) - 1
+        self.finest = max(1, self.rows // 2 // len(cuts))
+        self.buckets = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="__place", outputCol="__bucket")
+        self.edges = F.array(*[F.lit(c) for c in cuts])
+
+    def placed(self, frame: DataFrame, place: Column, name: str) -> DataFrame:
+        held = self.buckets.transform(frame.withColumn("__place", place))
         below = F.col("__bucket").cast("int") - 1
-        low = edges[F.greatest(F.lit(0), F.least(F.lit(last - 1), below))]
-        high = edges[F.greatest(F.lit(1), F.least(F.lit(last), below + 1))]
+        low = self.edges[F.greatest(F.lit(0), F.least(F.lit(self.last - 1), below))]
+        high = self.edges[F.greatest(F.lit(1), F.least(F.lit(self.last), below + 1))]
         part = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("__place") - low) / (high - low)))
-        inner = below * finer + F.least(F.lit(finer - 1), F.floor(part * finer))
-        number = F.when(below < 0, F.lit(-1)).when(below >= last, F.lit(last * finer)).otherwise(inner)
-        return held.withColumn(name, number.cast("long")).drop("__place", "__bucket")
+        whole = F.when(below < 0, F.lit(-1.0)).when(below >= self.last, F.lit(float(self.last))).otherwise(below + part)
+        return held.withColumn(name, whole).drop("__place", "__bucket")
+
+
+class _Texts:
+    """Places of texts: how many cut points are not after the value."""
+
+    finest = 1
+
+    def __init__(self, target: DataFrame, place: Column):
+        cuts = text_cuts(target, place, TEXT_CELLS)
+        self.last, self.cuts = len(cuts), text_array(cuts)
+
+    def placed(self, frame: DataFrame, place: Column, name: str) -> DataFrame:
+        at = steps_before(place, self.cuts, self.last, lambda cut, value: cut <= value)
+        return frame.withColumn(name, at.cast("double"))
+
 
-    ranges = criteria.dropna(subset=[name for name in (lower, upper) if name])
-    for name, bound, default in ((lower, "__from", -1), (upper, "__to", last * finer)):
+def _cell_join(target, criteria, places, column, lower, upper, matches, texts: bool = False) -> DataFrame:
+    axis_ = (_Texts if texts else _Quantiles)(target, places[column])
+    ranges = criteria.filter(all_of(col(name).isNotNull() for name in (lower, upper) if name))
+    for name, bound, default in ((lower, "__from", -1.0), (upper, "__to", float(axis_.last))):
         if name:
-            ranges = cell(ranges.filter(places[name].isNotNull()), places[name], bound)
+            ranges = axis_.placed(ranges.filter(places[name].isNotNull()), places[name], bound)
         else:
-            ranges = ranges.withColumn(bound, F.lit(default).cast("long"))
-    spans = F.explode(F.sequence(F.col("__from"), F.col("__to")))
-    ranges = ranges.filter("__from <= __to").withColumn("__span", spans).drop("__from", "__to")
-    placed = cell(target.filter(places[column].isNotNull()), places[column], "__cell")
+            ranges = ranges.withColumn(bound, F.lit(default))
+    ranges = ranges.filter("__from <= __to")
+    # Cells to each unit of places: two to the mean range, and enough to spread the work.
+    mean = ranges.agg(F.avg(F.col("__to") - F.col("__from"))).first()[0] or 0.0
+    tasks = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = max(2 / mean if mean else float("inf"), 2 * tasks / (axis_.last + 1))
+    each = min(float(axis_.finest), each if each < 1 else float(int(min(each, 2**31))))
+
+    def cell(place: str) -> Column:
+        return F.floor(F.col(place) * each).cast("long")
+
+    spans = F.explode(F.sequence(cell("__from"), cell("__to")))
+    ranges = ranges.withColumn("__span", spans).drop("__from", "__to")
+    placed = axis_.placed(target.filter(places[column].isNotNull()), places[column], "__cell").withColumn("__cell", cell("__cell"))
     return ranges.join(placed, (F.col("__span") == F.col("__cell")) & matches).drop("__span", "__cell")

@@ -238,3 +238,25 @@ def delete_percentile_approximate(load):
     plan = delete.delete_above_percentile(load("orders"), "o_totalprice", 0.9, accuracy=1000)
     off = F.abs(F.col("rows_after") - 0.9 * F.col("rows_before"))
     return plan.report().select((off <= F.col("rows_before") / 1000 + 1).alias("within"), "rows_before")
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber FROM lineitem l WHERE NOT EXISTS
+    (SELECT 1 FROM part p WHERE l.l_extendedprice < p.p_retailprice + 9000 AND l.l_quantity > p.p_size + 20)"""
+)
+def delete_condition_staircase(load):
+    """Two comparisons and no equality: the best parts decide, and no pair is formed."""
+    condition = "t.l_extendedprice < c.p_retailprice + 9000 AND t.l_quantity > c.p_size + 20"
+    plan = delete.delete_by_condition(load("lineitem"), load("part"), condition, ["l_orderkey", "l_linenumber"])
+    return plan.kept().select("l_orderkey", "l_linenumber")
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber FROM lineitem l WHERE EXISTS (SELECT 1 FROM part p
+    WHERE l.l_extendedprice < p.p_retailprice + 50 AND l.l_quantity > p.p_size + 30 AND l.l_partkey > p.p_partkey)"""
+)
+def delete_condition_grid(load):
+    """Three comparisons of different columns: the rows that would go."""
+    condition = "t.l_extendedprice < c.p_retailprice + 50 AND t.l_quantity > c.p_size + 30 AND t.l_partkey > c.p_partkey"
+    plan = delete.delete_by_condition(load("lineitem"), load("part"), condition, ["l_orderkey", "l_linenumber"])
+    return plan.preview().select("l_orderkey", "l_linenumber")

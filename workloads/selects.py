@@ -337,3 +337,62 @@ def select_condition_large(load):
         {"p_partkey": "part"},
     )
     return found.select("part", "l_orderkey", "l_linenumber")
+
+
+@query(
+    """SELECT p.p_partkey AS part, l.l_orderkey, l.l_linenumber FROM part p JOIN lineitem l
+    ON l.l_extendedprice < p.p_retailprice AND l.l_quantity > p.p_size + 30"""
+)
+def select_condition_inequalities(load):
+    """Two comparisons of different columns and no equality."""
+    found = select.select_by_condition(
+        load("lineitem"),
+        load("part").select("p_partkey", "p_retailprice", "p_size"),
+        lambda s, t: (t("l_extendedprice") < s("p_retailprice")) & (t("l_quantity") > s("p_size") + 30),
+        {"p_partkey": "part"},
+    )
+    return found.select("part", "l_orderkey", "l_linenumber")
+
+
+@query(
+    """SELECT p.p_partkey AS part, l.l_orderkey, l.l_linenumber FROM part p JOIN lineitem l
+    ON l.l_extendedprice - 100 BETWEEN p.p_retailprice AND p.p_retailprice + p.p_size AND l.l_tax <> p.p_size / 100"""
+)
+def select_condition_range(load):
+    """A range around an expression, beside a test that is no comparison of order."""
+    found = select.select_by_condition(
+        load("lineitem"),
+        load("part").select("p_partkey", "p_retailprice", "p_size"),
+        lambda s, t: (t("l_extendedprice") - 100).between(s("p_retailprice"), s("p_retailprice") + s("p_size"))
+        & (t("l_tax") != s("p_size") / 100),
+        {"p_partkey": "part"},
+    )
+    return found.select("part", "l_orderkey", "l_linenumber")
+
+
+@query(
+    """WITH o AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders),
+    w AS (SELECT s_suppkey, strftime(DATE '1995-01-01' + (s_suppkey % 2400)::INT, '%Y-%m-%d') AS first,
+        strftime(DATE '1995-01-03' + (s_suppkey % 2400)::INT, '%Y-%m-%d') AS last FROM supplier)
+    SELECT w.s_suppkey, o.o_orderkey, o.day FROM w JOIN o ON o.day >= w.first AND o.day <= w.last"""
+)
+def select_between_text_days(load):
+    """Windows of three days as ISO text, the way of many ranges."""
+    orders = load("orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    days = F.col("s_suppkey").cast("int") % 2400
+    first, last = (F.date_add(F.lit(d).cast("date"), days).cast("string") for d in ("1995-01-01", "1995-01-03"))
+    windows = load("supplier").select("s_suppkey", first.alias("first"), last.alias("last"))
+    return range_join(orders, windows, "day", "first", "last", compare_rows=0).select("s_suppkey", "o_orderkey", "day")
+
+
+@query(
+    """WITH h AS (SELECT DISTINCT regexp_extract(url, '^[a-z]+://[^/]+') AS site FROM pages)
+    SELECT h.site, p.page_id FROM h JOIN pages p ON p.url >= h.site || '/' AND p.url < h.site || '0'"""
+)
+def select_between_urls(load):
+    """The pages below each site, as ranges of addresses that begin alike."""
+    pages = load("pages").select("page_id", "url")
+    site = F.regexp_extract("url", "^[a-z]+://[^/]+", 0).alias("site")
+    sites = pages.select(site).distinct().select("site", F.concat("site", F.lit("/")).alias("low"), F.concat("site", F.lit("0")).alias("high"))
+    found = range_join(pages, sites, "url", "low", "high", compare_rows=0)
+    return found.filter("url < high").select("site", "page_id")
