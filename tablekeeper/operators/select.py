@@ -11,11 +11,11 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablekeeper.functions.predicates import col, row_hash
-from tablekeeper.plans.conditions import ordered_join
+from tablekeeper.functions.predicates import all_of, col, row_hash
+from tablekeeper.plans.conditions import Parts, ordered_join
 from tablekeeper.plans.grams import contains_join
 from tablekeeper.plans.keys import KEY, Keys, distinct_keys, key_pairs, keys_match, rename_keys, without_clash
-from tablekeeper.plans.ranges import range_join
+from tablekeeper.plans.ranges import comparison_type, range_join
 from tablekeeper.plans.ranks import By, order_by
 from tablekeeper.plans.sizing import (
     COMPARE_ROWS,
@@ -26,6 +26,8 @@ from tablekeeper.plans.sizing import (
 
 # Row count up to which a window keeps only the leading rows of a group before it shuffles.
 WINDOW_LIMIT = 1_000
+# Fixed value: parts of time in which the events of a key are counted apart.
+TIME_PARTS = 64
 
 
 def select_by_value(
@@ -332,20 +334,41 @@ def audit_breakdown(
     end: str,
     action: str,
 ) -> DataFrame:
-    """Actions per criteria row (keys and period): `n` per action and `total_actions` over the period.
+    """Actions per criteria row (keys and period): `n` per action and `total_actions` over the period, both ends included.
 
-    `on` maps log -> criteria columns. Nothing is copied ahead of need: adaptive execution splits the rows of a busy key
-    over tasks, and counts are combined before they are shuffled.
+    `on` maps log -> criteria columns. No event meets its periods: events and ends of periods are put in one order per key and
+    action and counted through, and a period's count is the difference at its two ends. So an event is counted once, however many
+    periods hold it. Counting goes in parts of time, so that a busy key is spread over tasks.
     """
     pairs = key_pairs(on, log, criteria)
-    names = [name for _, name in pairs]
-    periods = criteria.select(
-        *rename_keys(pairs, criteria), col(start).alias("__start"), col(end).alias("__end")
-    ).distinct()
-    inside = (col(time) >= F.col("__start")) & (col(time) <= F.col("__end"))
-    joined = periods.join(log, keys_match(pairs) & inside)
-    period = [F.col(f"{KEY}{i}").alias(n) for i, n in enumerate(names)]
-    period += [F.col("__start").alias(start), F.col("__end").alias(end)]
-    counts = joined.groupBy(*period, col(action).alias("action")).agg(F.count("*").alias("n"))
-    whole = Window.partitionBy(*[col(n) for n in [*names, start, end]])
-    return counts.withColumn("total_actions", F.sum("n").over(whole))
+    names, keys = [name for _, name in pairs], [f"{KEY}{i}" for i in range(len(pairs))]
+    kinds = [log.schema[time].dataType, criteria.schema[start].dataType, criteria.schema[end].dataType]
+    common = comparison_type(kinds) or kinds[0]
+    ends = col(start).alias("__start"), col(end).alias("__end")
+    periods = criteria.select(*rename_keys(pairs, criteria), *ends).distinct()
+    periods = periods.filter(all_of(F.col(c).isNotNull() for c in [*keys, "__start", "__end"]))
+    own = [col(t).alias(k) for (t, _), k in zip(pairs, keys, strict=True)]
+    events = _asked_rows(log, criteria, pairs).select(*own, col(action).alias("__action"), col(time).try_cast(common).alias("__at"))
+    events = events.filter(all_of(F.col(c).isNotNull() for c in [*keys, "__at"]))
+    group = [*keys, "__action"]
+
+    # The ends of a period are counted at for every action of its key: a start before events of its time, an end behind them.
+    edges = periods.join(events.select(*group).distinct(), keys)
+    edges = edges.select("*", F.explode(F.array(F.lit(0), F.lit(2))).alias("__side"))
+    edges = edges.withColumn("__at", F.when(F.col("__side") == 0, F.col("__start").try_cast(common)).otherwise(F.col("__end").try_cast(common)))
+    parts = Parts(events, F.col("__at"), common, TIME_PARTS)
+    line = events.withColumn("__side", F.lit(1)).unionByName(edges.filter("__at IS NOT NULL"), allowMissingColumns=True)
+    line = line.withColumns({"__part": parts.number(F.col("__at")), "__one": (F.col("__side") == 1).cast("long")})
+    through = Window.partitionBy(*group, "__part").orderBy("__at", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    counted = line.withColumn("__n", F.sum("__one").over(through)).filter("__side <> 1")
+    # What the parts before hold: a row for each key, action and part.
+    before = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    held = line.groupBy(*group, "__part").agg(F.sum("__one").alias("__all"))
+    held = held.select(*[F.col(c).alias(f"__of{c}") for c in [*group, "__part"]], F.coalesce(F.sum("__all").over(before), F.lit(0)).alias("__before"))
+    counted = counted.join(held, all_of(F.col(c).eqNullSafe(F.col(f"__of{c}")) for c in [*group, "__part"]))
+    signed = (F.col("__n") + F.col("__before")) * (F.col("__side") - 1)
+    counts = counted.groupBy(*keys, "__start", "__end", "__action").agg(F.sum(signed).alias("n")).filter("n > 0")
+    period = [F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]
+    whole = Window.partitionBy(*keys, "__start", "__end")
+    total = F.sum("n").over(whole).alias("total_actions")
+    return counts.select(*period, F.col("__start").alias(start), F.col("__end").alias(end), F.col("__action").alias("action"), "n", total)

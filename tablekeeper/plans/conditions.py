@@ -169,8 +169,8 @@ def _ranged(target: DataFrame, criteria: DataFrame, of: str, low: Comparison | N
     return joined.drop("__value", "__lower", "__upper")
 
 
-class _Parts:
-    """The numbers of parts of about equally many target rows, of one value's type."""
+class Parts:
+    """Parts of about equally many rows of a frame along a value, numbered in order."""
 
     def __init__(self, target: DataFrame, value: Column, kind: T.DataType, parts: int):
         self.texts = isinstance(kind, (T.StringType, T.CharType, T.VarcharType))
@@ -195,7 +195,7 @@ def _grid_join(target: DataFrame, criteria: DataFrame, first: Comparison, second
     """Pairs of which both comparisons may hold: all that do, and others only from the cells at a criteria row's edge."""
     target = target.withColumns({"__a": first.target, "__b": second.target}).filter("__a IS NOT NULL AND __b IS NOT NULL")
     parts = min(MOST_PARTS, max(LEAST_PARTS, math.isqrt(target.count() // CELL_ROWS)))
-    a, b = (_Parts(target, F.col(n), c.kind, parts) for n, c in (("__a", first), ("__b", second)))
+    a, b = (Parts(target, F.col(n), c.kind, parts) for n, c in (("__a", first), ("__b", second)))
     placed = target.withColumns({"__i": a.number(F.col("__a")), "__j": b.number(F.col("__b"))}).drop("__a", "__b")
     held: dict[int, list[int]] = {}
     for i, j in placed.select("__i", "__j").distinct().collect():  # at most (parts + 1)^2
@@ -248,7 +248,7 @@ def _staircase(criteria: DataFrame, first: Comparison, second: Comparison) -> Co
     rows = criteria.select(first.criteria.alias("x"), second.criteria.alias("y")).filter("x IS NOT NULL AND y IS NOT NULL")
     rows = rows.groupBy("x").agg(best("y").alias("y"))
     # Of the criteria that are as easily met in x as any in the parts before, only better ones in y can be a step.
-    parts = _Parts(rows, F.col("x"), first.kind, STAIR_PARTS)
+    parts = Parts(rows, F.col("x"), first.kind, STAIR_PARTS)
     placed = rows.withColumn("part", parts.number(F.col("x")))
     known = sorted(map(tuple, placed.groupBy("part").agg(best("y")).collect()), reverse=not first.greater())
     bound, bounds = None, []

@@ -234,6 +234,23 @@ def test_audit_breakdown(rows):
     assert table(got.drop("a", "b")) == sorted([(1, "in", 2, 2), (1, "in", 1, 2), (1, "out", 1, 2)], key=repr)
 
 
+def test_overlapping_periods_equal_a_plain_count(rows):
+    rng = random.Random(12)
+    log = [(rng.choice([1, 2, 2, 2, None]), rng.choice([rng.randint(0, 60), rng.randint(0, 9), None]), rng.choice(["in", "out", None])) for _ in range(600)]
+    spans = [(rng.choice([1, 2, 3, None]), rng.choice([rng.randint(-5, 60), None]), rng.randint(0, 70)) for _ in range(120)]
+    want = set()
+    for who, a, b in set(spans):
+        if None in (who, a, b):
+            continue
+        held = [x for u, t, x in log if u == who and t is not None and a <= t <= b]
+        want |= {(who, a, b, x, held.count(x), len(held)) for x in set(held)}
+    found = select.audit_breakdown(
+        rows("w int, a int, b int", spans), rows("u int, t int, x string", log), {"u": "w"}, time="t", start="a", end="b", action="x"
+    )
+    assert {tuple(r) for r in found.collect()} == want and found.count() == len(want)
+    assert "SortMergeJoin" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("compare_rows", [0, 10_000])
 def test_ranges_of_other_types_match_at_every_size(rows, compare_rows):
     target = rows("i int, x double, s string", [(i, i / 2, str(i)) for i in range(40)] + [(99, float("nan"), "x"), (98, None, None)])

@@ -396,3 +396,18 @@ def select_between_urls(load):
     sites = pages.select(site).distinct().select("site", F.concat("site", F.lit("/")).alias("low"), F.concat("site", F.lit("0")).alias("high"))
     found = range_join(pages, sites, "url", "low", "high", compare_rows=0)
     return found.filter("url < high").select("site", "page_id")
+
+
+@query(
+    """WITH p AS (SELECT user_id, ts AS a, ts + INTERVAL 10 DAY AS b FROM events WHERE event_type IN ('signup', 'purchase'))
+    SELECT p.user_id, p.a, p.b, e.event_type AS action, count(*) AS n,
+    sum(count(*)) OVER (PARTITION BY p.user_id, p.a, p.b)::BIGINT AS total_actions
+    FROM (SELECT DISTINCT * FROM p) p JOIN events e ON e.user_id=p.user_id AND e.ts BETWEEN p.a AND p.b
+    GROUP BY p.user_id, p.a, p.b, e.event_type"""
+)
+def audit_overlapping_periods(load):
+    """The ten days after every signup and purchase of a user: most periods overlap others."""
+    events = load("events").select("event_id", "user_id", "ts", "event_type")
+    starts = events.filter("event_type IN ('signup', 'purchase')")
+    periods = starts.select("user_id", F.col("ts").alias("a"), (F.col("ts") + F.expr("INTERVAL 10 DAYS")).alias("b"))
+    return select.audit_breakdown(periods, events, "user_id", time="ts", start="a", end="b", action="event_type")
