@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from tablekeeper.plans import ranks
 from tablekeeper.plans.conditions import any_fits, ordered_join, target_names
 from tablekeeper.plans.keys import KEY, Keys, distinct_keys, key_pairs, keys_match, rename_keys, without_clash
 from tablekeeper.plans.sizing import COMPARE_ROWS, broadcast_if_small, compares_all_pairs
+from tablekeeper.session import scratch_path
 
 HIT = "hit"
 
@@ -313,6 +315,57 @@ def delete_cascade(
     return dict(reversed(plans.items()))
 
 
+def delete_closure(
+    tables: Mapping[str, DataFrame], links: Sequence[tuple[str, str, Mapping[str, str]]], root: str, plan: DeletePlan
+) -> dict[str, DeletePlan]:
+    """Delete what depends on deleted rows, through links that may come back to a table, to any depth.
+
+    `links` hold (parent, child, {child column: parent column}); a table may link to itself, and tables in a circle. Rounds follow
+    the keys found last, each key once, until none is new; every round is written below the checkpoint folder. There are as many
+    rounds as the longest way down. Null keys lead nowhere. Plans come back for every table a link leads to, and the root.
+    """
+    spark = plan.target.sparkSession
+    known = [scratch_path(spark, "closure") for _ in links]
+
+    def keys_of(rows: DataFrame, link: int) -> DataFrame:
+        columns = [col(p).alias(f"{KEY}{i}") for i, p in enumerate(links[link][2].values())]
+        return rows.select(*columns).filter(all_of(F.col(f"{KEY}{i}").isNotNull() for i in range(len(columns)))).distinct()
+
+    def hits(link: int, keys: DataFrame) -> DataFrame:
+        test = all_of(col(c) == F.col(f"{KEY}{i}") for i, c in enumerate(links[link][2]))
+        return tables[links[link][1]].join(keys, test, "left_semi")
+
+    def noted(link: int, keys: DataFrame, first: bool) -> DataFrame:
+        """The keys that are new, written down; the known ones include them from then on."""
+        if not first:
+            keys = keys.join(spark.read.parquet(known[link]), [f"{KEY}{i}" for i in range(len(links[link][2]))], "left_anti")
+        path = scratch_path(spark, "closure-round")
+        keys.write.parquet(path)
+        new = spark.read.schema(keys.schema).parquet(path)
+        new.write.mode("append").parquet(known[link])
+        return new
+
+    open_ = {}
+    for k, (parent, _, _) in enumerate(links):
+        start = keys_of(plan.preview() if parent == root else tables[parent].limit(0), k)
+        open_[k] = noted(k, start, True)
+    while open_ := {k: keys for k, keys in open_.items() if not keys.isEmpty()}:
+        found = {}
+        for k, (parent, _, _) in enumerate(links):
+            above = [keys_of(hits(j, keys), k) for j, keys in open_.items() if links[j][1] == parent]
+            if above:
+                found[k] = noted(k, reduce(DataFrame.unionAll, above).distinct(), False)
+        open_ = found
+
+    plans = {root: plan}
+    for k, (_, child, on) in enumerate(links):
+        keys = spark.read.parquet(known[k])
+        renamed = keys.withColumnsRenamed({f"{KEY}{i}": f"__link{i}" for i in range(len(on))})
+        own = {c: f"__link{i}" for i, c in enumerate(on)}
+        plans[child] = _also_by_keys(plans[child], renamed, own) if child in plans else delete_by_keys(tables[child], renamed, own)
+    return dict(reversed(plans.items()))
+
+
 def _also_by_keys(plan: DeletePlan, criteria: DataFrame, on: Keys) -> DeletePlan:
     """The rows of a plan, or those keyed by further criteria: one more join per key set, no OR."""
     columns = [col(c) for c in plan.target.columns]

@@ -260,3 +260,17 @@ def delete_condition_grid(load):
     condition = "t.l_extendedprice < c.p_retailprice + 50 AND t.l_quantity > c.p_size + 30 AND t.l_partkey > c.p_partkey"
     plan = delete.delete_by_condition(load("lineitem"), load("part"), condition, ["l_orderkey", "l_linenumber"])
     return plan.preview().select("l_orderkey", "l_linenumber")
+
+
+@query(
+    """WITH RECURSIVE o AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey >= 3 THEN o_orderkey // 3 END AS parent, o_totalprice FROM orders),
+    gone(id) AS (SELECT id FROM o WHERE o_totalprice > 450000 UNION SELECT o.id FROM o JOIN gone ON o.parent = gone.id)
+    SELECT o.id, o.parent FROM o WHERE o.id NOT IN (SELECT id FROM gone)"""
+)
+def delete_closure_tree(load):
+    """Orders as a tree of many levels: what hangs below the dearest goes with them."""
+    key = F.col("o_orderkey")
+    orders = load("orders").select(key.alias("id"), F.when(key >= 3, F.floor(key / 3)).alias("parent"), "o_totalprice")
+    plan = delete.delete_where(orders, F.col("o_totalprice") > 450000)
+    plans = delete.delete_closure({"orders": orders}, [("orders", "orders", {"parent": "id"})], "orders", plan)
+    return plans["orders"].kept().select("id", "parent")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tablekeeper.functions.predicates import violations
+from tablekeeper.operators import history
 from tablekeeper.operators.delete import delete_above_percentile, delete_groups, delete_scoped, delete_where
 from tablekeeper.operators.merge import Merge, source_checks, upsert
 from tablekeeper.session import scratch_path
@@ -338,3 +339,27 @@ def stream_change_log(load):
     stream = read_file_stream(load.spark, arrival, events.schema, maxFilesPerTrigger=1)
     upsert_stream(stream, table, scratch_path(load.spark, "stream-progress")).awaitTermination()
     return table.read().select("user_id", "event_id", "event_type", "value")
+
+
+HISTORY = """WITH said AS (SELECT user_id, ts, event_type, event_type = 'error' AS gone FROM events),
+    changed AS (SELECT * FROM (SELECT *, lag(CASE WHEN gone THEN 'gone' ELSE 'is ' || event_type END)
+        OVER (PARTITION BY user_id ORDER BY ts) AS b FROM said)
+        WHERE b IS DISTINCT FROM (CASE WHEN gone THEN 'gone' ELSE 'is ' || event_type END) AND NOT (b IS NULL AND gone))
+    SELECT user_id, event_type, valid_from, valid_to, valid_to IS NULL AS is_current FROM
+        (SELECT *, ts AS valid_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS valid_to FROM changed) WHERE NOT gone"""
+
+
+@query(HISTORY)
+def history_of_users(load):
+    """What each user's last event was, from when to when; an error ends it."""
+    gone = F.col("event_type") == "error"
+    return history.steady(history.history_of(load("events"), ["user_id"], "ts", ["event_type"], gone), ["user_id"], ["event_type"])
+
+
+@query(HISTORY)
+def history_late_changes(load):
+    """The same history from two batches, of which the second falls between the rows of the first."""
+    events, gone = load("events"), F.col("event_type") == "error"
+    first = history.history_of(events.filter("event_id % 3 <> 0"), ["user_id"], "ts", ["event_type"], gone)
+    whole = history.apply_changes(first, events.filter("event_id % 3 = 0"), ["user_id"], "ts", ["event_type"], gone)
+    return history.steady(whole, ["user_id"], ["event_type"])
