@@ -10,6 +10,7 @@ from tablekeeper.session import scratch_path
 from tablekeeper.sources.files import write_parquet
 from tablekeeper.sources.partitions import delete_in_place
 from tablekeeper.sources.snapshots import SnapshotTable
+from tablekeeper.streaming.keyed import KeyedLog
 from tablekeeper.streaming.upsert import UpsertTable, read_file_stream, upsert_stream
 from workloads.registry import query
 
@@ -329,16 +330,32 @@ def stream_change_log(load):
     """The last event of a user decides; an error removes the user. The newest third of the events comes first, so all others are late."""
     folder = scratch_path(load.spark, "live-users")
     table = UpsertTable(load.spark, folder, ["user_id"], ["ts", "event_id"], lambda s: s("event_type") == "error", parts=8)
+    _in_waves(load, lambda stream, progress: upsert_stream(stream, table, progress))
+    return table.read().select("user_id", "event_id", "event_type", "value")
+
+
+@query(
+    """SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER
+    (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn=1 AND event_type<>'error'"""
+)
+def stream_upsert_state(load):
+    """The same by keyed state: a batch costs its own keys, and the batches are folded into one folder at the end."""
+    log = KeyedLog(load.spark, scratch_path(load.spark, "live-users"), ["user_id"], ["ts", "event_id"], lambda s: s("event_type") == "error")
+    _in_waves(load, log.start)
+    log.fold()
+    return log.read().select("user_id", "event_id", "event_type", "value")
+
+
+def _in_waves(load, start) -> None:
+    """The events as a stream in three waves, the newest third first; the query ends and starts again between them."""
     events = load("events")
-    arrival = scratch_path(load.spark, "arrival")
+    arrival, progress = scratch_path(load.spark, "arrival"), scratch_path(load.spark, "stream-progress")
     late = F.pmod(F.xxhash64("event_id"), F.lit(2))
     newest = events.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.66)).first()[0] or 0
     wave = F.when(F.unix_micros(F.col("ts").cast("timestamp")) > newest, 0).otherwise(1 + late)
     for number in range(3):
-        events.filter(wave == number).coalesce(1).write.mode("append").parquet(arrival)
-    stream = read_file_stream(load.spark, arrival, events.schema, maxFilesPerTrigger=1)
-    upsert_stream(stream, table, scratch_path(load.spark, "stream-progress")).awaitTermination()
-    return table.read().select("user_id", "event_id", "event_type", "value")
+        events.filter(wave == number).write.mode("append").parquet(arrival)
+        start(read_file_stream(load.spark, arrival, events.schema), progress).awaitTermination()
 
 
 HISTORY = """WITH said AS (SELECT user_id, ts, event_type, event_type = 'error' AS gone FROM events),
