@@ -17,7 +17,7 @@ WEIGHTS = (5, 2, 1)
 #: A source is repeated this often at most.
 MOST_REPEATS = 3
 #: Columns that `mix` adds, or replaces where the documents have them.
-ADDED = ("_size", "_source_size", "_target", "_copies", "_plan_source", "_copy")
+ADDED = ("_size", "_source_size", "_target", "_copies", "_plan_source", "_copy", "_draw")
 
 
 def size_of(text: Column) -> Column:
@@ -72,16 +72,18 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     while others under a null or shared id do not. An empty table gives an empty result. The per-source table has one row per source and is joined with whatever join fits its size.
     """
     own = [F.col(f"`{c}`") for c in docs.columns if c not in ADDED]
-    sized = docs.select(*own, size_of(F.col(text)).alias("_size"))
+    # Drawn before the join, so that it need not carry the texts.
+    drawn = draw(F.lit(seed), F.col(doc_id), F.md5(F.coalesce(F.col(text), F.lit(""))))
+    sized = docs.select(*own, size_of(F.col(text)).alias("_size"), drawn.alias("_draw"))
     plan = targets(sized.select(F.col(source).alias("_s"), "_size"), "_s", "_size").select(
         F.col("_source").alias("_plan_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target")
     )
     # Sources that no longer carry words cannot divide.
     rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate)
-    once_more = draw(F.lit(seed), F.col(doc_id), F.md5(F.coalesce(F.col(text), F.lit("")))) < rate - whole
+    once_more = F.col("_draw") < rate - whole
     joined = sized.join(plan, sized[source].eqNullSafe(plan["_plan_source"]), "inner").drop("_plan_source")
-    return joined.withColumn("_copies", (whole + once_more.cast("long")).cast("long"))
+    return joined.withColumn("_copies", (whole + once_more.cast("long")).cast("long")).drop("_draw")
 
 
 def emit(mixed: DataFrame) -> DataFrame:
