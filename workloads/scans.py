@@ -1,9 +1,12 @@
 """Sources, views, unions and listings."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tablekeeper.functions import paths, predicates
-from tablekeeper.operators import clean
+from tablekeeper.operators import clean, sketches
+from tablekeeper.plans.curve import write_clustered
 from tablekeeper.plans.ranks import By
 from tablekeeper.session import scratch_path
 from tablekeeper.sources import files, listing
@@ -253,3 +256,72 @@ def last_rows(load):
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 100 OFFSET 1000")
 def page_of_rows(load):
     return clean.page(load("orders").select("o_orderkey", "o_totalprice"), ["o_totalprice", "o_orderkey"], 1000, 100)
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem WHERE l_partkey < 40 OR l_shipdate < TIMESTAMP '1995-02-01'")
+def clustered_scan(load):
+    """Lines clustered by part and ship date at once, read back by either."""
+    folder = scratch_path(load.spark, "clustered")
+    write_clustered(load("lineitem"), folder, ["l_partkey", "l_shipdate"], 16)
+    lines = load.spark.read.parquet(folder).select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    return lines.filter("l_partkey < 40 OR l_shipdate < timestamp '1995-02-01'")
+
+
+@query(
+    """SELECT c.column_name, c.n AS rows, 0::BIGINT AS missing, true AS distinct_is_near, true AS median_is_near FROM
+    (SELECT 'l_partkey' AS column_name, count(*) AS n FROM lineitem UNION ALL SELECT 'l_extendedprice', count(*) FROM lineitem) c"""
+)
+def merged_sketches(load):
+    """Statistics of all lines from sketches of each return flag and line status, held against exact ones."""
+    lines, names = load("lineitem"), ["l_partkey", "l_extendedprice"]
+    whole = sketches.merged(sketches.merged(sketches.sketch(lines, names, ["l_returnflag", "l_linestatus"]), ["l_linestatus"]))
+    found = sketches.estimates(whole, [0.5])
+    exact = lines.agg(*[F.countDistinct(n).alias(n) for n in names]).unpivot([], names, "column_name", "exact")
+    near = found.join(exact, "column_name").withColumn("distinct_is_near", F.abs(F.col("distinct_values") - F.col("exact")) <= 0.05 * F.col("exact"))
+    around = lines.agg(*[F.percentile_approx(n, [0.47, 0.53], 10_000) for n in names]).first()
+    inside = [(F.col("column_name") == n) & F.col("quantiles")[0].between(*map(float, around[i])) for i, n in enumerate(names)]
+    return near.select("column_name", "rows", "missing", "distinct_is_near", (inside[0] | inside[1]).alias("median_is_near"))
+
+
+@query("SELECT o_orderpriority, count(*) AS orders FROM orders WHERE o_totalprice > 100000 GROUP BY o_orderpriority")
+def catalog_table_summary(load):
+    """Orders saved as a catalog table and read by its name."""
+    name = f"dear_orders_{uuid.uuid4().hex[:12]}"
+    files.save_table(load("orders").filter("o_totalprice > 100000"), name)
+    return load.spark.table(name).groupBy("o_orderpriority").agg(F.count("*").alias("orders"))
+
+
+@query(
+    """SELECT 'region' AS view, r_name AS name, 2 AS columns FROM region UNION ALL SELECT 'nation', n_name, 3 FROM nation"""
+)
+def registered_views(load):
+    """Views that are listed, described and queried; one that was dropped is not among them."""
+    tag, found = uuid.uuid4().hex[:12], None
+    for table, columns in (("region", ["r_name", "r_regionkey"]), ("nation", ["n_name", "n_regionkey", "n_nationkey"]), ("supplier", ["s_name"])):
+        load(table).select(*columns).createOrReplaceTempView(f"{table}_{tag}")
+    files.drop_view(load.spark, f"supplier_{tag}")
+    for view in files.list_views(load.spark):
+        if view.endswith(tag):
+            schema = files.view_schema(load.spark, view)
+            rows = files.query_view(load.spark, view).select(
+                F.lit(view.removesuffix(f"_{tag}")).alias("view"), F.col(schema.fieldNames()[0]).alias("name"), F.lit(len(schema)).alias("columns")
+            )
+            found = rows if found is None else found.unionAll(rows)
+    return found
+
+
+@query(
+    """SELECT r.id AS custkey FROM (SELECT unnest(range(0, (SELECT max(c_custkey) + 1 FROM customer)::BIGINT)) AS id) r
+    WHERE r.id NOT IN (SELECT o_custkey FROM orders)"""
+)
+def ids_without_orders(load):
+    """Every customer number up to the largest that no order bears."""
+    last = load("customer").agg(F.max("c_custkey")).first()[0]
+    numbers = files.id_range(load.spark, 0, last + 1, "custkey")
+    return numbers.join(load("orders").select(F.col("o_custkey").alias("custkey")), "custkey", "left_anti")
+
+
+@query("SELECT url AS name, page_id FROM pages WHERE starts_with(url, 'https://www.')")
+def prefixed_names(load):
+    """Page addresses as names of a listing, narrowed by prefix."""
+    return listing.with_prefix(load("pages").select(F.col("url").alias("name"), "page_id"), "https://www.")
