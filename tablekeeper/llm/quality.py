@@ -2,8 +2,7 @@
 
 Each token has a sparse random index vector, a function of its hash. A token's word vector is the sum of the index vectors of its
 neighbours over the whole corpus; tokens share `TOKENS` hash slots, so that the table of vectors has a fixed size. A text is
-the mean and the deviation of its tokens' vectors, with its length and its shares of tokens that are distinct and that repeat the
-one before. A network of two layers,
+the mean and the deviation of its tokens' vectors, and nothing else. A network of two layers,
 trained on the driver on a bounded sample of labelled rows, turns that into a probability, which a temperature fitted on
 rows kept out of the training makes calibrated.
 """
@@ -12,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,13 +21,13 @@ from tablekeeper.llm.words import chunks, raw
 
 #: Hash slots of tokens, length of a vector, entries of an index vector that are not 0, neighbours on each side.
 TOKENS, DIMENSIONS, NONZERO, REACH = 1 << 14, 64, 4, 2
-FEATURES = 2 * DIMENSIONS + 3
+FEATURES = 2 * DIMENSIONS
 #: Labelled rows the network is trained on at most: those with the least hashes of their ids.
 MOST_TRAINED = 20_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-4
 POSITIVE = 0.7
-#: Token slots that travel together while word vectors are summed.
-SLOTS = 64
+#: Token slots that travel together while word vectors are summed, and tasks whose sums are added up first.
+SLOTS, TASKS_TOGETHER = 64, 1_024
 
 _BASE = 0x9E3779B97F4A7C15
 #: Character classes by byte: white space, line end, letter (and all beyond ASCII), digit, and each symbol its own.
@@ -83,7 +83,8 @@ def _add_contexts(total: np.ndarray, counts: np.ndarray, slots: np.ndarray, boun
 def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     """The vectors of all slots, TOKENS rows of DIMENSIONS, from all texts; a common slot weighs less.
 
-    Tasks sum their own texts; groups of SLOTS slots are then summed across tasks. The result has a fixed size (4 MB).
+    Tasks sum their own texts; groups of SLOTS slots are then summed, first over TASKS_TOGETHER tasks each and then over all, so that
+    no group holds more than some 30 MB, with up to a million tasks. The result has a fixed size (4 MB).
     """
 
     def partial(batches):
@@ -93,14 +94,18 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
         table = np.concatenate([counts[:, None], total.reshape(TOKENS, DIMENSIONS)], 1).reshape(TOKENS // SLOTS, -1)
         keys = np.flatnonzero(np.abs(table).sum(1))
         values = [table[k].tobytes() for k in keys]
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(values, pa.binary())], names=["slots", "sums"])
+        part = np.full(len(keys), TaskContext.get().partitionId() // TASKS_TOGETHER)
+        columns = [pa.array(keys, pa.int64()), pa.array(part, pa.int64()), pa.array(values, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["slots", "part", "sums"])
 
     def summed(key, group):
         total = sum(np.frombuffer(v.as_py()) for c in group.column("sums").chunks for v in c)
-        return pa.table([pa.array([key[0].as_py()]), pa.array([total.tobytes()], pa.binary())], names=["slots", "sums"])
+        columns = [pa.array([key[0].as_py()]), pa.array([0], pa.int64()), pa.array([total.tobytes()], pa.binary())]
+        return pa.table(columns, names=["slots", "part", "sums"])
 
-    kind = "slots long, sums binary"
-    sums = docs.select(F.col(text).alias(text)).mapInArrow(partial, kind).groupBy("slots").applyInArrow(summed, kind)
+    kind = "slots long, part long, sums binary"
+    first = docs.select(F.col(text).alias(text)).mapInArrow(partial, kind).groupBy("slots", "part").applyInArrow(summed, kind)
+    sums = first.groupBy("slots").applyInArrow(summed, kind)
     table = np.zeros((TOKENS // SLOTS, SLOTS * (DIMENSIONS + 1)))
     for row in sums.collect():
         table[row["slots"]] = np.frombuffer(row["sums"])
@@ -137,10 +142,6 @@ def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
     mean /= count
     out[filled, :DIMENSIONS] = mean
     out[filled, DIMENSIONS : 2 * DIMENSIONS] = np.sqrt(np.maximum(square / count - mean**2, 0))
-    out[filled, -3] = np.log1p(n[filled])
-    again = np.concatenate([[False], (slots[1:] == slots[:-1]) & (rows[1:] == rows[:-1])])
-    out[filled, -2] = np.bincount(rows, again, len(n))[filled] / n[filled]
-    out[filled, -1] = np.diff(np.append(first, len(of))) / n[filled]
     return out
 
 
