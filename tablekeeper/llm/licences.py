@@ -230,6 +230,23 @@ def paragraphs(text: Column) -> Column:
     return F.filter(F.split(text, r"\n *\n"), lambda x: F.trim(F.translate(x, "\n", " ")) != "")
 
 
+def identifiers(text: Column) -> Column:
+    """The operands of the SPDX expressions of a text, each as a notice of its own and plain; of one that is a single id none.
+
+    `X+` is X-or-later for the GNU licences, whose ids say so, and X for others. Exceptions behind WITH are no licences.
+    """
+    found = F.regexp_extract_all(text, F.lit(r"(?i)SPDX-License-Identifier:[ \t]*([^\n]*)"), F.lit(1))
+    parted = F.transform(found, lambda e: F.split(e, r"(?i)[ \t]+(?:or|and|with)[ \t]+|[()]+"))
+    several = F.filter(parted, lambda p: (F.size(p) > 1) | F.contains(p[0], F.lit("+")))
+
+    def notice(operand: Column) -> Column:
+        name = F.regexp_replace(F.trim(operand), r"(?i)^([al]?gpl-[0-9.]+|gfdl-[0-9.]+)\+.*$", "$1-or-later")
+        return plain(F.concat(F.lit("SPDX-License-Identifier: "), F.regexp_replace(name, r"\+", "")))
+
+    none = F.array().cast("array<string>")
+    return F.when(F.contains(F.lower(text), F.lit("spdx-license-identifier:")), F.transform(F.flatten(several), notice)).otherwise(none)
+
+
 def _begins(starts: list[str]) -> str:
     return "^(" + "|".join(re.escape(x).replace(r"\ ", " +") for x in starts if x) + ")"
 
@@ -259,7 +276,7 @@ def runs(of: Column, lengths: dict[str, list[int]]) -> Column:
 def scan(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`doc_id`, `licences` (names in order, by commas), `n_licences` and `whole_text` (the text as a whole is a licence) per row.
 
-    Null, empty and punctuation-only texts have none. A row of equal id and text as another has the same result. `known` has one row
+    SPDX expressions count as the identifiers they hold. Null, empty and punctuation-only texts have none. A row of equal id and text as another has the same result. `known` has one row
     per known text and is broadcast: its size does not depend on the documents. Only parts that begin like a known text, or
     with what a spelling may change, are spelled and hashed; no other could match.
     """
@@ -270,10 +287,11 @@ def scan(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str =
         if start and n > 1:
             lengths.setdefault(start, []).append(n)
     keyed = repeats.keyed(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", "text")
-    whole = keyed.filter("text IS NOT NULL").select("_id", "_th", F.posexplode(versions(F.col("text"))).alias("_v", "_all"))
-    whole = whole.select("_id", "_th", "_v", "_all", paragraphs(F.col("_all")).alias("_paragraphs"))
+    named = identifiers(F.col("text")).alias("_identifiers")
+    whole = keyed.filter("text IS NOT NULL").select("_id", "_th", named, F.posexplode(versions(F.col("text"))).alias("_v", "_all"))
+    whole = whole.select("_id", "_th", "_v", "_all", "_identifiers", paragraphs(F.col("_all")).alias("_paragraphs"))
     likely = F.filter(parts(F.col("_all")), lambda x: _flat(x).rlike(begins))
-    likely = F.concat(likely, runs(F.col("_paragraphs"), lengths))
+    likely = F.concat(likely, runs(F.col("_paragraphs"), lengths), F.col("_identifiers"))
     pieces = whole.select("_id", "_th", "_v", "_all", F.explode(likely).alias("_part"))
     is_all, digest = F.col("_part") == F.col("_all"), F.md5(canonical(F.col("_part")))
     pieces = pieces.select("_id", "_th", "_v", is_all.alias("_is_all"), digest.alias("_digest"))

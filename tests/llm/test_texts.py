@@ -264,3 +264,20 @@ def test_query_of_quality_is_right_on_held_out_rows(spark):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
     found = [r for r in QUERIES["op4_random_indexing"](spark, folder).collect() if r["held_out"] and r["doc_id"] in labels]
     assert np.mean([r["predicted"] == labels[r["doc_id"]] for r in found]) > 0.93
+
+
+def test_spdx_expressions_count_as_their_identifiers(spark):
+    cases = {
+        "// SPDX-License-Identifier: MIT OR Apache-2.0": "Apache-2.0,MIT",
+        "# spdx-license-identifier: (BSD-3-Clause and ISC) or MIT": "BSD-3-Clause,ISC,MIT",
+        "/* SPDX-License-Identifier: GPL-2.0+ WITH Classpath-exception-2.0 */\nint x;": "GPL-2.0-or-later",
+        "SPDX-License-Identifier: MPL-2.0+": "MPL-2.0",
+        "SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0-or-later",
+        "SPDX-License-Identifier: LGPL-2.1+ OR (Zlib AND Unknown-9)\nSPDX-License-Identifier: 0BSD": "0BSD,LGPL-2.1-or-later,Zlib",
+        "SPDX-License-Identifier: MIT": "MIT",
+        "SPDX-License-Identifier: ": "",
+        "MIT OR Apache-2.0": "",
+    }
+    rows = list(enumerate(cases))
+    found = licences.scan(spark.createDataFrame(rows, "doc_id long, text string"), licences.known_licences(spark)).collect()
+    assert {rows[r["doc_id"]][1]: r["licences"] for r in found} == cases
