@@ -237,7 +237,7 @@ def any_fits(target: DataFrame, criteria: DataFrame, test: Column) -> Column | N
         fits = _staircase(criteria, first, more[0])
     else:
         best = F.min(first.criteria) if first.greater() else F.max(first.criteria)
-        fits = TESTS[first.operator](first.target, _literal(criteria.agg(best).first()[0], first.kind))
+        fits = TESTS[first.operator](first.target, literal_of(criteria.agg(best).first()[0], first.kind))
     if fits is None:
         return None
     return F.coalesce(all_of([*condition.of_target, fits]), F.lit(False))
@@ -270,12 +270,12 @@ def _staircase(criteria: DataFrame, first: Comparison, second: Comparison) -> Co
         return None
     if not steps:
         return F.lit(False)
-    xs, ys = (F.array(*[_literal(s[k], c.kind) for s in steps]) for k, c in enumerate((first, second)))
+    xs, ys = (F.array(*[literal_of(s[k], c.kind) for s in steps]) for k, c in enumerate((first, second)))
     at = steps_before(first.target, xs, len(steps), lambda cut, value: TESTS[first.operator](value, cut))
     return TESTS[second.operator](second.target, F.get(ys, at - 1))
 
 
-def _literal(value, kind: T.DataType) -> Column:
+def literal_of(value, kind: T.DataType) -> Column:
     # A time without a zone must not go through one.
     return F.lit(str(value) if isinstance(kind, T.TimestampNTZType) and value is not None else value).cast(kind)
 

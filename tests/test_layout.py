@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablekeeper.operators import sketches
+from tablekeeper.plans import digests
 from tablekeeper.plans.curve import place, write_clustered
 
 
@@ -63,3 +64,27 @@ def test_merged_sketches_keep_the_bound_of_one(spark):
     empty = sketches.estimates(sketches.sketch(rows.limit(0), ["n", "s"])).collect()
     assert [(r["rows"], r["distinct_values"], r["quantiles"]) for r in empty] == [(0, 0, None)] * 2
     assert not math.isnan(whole["n"]["quantiles"][0])
+
+
+KEYS = {"int": "cast(id % 700 AS int)", "string": "concat('k', id % 700)", "timestamp": "timestamp_micros(id % 700 * 1000001)", "double": "if(id % 90 = 0, double('NaN'), id % 700 / 3)"}
+
+
+@pytest.mark.parametrize("kind", list(KEYS))
+def test_difference_by_digests_equals_every_row_compared(spark, kind):
+    before = spark.range(3_000).selectExpr(f"if(id % 400 = 1, null, {KEYS[kind]}) AS k", "id % 11 AS a", "cast(id % 3 AS string) AS b")
+    after = before.filter("a <> 4 OR k IS NULL OR b <> '1'").unionAll(before.filter("b = '2' AND a = 7").limit(5)).selectExpr("k", "if(a = 9 AND b = '0', null, a) AS a", "b")
+    for one, two in ((before, after), (after, before), (before, before), (before, before.limit(0)), (before.limit(0), before)):
+        found = digests.table_diff(one, two, "k", ranges=16, few=10)
+        want = one.exceptAll(two).withColumn("change", F.lit("removed")).unionAll(two.exceptAll(one).withColumn("change", F.lit("added")))
+        rows = lambda f: sorted(map(repr, f.select("k", "a", "b", "change").collect()))
+        assert rows(found) == rows(want)
+
+
+def test_one_changed_row_reads_one_range(spark):
+    before = spark.range(200_000).selectExpr("id", "id % 13 AS v")
+    after = before.withColumn("v", F.when(F.col("id") == 123_456, 99).otherwise(F.col("v")))
+    scope = digests.differing(before, after, "id", few=10)
+    assert before.filter(scope).count() <= 200 and digests.table_diff(before, after, "id").count() == 2
+    repeated = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y")], "id int, v string")
+    swapped = spark.createDataFrame([(1, "z"), (1, "z"), (2, "y")], "id int, v string")
+    assert digests.table_diff(repeated, swapped, "id").count() == 4

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tablekeeper.functions import paths, predicates
 from tablekeeper.operators import clean, sketches
 from tablekeeper.plans.curve import write_clustered
+from tablekeeper.plans.digests import table_diff
 from tablekeeper.plans.ranks import By
 from tablekeeper.session import scratch_path
 from tablekeeper.sources import files, listing
@@ -325,3 +326,18 @@ def ids_without_orders(load):
 def prefixed_names(load):
     """Page addresses as names of a listing, narrowed by prefix."""
     return listing.with_prefix(load("pages").select(F.col("url").alias("name"), "page_id"), "https://www.")
+
+
+@query(
+    """WITH b AS (SELECT * FROM orders), a AS (SELECT o_orderkey, o_custkey, o_orderstatus,
+        CASE WHEN o_orderkey % 5000 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority
+        FROM orders WHERE o_orderkey % 9999 <> 3 UNION ALL SELECT * FROM orders WHERE o_orderkey % 7001 = 5)
+    SELECT *, 'removed' AS change FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)
+    UNION ALL SELECT *, 'added' AS change FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)"""
+)
+def digest_diff(load):
+    """Orders before and after a few changes, removals and repeats, found by digests of key ranges."""
+    orders, key = load("orders"), F.col("o_orderkey")
+    price = F.when(key % 5000 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    after = orders.filter(key % 9999 != 3).withColumn("o_totalprice", price).unionAll(orders.filter(key % 7001 == 5))
+    return table_diff(orders, after, "o_orderkey", few=1_000)
