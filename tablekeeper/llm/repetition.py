@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablekeeper.llm.hashing import BASES, mixed, prefix, windows
 from tablekeeper.llm.passages import SPANS, runs, spread
 from tablekeeper.llm.words import chunks, raw, words_of
 
@@ -40,32 +41,43 @@ def suffix_array(codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.
     left = bounds[1:][row] - np.arange(n)  # words from here to the end of the row
     key = row.astype(np.int64) << 32 | codes.astype(np.int64)
     order = np.argsort(key, kind="stable")
-    rank, levels, todo = _ranks(key[order], order, np.zeros(n, np.int64), 0)
-    levels = [rank.astype(np.int32)]
+    rank, todo = _ranks(key[order], order, np.zeros(n, np.int64), 0)
     step = 1
     while len(todo):
         after = np.where(left[todo] > step, rank[np.minimum(todo + step, n - 1)] + 1, 0)
         key = rank[todo] << 32 | after
         by = np.argsort(key, kind="stable")
-        rank, _, todo = _ranks(key[by], todo[by], rank, None)
-        levels.append(rank.astype(np.int32))
+        rank, todo = _ranks(key[by], todo[by], rank, None)
         step *= 2
     places = np.empty(n, np.int64)
     places[rank] = np.arange(n)
+    del rank, key, order
     lcp = np.zeros(n, np.int64)
     pairs = np.flatnonzero(row[places[1:]] == row[places[:-1]]) + 1
-    a, b = places[pairs - 1].copy(), places[pairs].copy()
-    common = np.zeros(len(pairs), np.int64)
-    for level in range(len(levels) - 1, -1, -1):
-        inside = np.minimum(left[np.minimum(a, n - 1)], left[np.minimum(b, n - 1)]) >= 1 << level
-        inside &= (a < n) & (b < n) & (common < left[places[pairs - 1]]) & (common < left[places[pairs]])
-        same = inside & (levels[level][np.minimum(a, n - 1)] == levels[level][np.minimum(b, n - 1)])
-        common += same << level
-        a, b = a + (same << level), b + (same << level)
-    lcp[pairs] = common
+    if len(pairs):
+        lcp[pairs] = common_words(codes, places[pairs - 1], places[pairs], np.minimum(left[places[pairs - 1]], left[places[pairs]]))
     return places, lcp, row
 
 
+def common_words(codes: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How many words from a and from b on are the same, up to `most`, by binary search over two hashes of their beginnings.
+
+    Only the two arrays of prefix sums are held, however long a text is.
+    """
+    values = mixed(codes.astype(np.uint64) + np.uint64(1))
+    sums = [prefix(values, base) for base in BASES]
+    low, high = np.zeros(len(a), np.int64), most + 1  # low words are the same, high are not
+    while len(open_ := np.flatnonzero(high - low > 1)):
+        middle = (low[open_] + high[open_]) // 2
+        same = np.ones(len(open_), bool)
+        for total, base in zip(sums, BASES, strict=True):
+            one, two = (windows(total, at[open_], at[open_] + middle, base) for at in (a, b))
+            same &= one == two
+        low[open_] = np.where(same, middle, low[open_])
+        high[open_] = np.where(same, high[open_], middle)
+    return low
+
+
 def _ranks(keys: np.ndarray, items: np.ndarray, rank: np.ndarray, base: int | None):
     """New ranks of items in the order of their keys, which split their old ranks; and the items still tied."""
     first = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
@@ -81,7 +93,7 @@ def _ranks(keys: np.ndarray, items: np.ndarray, rank: np.ndarray, base: int | No
     rank = rank.copy()
     rank[items] = new
     sizes = np.diff(np.concatenate([starts, [len(keys)]]))
-    return rank, [], items[np.repeat(sizes > 1, sizes)]
+    return rank, items[np.repeat(sizes > 1, sizes)]
 
 
 def maximal_repeats(places: np.ndarray, lcp: np.ndarray, codes: np.ndarray, bounds: np.ndarray, least: int):

@@ -281,3 +281,14 @@ def test_spdx_expressions_count_as_their_identifiers(spark):
     rows = list(enumerate(cases))
     found = licences.scan(spark.createDataFrame(rows, "doc_id long, text string"), licences.known_licences(spark)).collect()
     assert {rows[r["doc_id"]][1]: r["licences"] for r in found} == cases
+
+
+def test_repetition_of_a_text_beyond_the_slice(spark):
+    """Two and a half MB in one text: the figures of a text that repeats one word, and of one whose halves are equal."""
+    rng = random.Random(4)
+    half = " ".join(str(rng.randint(0, 10**9)) for _ in range(130_000))
+    texts = ["word " * 500_000, f"{half} {half}", None]
+    found = {r["doc_id"]: r for r in repetition.judged(repetition.measure(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))).collect()}
+    assert (found[0]["_n_words"], found[0]["_n_covered"], found[0]["_longest"]) == (500_000, 500_000, 499_999)
+    assert (found[1]["_n_words"], found[1]["_n_covered"], found[1]["_longest"], found[1]["_n_repeats"]) == (260_000, 260_000, 130_000, 1)
+    assert not found[0]["_kept"] and not found[1]["_kept"] and found[2]["_n_words"] == 0
