@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.classic.column import Column as ClassicColumn
 
-from tablekeeper.functions.predicates import all_of
+from tablekeeper.functions.predicates import all_of, col
 from tablekeeper.plans.places import steps_before, text_array, text_cuts
-from tablekeeper.plans.ranges import axis, range_join
+from tablekeeper.plans.ranges import axis, listed_join, range_join, within_bounds
 
 OPERATORS = {"GreaterThan": ">", "GreaterThanOrEqual": ">=", "LessThan": "<", "LessThanOrEqual": "<="}
 FLIPPED = {">": "<", ">=": "<=", "<": ">", "<=": ">="}
@@ -134,13 +134,43 @@ def ordered_join(target: DataFrame, criteria: DataFrame, test: Column, columns:
     found = _bounded(condition.comparisons)
     first = condition.comparisons[0]
     second = next((c for c in condition.comparisons[1:] if c.target_name != first.target_name), None)
+    sides = _Side(target, "__t"), _Side(criteria, "__c")
     if found is not None:
-        joined = _ranged(target, criteria, *found)
+        joined = _ranged(*sides, *found)
     elif second is None:
-        joined = _ranged(target, criteria, "target", *((first, None) if first.greater() else (None, first)))
+        joined = _ranged(*sides, "target", *((first, None) if first.greater() else (None, first)))
     else:
-        joined = _grid_join(target, criteria, first, second)
-    return joined.filter(test).select(*columns)
+        joined = _grid_join(*sides, first, second)
+    return _named(joined, *sides).filter(test).select(*columns)
+
+
+class _Side:
+    """A side of a join, its columns named by number, and what they and the whole side are called in conditions."""
+
+    def __init__(self, frame: DataFrame, mark: str):
+        plan = frame._jdf.queryExecution().analyzed()
+        while plan.getClass().getSimpleName() == "Filter":
+            plan = plan.child()
+        self.alias = plan.alias() if plan.getClass().getSimpleName() == "SubqueryAlias" else None
+        self.frame, self.names = frame, frame.columns
+        self.numbered = [f"{mark}{i}" for i in range(len(self.names))]
+
+    def with_values(self, **values: Column) -> DataFrame:
+        own = [col(n).alias(m) for n, m in zip(self.names, self.numbered, strict=True)]
+        return self.frame.select(*own, *[v.alias(n) for n, v in values.items()])
+
+
+def _named(joined: DataFrame, *sides: _Side) -> DataFrame:
+    """The columns of both sides by their names, where one side alone has them, and by the alias of their side."""
+    aliases = {s.alias for s in sides}
+    every = [n for s in sides for n in s.names]
+    out = []
+    for s in sides:
+        named = [F.col(m).alias(n) for n, m in zip(s.names, s.numbered, strict=True)]
+        out += [c for n, c in zip(s.names, named, strict=True) if every.count(n) == 1 and n not in aliases]
+        if s.alias is not None:
+            out.append(F.struct(*named).alias(s.alias))
+    return joined.select(*out)
 
 
 def _bounded(comparisons: list[Comparison]) -> tuple[str, Comparison, Comparison] | None:
@@ -153,20 +183,16 @@ def _bounded(comparisons: list[Comparison]) -> tuple[str, Comparison, Comparison
     return None
 
 
-def _ranged(target: DataFrame, criteria: DataFrame, of: str, low: Comparison | None, high: Comparison | None) -> DataFrame:
+def _ranged(target: _Side, criteria: _Side, of: str, low: Comparison | None, high: Comparison | None) -> DataFrame:
     """The rows whose value is inside, both ends closed."""
     some = low or high
     if of == "criteria":  # target > c and target < c: ranges of the target around values of the criteria
         low, high = high, low
         target, criteria = criteria, target
     value, ends = (some.target, "criteria") if of == "target" else (some.criteria, "target")
-    points = target.withColumn("__value", value)
-    for name, end in (("__lower", low), ("__upper", high)):
-        if end is not None:
-            criteria = criteria.withColumn(name, getattr(end, ends))
-    bounds = "__lower" if low else None, "__upper" if high else None
-    joined = range_join(points, criteria, "__value", *bounds, same_names=True)
-    return joined.drop("__value", "__lower", "__upper")
+    bounds = {n: getattr(end, ends) for n, end in (("__low", low), ("__high", high)) if end is not None}
+    points, ranges = target.with_values(__point=value), criteria.with_values(**bounds)
+    return range_join(points, ranges, "__point", *(n if n in bounds else None for n in ("__low", "__high")))
 
 
 class Parts:
@@ -191,18 +217,20 @@ class Parts:
         return steps_before(value if self.texts else axis(value, self.kind), self.array, self.count, lambda cut, v: cut <= v)
 
 
-def _grid_join(target: DataFrame, criteria: DataFrame, first: Comparison, second: Comparison) -> DataFrame:
+def _grid_join(target: _Side, criteria: _Side, first: Comparison, second: Comparison) -> DataFrame:
     """Pairs of which both comparisons may hold: all that do, and others only from the cells at a criteria row's edge."""
-    target = target.withColumns({"__a": first.target, "__b": second.target}).filter("__a IS NOT NULL AND __b IS NOT NULL")
+    target = target.with_values(__a=first.target, __b=second.target).filter("__a IS NOT NULL AND __b IS NOT NULL")
+    asked = criteria.with_values(__x=first.criteria, __y=second.criteria).filter("__x IS NOT NULL AND __y IS NOT NULL")
+    ends = ((first, "__a", "__x"), (second, "__b", "__y"))
+    target = within_bounds(target, asked, [(F.col(v), F.col(w), c.greater(), c.kind) for c, v, w in ends])
     parts = min(MOST_PARTS, max(LEAST_PARTS, math.isqrt(target.count() // CELL_ROWS)))
     a, b = (Parts(target, F.col(n), c.kind, parts) for n, c in (("__a", first), ("__b", second)))
-    placed = target.withColumns({"__i": a.number(F.col("__a")), "__j": b.number(F.col("__b"))}).drop("__a", "__b")
+    placed = target.withColumns({"__i": a.number(F.col("__a")), "__j": b.number(F.col("__b"))}).drop("__b")
     held: dict[int, list[int]] = {}
     for i, j in placed.select("__i", "__j").distinct().collect():  # at most (parts + 1)^2
         held.setdefault(i, []).append(j)
     wide = b.count + 1
     cells = F.from_json(F.lit(json.dumps([sorted(held.get(i, [])) for i in range(a.count + 1)])), "array<array<int>>")
-    asked = criteria.withColumns({"__x": first.criteria, "__y": second.criteria}).filter("__x IS NOT NULL AND __y IS NOT NULL")
     asked = asked.withColumns({"__x": a.number(F.col("__x")), "__y": b.number(F.col("__y"))})
     rows = F.sequence(F.col("__x"), F.lit(a.count)) if first.greater() else F.sequence(F.lit(0), F.col("__x"))
 
@@ -212,7 +240,7 @@ def _grid_join(target: DataFrame, criteria: DataFrame, first: Comparison, second
     reached = F.flatten(F.transform(rows, lambda i: F.transform(F.filter(F.get(cells, i), beyond), lambda j: i * wide + j)))
     asked = asked.withColumn("__to", F.explode(reached)).drop("__x", "__y")
     placed = placed.withColumn("__cell", F.col("__i") * wide + F.col("__j")).drop("__i", "__j")
-    return asked.join(placed, F.col("__to") == F.col("__cell")).drop("__to", "__cell")
+    return listed_join(asked, "__to", placed, "__cell", "__a")
 
 
 def target_names(target: DataFrame, criteria: DataFrame, test: Column) -> list[str]:

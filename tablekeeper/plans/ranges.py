@@ -5,17 +5,21 @@ Beyond that the target's values are cut into cells of about equally many rows: b
 even parts between them, so that an outlier or a crowded region does not fill one cell; by sampled values of texts, so that what
 they begin with alike does not matter. A target row lies in one cell and a range in all cells it spans; the join is an equi join on
 the cell with the exact comparison re-checked. A cell is about half as wide as the mean range, so that a range is copied about three
-times and its end cells hold no more rows than it matches, on the mean.
+times and its end cells hold no more rows than it matches, on the mean. Only target rows between the least and the greatest bound move.
+
+The result may hold a share of all pairs, far more than both sides. So the rows of a cell go as short lists, in order of their value,
+and each list meets all ranges of its cell one after the other: no pair is moved, and equal stretches of the result lie side by side,
+where columnar files keep them in few bytes.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablekeeper.functions.predicates import all_of, col
+from tablekeeper.functions.predicates import all_of, col, row_hash
 from tablekeeper.plans.keys import without_clash
 from tablekeeper.plans.places import steps_before, text_array, text_cuts
 from tablekeeper.plans.sizing import COMPARE_ROWS, small_enough
@@ -25,6 +29,9 @@ QUANTILES = 1_000
 ACCURACY = 10_000
 # Fixed value: cells of texts at most; a range's two end cells hold that share of the rows each.
 TEXT_CELLS = 2_048
+# Rows of a list, and into how many shares at most the ranges of a cell are dealt where there are few cells.
+# Lists are long because Parquet's writer looks at its size after every row once rows take less than a byte, which is slow.
+LIST_ROWS, SHARES = 10_000, 16
 
 
 def _family(kind: T.DataType) -> str:
@@ -89,18 +96,14 @@ def range_join(
     *,
     strict: bool = False,
     compare_rows: int = COMPARE_ROWS,
-    same_names: bool = False,
 ) -> DataFrame:
     """Inner join on `lower <= column <= upper`; one side may be open. Every pair appears once.
 
-    `same_names` lets both sides hold columns of one name, for callers that tell them apart.
-
     An open range matches a share of all pairs by its nature; for "above any threshold" semi-join the least one instead.
     """
     if lower is None and upper is None:
         raise ValueError("a range needs a lower or an upper column")
-    if not same_names:
-        without_clash(target, criteria.columns)
+    without_clash(target, criteria.columns)
     named = [name for name in (lower, upper) if name]
     kinds = [target.schema[column].dataType, *[criteria.schema[n].dataType for n in named]]
     untyped = any(isinstance(k, T.NullType) for k in kinds)
@@ -110,14 +113,14 @@ def range_join(
     def same(name: str) -> Column:
         return col(name) if common is None else col(name).try_cast(common)
 
-    matches = in_range(same(column), same(lower) if lower else None, same(upper) if upper else None, strict)
     if small_enough(criteria, compare_rows):
+        matches = in_range(same(column), same(lower) if lower else None, same(upper) if upper else None, strict)
         return F.broadcast(criteria).join(target, matches)
-    if _family(common or kinds[0]) == "text":
-        places = {n: same(n) for n in [column, *named]}
-        return _cell_join(target, criteria, places, column, lower, upper, matches, texts=True)
-    places = {n: axis(same(n), common or k) for n, k in zip([column, *named], kinds)}
-    return _cell_join(target, criteria, places, column, lower, upper, matches)
+    # Cast once for each row, not for each pair.
+    points = target.withColumn("__value", same(column)).filter("__value IS NOT NULL")
+    ranges = criteria.withColumns({bound: same(name) for name, bound in ((lower, "__lower"), (upper, "__upper")) if name})
+    kind = common or kinds[0]
+    return _cell_join(points, ranges, kind, strict).drop("__value", "__lower", "__upper")
 
 
 class _Quantiles:
@@ -158,25 +161,67 @@ class _Texts:
         return frame.withColumn(name, at.cast("double"))
 
 
-def _cell_join(target, criteria, places, column, lower, upper, matches, texts: bool = False) -> DataFrame:
-    axis_ = (_Texts if texts else _Quantiles)(target, places[column])
-    ranges = criteria.filter(all_of(col(name).isNotNull() for name in (lower, upper) if name))
-    for name, bound, default in ((lower, "__from", -1.0), (upper, "__to", float(axis_.last))):
-        if name:
-            ranges = axis_.placed(ranges.filter(places[name].isNotNull()), places[name], bound)
-        else:
-            ranges = ranges.withColumn(bound, F.lit(default))
+def _cell_join(target: DataFrame, ranges: DataFrame, kind: T.DataType, strict: bool) -> DataFrame:
+    """Ranges `__lower` to `__upper`, or one of both, beside the target rows whose `__value` is inside."""
+    lower, upper = (F.col(c) if c in ranges.columns else None for c in ("__lower", "__upper"))
+    ranges = ranges.filter(all_of(c.isNotNull() for c in (lower, upper) if c is not None))
+    texts = _family(kind) == "text"
+    value = F.col("__value")
+    ends = [(value, end, least, kind) for end, least in ((lower, True), (upper, False)) if end is not None]
+    target = within_bounds(target, ranges, ends)
+
+    def place(at: Column) -> Column:
+        return at if texts else axis(at, kind)
+
+    axis_ = (_Texts if texts else _Quantiles)(target, place(value))
+    for end, bound, default in ((lower, "__from", -1.0), (upper, "__to", float(axis_.last))):
+        ranges = ranges.withColumn(bound, F.lit(default)) if end is None else axis_.placed(ranges, place(end), bound)
     ranges = ranges.filter("__from <= __to")
-    # Cells to each unit of places: two to the mean range, and enough to spread the work.
+    # Cells to each unit of places: two to the mean range. Where those are too few to spread the work, the target's rows are copied
+    # for shares of the ranges: each range then has a good part of all rows as its matches, far more rows than the copies.
     mean = ranges.agg(F.avg(F.col("__to") - F.col("__from"))).first()[0] or 0.0
     tasks = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    each = max(2 / mean if mean else float("inf"), 2 * tasks / (axis_.last + 1))
+    each = 2 / mean if mean else float("inf")
     each = min(float(axis_.finest), each if each < 1 else float(int(min(each, 2**31))))
 
     def cell(place: str) -> Column:
         return F.floor(F.col(place) * each).cast("long")
 
-    spans = F.explode(F.sequence(cell("__from"), cell("__to")))
-    ranges = ranges.withColumn("__span", spans).drop("__from", "__to")
-    placed = axis_.placed(target.filter(places[column].isNotNull()), places[column], "__cell").withColumn("__cell", cell("__cell"))
-    return ranges.join(placed, (F.col("__span") == F.col("__cell")) & matches).drop("__span", "__cell")
+    ranges = ranges.withColumn("__span", F.explode(F.sequence(cell("__from"), cell("__to")))).drop("__from", "__to")
+    placed = axis_.placed(target, place(value), "__cell").withColumn("__cell", cell("__cell"))
+    shares = min(SHARES, int(2 * tasks // ((axis_.last + 1) * each)) or 1)
+    return listed_join(ranges, "__span", placed, "__cell", "__value", shares).filter(in_range(value, lower, upper, strict))
+
+
+def within_bounds(target: DataFrame, criteria: DataFrame, ends: list[tuple[Column, Column, bool, T.DataType]]) -> DataFrame:
+    """The target rows within the least or the greatest bound of all, for each (value, bound, is it a lower one, kind)."""
+
+    def place(value: Column, kind: T.DataType) -> Column:
+        return value if _family(kind) == "text" else axis(value, kind)
+
+    last = criteria.agg(*[(F.min if low else F.max)(place(bound, kind)) for _, bound, low, kind in ends]).first()
+    for (value, _, low, kind), best in zip(ends, last, strict=True):
+        at, cut = place(value, kind), F.lit(best).cast("string" if _family(kind) == "text" else "double")
+        target = target.filter(at >= cut if low else at <= cut)
+    return target
+
+
+def listed_join(asked: DataFrame, to: str, placed: DataFrame, cell: str, order: str, shares: int = 1) -> DataFrame:
+    """The columns of both sides, which share no name, for all pairs of rows of equal cells.
+
+    The rows placed in a cell are numbered in their order and cut into lists of LIST_ROWS, so that no list grows with a cell. A list
+    is read beside each asking row: pairs come list by list, and the rows of a list in their order. The asking rows of a cell may be
+    dealt into shares, each with its own copy of the lists.
+    """
+    tasks = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Spark carries what it knows of a cell to the other side of the join, where it can't be computed; not what it knows of an element.
+    placed = placed.withColumn(cell, F.explode(F.array(col(cell))))
+    asked = asked.withColumn("__share", F.pmod(row_hash(asked), F.lit(shares)))
+    number = F.row_number().over(Window.partitionBy(cell).orderBy(order)) - 1
+    rows = F.collect_list(F.struct(*[col(c) for c in placed.columns if c != cell])).alias("__rows")
+    lists = placed.repartition(tasks, cell).withColumn("__list", F.floor(number / LIST_ROWS)).groupBy(cell, "__list").agg(rows)
+    lists = lists.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
+    # A number of partitions that is given stays: few bytes in may be many pairs out.
+    lists, asked = lists.repartition(tasks, cell, "__copy"), asked.repartition(tasks, to, "__share")
+    joined = lists.hint("merge").join(asked, (F.col(cell) == F.col(to)) & (F.col("__copy") == F.col("__share")))
+    return joined.select(*[col(c) for c in asked.columns if c not in (to, "__share")], F.inline("__rows"))

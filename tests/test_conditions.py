@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablekeeper.operators import delete, select
-from tablekeeper.plans import conditions
+from tablekeeper.plans import conditions, ranges
 from tablekeeper.plans.ranges import range_join
 from tests.conftest import ids
 
@@ -137,3 +137,37 @@ def test_text_ranges_have_a_place_for_each_day(spark):
     cuts = text_cuts(days, F.col("day"), 2_048)
     placed = days.select(steps_before(F.col("day"), text_array(cuts), len(cuts), lambda c, v: c <= v).alias("at"))
     assert placed.distinct().count() > 2_000
+
+
+def test_a_share_of_all_pairs_takes_few_bytes(spark, tmp_path):
+    target = spark.range(3_000).selectExpr("id", "cast(id * 7919 % 3000 AS double) AS x")
+    high = "cast(id % 500 + 1000 AS decimal(38, 14)) AS high"
+    criteria = spark.range(2_000).selectExpr("id * 7 AS k", "cast(id % 500 AS string) AS low", high)
+    found = range_join(target, criteria, "x", "low", "high", compare_rows=0).select("k", "id")
+    found.write.parquet(str(tmp_path / "pairs"))
+    assert spark.read.parquet(str(tmp_path / "pairs")).distinct().count() == 2_000 * 1_001
+    size = sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet"))
+    assert size < 1.5 * 2_000 * 1_001
+
+
+def test_pairs_do_not_depend_on_lists_and_shares(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "LIST_ROWS", 7)
+    target = spark.range(500).selectExpr("id", "cast(id * 31 % 90 AS double) AS x")
+    criteria = spark.range(60).selectExpr("id AS k", "id % 40 AS low", "id % 40 + id % 30 AS high")
+    want = sorted((i, k) for i in range(500) for k in range(60) if k % 40 <= i * 31 % 90 <= k % 40 + k % 30)
+    for shares in (1, 5):
+        monkeypatch.setattr(ranges, "SHARES", shares)
+        found = range_join(target, criteria, "x", "low", "high", compare_rows=0).select("id", "k")
+        assert sorted(map(tuple, found.collect())) == want
+
+
+def test_a_grid_moves_only_rows_that_some_criteria_reach(spark, monkeypatch):
+    seen = []
+    kept = conditions.listed_join
+    monkeypatch.setattr(conditions, "listed_join", lambda asked, to, placed, *more: seen.append(placed.count()) or kept(asked, to, placed, *more))
+    target = spark.range(9_000).selectExpr("id", "id AS a", "id % 50 AS b")
+    criteria = spark.range(2_000).selectExpr("id AS k", "id % 90 AS x", "id % 50 + 30 AS y")
+    left, right = target.alias("t"), criteria.alias("c")
+    found = conditions.ordered_join(left, right, F.expr("t.a < c.x AND t.b > c.y"), [F.col("t.id"), F.col("c.k")])
+    assert sorted(map(tuple, found.collect())) == sorted((i, k) for i in range(90) for k in range(2_000) if i < k % 90 and i % 50 > k % 50 + 30)
+    assert seen[0] <= 90
