@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablekeeper.functions.predicates import col, row_hash
 from tablekeeper.plans.automaton import Automaton, held_terms, texts_as_bytes
 from tablekeeper.plans.keys import without_clash
-from tablekeeper.plans.sizing import small_enough
+from tablekeeper.plans.sizing import BROADCAST_ROWS, small_enough
 from tablekeeper.session import importable
 
 #: So few terms are compared with every text by Spark itself.
@@ -19,6 +19,8 @@ COMPARE_TERMS = 8
 TERMS, TERM_BYTES = 200_000, 4 << 20
 #: Bytes of a gram.
 GRAM = 8
+#: Tables of fewer bytes are dealt to all tasks before their grams are made; larger ones have tasks enough.
+SPREAD_BYTES = 1 << 30
 
 
 def contains_join(
@@ -111,13 +113,19 @@ def _gram_join(target: DataFrame, terms: DataFrame, wanted: DataFrame, text: Col
     parts = wanted.select("__term", F.explode(own).alias("__gram"))
 
     hashed = target.filter(text.isNotNull()).withColumn("__row", row_hash(target))
+    if hashed._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < SPREAD_BYTES:
+        # A small file is read by one task, which would hold and sort all its grams, some fifty times the texts.
+        tasks = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        hashed = hashed.repartition(tasks, "__row")
     narrow = hashed.select("__row", F.explode(_grams_of(text, sizes)).alias("__gram"))
     asked = parts.select("__gram").distinct()
-    counts = narrow.join(asked, "__gram", "left_semi").groupBy("__gram").agg(F.count("*").alias("__n"))
-    ranked = parts.join(counts, "__gram", "left").groupBy("__term")
+    # Spark takes the grams of a small file to be as small as the file, and would broadcast them. The terms' side goes, if it is small.
+    few = small_enough(asked, BROADCAST_ROWS)
+    counts = narrow.join(F.broadcast(asked) if few else asked.hint("merge"), "__gram", "left_semi").groupBy("__gram").agg(F.count("*").alias("__n"))
+    ranked = (parts if few else parts.hint("merge")).join(counts, "__gram", "left").groupBy("__term")
     often = F.coalesce("__n", F.lit(0))
     keys = ranked.agg(F.min_by("__gram", F.struct(often, "__gram")).alias("__gram"), F.min(often).alias("__n"))
     keys = keys.filter("__n > 0").drop("__n")
-    found = narrow.join(keys, "__gram").select("__row", F.col("__term").alias("__hit")).distinct()
+    found = narrow.join(F.broadcast(keys) if few else keys.hint("merge"), "__gram").select("__row", F.col("__term").alias("__hit")).distinct()
     joined = hashed.join(found, "__row").filter(F.contains(text, F.col("__hit"))).drop("__row")
     return terms.join(joined, F.col("__term") == F.col("__hit")).drop("__hit")

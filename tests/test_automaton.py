@@ -6,7 +6,7 @@ import time
 import pyarrow as pa
 import pytest
 
-from tablekeeper.plans import automaton
+from tablekeeper.plans import automaton, grams
 from tablekeeper.plans.automaton import Automaton, held_terms
 from tablekeeper.plans.grams import contains_join
 
@@ -56,3 +56,23 @@ def test_join_by_automaton_does_not_move_the_texts(spark, rows):
             text = f"x w{i % 600}!"
             want += [(f"w{k}", k % 3, i) for k in range(500) if f"w{k}" in text] + [("", 9, i)] + ([("w7", 8, i)] if "w7" in text else [])
     assert sorted(tuple(r) for r in found.select("t", "kind", "id").collect()) == sorted(want)
+
+
+def test_grams_of_a_small_file_are_made_by_all_tasks(spark):
+    names = spark.range(500).selectExpr("id", "concat('Customer#', lpad(id, 9, '0')) AS name").coalesce(1)
+    terms = spark.range(50).selectExpr("concat('Customer#', lpad(id, 8, '0')) AS term")
+    found = contains_join(names, terms, "name", "term", compare_rows=0, automaton_terms=0)
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 500
+
+
+def test_grams_of_texts_are_not_broadcast(spark, tmp_path, monkeypatch):
+    spark.range(500).selectExpr("id", "concat('Customer#', lpad(id, 9, '0')) AS name").write.parquet(str(tmp_path / "names"))
+    names = spark.read.parquet(str(tmp_path / "names"))
+    terms = spark.range(50).selectExpr("concat('Customer#', lpad(id, 8, '0')) AS term")
+    for most in (10_000, 0):
+        monkeypatch.setattr(grams, "BROADCAST_ROWS", most)
+        found = contains_join(names, terms, "name", "term", compare_rows=0, automaton_terms=0)
+        joins = [j for j in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join " in j and "__gram" in j]
+        assert joins and all("strategy=broadcast" in j for j in joins[:1]) if most else all("strategy=merge" in j for j in joins)
+        assert found.count() == 500
