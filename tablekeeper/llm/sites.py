@@ -6,9 +6,11 @@ is the entropy of both over its pages, as a share of what that many different pa
 all pages has 0, one that differs on every page 1. A branch of a page whose nodes all have low importance is cut.
 
 Counts of presentations and contents are grouped aggregations, combined where pages are read, so that a host may own any share of
-them. A page alone on its host, and copies of one article, give no evidence about what matters; what a page declares therefore
-comes first: its article or main element is the text if it has one, and elements that are menus, headers, footers, sidebars, notices,
-adverts, forms, scripts or reader comments by tag, role or name never count. The tree judges all the rest.
+them. The tree judges every page, inside its article too: a block that the articles of a host repeat is none of their text. Copies of
+one article count once there. A page alone on its host gives no evidence about what matters, so what a page declares is looked at as
+well: what the tree leaves of its article or main element is the text if it has one, and elements that are menus, headers, footers,
+sidebars, notices, adverts, forms, scripts or reader comments by tag, role or name never count. Headings and marks inside lines belong
+to their article or block.
 """
 
 from __future__ import annotations
@@ -55,6 +57,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark math nobr q rb rp rt rtc ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: What an opening tag closes of itself, within these borders.
 P_ENDS = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -217,27 +220,42 @@ class Page:
         return out
 
     def judged(self, k: int) -> bool:
-        """The tree has no say inside the article, nor on what is never text."""
-        return not (self.article and self.inside[k]) and self.tag[k] not in NEVER
+        """The tree has no say on what is never text, nor, inside the article, on headings and marks by themselves."""
+        tag = self.tag[k]
+        return tag not in NEVER and not (self.article and self.inside[k] and (tag in HEADINGS or tag in INLINE))
 
-    def features(self) -> Iterator[tuple[int, int, int]]:
-        """(node, 0, presentation) and (node, 1, content) for each node of this page."""
+    def said(self, keep: list[bool]) -> str:
+        return " ".join("".join([html.unescape(t) for k, t in self.pieces if keep[k]]).split())
+
+    def declared(self) -> list[bool]:
+        return [i and not b for i, b in zip(self.inside, self.beside, strict=True)]
+
+    def features(self) -> Iterator[tuple[int, int, int, int]]:
+        """(node, 0, presentation, copy) and (node, 1, content, copy) for each node of this page. Copy names the article; 0 outside of it."""
         keys = self.keys()
+        copy = (hashed(2, self.said(self.declared())) or 1) if self.article else 0
+        copies: dict[int, int] = {}
         styles: dict[int, list[str]] = {}
         texts: dict[int, list[str]] = {}
         for k in range(1, len(keys)):
             if self.judged(k):
                 styles.setdefault(keys[k], [])
+                copies[keys[k]] = copy if self.inside[k] else 0
                 around = styles.get(keys[self.parent[k]])
                 if around is not None and around[-1:] != [self.signature[k]]:
                     around.append(self.signature[k])
+        block = list(range(len(keys)))
+        for k in range(1, len(keys)):
+            if self.article and self.inside[k] and self.tag[k] in INLINE:
+                block[k] = block[self.parent[k]]
         for k, text in self.pieces:
-            if keys[k] in styles and text and not text.isspace() and self.judged(k):
-                texts.setdefault(keys[k], []).append(text)
+            at = block[k]
+            if keys[at] in styles and text and not text.isspace() and self.judged(at):
+                texts.setdefault(keys[at], []).append(text)
         for key, parts in styles.items():
-            yield key, 0, hashed(0, "|".join(parts))
+            yield key, 0, hashed(0, "|".join(parts)), copies[key]
         for key, parts in texts.items():
-            yield key, 1, hashed(1, " ".join(" ".join(parts).split()))
+            yield key, 1, hashed(1, " ".join(" ".join(parts).split())), copies[key]
 
     def text(self, low: frozenset[int]) -> tuple[str, int]:
         """The main text, and how many branches the tree cut."""
@@ -245,21 +263,22 @@ class Page:
         cut, cuts = [False] * n, 0
         if low:
             keys = self.keys()
-            branch = [self.judged(k) and keys[k] in low for k in range(n)]
+            marks = [self.article and self.inside[k] and self.tag[k] in INLINE for k in range(n)]
+            # A mark goes with its block; only a block in it that stays keeps it.
+            branch = [marks[k] or (self.judged(k) and keys[k] in low) for k in range(n)]
             for k in range(n - 1, 0, -1):
                 if not branch[k] and self.tag[k] not in NEVER:
                     branch[parent[k]] = False
             for k in range(1, n):
-                cut[k] = cut[parent[k]] or branch[k]
-                cuts += branch[k] and not cut[parent[k]]
-
-        def said(keep: list[bool]) -> str:
-            return " ".join("".join([html.unescape(t) for k, t in self.pieces if keep[k]]).split())
-
+                own = branch[k] and not marks[k]
+                cut[k] = cut[parent[k]] or own
+                cuts += own and not cut[parent[k]]
         if self.article:
-            return said([i and not b for i, b in zip(self.inside, self.beside, strict=True)]), cuts
-        text = said([not c and not b for c, b in zip(cut, self.beside, strict=True)])
-        return (text, cuts) if text else (said([not b for b in self.beside]), 0)
+            declared = self.declared()
+            text = self.said([d and not c for d, c in zip(declared, cut, strict=True)])
+            return (text, cuts) if text else (self.said(declared), 0)
+        text = self.said([not c and not b for c, b in zip(cut, self.beside, strict=True)])
+        return (text, cuts) if text else (self.said([not b for b in self.beside]), 0)
 
 
 def host_of(url: Column) -> Column:
@@ -275,19 +294,22 @@ def style_tree(pages: DataFrame, url: str = "url", source: str = "html") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "html"):
-            hosts, nodes, kinds, values = [], [], [], []
+            hosts, nodes, kinds, values, copies = [], [], [], [], []
             for host, text in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                for node, kind, value in Page(text).features():
+                for node, kind, value, copy in Page(text).features():
                     hosts.append(host)
                     nodes.append(node)
                     kinds.append(kind)
                     values.append(value)
+                    copies.append(copy)
             columns = [pa.array(hosts, pa.string()), pa.array(nodes, pa.int64()), pa.array(kinds, pa.int32()), pa.array(values, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["host", "node", "kind", "value"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(copies, pa.int64())], names=["host", "node", "kind", "value", "copy"])
 
     sited = pages.select(host_of(F.col(f"`{url}`")).alias("host"), F.col(f"`{source}`").cast("string").alias("html"))
-    seen = sited.filter("host <> '' AND html IS NOT NULL").mapInArrow(run, "host string, node long, kind int, value long")
-    counted = seen.groupBy("host", "node", "kind", "value").agg(F.count("*").alias("n"))
+    seen = sited.filter("host <> '' AND html IS NOT NULL").mapInArrow(run, "host string, node long, kind int, value long, copy long")
+    each = seen.groupBy("host", "node", "kind", "value", "copy").agg(F.count("*").alias("n"))
+    # Equal articles are one witness, whatever their number; a page counts as often as it occurs elsewhere.
+    counted = each.groupBy("host", "node", "kind", "value").agg(F.sum(F.when(F.col("copy") == 0, F.col("n")).otherwise(1)).alias("n"))
     m, spread = F.sum("n"), F.sum(F.col("n") * F.log("n"))
     entropy = F.when(m == 1, 1.0).otherwise((F.log(m) - spread / m) / F.log(m))
     each = counted.groupBy("host", "node", "kind").agg(m.alias("m"), F.greatest(entropy, F.lit(0.0)).alias("entropy"))
@@ -303,14 +325,15 @@ def style_tree(pages: DataFrame, url: str = "url", source: str = "html") -> Data
 def main_text(
     pages: DataFrame, url: str = "url", source: str = "html", low: float = LOW, evidence: int = EVIDENCE
 ) -> DataFrame:
-    """All columns, and `_main` the page's main text (empty if none), `_n_chars` its code points, `_tree_cuts` the branches outside
-    the article that the tree of its host found low.
+    """All columns, and `_main` the page's main text (empty if none), `_n_chars` its code points, `_tree_cuts` the branches
+    that the tree of its host found low.
 
     Character references are decoded; white space, by Unicode, becomes one space; blocks are joined by one space. A page with an
-    article or main element (or one of that role) that holds text beside its menus and comments has that as its text. Any other page
-    has what is left of it without declared parts and low branches; if those branches are all it has, as on a host of copies, they
-    stay. A node is low below `low` of importance on `evidence` pages of the host or more. A null page is empty; a null url, or one
-    without a host, has no tree. Markup need not be well formed. Repeated pages count as often as they occur. Columns of `pages` named like
+    article or main element (or one of that role) that holds text beside its menus and comments has that as its text, without low
+    branches. Any other page has what is left of it without declared parts and low branches; if those branches are all it has, as on
+    a host of copies, they stay. A node is low below `low` of importance on `evidence` pages of the host or more. A null page is empty; a null url, or one
+    without a host, has no tree. Markup need not be well formed. Repeated pages count as often as they occur, copies of an article
+    once for what is inside it. Columns of `pages` named like
     an added one are replaced by it. An empty table gives no rows.
     """
     docs = enclosed(pages, url, source).withColumn("_host", host_of(F.col("_doc")))

@@ -135,3 +135,20 @@ def test_importance_equals_plain_entropies(spark):
     assert got["pages"] == 20 and got["presentation"] == 0
     assert got["content"] == pytest.approx(entropy(texts)) and got["importance"] == pytest.approx(entropy(texts))
     assert nodes["one", div]["importance"] == 1
+
+
+def test_tree_judges_the_article_too(spark):
+    rng = random.Random(9)
+    rows, want = [], []
+    body = lambda h, p, more: f"<article><h1>{h}</h1><p>{p}</p><div class=z1>Share <b>this</b> story</div>{more}</article>"
+    for k in range(60):
+        p = f"<b>Alike</b> {sentence(rng, 12)}"
+        rows.append(("http://news.example/", body("One title", p, "")))
+        want.append(" ".join(re.sub(r"<[^>]*>", " ", f"One title {p}").split()))
+    copy = body("Copied", "the same", "")
+    rows += [("http://copies.example/", copy)] * 40 + [("http://few.example/", body("T", "few pages", ""))] * 3
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id long, url string, html string").repartition(5)
+    found = {r["id"]: (r["_main"], r["_tree_cuts"] > 0) for r in sites.main_text(frame).collect()}
+    assert [found[k] for k in range(60)] == [(w, True) for w in want]
+    assert {found[k] for k in range(60, 100)} == {("Copied the same Share this story", False)}
+    assert {found[k] for k in range(100, 103)} == {("T few pages Share this story", False)}
