@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tablekeeper.functions.paths import base_name, days_before
 from tablekeeper.functions.predicates import all_of, any_of, col, is_true, quality_rule, text_match
 from tablekeeper.plans import ranks
-from tablekeeper.plans.conditions import any_fits, ordered_join, target_names
+from tablekeeper.plans.conditions import any_fits, ordered_join, target_names, undominated
 from tablekeeper.plans.keys import KEY, Keys, distinct_keys, key_pairs, keys_match, rename_keys, without_clash
 from tablekeeper.plans.sizing import COMPARE_ROWS, broadcast_if_small, compares_all_pairs
 from tablekeeper.session import scratch_path
@@ -187,7 +187,9 @@ def delete_by_condition(
             return DeletePlan(target, plan.operation, plan.victims, plan.remaining, plan.marked, parameters)
         # Rows that agree in the columns of the condition go together, whatever identifies them.
         asked = target_names(left, right, test)
-        pairs = ordered_join(left, right, test, [F.col(f"t.`{u}`").alias(f"{KEY}{i}") for i, u in enumerate(asked)])
+        # To know whether any fits, criteria that others make needless form no pairs.
+        deciding = undominated(left, right, test).alias("c")
+        pairs = ordered_join(left, deciding, test, [F.col(f"t.`{u}`").alias(f"{KEY}{i}") for i, u in enumerate(asked)])
         if pairs is None:
             raise ValueError("no equality or comparison of both sides in the condition: add one, or ask for compare_all_pairs")
         own = pairs.distinct()

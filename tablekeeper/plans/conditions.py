@@ -22,6 +22,7 @@ from pyspark.sql.classic.column import Column as ClassicColumn
 from tablekeeper.functions.predicates import all_of, col
 from tablekeeper.plans.places import steps_before, text_array, text_cuts
 from tablekeeper.plans.ranges import axis, listed_join, range_join, within_bounds
+from tablekeeper.session import checkpoint_dir
 
 OPERATORS = {"GreaterThan": ">", "GreaterThanOrEqual": ">=", "LessThan": "<", "LessThanOrEqual": "<="}
 FLIPPED = {">": "<", ">=": "<=", "<": ">", "<=": ">="}
@@ -35,6 +36,8 @@ TESTS: dict[str, Callable] = {
 LEAST_PARTS, MOST_PARTS, CELL_ROWS = 16, 512, 64
 #: Steps of a staircase, and the parts in which criteria that cannot be a step are dropped first.
 STEPS, STAIR_PARTS = 1_000, 512
+#: Criteria that all others are compared with.
+STRONGEST = 500
 
 
 @dataclass(frozen=True)
@@ -243,6 +246,29 @@ def _grid_join(target: _Side, criteria: _Side, first: Comparison, second: Compar
     return listed_join(asked, "__to", placed, "__cell", "__a")
 
 
+def undominated(target: DataFrame, criteria: DataFrame, test: Column) -> DataFrame:
+    """Criteria that decide whether any fits, as far as the strongest tell: a row is dropped if one of those is met as easily by every
+    target row in all comparisons, and not the same. All stay if the condition is more than comparisons and tests of one side."""
+    condition = taken_apart(target, criteria, test)
+    if condition is None or condition.others or not condition.comparisons:
+        return criteria
+    own = criteria.filter(all_of(condition.of_criteria)) if condition.of_criteria else criteria
+    marks = [f"__m{i}" for i in range(len(condition.comparisons))]
+    rows = own.withColumns({m: c.criteria for m, c in zip(marks, condition.comparisons, strict=True)})
+    rows = rows.filter(all_of(F.col(m).isNotNull() for m in marks))
+    ranks = []
+    for mark, c in zip(marks, condition.comparisons, strict=True):
+        number = Parts(rows, F.col(mark), c.kind, STAIR_PARTS).number(F.col(mark))
+        ranks.append(number if c.greater() else -number)
+    best = rows.orderBy(sum(ranks, F.lit(0)), *marks).select(*[F.col(m).alias(f"{m}_") for m in marks]).limit(STRONGEST).distinct()
+    ends = [(F.col(f"{m}_"), F.col(m), c.greater()) for m, c in zip(marks, condition.comparisons, strict=True)]
+    easier = all_of(a <= b if greater else a >= b for a, b, greater in ends)
+    same = all_of(a == b for a, b, _ in ends)
+    left = rows.join(F.broadcast(best), easier & ~same, "left_anti").drop(*marks)
+    checkpoint_dir(criteria.sparkSession)
+    return left.checkpoint()  # read several times from here on
+
+
 def target_names(target: DataFrame, criteria: DataFrame, test: Column) -> list[str]:
     """The target columns that a condition speaks of: rows that agree in them fit alike."""
     join = target.join(criteria, test)._jdf.queryExecution().analyzed()

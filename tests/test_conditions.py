@@ -171,3 +171,17 @@ def test_a_grid_moves_only_rows_that_some_criteria_reach(spark, monkeypatch):
     found = conditions.ordered_join(left, right, F.expr("t.a < c.x AND t.b > c.y"), [F.col("t.id"), F.col("c.k")])
     assert sorted(map(tuple, found.collect())) == sorted((i, k) for i in range(90) for k in range(2_000) if i < k % 90 and i % 50 > k % 50 + 30)
     assert seen[0] <= 90
+
+
+def test_needless_criteria_form_no_pairs(spark, monkeypatch):
+    target = spark.range(2_000).selectExpr("id", "id % 97 AS a", "id % 89 AS b", "id AS d")
+    criteria = spark.range(1_500).selectExpr("id AS k", "id % 50 AS x", "id % 70 + 10 AS y", "id + 100 AS z")
+    test = "t.a < c.x AND t.b > c.y AND t.d >= c.z"
+    seen, kept = [], conditions.ordered_join
+    monkeypatch.setattr(delete, "ordered_join", lambda left, right, *more: seen.append(right.count()) or kept(left, right, *more))
+    for strongest in (500, 3):
+        monkeypatch.setattr(conditions, "STRONGEST", strongest)
+        plan = delete.delete_by_condition(target, criteria, test, ["id"])
+        want = {i for i in range(2_000) if any(i % 97 < k % 50 and i % 89 > k % 70 + 10 and i >= k + 100 for k in range(1_500))}
+        assert set(ids(plan.preview())) == want and len(want) > 10
+    assert seen[0] <= 300 and seen[1] < 1_500
