@@ -144,6 +144,8 @@ def test_a_share_of_all_pairs_takes_few_bytes(spark, tmp_path):
     high = "cast(id % 500 + 1000 AS decimal(38, 14)) AS high"
     criteria = spark.range(2_000).selectExpr("id * 7 AS k", "cast(id % 500 AS string) AS low", high)
     found = range_join(target, criteria, "x", "low", "high", compare_rows=0).select("k", "id")
+    joins = [j for j in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in j]
+    assert len(joins) == 1 and "low" not in joins[0] and "__share" in joins[0]  # rows are cast before, pairs come out of lists
     found.write.parquet(str(tmp_path / "pairs"))
     assert spark.read.parquet(str(tmp_path / "pairs")).distinct().count() == 2_000 * 1_001
     size = sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet"))
