@@ -86,16 +86,13 @@ def _shown(line: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataF
 
 
 def _beside(line: DataFrame, names: Sequence[str], value: str, name: str, after: bool) -> DataFrame:
-    """The value of the row before or after each, by key and time. Inside parts by a window; at their edges from a row for each part."""
+    """The value of the row before or after each, by key and time. Inside parts by a window; the first and last row of a key in each part
+    then make a part of their own, at most two rows for each of TIME_PARTS. One pass: the line stands once in the plan, so steps add up."""
     inside = Window.partitionBy(*names, "__part").orderBy("__at")
-    step = (F.lead if after else F.lag)(value).over(inside)
-    edge = (F.min_by if after else F.max_by)(value, "__at")
-    heads = line.groupBy(*names, "__part").agg(edge.alias("__edge"))
-    order = Window.partitionBy(*names).orderBy("__part")
-    heads = heads.select(
-        *[F.col(n).alias(f"{n}_") for n in names], F.col("__part").alias("__part_"), (F.lead if after else F.lag)("__edge").over(order).alias("__edge")
-    )
-    same = all_of(F.col(n) == F.col(f"{n}_") for n in [*names, "__part"])
-    joined = line.withColumn("__step", step).join(heads, same)
+    next_to, far = (F.lead, F.lag) if after else (F.lag, F.lead)
     own = [c for c in line.columns if c != name]
-    return joined.select(*own, F.coalesce("__step", "__edge").alias(name))
+    line = line.withColumns({"__step": next_to(value).over(inside), "__far": far("__at").over(inside)})
+    at_edge = F.col("__step").isNull() | F.col("__far").isNull()
+    line = line.withColumn("__part_or_edge", F.when(at_edge, -1).otherwise(F.col("__part")))
+    across = Window.partitionBy(*names, "__part_or_edge").orderBy("__at")
+    return line.withColumn("__edge", next_to(value).over(across)).select(*own, F.coalesce("__step", "__edge").alias(name))

@@ -81,6 +81,28 @@ def test_a_busy_key_is_ordered_in_parts(spark):
     assert kept.count() == 20_000 and kept.filter("is_current").count() == changes.select("k").distinct().count()
 
 
+def test_each_step_of_a_history_reads_its_rows_once(spark):
+    changes = spark.range(3_000).selectExpr("id % 7 % 4 AS k", "id AS t", "cast(id % 5 AS string) AS a", "id % 11 = 0 AS over")
+    leaves = lambda frame: frame._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 3000")
+    kept = history.history_of(changes, ["k"], "t", ["a"], F.col("over"))
+    assert leaves(kept) == 1 and leaves(history.steady(kept, ["k"], ["a"])) == 1
+    # The rows of keys with changes and those of others, each with the keys of the changes, and the changes.
+    both = history.apply_changes(kept, changes.filter("t % 3 = 0"), ["k"], "t", ["a"], F.col("over"))
+    assert leaves(both) == 5 and leaves(history.steady(both, ["k"], ["a"])) == 5
+
+
+def test_rows_at_the_edges_of_parts_meet_their_neighbours(rows):
+    rng = random.Random(5)
+    # Key 1 has many rows in each part, key 2 one here and there, key 3 two far apart, key 4 all in one part, key 5 a single row.
+    times = {1: range(0, 2_000, 2), 2: rng.sample(range(2_000), 40), 3: [3, 1_990], 4: range(1_000, 1_012), 5: [777]}
+    told = [(k, t, rng.choice(["x", "y", None]), rng.choice([0, 1]), rng.random() < 0.2) for k, some in times.items() for t in some]
+    kept = history.history_of(rows(SCHEMA, told), ["k"], "t", ["a", "b"], F.col("over"))
+    found = [tuple(r) for r in kept.collect()]
+    assert set(found) == plain_history([told]) and len(found) == len(told)
+    smooth = [tuple(r) for r in history.steady(kept, ["k"], ["a", "b"]).collect()]
+    assert set(smooth) == plain_steady(plain_history([told])) and len(smooth) == len(set(smooth))
+
+
 def test_closure_follows_trees_chains_and_circles(spark):
     links = [("t", "t", {"parent": "id"})]
     rng = random.Random(2)
