@@ -226,7 +226,8 @@ def _grid_join(target: _Side, criteria: _Side, first: Comparison, second: Compar
     asked = criteria.with_values(__x=first.criteria, __y=second.criteria).filter("__x IS NOT NULL AND __y IS NOT NULL")
     ends = ((first, "__a", "__x"), (second, "__b", "__y"))
     target = within_bounds(target, asked, [(F.col(v), F.col(w), c.greater(), c.kind) for c, v, w in ends])
-    parts = min(MOST_PARTS, max(LEAST_PARTS, math.isqrt(target.count() // CELL_ROWS)))
+    count = target.count()
+    parts = min(MOST_PARTS, max(LEAST_PARTS, math.isqrt(count // CELL_ROWS)))
     a, b = (Parts(target, F.col(n), c.kind, parts) for n, c in (("__a", first), ("__b", second)))
     placed = target.withColumns({"__i": a.number(F.col("__a")), "__j": b.number(F.col("__b"))}).drop("__b")
     held: dict[int, list[int]] = {}
@@ -243,7 +244,7 @@ def _grid_join(target: _Side, criteria: _Side, first: Comparison, second: Compar
     reached = F.flatten(F.transform(rows, lambda i: F.transform(F.filter(F.get(cells, i), beyond), lambda j: i * wide + j)))
     asked = asked.withColumn("__to", F.explode(reached)).drop("__x", "__y")
     placed = placed.withColumn("__cell", F.col("__i") * wide + F.col("__j")).drop("__i", "__j")
-    return listed_join(asked, "__to", placed, "__cell", "__a")
+    return listed_join(asked, "__to", placed, "__cell", "__a", sum(map(len, held.values())), count)
 
 
 def undominated(target: DataFrame, criteria: DataFrame, test: Column) -> DataFrame:

@@ -8,14 +8,14 @@ the cell with the exact comparison re-checked. A cell is about half as wide as t
 times and its end cells hold no more rows than it matches, on the mean. Only target rows between the least and the greatest bound move.
 
 The result may hold a share of all pairs, far more than both sides. So the rows of a cell go as short lists, in order of their value,
-and each list meets all ranges of its cell one after the other: no pair is moved, and equal stretches of the result lie side by side,
-where columnar files keep them in few bytes.
+and each range is copied for the lists of its cells and meets one of them at a time: no pair is moved, a task holds the pairs of one
+range and one list at most, and equal stretches of the result lie side by side, where columnar files keep them in few bytes.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,9 +29,11 @@ QUANTILES = 1_000
 ACCURACY = 10_000
 # Fixed value: cells of texts at most; a range's two end cells hold that share of the rows each.
 TEXT_CELLS = 2_048
-# Rows of a list, and into how many shares at most the ranges of a cell are dealt where there are few cells.
-# Lists are long because Parquet's writer looks at its size after every row once rows take less than a byte, which is slow.
-LIST_ROWS, SHARES = 10_000, 16
+# Rows of a list on the mean at most, into how many shares at most the ranges of a list are dealt, and how many such
+# pieces a task should have, so that tasks are alike. Spark holds all pairs of a range and a list before it passes them on.
+LIST_ROWS, SHARES, PIECES = 10_000, 64, 8
+# Fixed value: bytes of a cell in a broadcast table of cells.
+CELL_BYTES = 32
 
 
 def _family(kind: T.DataType) -> str:
@@ -118,9 +120,15 @@ def range_join(
         return F.broadcast(criteria).join(target, matches)
     # Cast once for each row, not for each pair.
     points = target.withColumn("__value", same(column)).filter("__value IS NOT NULL")
-    ranges = criteria.withColumns({bound: same(name) for name, bound in ((lower, "__lower"), (upper, "__upper")) if name})
+    bounds = {bound: same(name) for name, bound in ((lower, "__lower"), (upper, "__upper")) if name}
+    ranges = criteria.withColumns(bounds).filter(all_of(F.col(b).isNotNull() for b in bounds))
     kind = common or kinds[0]
-    return _cell_join(points, ranges, kind, strict).drop("__value", "__lower", "__upper")
+    points = within_bounds(points, ranges, [(F.col("__value"), F.col(b), b == "__lower", kind) for b in bounds])
+    texts = _family(kind) == "text"
+    places = {name: F.col(name) if texts else axis(F.col(name), kind) for name in ("__value", *bounds)}
+    low, high = (b if b in bounds else None for b in ("__lower", "__upper"))
+    matches = in_range(F.col("__value"), *(F.col(b) if b else None for b in (low, high)), strict)
+    return _cell_join(points, ranges, places, "__value", low, high, matches, texts).drop("__value", "__lower", "__upper")
 
 
 class _Quantiles:
@@ -150,7 +158,7 @@ class _Quantiles:
 class _Texts:
     """Places of texts: how many cut points are not after the value."""
 
-    finest = 1
+    finest, rows = 1, 0
 
     def __init__(self, target: DataFrame, place: Column):
         cuts = text_cuts(target, place, TEXT_CELLS)
@@ -161,26 +169,23 @@ class _Texts:
         return frame.withColumn(name, at.cast("double"))
 
 
-def _cell_join(target: DataFrame, ranges: DataFrame, kind: T.DataType, strict: bool) -> DataFrame:
-    """Ranges `__lower` to `__upper`, or one of both, beside the target rows whose `__value` is inside."""
-    lower, upper = (F.col(c) if c in ranges.columns else None for c in ("__lower", "__upper"))
-    ranges = ranges.filter(all_of(c.isNotNull() for c in (lower, upper) if c is not None))
-    texts = _family(kind) == "text"
-    value = F.col("__value")
-    ends = [(value, end, least, kind) for end, least in ((lower, True), (upper, False)) if end is not None]
-    target = within_bounds(target, ranges, ends)
-
-    def place(at: Column) -> Column:
-        return at if texts else axis(at, kind)
-
-    axis_ = (_Texts if texts else _Quantiles)(target, place(value))
-    for end, bound, default in ((lower, "__from", -1.0), (upper, "__to", float(axis_.last))):
-        ranges = ranges.withColumn(bound, F.lit(default)) if end is None else axis_.placed(ranges, place(end), bound)
+def _cell_join(
+    target: DataFrame,
+    ranges: DataFrame,
+    places: dict[str, Column],
+    column: str,
+    lower: str | None,
+    upper: str | None,
+    matches: Column,
+    texts: bool = False,
+) -> DataFrame:
+    """Pairs of rows that share a cell and match. `places` has where the columns, none of them null, lie on the axis."""
+    axis_ = (_Texts if texts else _Quantiles)(target, places[column])
+    for name, bound, default in ((lower, "__from", -1.0), (upper, "__to", float(axis_.last))):
+        ranges = axis_.placed(ranges, places[name], bound) if name else ranges.withColumn(bound, F.lit(default))
     ranges = ranges.filter("__from <= __to")
-    # Cells to each unit of places: two to the mean range. Where those are too few to spread the work, the target's rows are copied
-    # for shares of the ranges: each range then has a good part of all rows as its matches, far more rows than the copies.
+    # Cells to each unit of places: two to the mean range.
     mean = ranges.agg(F.avg(F.col("__to") - F.col("__from"))).first()[0] or 0.0
-    tasks = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     each = 2 / mean if mean else float("inf")
     each = min(float(axis_.finest), each if each < 1 else float(int(min(each, 2**31))))
 
@@ -188,9 +193,8 @@ def _cell_join(target: DataFrame, ranges: DataFrame, kind: T.DataType, strict: b
         return F.floor(F.col(place) * each).cast("long")
 
     ranges = ranges.withColumn("__span", F.explode(F.sequence(cell("__from"), cell("__to")))).drop("__from", "__to")
-    placed = axis_.placed(target, place(value), "__cell").withColumn("__cell", cell("__cell"))
-    shares = min(SHARES, int(2 * tasks // ((axis_.last + 1) * each)) or 1)
-    return listed_join(ranges, "__span", placed, "__cell", "__value", shares).filter(in_range(value, lower, upper, strict))
+    placed = axis_.placed(target, places[column], "__cell").withColumn("__cell", cell("__cell"))
+    return listed_join(ranges, "__span", placed, "__cell", column, (axis_.last + 1) * each, axis_.rows).filter(matches)
 
 
 def within_bounds(target: DataFrame, criteria: DataFrame, ends: list[tuple[Column, Column, bool, T.DataType]]) -> DataFrame:
@@ -206,22 +210,31 @@ def within_bounds(target: DataFrame, criteria: DataFrame, ends: list[tuple[Colum
     return target
 
 
-def listed_join(asked: DataFrame, to: str, placed: DataFrame, cell: str, order: str, shares: int = 1) -> DataFrame:
-    """The columns of both sides, which share no name, for all pairs of rows of equal cells.
+def listed_join(asked: DataFrame, to: str, placed: DataFrame, cell: str, order: str, cells: float, rows: int) -> DataFrame:
+    """The columns of both sides, which share no name, for all pairs of rows of equal cells: some `cells` that hold `rows` rows.
 
-    The rows placed in a cell are numbered in their order and cut into lists of LIST_ROWS, so that no list grows with a cell. A list
-    is read beside each asking row: pairs come list by list, and the rows of a list in their order. The asking rows of a cell may be
-    dealt into shares, each with its own copy of the lists.
+    The rows placed in a cell are dealt by their hash into lists of LIST_ROWS or so, each in order, and an asking row goes once to each
+    list of its cell: pairs come list by list, and those of one asking row and one list are all that is held at once. Where lists are
+    few, the asking rows of each are dealt into shares with copies of the list, for each of them makes far more pairs than there are copies.
     """
-    tasks = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = asked.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shares = max(1, min(SHARES, int(PIECES * tasks // max(cells, rows // LIST_ROWS, 1))))
     # Spark carries what it knows of a cell to the other side of the join, where it can't be computed; not what it knows of an element.
     placed = placed.withColumn(cell, F.explode(F.array(col(cell))))
-    asked = asked.withColumn("__share", F.pmod(row_hash(asked), F.lit(shares)))
-    number = F.row_number().over(Window.partitionBy(cell).orderBy(order)) - 1
-    rows = F.collect_list(F.struct(*[col(c) for c in placed.columns if c != cell])).alias("__rows")
-    lists = placed.repartition(tasks, cell).withColumn("__list", F.floor(number / LIST_ROWS)).groupBy(cell, "__list").agg(rows)
-    lists = lists.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
+    held = placed.groupBy(col(cell).alias("__of")).agg(F.ceil(F.count("*") / LIST_ROWS).alias("__lists"))
+    if cells * CELL_BYTES <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold():
+        held = F.broadcast(held)
+    lists = placed.withColumn("__hash", row_hash(placed)).join(held, col(cell) == F.col("__of"), "left")
+    lists = lists.withColumn("__list", F.coalesce(F.pmod("__hash", "__lists"), F.lit(0))).withColumn("__copy", F.explode(F.array(*[F.lit(k) for k in range(shares)])))
     # A number of partitions that is given stays: few bytes in may be many pairs out.
-    lists, asked = lists.repartition(tasks, cell, "__copy"), asked.repartition(tasks, to, "__share")
-    joined = lists.hint("merge").join(asked, (F.col(cell) == F.col(to)) & (F.col("__copy") == F.col("__share")))
-    return joined.select(*[col(c) for c in asked.columns if c not in (to, "__share")], F.inline("__rows"))
+    lists = lists.repartition(tasks, cell, "__list", "__copy").sortWithinPartitions(cell, "__list", "__copy", order)
+    values = F.collect_list(F.struct(*[col(c) for c in placed.columns if c != cell])).alias("__rows")
+    lists = lists.groupBy(cell, "__list", "__copy").agg(values)
+    names = [c for c in asked.columns if c != to]
+    asked = asked.withColumn("__share", F.pmod(row_hash(asked), F.lit(shares)).cast("int"))
+    asked = asked.join(held, col(to) == F.col("__of"), "left").withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__lists") - 1)))
+    asked = asked.repartition(tasks, to, "__part", "__share")
+    same = (col(to) == col(cell)) & (F.col("__part") == F.col("__list")) & (F.col("__share") == F.col("__copy"))
+    # The asking rows come first: Spark streams that side, and passes on after each of its rows what that row has met.
+    return asked.join(lists.hint("merge"), same).select(*[col(c) for c in names], F.inline("__rows"))

@@ -163,6 +163,47 @@ def test_pairs_do_not_depend_on_lists_and_shares(spark, monkeypatch):
         assert sorted(map(tuple, found.collect())) == want
 
 
+def made_by(plan, kind):
+    """Rows that the nodes of a kind have made."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec" or name.endswith("QueryStageExec"):
+        return made_by(plan.executedPlan() if name == "AdaptiveSparkPlanExec" else plan.plan(), kind)
+    own = plan.metrics().apply("numOutputRows").value() if name == kind and "inline" in plan.simpleString(100) else 0
+    return own + sum(made_by(plan.children().apply(i), kind) for i in range(plan.children().size()))
+
+
+@pytest.mark.parametrize("kind", ["doubles", "mixed types", "range in a condition", "grid"])
+def test_pairs_are_handed_on_before_all_of_a_cell_are_made(spark, monkeypatch, kind):
+    monkeypatch.setattr(ranges, "LIST_ROWS", 50)
+    target = spark.range(1_000).selectExpr("id", "cast(id % 10 AS double) AS x", "id % 7 AS z")
+    criteria = spark.range(2_000).selectExpr("id AS k", "cast(0 AS double) AS low", "cast(9 AS double) AS high", "id % 5 - 9 AS y")
+    if kind == "mixed types":
+        criteria = criteria.selectExpr("k", "cast(low AS string) AS low", "cast(high AS decimal(38, 14)) AS high")
+    if kind in ("doubles", "mixed types"):
+        found, want = range_join(target, criteria, "x", "low", "high", compare_rows=0).select("k", "id"), 2_000_000
+    else:
+        test, want = ("t.x > c.y AND t.z >= c.low", 2_000_000) if kind == "grid" else ("t.x BETWEEN c.low AND c.high AND t.z <> c.y + 9", 0)
+        found = conditions.ordered_join(target.alias("t"), criteria.alias("c"), F.expr(test), [F.col("c.k"), F.col("t.id")])
+        want = want or sum(i % 7 != k % 5 for i in range(1_000) for k in range(2_000))
+    first = found.limit(1)
+    assert first.count() == 1 and len(first.collect()) == 1
+    # One asking row and a list of about 50 rows at a time in each task, not the 2,000,000 pairs of the cells.
+    assert 0 < made_by(first._jdf.queryExecution().executedPlan(), "GenerateExec") < 10_000
+    assert found.count() == want and found.distinct().count() == want
+
+
+def test_many_rows_of_a_cell_are_dealt_to_lists(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "LIST_ROWS", 50)
+    target = spark.range(3_000).selectExpr("id", "if(id % 3 = 0, 7, id) AS x")
+    asked = spark.range(40).selectExpr("id AS k", "id AS span")
+    lists = []
+    kept = F.collect_list
+    monkeypatch.setattr(ranges.F, "collect_list", lambda c: lists.append(c) or kept(c))
+    joined = ranges.listed_join(asked, "span", target.withColumn("cell", F.col("x")), "cell", "x", 3_000, 3_000)
+    assert joined.filter("span = x").count() == joined.count() == 1_000 + sum(k % 3 != 0 for k in range(40))
+    assert len(lists) == 1
+
+
 def test_a_grid_moves_only_rows_that_some_criteria_reach(spark, monkeypatch):
     seen = []
     kept = conditions.listed_join
